@@ -1,0 +1 @@
+"""Part of cohortry; see README.md."""
