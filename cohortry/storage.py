@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One input table. Python workers that this session starts find this package where the driver has it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
+    return spark.read.parquet(f"{folder}/{name}.parquet")
