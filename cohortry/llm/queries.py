@@ -71,7 +71,7 @@ QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_bit_p
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
-_GRAMS = "list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))"
+_GRAMS = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))"
 _TEMPLATES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES)
 
 ORACLES = {
