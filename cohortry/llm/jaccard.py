@@ -21,8 +21,8 @@ PERCENT = 90
 FREQUENT = 1000
 #: Rows of one bucket that are compared in one piece.
 PIECE = 1024
-#: Rounds in which every class is first tried against one partner a bucket.
-STAR_ROUNDS = 2
+#: Rounds in which every class is first tried against its nearest partner of another component.
+NEAREST_ROUNDS = 2
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -125,51 +125,90 @@ def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
     return classes.join(found, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
 
 
-def _close(percent: int):
-    """Whether two sizes and two bitmaps leave a link possible: ``bits that differ`` bounds the symmetric difference from below."""
+class _Bucket:
+    """The rows of one bucket piece, by growing set size, with their parity bitmaps as a matrix for each width."""
 
-    def close(na: np.ndarray, nb: np.ndarray, differ: np.ndarray) -> np.ndarray:
-        return (100 + percent) * differ <= (100 - percent) * (na + nb)
-
-    return close
-
-
-def _near_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different label in one bucket piece whose sizes and bitmaps leave a link possible.
-
-    ``rows``: key columns token, other, left, right (the pieces that meet), piece, cid, label, n, bitmap. Pairs are
-    looked at inside the task, a size range at a time, and only those that remain are returned.
-    """
-    close = _close(percent)
-
-    def pairs_of(table: pa.Table) -> Iterator[tuple[int, int]]:
+    def __init__(self, table: pa.Table, percent: int):
         size = np.array(table["n"])
         order = np.argsort(size, kind="stable")
-        size, cid, label, piece = size[order], np.array(table["cid"])[order], np.array(table["label"])[order], np.array(table["piece"])[order]
+        self.size, self.cid, self.label, self.piece = (np.array(table[k])[order] for k in ("n", "cid", "label", "piece"))
+        self.apart = table["left"][0].as_py() != table["right"][0].as_py()
+        self.percent = percent
+        self.reach = np.searchsorted(self.size, self.size * 100 // percent, "right")
         raw = table["bitmap"].to_pylist()
-        bitmaps = [np.frombuffer(raw[k], np.uint64) for k in order]
-        diagonal = table["left"][0].as_py() == table["right"][0].as_py()
-        reach = np.searchsorted(size, size * 100 // percent, "right")
-        for i in range(len(size)):
-            j = np.arange(i + 1, reach[i])
-            j = j[(label[j] != label[i]) & (cid[j] != cid[i]) & (diagonal | (piece[j] != piece[i]))]
-            if not len(j):
-                continue
-            mine = bitmaps[i]
-            words = len(mine)
-            twice = np.array([len(bitmaps[k]) for k in j]) > words
-            differ = np.zeros(len(j), np.int64)
-            for part, fold in ((j[~twice], False), (j[twice], True)):
-                if len(part):
-                    other = np.stack([bitmaps[k] for k in part])
-                    other = _fold(other) if fold else other
-                    differ[twice if fold else ~twice] = np.bitwise_count(other ^ mine).sum(axis=1)
-            for k in j[close(size[i], size[j], differ)]:
-                yield (min(cid[i], cid[k]), max(cid[i], cid[k]))
+        width = np.array([len(raw[k]) for k in order])
+        self.blocks = []
+        for w in np.unique(width):
+            here = np.flatnonzero(width == w)
+            self.blocks.append((here[0], here[-1] + 1, np.frombuffer(b"".join(raw[order[k]] for k in here), np.uint64).reshape(len(here), -1)))
+
+    def partners(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Later rows of another label that may link with row i, and the bits in which the bitmaps differ.
+
+        Those bits bound the symmetric difference from below, and sets that link differ by
+        ``(100 - percent) / (100 + percent)`` of the sum of their sizes at most.
+        """
+        low, high = i + 1, int(self.reach[i])
+        if low >= high:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        differ = np.full(high - low, np.iinfo(np.int64).max // 1000)
+        mine = next(m[i - a] for a, b, m in self.blocks if a <= i < b)
+        for a, b, matrix in self.blocks:
+            x, y = max(a, low), min(b, high)
+            if x < y:
+                other = matrix[x - a : y - a]
+                while other.shape[1] > len(mine):
+                    other = _fold(other)
+                differ[x - low : y - low] = np.bitwise_count(other ^ mine).sum(axis=1)
+        fits = ((100 + self.percent) * differ <= (100 - self.percent) * (self.size[i] + self.size[low:high])) & (self.label[low:high] != self.label[i])
+        if self.apart:
+            fits &= self.piece[low:high] != self.piece[i]
+        at = np.flatnonzero(fits)
+        return at + low, differ[at]
+
+
+def _near_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """(a, b, differ): pairs of different label in one bucket whose sizes and bitmaps leave a link possible.
+
+    ``rows``: key columns token, other, left, right (the pieces that meet), piece, cid, label, n, bitmap. Pairs are
+    looked at inside the task. With ``nearest`` only each row's partner of least difference is returned,
+    a row per class and task; otherwise all pairs that remain.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, found = None, set()
-        keys = ["token", "other", "left", "right"]
+        held, keys = None, ["token", "other", "left", "right"]
+        best: dict[int, tuple[int, int]] = {}
+        found: dict[tuple[int, int], int] = {}
+
+        def look(table: pa.Table) -> None:
+            bucket = _Bucket(table, percent)
+            cid = bucket.cid
+            least, partner = np.full(len(cid), np.iinfo(np.int64).max), np.full(len(cid), -1)
+            for i in range(len(cid)):
+                others, differ = bucket.partners(i)
+                if not len(others):
+                    continue
+                if not nearest:
+                    for k, d in zip(others, differ, strict=True):
+                        found[int(min(cid[i], cid[k])), int(max(cid[i], cid[k]))] = int(d)
+                    continue
+                k = differ.argmin()
+                if differ[k] < least[i]:
+                    least[i], partner[i] = differ[k], others[k]
+                closer = others[differ < least[others]]
+                least[closer], partner[closer] = differ[differ < least[others]], i
+            for i in np.flatnonzero(partner >= 0):
+                x, new = int(cid[i]), (int(least[i]), int(cid[partner[i]]))
+                if x not in best or new < best[x]:
+                    best[x] = new
+
+        def out() -> pa.RecordBatch:
+            rows = [(x, y, d) for x, (d, y) in best.items()] if nearest else [(*p, d) for p, d in found.items()]
+            best.clear()
+            found.clear()
+            columns = list(zip(*rows, strict=True)) or [[]] * 3
+            return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in columns], names=["a", "b", "differ"])
+
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
@@ -181,21 +220,16 @@ def _near_pairs(rows: DataFrame, percent: int) -> DataFrame:
             edges = np.flatnonzero(change)
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if b - a > 1:
-                    found.update(pairs_of(table.slice(a, b - a)))
+                    look(table.slice(a, b - a))
             held = table.slice(edges[-1])
-            if len(found) > 100_000:
-                yield out(found)
-                found = set()
+            if len(found) + len(best) > 200_000:
+                yield out()
         if held is not None and held.num_rows > 1:
-            found.update(pairs_of(held))
-        yield out(found)
-
-    def out(found: set) -> pa.RecordBatch:
-        columns = list(zip(*found, strict=True)) or [[], []]
-        return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in columns], names=["a", "b"])
+            look(held)
+        yield out()
 
     keys = ["token", "other", "left", "right"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(scan, "a long, b long").distinct()
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(scan, "a long, b long, differ long")
 
 
 def _pieces(rows: DataFrame) -> DataFrame:
@@ -215,11 +249,10 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     A set's prefix holds its first ``n - ceil(t n) + 2`` tokens in an order common to all sets; sets that link share
     two tokens of it. Tokens that few prefixes hold are indexed alone, frequent ones in pairs with another
     frequent token of the prefix; every linked pair meets in a bucket, whichever kind the shared tokens are.
-    First each class is tried against one partner per round, the class that meets it most among the first of its
-    buckets, so that groups of near copies join up by a link a member. Then buckets that still
-    hold different components are compared in full, in pieces, where sizes and parity bitmaps bound the
-    similarity from above. All that remain are verified on the exact sets, so no link is lost, and pairs
-    inside a component are not listed.
+    Buckets are compared in pieces, where sizes and parity bitmaps bound the similarity from above. In the
+    first rounds each class is verified against its nearest partner of another component, so that groups of near
+    copies join up by a few links a member. The last round verifies all pairs of different components
+    that the bounds leave, on the exact sets, so no link is lost, and pairs inside a component are not listed.
 
     Null text and text without words have 0 shingles and are their own component. A null doc_id is kept;
     its component is the smallest non-null doc_id, or null. Repeated rows fall in one component. No rows give none.
@@ -239,25 +272,26 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     rare = index.filter(F.col("df") <= FREQUENT).select("token", F.lit(0).cast("long").alias("other"), "cid", "n")
     heavy = index.filter(F.col("df") > FREQUENT).groupBy("cid", "n").agg(F.sort_array(F.collect_set("token")).alias("t"))
     combined = heavy.select("cid", "n", F.explode(F.flatten(F.transform("t", lambda x: F.transform(F.filter("t", lambda y: y > x), lambda y: F.struct(x.alias("token"), y.alias("other")))))).alias("c")).select("c.token", "c.other", "cid", "n")
-    buckets = materialize(rare.unionByName(combined), "buckets")
+    # a row can link only if its neighbour by size in the bucket is of about its size
+    by_size = Window.partitionBy("token", "other").orderBy("n")
+    alike = lambda x, y: F.coalesce(percent * F.greatest(x, y) <= 100 * F.least(x, y), F.lit(False))
+    sized = rare.unionByName(combined).withColumns({"before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)})
+    near = sized.filter(F.col("before").isNotNull() & alike(F.col("before"), F.col("n")) | F.col("after").isNotNull() & alike(F.col("after"), F.col("n")))
+    buckets = materialize(near.select("token", "other", "cid", "n"), "buckets")
 
     edges = docs.sparkSession.createDataFrame([], "a long, b long")
     labelled = classes.select("cid", F.col("cid").alias("label"))
-    for k in range(STAR_ROUNDS):
-        rows = buckets.join(labelled, "cid") if k else buckets.withColumn("label", F.col("cid"))
-        rank = F.struct(F.xxhash64("cid", F.lit(k)), "cid", "n", "label")
-        hubs = rows.groupBy("token", "other").agg(F.min(rank).alias("hub"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-        hubs = hubs.select("token", "other", F.col("hub.cid").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.label").alias("hub_label"))
-        fits = (F.col("hub_label") != F.col("label")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-        tried = rows.join(hubs, ["token", "other"]).filter(fits).groupBy("cid", "hub").agg(F.count("*").alias("together"))
-        best = tried.withColumn("order", F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("together"), "hub"))).filter(F.col("order") == 1)
-        pairs = materialize(best.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct(), "pairs")
-        new = materialize(_verified(docs, classes, pairs, n, percent), "links")
-        edges = edges.unionByName(new)
-        labelled = materialize(_labels(classes.select("cid"), edges), "labels")
-    pieces = _pieces(buckets.join(labelled, "cid"))
-    pairs = materialize(_near_pairs(pieces.join(bitmaps, "cid").select("token", "other", "left", "right", "piece", "cid", "label", "n", "bitmap"), percent), "pairs")
-    edges = edges.unionByName(materialize(_verified(docs, classes, pairs, n, percent), "links"))
+    for k in range(NEAREST_ROUNDS + 1):
+        nearest = k < NEAREST_ROUNDS
+        pieces = _pieces(buckets.join(labelled, "cid") if k else buckets.withColumn("label", F.col("cid")))
+        rows = pieces.join(bitmaps, "cid").select("token", "other", "left", "right", "piece", "cid", "label", "n", "bitmap")
+        pairs = _near_pairs(rows, percent, nearest)
+        if nearest:
+            pairs = pairs.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b"))
+        pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        edges = edges.unionByName(materialize(_verified(docs, classes, pairs, n, percent), "links"))
+        if nearest:
+            labelled = materialize(_labels(classes.select("cid"), edges), "labels")
     final = _labels(classes.select("cid", "low_doc"), edges)
     lowest = final.groupBy("label").agg(F.min("low_doc").alias("component_id"))
     named = final.join(lowest, "label").select("cid", "component_id")
