@@ -35,7 +35,8 @@ def fasta_violations(records: DataFrame) -> DataFrame:
 def read_tsv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """A headed TSV of text columns; blank cells are empty strings, and a header or width that differs is an error."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.csv(path, sep="\t", header=True, schema=schema, mode="FAILFAST", enforceSchema=False, nullValue="\u0000", emptyValue="", quote="")
+    rows = spark.read.csv(path, sep="\t", header=True, schema=schema, mode="FAILFAST", enforceSchema=False, quote="")
+    return rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns])
 
 
 def unpivot_members(wide: DataFrame, key: str, name: str) -> DataFrame:
