@@ -17,8 +17,9 @@ from cohortry.storage import materialize
 SHINGLE = 3
 #: Link when ``100 * shared >= PERCENT * union``.
 PERCENT = 90
-#: Tokens in more prefixes than this are frequent and are indexed in pairs.
-FREQUENT = 1000
+#: Tokens in more prefixes than this are frequent and are indexed in pairs. A bucket of so many rows costs 5e7 bitmap
+#: comparisons, about a second; tokens that near copies share are kept single up to there, as they always come together.
+FREQUENT = 10_000
 #: Rows of one bucket that are compared in one piece.
 PIECE = 1024
 #: Rounds in which every class is first tried against its nearest partner of another component.
@@ -240,6 +241,13 @@ def _pieces(rows: DataFrame) -> DataFrame:
     return cut.withColumn("meet", F.explode(meet)).select("token", "other", "meet.left", "meet.right", "piece", "cid", "label", "n")
 
 
+def _distinct_buckets(rows: DataFrame) -> DataFrame:
+    """Keep one bucket of those with the same members: near copies share many tokens, and each would give the same pairs."""
+    members = rows.groupBy("token", "other").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y"))
+    kept = members.groupBy("m", "x", "y").agg(F.min(F.struct("token", "other")).alias("k")).select("k.token", "k.other")
+    return rows.join(kept, ["token", "other"], "left_semi")
+
+
 def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
 
@@ -277,7 +285,7 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     alike = lambda x, y: F.coalesce(percent * F.greatest(x, y) <= 100 * F.least(x, y), F.lit(False))
     sized = rare.unionByName(combined).withColumns({"before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)})
     near = sized.filter(F.col("before").isNotNull() & alike(F.col("before"), F.col("n")) | F.col("after").isNotNull() & alike(F.col("after"), F.col("n")))
-    buckets = materialize(near.select("token", "other", "cid", "n"), "buckets")
+    buckets = materialize(_distinct_buckets(near.select("token", "other", "cid", "n")), "buckets")
 
     edges = docs.sparkSession.createDataFrame([], "a long, b long")
     labelled = classes.select("cid", F.col("cid").alias("label"))
