@@ -84,40 +84,27 @@ def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text_hash", "text").mapInArrow(scan, "doc_id long, text_hash long, n long, cid long, check long, prefix array<long>, bitmap binary")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(cid, grams): the shingle sets of the wanted class representatives, from their texts."""
+def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by their exact shingle sets.
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from cohortry.llm.words import shingle_sets
-
-        for batch in batches:
-            sets = [s.tobytes() for _, s in shingle_sets(batch.column("text"), n, True)]
-            yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(sets, pa.binary())], names=["cid", "grams"])
-
-    there = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]) & (docs["text_hash"] == wanted["rep_hash"]))
-    return there.select("cid", "text").mapInArrow(scan, "cid long, grams binary")
-
-
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their exact shingle sets."""
+    Texts travel, not sets: they compress, hashes do not.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from cohortry.llm.words import shingle_sets
+
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("ga"), batch.column("gb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for (_, x), (_, y) in zip(shingle_sets(batch.column("ta"), n, True), shingle_sets(batch.column("tb"), n, True), strict=True):
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    wanted = materialize(classes.join(ends, "cid").select("cid", "rep", "rep_hash"), "wanted")
-    sets = _sets(docs, wanted, n)
-    with_a = pairs.join(sets.select(F.col("cid").alias("a"), F.col("grams").alias("ga")), "a")
-    with_b = with_a.join(sets.select(F.col("cid").alias("b"), F.col("grams").alias("gb")), "b")
-    return with_b.select("a", "b", "ga", "gb").mapInArrow(check, "a long, b long").distinct()
+    with_a = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
+    with_b = with_a.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
+    return with_b.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").distinct()
 
 
 def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -272,6 +259,7 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     # sets of under nine shingles link with equal sets only
     able = signed.filter((F.col("n") * (100 - percent) >= percent)).select("cid", "n", "prefix", "doc_id", "text_hash", "bitmap")
     able = able.join(classes.select("cid", "rep", "rep_hash"), "cid").filter(F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_hash") == F.col("rep_hash"))).dropDuplicates(["cid"])
+    able = materialize(able.select("cid", "n", "rep", "rep_hash", "prefix", "bitmap"), "able")
     bitmaps = able.select("cid", "bitmap")
     tokens = able.select("cid", "n", F.explode("prefix").alias("token"))
     met = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
@@ -287,6 +275,10 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     near = sized.filter(F.col("before").isNotNull() & alike(F.col("before"), F.col("n")) | F.col("after").isNotNull() & alike(F.col("after"), F.col("n")))
     buckets = materialize(_distinct_buckets(near.select("token", "other", "cid", "n")), "buckets")
 
+    # the texts of all classes that meet another in a bucket, fetched once
+    met_classes = able.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", "rep", "rep_hash")
+    texts = materialize(docs.join(met_classes, docs["doc_id"].eqNullSafe(met_classes["rep"]) & (docs["text_hash"] == met_classes["rep_hash"])).select("cid", "text"), "texts")
+
     edges = docs.sparkSession.createDataFrame([], "a long, b long")
     labelled = classes.select("cid", F.col("cid").alias("label"))
     for k in range(NEAREST_ROUNDS + 1):
@@ -297,7 +289,7 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
         if nearest:
             pairs = pairs.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b"))
         pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        edges = edges.unionByName(materialize(_verified(docs, classes, pairs, n, percent), "links"))
+        edges = edges.unionByName(materialize(_verified(texts, pairs, n, percent), "links"))
         if nearest:
             labelled = materialize(_labels(classes.select("cid"), edges), "labels")
     final = _labels(classes.select("cid", "low_doc"), edges)
