@@ -102,6 +102,8 @@ def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataF
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    texts = texts.join(wanted, "cid", "left_semi")
     with_a = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
     with_b = with_a.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
     return with_b.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").distinct()
