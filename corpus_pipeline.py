@@ -9,7 +9,7 @@ from cohortry.llm import containment, jaccard, language, mixing, token_files
 from cohortry.llm.queries import tokenizer_path
 from cohortry.storage import materialize, new_path, table
 
-#: No SQL expresses the stages that compress, permute or tokenize; tests compare the pipeline with brute force.
+#: No SQL expresses the stages that compress, permute or tokenize; tests compare the operators with brute force, and run the whole.
 ORACLE_SQL = None
 
 
