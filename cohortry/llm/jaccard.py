@@ -24,6 +24,8 @@ FREQUENT = 10_000
 PIECE = 1024
 #: Rounds in which every class is first tried against its nearest partner of another component.
 NEAREST_ROUNDS = 2
+#: Up to so many class ids (some tens of MB in memory) are broadcast to fetch their texts; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -78,10 +80,10 @@ def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists, pa.array(bitmaps, pa.binary())],
-                names=["doc_id", "text_hash", "n", "cid", "check", "prefix", "bitmap"],
+                names=["doc_id", "text_hash", "n", "set_id", "check", "prefix", "bitmap"],
             )
 
-    return docs.select("doc_id", "text_hash", "text").mapInArrow(scan, "doc_id long, text_hash long, n long, cid long, check long, prefix array<long>, bitmap binary")
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(scan, "doc_id long, text_hash long, n long, set_id long, check long, prefix array<long>, bitmap binary")
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -247,7 +249,7 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     two tokens of it. Tokens that few prefixes hold are indexed alone, frequent ones in pairs with another
     frequent token of the prefix; every linked pair meets in a bucket, whichever kind the shared tokens are.
     Buckets are compared in pieces, where sizes and parity bitmaps bound the similarity from above. In the
-    first rounds each class is verified against its nearest partner of another component, so that groups of near
+    first rounds each class that has a possible partner is verified against its nearest partner of another component, so that groups of near
     copies join up by a few links a member. The last round verifies all pairs of different components
     that the bounds leave, on the exact sets, so no link is lost, and pairs inside a component are not listed.
 
@@ -257,11 +259,13 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     signed = materialize(_signatures(docs, n, percent), "signatures")
     first = F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "text_hash"))
-    classes = materialize(signed.filter("n > 0").groupBy("cid", "check", "n").agg(first.alias("r"), F.min("doc_id").alias("low_doc")).select("cid", "n", F.col("r.doc_id").alias("rep"), F.col("r.text_hash").alias("rep_hash"), "low_doc"), "classes")
+    # prefix and bitmap follow from the set, so any row of a class has them; copies are combined before they are shuffled
+    one_each = signed.filter("n > 0").groupBy("set_id", "check", "n").agg(first.alias("r"), F.min("doc_id").alias("low_doc"), F.any_value("prefix").alias("prefix"), F.any_value("bitmap").alias("bitmap"))
+    # a class goes by its first row, so that texts are found by what their rows hold
+    named_by = F.xxhash64
+    classes = materialize(one_each.select("set_id", "n", named_by("r.doc_id", "r.text_hash").alias("cid"), "low_doc", "prefix", "bitmap"), "classes")
     # sets of under nine shingles link with equal sets only
-    able = signed.filter((F.col("n") * (100 - percent) >= percent)).select("cid", "n", "prefix", "doc_id", "text_hash", "bitmap")
-    able = able.join(classes.select("cid", "rep", "rep_hash"), "cid").filter(F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_hash") == F.col("rep_hash"))).dropDuplicates(["cid"])
-    able = materialize(able.select("cid", "n", "rep", "rep_hash", "prefix", "bitmap"), "able")
+    able = classes.filter(F.col("n") * (100 - percent) >= percent)
     bitmaps = able.select("cid", "bitmap")
     tokens = able.select("cid", "n", F.explode("prefix").alias("token"))
     met = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
@@ -277,10 +281,6 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
     near = sized.filter(F.col("before").isNotNull() & alike(F.col("before"), F.col("n")) | F.col("after").isNotNull() & alike(F.col("after"), F.col("n")))
     buckets = materialize(_distinct_buckets(near.select("token", "other", "cid", "n")), "buckets")
 
-    # the texts of all classes that meet another in a bucket, fetched once
-    met_classes = able.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", "rep", "rep_hash")
-    texts = materialize(docs.join(met_classes, docs["doc_id"].eqNullSafe(met_classes["rep"]) & (docs["text_hash"] == met_classes["rep_hash"])).select("cid", "text"), "texts")
-
     edges = docs.sparkSession.createDataFrame([], "a long, b long")
     labelled = classes.select("cid", F.col("cid").alias("label"))
     for k in range(NEAREST_ROUNDS + 1):
@@ -291,11 +291,17 @@ def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT
         if nearest:
             pairs = pairs.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b"))
         pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        if k == 0:
+            # a class that the bounds leave no partner now has none later, when components have only grown
+            alive = materialize(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "alive")
+            buckets = materialize(buckets.join(alive, "cid", "left_semi"), "buckets")
+            ids = F.broadcast(alive) if alive.count() <= BROADCAST_IDS else alive
+            texts = materialize(docs.select(named_by("doc_id", "text_hash").alias("cid"), "text").join(ids, "cid", "left_semi"), "texts")
         edges = edges.unionByName(materialize(_verified(texts, pairs, n, percent), "links"))
         if nearest:
             labelled = materialize(_labels(classes.select("cid"), edges), "labels")
-    final = _labels(classes.select("cid", "low_doc"), edges)
+    final = _labels(classes.select("cid", "set_id", "low_doc"), edges)
     lowest = final.groupBy("label").agg(F.min("low_doc").alias("component_id"))
-    named = final.join(lowest, "label").select("cid", "component_id")
-    some = signed.filter("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "cid").join(named, "cid").select("doc_id", "n_shingles", "component_id")
+    named = final.join(lowest, "label").select("set_id", "component_id")
+    some = signed.filter("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(named, "set_id").select("doc_id", "n_shingles", "component_id")
     return some.unionByName(signed.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
