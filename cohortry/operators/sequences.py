@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def _windows(sequence: Column, k: int) -> Column:
+    """All substrings of length k in order, read in one pass over the sequence."""
+    return F.regexp_extract_all(sequence, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
+
+
 def kmers(sequence: Column, k: int) -> Column:
     """The distinct overlapping k-mers of a sequence; none when it is shorter than k."""
-    every = F.transform(F.sequence(F.lit(1), F.length(sequence) - k + 1), lambda i: F.substring(sequence, i, F.lit(k)))
-    return F.when(F.length(sequence) >= k, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(_windows(sequence, k))
 
 
 def kmer_rows(proteins: DataFrame, lengths: Sequence[int]) -> DataFrame:
@@ -42,13 +46,13 @@ def ranked_vocabulary(rows: DataFrame, budget: int, lengths: Sequence[int]) -> D
 
 def occurrences(sequence: Column, motif: str) -> Column:
     """1-based starts of all overlapping occurrences."""
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(sequence) - len(motif) + 1))
-    return F.filter(starts, lambda i: F.substring(sequence, i, F.lit(len(motif))) == motif)
+    starts = F.transform(_windows(sequence, len(motif)), lambda x, i: F.when(x == motif, i + 1))
+    return F.filter(starts, lambda i: i.isNotNull())
 
 
-def residues(aligned: DataFrame) -> DataFrame:
-    """(sequence_id, column, residue) of aligned rows; columns count from 1."""
-    return aligned.select("sequence_id", F.posexplode(F.split("sequence", ""))).select("sequence_id", (F.col("pos") + 1).alias("column"), F.col("col").alias("residue"))
+def residues(aligned: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """(sequence_id, column, residue) of aligned rows, with the columns of ``within``; columns count from 1."""
+    return aligned.select("sequence_id", *within, F.posexplode(F.split("sequence", ""))).select("sequence_id", *within, (F.col("pos") + 1).alias("column"), F.col("col").alias("residue"))
 
 
 def column_summary(aligned: DataFrame) -> DataFrame:
@@ -66,11 +70,14 @@ def column_summary(aligned: DataFrame) -> DataFrame:
     ).select("column", "gap_fraction", F.col("best.r").alias("consensus"), (-F.col("best.n") / F.col("filled")).alias("consensus_share"), "entropy")
 
 
-def pairwise_identity(aligned: DataFrame) -> DataFrame:
-    """(a, b, comparable, identical, identity) of every pair of rows with a <= b, over columns where both have residues."""
-    long = residues(aligned).filter("residue <> '-'")
-    x, y = long.select(F.col("sequence_id").alias("a"), "column", F.col("residue").alias("ra")), long.select(F.col("sequence_id").alias("b"), "column", F.col("residue").alias("rb"))
-    pairs = x.join(y, "column").filter("a <= b").groupBy("a", "b").agg(F.count("*").alias("comparable"), F.count_if(F.col("ra") == F.col("rb")).alias("identical"))
+def pairwise_identity(aligned: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """(a, b, comparable, identical, identity) of pairs of rows with a <= b, over columns where both have residues.
+
+    ``within``: columns that name an alignment, where a table holds many small ones; only rows of one are paired.
+    """
+    long = residues(aligned, within).filter("residue <> '-'")
+    x, y = long.select(*within, F.col("sequence_id").alias("a"), "column", F.col("residue").alias("ra")), long.select(*within, F.col("sequence_id").alias("b"), "column", F.col("residue").alias("rb"))
+    pairs = x.join(y, [*within, "column"]).filter("a <= b").groupBy("a", "b").agg(F.count("*").alias("comparable"), F.count_if(F.col("ra") == F.col("rb")).alias("identical"))
     return pairs.withColumn("identity", F.col("identical") / F.col("comparable"))
 
 

@@ -10,7 +10,6 @@ from cohortry.storage import table
 
 TARGETS = ("AUTOMOBILE", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 BACKGROUND = "BUILDING"
-FIRST_LETTERS = 400
 
 
 def members(spark: SparkSession, d: str) -> DataFrame:
@@ -45,14 +44,14 @@ POSITIVES = """
 
 
 def sequences(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as sequences: their letters in upper case without J, the first 400."""
+    """Documents as sequences: their letters in upper case without J."""
     letters = F.regexp_replace(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "J", "")
-    rows = table(spark, d, "documents").select(F.col("doc_id").alias("protein_id"), F.substring(letters, 1, FIRST_LETTERS).alias("sequence"), "lang", "source")
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("protein_id"), letters.alias("sequence"), "lang", "source")
     return rows.filter(F.length("sequence") >= 3)
 
 
 SEQUENCES = """
-    sequences AS (SELECT * FROM (SELECT doc_id AS protein_id, substr(replace(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'J', ''), 1, 400) AS sequence, lang, source FROM documents) WHERE length(sequence) >= 3)"""
+    sequences AS (SELECT * FROM (SELECT doc_id AS protein_id, replace(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'J', '') AS sequence, lang, source FROM documents) WHERE length(sequence) >= 3)"""
 
 
 def domain_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -75,25 +74,26 @@ SEARCH = """
 
 
 def aligned(spark: SparkSession, d: str) -> DataFrame:
-    """Forty documents as rows of an alignment of 60 columns, padded by gaps."""
-    letters = F.substring(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), 1, 60)
-    return table(spark, d, "documents").filter(F.col("doc_id") < 40).select(F.col("doc_id").alias("sequence_id"), F.rpad(letters, 60, "-").alias("sequence"))
+    """Orders as rows of an alignment of 30 columns: date, status and priority, padded by gaps. Orders of a customer are a family."""
+    written = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderstatus", "o_orderpriority")
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("sequence_id"), F.col("o_custkey").alias("family"), F.rpad(written, 30, "-").alias("sequence"))
 
 
 ALIGNED = """
-    aligned AS (SELECT doc_id AS sequence_id, rpad(substr(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 1, 60), 60, '-') AS sequence FROM documents WHERE doc_id < 40),
-    residues AS (SELECT sequence_id, i AS col, substr(sequence, i, 1) AS residue FROM aligned, (SELECT unnest(range(1, 61)) AS i))"""
+    aligned AS (SELECT o_orderkey AS sequence_id, o_custkey AS family, rpad(strftime(o_orderdate, '%Y-%m-%d') || o_orderstatus || o_orderpriority, 30, '-') AS sequence FROM orders),
+    residues AS (SELECT sequence_id, family, i AS col, substr(sequence, i, 1) AS residue FROM aligned, (SELECT unnest(range(1, 31)) AS i))"""
 
 
 def structure_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Embeddings of one label as structures; the score of a pair is the inner product of the unit vectors."""
+    """Embeddings of one label as structures, each compared with those of the next 400 ids; the score of a pair is the inner product of the unit vectors."""
     v = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
     x, y = v.select(F.col("vec_id").alias("a"), "label", F.col("v").alias("va")), v.select(F.col("vec_id").alias("b"), "label", F.col("v").alias("vb"))
     dot = F.aggregate(F.zip_with("va", "vb", lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
     cover = lambda c: (100 - F.col(c) % 60) / 100
-    return x.join(y, "label").filter("a < b").select(F.col("label").cast("string").alias("universe"), "a", "b", dot.alias("score"), F.least(cover("a"), cover("b")).alias("coverage"))
+    x = x.withColumn("b", F.explode(F.sequence(F.col("a") + 1, F.col("a") + 400)))
+    return x.join(y, ["label", "b"]).select(F.col("label").cast("string").alias("universe"), "a", "b", dot.alias("score"), F.least(cover("a"), cover("b")).alias("coverage"))
 
 
 PAIRS = """
     pairs AS (SELECT x.label::VARCHAR AS universe, x.vec_id AS a, y.vec_id AS b, list_inner_product(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) AS score,
-        least((100 - x.vec_id % 60) / 100, (100 - y.vec_id % 60) / 100) AS coverage FROM embeddings x JOIN embeddings y ON x.label = y.label AND x.vec_id < y.vec_id)"""
+        least((100 - x.vec_id % 60) / 100, (100 - y.vec_id % 60) / 100) AS coverage FROM embeddings x JOIN embeddings y ON x.label = y.label AND y.vec_id - x.vec_id BETWEEN 1 AND 400)"""

@@ -291,9 +291,9 @@ def agg36(spark: SparkSession, d: str) -> DataFrame:
     return rounded(sequences.column_summary(B.aligned(spark, d)), "gap_fraction", "consensus_share", "entropy").withColumn("column", F.col("column").cast("long"))
 
 
-@query("agg38_pairwise_identity", f"WITH {B.ALIGNED}, l AS (SELECT * FROM residues WHERE residue <> '-') SELECT x.sequence_id AS a, y.sequence_id AS b, count(*) AS comparable, count_if(x.residue = y.residue) AS identical, round(count_if(x.residue = y.residue) / count(*), 7) AS identity FROM l x JOIN l y ON x.col = y.col AND x.sequence_id <= y.sequence_id GROUP BY ALL")
+@query("agg38_pairwise_identity", f"WITH {B.ALIGNED}, l AS (SELECT * FROM residues WHERE residue <> '-') SELECT x.sequence_id AS a, y.sequence_id AS b, count(*) AS comparable, count_if(x.residue = y.residue)::BIGINT AS identical, round(count_if(x.residue = y.residue) / count(*), 7) AS identity FROM l x JOIN l y ON x.family = y.family AND x.col = y.col AND x.sequence_id <= y.sequence_id GROUP BY ALL")
 def agg38(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(sequences.pairwise_identity(B.aligned(spark, d)), "identity")
+    return rounded(sequences.pairwise_identity(B.aligned(spark, d), ["family"]), "identity")
 
 
 @query("win13_running_reference_position", f"""WITH {B.ALIGNED} SELECT col AS "column", sum((residue <> '-')::INT) OVER (ORDER BY col)::BIGINT AS position FROM residues WHERE sequence_id = 3""")

@@ -192,11 +192,12 @@ def jon29(spark: SparkSession, d: str) -> DataFrame:
     return asked.join(F.broadcast(alias), F.lower("term") == F.col("alias"), "left").select("c_custkey", "term", "n_nationkey")
 
 
-@query("jon25_control_candidate_join", f"""WITH {B.SEQUENCES}, s AS (SELECT protein_id, lang, source, length(sequence) AS n, CASE WHEN protein_id // 20 % 10 = 0 THEN 'T' ELSE 'C' END AS role FROM sequences)
-    SELECT t.protein_id AS target, c.protein_id AS control, round(abs(log2((t.n + 1) / (c.n + 1))), 7) AS caliper FROM s t JOIN s c ON t.role = 'T' AND c.role = 'C' AND t.lang = c.lang AND t.source = c.source WHERE abs(log2((t.n + 1) / (c.n + 1))) <= 0.5""")
+@query("jon25_control_candidate_join", """WITH s AS (SELECT o_orderkey, o_custkey, log2(o_totalprice + 1) AS n, o_orderstatus = 'P' AS target FROM orders)
+    SELECT t.o_orderkey AS target, c.o_orderkey AS control, round(abs(t.n - c.n), 7) AS caliper FROM s t JOIN s c ON t.target AND NOT c.target AND t.o_custkey = c.o_custkey WHERE abs(t.n - c.n) <= 0.5""")
 def jon25(spark: SparkSession, d: str) -> DataFrame:
-    rows = B.sequences(spark, d).select("protein_id", "lang", "source", F.length("sequence").alias("n"))
-    return readers.caliper_join(rows.filter("protein_id div 20 % 10 = 0"), rows.filter("protein_id div 20 % 10 <> 0"), ["lang", "source"], "n", 0.5).select(F.col("left_id").alias("target"), F.col("right_id").alias("control"), F.round("caliper", 7).alias("caliper"))
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), "o_custkey", "o_totalprice", "o_orderstatus")
+    pairs = readers.caliper_join(rows.filter("o_orderstatus = 'P'"), rows.filter("o_orderstatus <> 'P'"), ["o_custkey"], "o_totalprice", 0.5)
+    return pairs.select(F.col("left_id").alias("target"), F.col("right_id").alias("control"), F.round("caliper", 7).alias("caliper"))
 
 
 # -- windows --------------------------------------------------------------------------------------------------
