@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortry.storage import materialize
+
+#: Lines that are joined into one row before they are digested in order.
+CHUNK_LINES = 1000
+
 
 def _windows(sequence: Column, k: int) -> Column:
     """All substrings of length k in order, read in one pass over the sequence."""
@@ -85,3 +92,52 @@ def reference_positions(aligned: DataFrame, reference: int) -> DataFrame:
     """(column, position): the running number of residues along the reference row."""
     own = residues(aligned.filter(F.col("sequence_id") == reference))
     return own.select("column", F.sum(F.when(F.col("residue") != "-", 1).otherwise(0)).over(Window.orderBy("column").rowsBetween(Window.unboundedPreceding, 0)).alias("position"))
+
+
+def ordered_digests(rows: DataFrame, group: str, key: str, text: str) -> DataFrame:
+    """(group, digest): SHA-256 over the lines ``key, tab, text, newline`` of a group in order of key; null where it has none.
+
+    Lines are sorted in ranges and joined into chunks in parallel. A digest is one chain, so a group's chunks pass through
+    one task; it sorts on disk and holds a batch of them at a time.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+
+        def out() -> pa.RecordBatch:
+            chunk = {"g": held[0]["g"], "first": held[0]["line"], "k": held[0]["k"], "last_k": held[-1]["k"], "last": held[-1]["line"], "lines": "".join(r["line"] for r in held)}
+            held.clear()
+            return pa.RecordBatch.from_pylist([chunk], schema=packed)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and (len(held) == CHUNK_LINES or held[0]["g"] != row["g"]):
+                    yield out()
+                held.append(row)
+        if held:
+            yield out()
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, state = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if state is None or row["g"] != at:
+                    if state is not None:
+                        yield pa.RecordBatch.from_pylist([{"g": at, "digest": state.hexdigest()}], schema=digested)
+                    at, state = row["g"], hashlib.sha256()
+                state.update(row["lines"].encode())
+        if state is not None:
+            yield pa.RecordBatch.from_pylist([{"g": at, "digest": state.hexdigest()}], schema=digested)
+
+    s = pa.string()
+    packed = pa.schema([("g", s), ("first", s), ("k", pa.int64()), ("last_k", pa.int64()), ("last", s), ("lines", s)])
+    digested = pa.schema([("g", s), ("digest", s)])
+    line = F.concat(F.col(key).cast("string"), F.lit("\t"), F.col(text), F.lit("\n"))
+    lines = materialize(rows.select(F.col(group).cast("string").alias("g"), F.col(key).cast("long").alias("k"), line.alias("line")), "lines")
+    ranged = lines.filter("line is not null").repartitionByRange("g", "k", "line").sortWithinPartitions("g", "k", "line")
+    chunks = ranged.mapInArrow(pack, "g string, first string, k long, last_k long, last string, lines string")
+    # equal lines may fill a chunk whole, so the last line takes part in the order
+    in_order = chunks.repartition("g").sortWithinPartitions("g", "k", "first", "last_k", "last")
+    found = in_order.mapInArrow(digest, "g string, digest string").withColumnRenamed("g", "of")
+    groups = lines.select("g").distinct()
+    return groups.join(found, F.col("g").eqNullSafe(F.col("of")), "left").select(F.col("g").alias(group), "digest")

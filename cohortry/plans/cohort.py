@@ -230,9 +230,7 @@ def agg13(spark: SparkSession, d: str) -> DataFrame:
 
 @query("agg12_cohort_digest", f"WITH {B.SEQUENCES} SELECT lang, sha256(string_agg(protein_id || chr(9) || sha256(sequence) || chr(10), '' ORDER BY protein_id)) AS digest FROM sequences GROUP BY 1")
 def agg12(spark: SparkSession, d: str) -> DataFrame:
-    line = F.struct("protein_id", F.concat(F.col("protein_id").cast("string"), F.lit("\t"), F.sha2("sequence", 256), F.lit("\n")).alias("line"))
-    lines = F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"])
-    return B.sequences(spark, d).groupBy("lang").agg(F.sha2(F.array_join(lines, ""), 256).alias("digest"))
+    return sequences.ordered_digests(B.sequences(spark, d).select("lang", "protein_id", F.sha2("sequence", 256).alias("h")), "lang", "protein_id", "h")
 
 
 _TM = 0.3

@@ -71,7 +71,7 @@ def val11(spark: SparkSession, d: str) -> DataFrame:
 
 @query("src11_wide_membership_unpivot", "SELECT user_id, event_type, unnest(list_distinct(list(event_id))) AS member FROM events GROUP BY 1, 2")
 def src11(spark: SparkSession, d: str) -> DataFrame:
-    wide = table(spark, d, "events").groupBy("user_id").pivot("event_type").agg(F.array_join(F.collect_list(F.col("event_id").cast("string")), ", "))
+    wide = readers.wide_members(table(spark, d, "events"), "user_id", "event_type", "event_id")
     return readers.unpivot_members(wide, "user_id", "event_type").withColumn("member", F.col("member").cast("long"))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESIDUES = r"^[A-IK-Z*?\-]+$"
+#: Members that the cells of one wide row hold, about.
+ROW_MEMBERS = 10_000
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -39,6 +41,17 @@ def read_tsv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFram
     return rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns])
 
 
+def wide_members(long: DataFrame, key: str, name: str, member: str) -> DataFrame:
+    """A column per name whose cells hold the distinct members, comma-separated; the inverse of ``unpivot_members``.
+
+    A key of more than ``ROW_MEMBERS`` rows gets several wide rows, by a hash of the member, so no cell grows with the table.
+    """
+    large = long.groupBy(key).agg(F.count(member).alias("_n")).filter(F.col("_n") > ROW_MEMBERS).select(F.col(key).alias("_key"), F.ceil(F.col("_n") / ROW_MEMBERS).alias("_parts"))
+    part = F.pmod(F.xxhash64(member), F.coalesce("_parts", F.lit(1)))
+    dealt = long.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_part", part)
+    return dealt.groupBy(key, "_part").pivot(name).agg(F.array_join(F.collect_set(F.col(member).cast("string")), ", ")).drop("_part")
+
+
 def unpivot_members(wide: DataFrame, key: str, name: str) -> DataFrame:
     """Long (key, name, member) of a table with a column per species whose cells hold comma-separated members."""
     columns = [c for c in wide.columns if c != key]

@@ -120,3 +120,36 @@ def test_require_empty(spark):
     with pytest.raises(ValueError):
         checks.require_empty(checks.duplicate_keys(df, ["k"]), "repeated keys")
     checks.require_empty(checks.duplicate_keys(df.distinct(), ["k"]), "repeated keys")
+
+
+def test_wide_cells_are_bounded_and_distinct(spark, tmp_path, monkeypatch):
+    from cohortry.plans import tables
+
+    rows = [(k, 1, "view") for k in range(300)] + [(7, 1, "view")] * 5 + [(k, 2, "click") for k in range(4)] + [(900, None, "view"), (None, 2, "view")]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(readers, "ROW_MEMBERS", 20)
+    wide = readers.wide_members(spark.read.parquet(str(tmp_path / "events.parquet")), "user_id", "event_type", "event_id")
+    assert max(len(c.split(",")) for r in wide.collect() for c in r[1:] if c) <= 60
+    got = sorted((tuple(r) for r in tables.src11(spark, str(tmp_path)).select("user_id", "event_type", "member").collect()), key=str)
+    assert got == sorted({(u, t, e) for e, u, t in rows if e is not None}, key=str)
+
+
+def test_ordered_digests(spark, monkeypatch):
+    import hashlib
+
+    rows = [("a", k % 90, f"h{k % 3}") for k in range(500)] + [("b", 5, "x")] * 30 + [(None, 3, "y"), (None, 1, "z"), ("a", None, "w"), ("c", None, "w")]
+    monkeypatch.setattr(sequences, "CHUNK_LINES", 7)
+    out = sequences.ordered_digests(spark.createDataFrame(rows, "g string, k long, h string"), "g", "k", "h")
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    want = {}
+    for g in ("a", "b", None):
+        lines = sorted((k, f"{k}\t{h}\n") for x, k, h in rows if x == g and k is not None)
+        want[g] = hashlib.sha256("".join(t for _, t in lines).encode()).hexdigest()
+    assert {r["g"]: r["digest"] for r in out.collect()} == want | {"c": None}
+
+
+def test_cohort_digest_holds_no_group_in_one_row(spark):
+    from cohortry.plans import cohort
+
+    out = cohort.agg12(spark, "/root/testdata/sf0.001")
+    assert "collect_list" not in out._jdf.queryExecution().toString() and out.count() == 4
