@@ -21,16 +21,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.filter("accepted").select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
+def _with_row_keys(docs: DataFrame) -> DataFrame:
+    """The documents with ``_row``, a number of their own; written once, so that every reader sees the same numbers."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id of every component; ids are unique in documents."""
-    found = jaccard.jaccard_components(docs)
-    return docs.join(found.filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Keep one row of every component, that of the smallest id; ids may be null or repeated."""
+    numbered = _with_row_keys(docs)
+    found = materialize(jaccard.jaccard_components(numbered, key="_row").select(F.col("doc_id").alias("_row"), "component_id"), "components")
+    several = found.filter("component_id <> _row").select("component_id").distinct()
+    grouped = found.join(several, "component_id", "left_semi").join(numbered.select("_row", F.col("doc_id").alias("id")), "_row")
+    kept = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_row"))["_row"].alias("kept"))
+    dropped = grouped.join(kept, "component_id").filter("_row <> kept").select("_row")
+    return numbered.join(dropped, "_row", "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a benchmark item."""
-    found = materialize(containment.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """Drop the rows that hold a benchmark item, whatever their ids."""
+    numbered = _with_row_keys(docs)
+    found = materialize(containment.contaminated(numbered, table(spark, sf_dir, "benchmark"), key="_row").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return numbered.join(found, "_row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

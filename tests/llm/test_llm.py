@@ -308,3 +308,27 @@ def test_pipeline(spark, tmp_path):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 100 and out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "decontamination", "source_mix", "token_files"]
+
+
+def test_pipeline_stages_decide_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    base, clean, twin = (prose(rng, 120) for _ in range(3))
+    item = prose(rng, 20)
+    near = base.split(" ")
+    near[60] = "changed"
+    near = " ".join(near)
+    schema = "doc_id long, text string, source string"
+    # repeated rows, near copies without an id, another text under a group's id, and short texts that form no group
+    rows = [(3, base, "a"), (3, base, "a"), (None, near, "a"), (None, near, "b"), (3, clean, "a"), (8, twin, "a"), (8, twin, "a"), (None, "", "a"), (None, None, "a"), (None, None, "a")]
+    got = [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, schema), str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(3, base, "a"), (3, clean, "a"), (8, twin, "a"), (None, "", "a"), (None, None, "a"), (None, None, "a")], key=str)
+    # without any id one row still stays
+    got = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame([(None, base, "a"), (None, near, "a")], schema), str(tmp_path)).collect()
+    assert len(got) == 1
+
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(5, clean, "a"), (5, f"{base} {item} {twin}", "a"), (None, f"{twin} {item}", "a"), (None, twin, "a"), (6, f"{item} {base}", "a"), (6, f"{item} {base}", "a"), (7, None, "a"), (5, clean, "a")]
+    got = [tuple(r) for r in corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, schema), str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(5, clean, "a"), (5, clean, "a"), (None, twin, "a"), (7, None, "a")], key=str)
