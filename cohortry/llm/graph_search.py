@@ -16,25 +16,43 @@ LINKS = 24
 BUILD_BEAM = 40
 SEARCH_BEAM = 96
 ALPHA = 1.2
+#: Vectors of one graph differ in length by this factor at most, so that float32 tells the shortest of them apart.
+LENGTH_RATIO = 8
 #: Queries that one task searches at a time in a shard.
 QUERY_ROWS = 20_000
 
 
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of rows, without overflow of their squares."""
+    most = np.abs(x).max(axis=1, initial=0.0, keepdims=True)
+    most[most == 0] = 1
+    return most[:, 0] * np.sqrt(((x / most) ** 2).sum(axis=1))
+
+
+def levels(x: np.ndarray) -> np.ndarray:
+    """A number for each vector: from the longest on, those within ``LENGTH_RATIO`` of a level's longest."""
+    size = lengths(x)
+    order = np.argsort(-size, kind="stable")
+    out, level, top = np.zeros(len(x), np.int32), -1, np.inf
+    for k in order:
+        if level < 0 or size[k] * LENGTH_RATIO < top:
+            level, top = level + 1, size[k]
+        out[k] = level
+    return out
+
+
 class Graph:
-    """A directed graph over the vectors of a shard; distances are squared Euclidean.
+    """A directed graph over different vectors of one level of a shard; distances are squared Euclidean.
 
-    Vectors get one more component, so that all have the same length and the nearest by distance are
-    those of the largest inner product with a query (whose extra component is 0).
+    Vectors are scaled to a greatest length of 1 and get one more component, so that all have length 1 and the nearest
+    by distance are those of the largest inner product with a query (whose extra component is 0).
     """
 
     def __init__(self, vectors: np.ndarray, links: int = LINKS, beam: int = BUILD_BEAM, alpha: float = ALPHA, seed: int = 7):
-        x = vectors.astype(np.float64)
-        norms = (x * x).sum(axis=1)
-        self.x = np.column_stack([x, np.sqrt(np.maximum(0.0, norms.max(initial=0.0) - norms))]).astype(np.float32)
-        self.square = (self.x * self.x).sum(axis=1)
+        self._place(vectors)
+        x = self.x
         self.links, n = links, len(x)
         self.out = np.full((n, links), -1, np.int32)
-        self.start = int(((self.x - self.x.mean(axis=0)) ** 2).sum(axis=1).argmin()) if n else 0
         rng = np.random.default_rng(seed)
         if n <= links + 1:
             for i in range(n):
@@ -50,9 +68,23 @@ class Graph:
                 self._insert(part, beam, relax)
                 step = min(256, 2 * step)
 
+    @classmethod
+    def of_links(cls, vectors: np.ndarray, out: np.ndarray) -> Graph:
+        """A graph that was built before."""
+        made = cls.__new__(cls)
+        made._place(vectors)
+        made.out = out
+        return made
+
+    def _place(self, vectors: np.ndarray) -> None:
+        size = lengths(vectors)
+        top = size.max(initial=0.0) or 1.0
+        self.x = np.column_stack([vectors / top, np.sqrt(np.maximum(0.0, 1 - (size / top) ** 2))]).astype(np.float32)
+        self.start = int(((self.x - self.x.mean(axis=0)) ** 2).sum(axis=1).argmin()) if len(vectors) else 0
+
     def distances(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Squared distances from each query to its own row of ids, less the square of the query."""
-        return self.square[ids] - 2 * np.einsum("qd,qkd->qk", q, self.x[ids])
+        """Half the squared distances from each query to its own row of ids, less the squares, which are the same for all ids."""
+        return -np.einsum("qd,qkd->qk", q, self.x[ids])
 
     def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Greedy beam search of all queries at once: (ids, distances) of the beam by growing distance; -1 fills up."""
@@ -82,9 +114,10 @@ class Graph:
     def _prune(self, p: int, candidates: np.ndarray, relax: float) -> np.ndarray:
         """Keep the nearest candidate, drop those nearer to it (distance relaxed) than to ``p``, and so on."""
         candidates = np.unique(candidates[(candidates >= 0) & (candidates != p)])
-        v = self.x[candidates]
+        v = self.x[candidates].astype(np.float64)
         d = ((v - self.x[p]) ** 2).sum(axis=1)
-        between = np.maximum(0, self.square[candidates][:, None] + self.square[candidates][None, :] - 2 * v @ v.T)
+        square = (v * v).sum(axis=1)
+        between = np.maximum(0, square[:, None] + square[None, :] - 2 * v @ v.T)
         order = np.argsort(d, kind="stable")
         open_, kept = np.ones(len(order), bool), []
         for k in order:
@@ -120,9 +153,10 @@ def _usable(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per vector: shard, place, vec_id, v, links (places in the shard).
+    """One row per vector: shard, level, place, vec_id, v, links (places in the level).
 
-    Vectors are dealt to shards of about ``shard_rows`` by a hash of their id; every shard is one graph. Vectors
+    Vectors are dealt to shards of about ``shard_rows`` by a hash of their id. A shard is a graph for each level of
+    lengths, and equal vectors of a shard are one node, with one place and the same links. Vectors
     that are null, zero, or hold null or non-finite components take no part, nor do null ids. All vectors
     must have one length. Rows of equal id stand as candidates each. The table is written to the shared folder.
     """
@@ -133,19 +167,31 @@ def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
         table = table.sort_by("vec_id")
         flat = np.array(table["v"].combine_chunks().values if table["v"].num_chunks else [])
         x = flat.reshape(table.num_rows, -1)
-        built = Graph(x)
-        return table.append_column("place", pa.array(np.arange(table.num_rows), pa.int32())).append_column("links", pa.array(list(built.out), pa.list_(pa.int32()))).select(["shard", "place", "vec_id", "v", "links"])
+        level = levels(x)
+        place, links = np.zeros(len(x), np.int32), np.full((len(x), LINKS), -1, np.int32)
+        for at in np.unique(level):
+            here = np.flatnonzero(level == at)
+            _, first, node = np.unique(x[here], axis=0, return_index=True, return_inverse=True)
+            # nodes stand in order of their first row
+            order = np.argsort(first)
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order))
+            place[here] = rank[node.reshape(-1)]
+            links[here] = Graph(x[here[first[order]]]).out[place[here]]
+        for name, column in (("level", pa.array(level, pa.int32())), ("place", pa.array(place, pa.int32())), ("links", pa.array(list(links), pa.list_(pa.int32())))):
+            table = table.append_column(name, column)
+        return table.select(["shard", "level", "place", "vec_id", "v", "links"])
 
     dealt = usable.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    return materialize(dealt.groupBy("shard").applyInArrow(graph, "shard int, place int, vec_id long, v array<double>, links array<int>"), "graph")
+    return materialize(dealt.groupBy("shard").applyInArrow(graph, "shard int, level int, place int, vec_id long, v array<double>, links array<int>"), "graph")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding", beam: int = SEARCH_BEAM) -> DataFrame:
     """The ``k`` nearest found for every query: query_id, rank, vec_id, score, nearest first, ties to the smaller id.
 
-    Every shard's graph is searched for every query, in blocks of queries; the best of all shards are ranked by the
+    Every graph of every shard is searched for every query, in blocks of queries; the best of all shards are ranked by the
     inner product in double precision. A row whose id is the query's own is no candidate. With fewer than ``k``
-    candidates all of them are returned, as shards of up to ``beam`` vectors are searched whole. Unusable queries give no rows.
+    candidates all of them are returned, as graphs of up to ``beam`` nodes are searched whole. Unusable queries give no rows.
     """
     asked = _usable(queries, key, vector)
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
@@ -157,31 +203,46 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id
         names = ["query_id", "vec_id", "score"]
         if not graph.num_rows or not query.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
-        graph = graph.sort_by("place")
-        ids = np.array(graph["vec_id"])
+        graph = graph.sort_by([("level", "ascending"), ("place", "ascending"), ("vec_id", "ascending")])
+        ids, level, place = (np.array(graph[c]) for c in ("vec_id", "level", "place"))
         x = np.array(graph["v"].combine_chunks().values).reshape(len(ids), -1)
+        links = np.array(graph["links"].combine_chunks().values).reshape(len(ids), -1)
         q = np.array(query["v"].combine_chunks().values).reshape(query.num_rows, -1)
         own = np.array(query["vec_id"])
-        made = Graph.__new__(Graph)
-        norms = (x * x).sum(axis=1)
-        made.x = np.column_stack([x, np.sqrt(np.maximum(0.0, norms.max() - norms))]).astype(np.float32)
-        made.square = (made.x * made.x).sum(axis=1)
-        made.out = np.array(graph["links"].combine_chunks().values).reshape(len(ids), -1)
-        made.start = int(((made.x - made.x.mean(axis=0)) ** 2).sum(axis=1).argmin())
+        by_id = np.sort(ids)
+        mine = np.searchsorted(by_id, own, "right") - np.searchsorted(by_id, own, "left")
+        # a node is its first row; its rows, by growing id, reach to the next node's
+        nodes = np.flatnonzero(np.concatenate([[True], (level[1:] != level[:-1]) | (place[1:] != place[:-1])]))
+        ends = np.append(nodes[1:], len(ids))
+        made = []
+        for at in np.unique(level):
+            here = np.flatnonzero(level[nodes] == at)
+            made.append((here, Graph.of_links(x[nodes[here]], links[nodes[here]]) if len(here) > beam else None))
         out = []
         for a in range(0, len(q), 256):
             part = q[a : a + 256]
-            if len(ids) <= beam:
-                found = np.tile(np.arange(len(ids), dtype=np.int32), (len(part), 1))
-            else:
-                scale = np.sqrt((part * part).sum(axis=1, keepdims=True))
-                found, _ = made.search(np.column_stack([part / scale, np.zeros(len(part))]).astype(np.float32), beam)
-            score = np.where(found >= 0, np.einsum("qd,qkd->qk", part, x[found]), -np.inf)
-            score[ids[found] == own[a : a + 256, None]] = -np.inf
+            unit = np.column_stack([part / lengths(part)[:, None], np.zeros(len(part))]).astype(np.float32)
+            columns = []
+            for here, built in made:
+                if built is None:
+                    columns.append(np.tile(here, (len(part), 1)))
+                else:
+                    at, _ = built.search(unit, beam)
+                    columns.append(np.where(at >= 0, here[at], -1))
+            found = np.concatenate(columns, axis=1)
+            score = np.where(found >= 0, np.einsum("qd,qkd->qk", part, x[nodes[found]]), -np.inf)
             for row in range(len(part)):
-                best = np.lexsort((ids[found[row]], -score[row]))[: k + 1]
-                best = best[np.isfinite(score[row][best])][:k]
-                out.append((np.full(len(best), own[a + row]), ids[found[row][best]], score[row][best]))
+                # the query's own rows are no candidates, so as many more are looked at
+                wanted = k + int(mine[a + row])
+                best = np.lexsort((ids[nodes[found[row]]], -score[row]))[:wanted]
+                best = best[np.isfinite(score[row][best])]
+                rows = [np.arange(nodes[n], min(ends[n], nodes[n] + wanted)) for n in found[row][best]]
+                of = np.repeat(score[row][best], [len(r) for r in rows])
+                rows = np.concatenate([np.zeros(0, np.int64), *rows])
+                other = ids[rows] != own[a + row]
+                rows, of = rows[other], of[other]
+                first = np.lexsort((ids[rows], -of))[:k]
+                out.append((np.full(len(first), own[a + row]), ids[rows[first]], of[first]))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
 
     found = nodes.groupBy("shard", "block").cogroup(spread.groupBy("shard", "block")).applyInArrow(beam_search, "query_id long, vec_id long, score double")

@@ -332,3 +332,30 @@ def test_pipeline_stages_decide_by_row(spark, tmp_path):
     rows = [(5, clean, "a"), (5, f"{base} {item} {twin}", "a"), (None, f"{twin} {item}", "a"), (None, twin, "a"), (6, f"{item} {base}", "a"), (6, f"{item} {base}", "a"), (7, None, "a"), (5, clean, "a")]
     got = [tuple(r) for r in corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, schema), str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted([(5, clean, "a"), (5, clean, "a"), (None, twin, "a"), (7, None, "a")], key=str)
+
+
+@pytest.mark.parametrize("kind", ["long", "equal"])
+def test_graph_search_of_long_and_equal_vectors(spark, kind):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1500, 16))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    if kind == "long":
+        # a few very long vectors that point away from most queries of the sample
+        x[:4] = -x[100:500:100] * np.array([[1e4], [1e5], [1e7], [1e12]])
+    else:
+        x[200:260] = x[200]
+        x[300:900:2] = x[300]
+    x = x.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = list(range(100, 1500, 25))
+    got = collections.defaultdict(list)
+    for r in graph_search.search(graph_search.build_index(df, shard_rows=1500), df.filter("vec_id >= 100 and vec_id % 25 = 0")).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    hits = 0
+    for q in asked:
+        s = x @ x[q]
+        s[q] = -np.inf
+        order = np.lexsort((np.arange(len(s)), -np.round(s, 9)))[:20]
+        assert len(got[q]) == 20
+        hits += len({i for i, _ in got[q]} & set(order.tolist()))
+    assert hits >= 0.95 * 20 * len(asked)
