@@ -21,27 +21,41 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.filter("accepted").select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
-def _with_row_keys(docs: DataFrame) -> DataFrame:
-    """The documents with ``_row``, a number of their own; written once, so that every reader sees the same numbers."""
-    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents with ``_row``, a hash of all their columns that no two different rows share, and the keys of repeated rows."""
+    # hashes pass over nulls, so which columns are null is hashed as well
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    parts = [*[c.isNull() for c in columns], *columns]
+    for seed in range(8):
+        keyed = docs.withColumn("_row", F.xxhash64(F.lit(seed), *parts))
+        other = keyed.select("_row", F.xxhash64(F.lit(-1 - seed), *parts).alias("h"))
+        repeated = materialize(other.groupBy("_row").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).filter("n > 1"), "repeated")
+        if repeated.filter("lo <> hi").isEmpty():
+            return keyed, repeated.select("_row")
+    raise RuntimeError("rows share hashes under every seed")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of every component, that of the smallest id; ids may be null or repeated."""
-    numbered = _with_row_keys(docs)
-    found = materialize(jaccard.jaccard_components(numbered, key="_row").select(F.col("doc_id").alias("_row"), "component_id"), "components")
+    keyed, repeated = _keyed(docs)
+    found = materialize(jaccard.jaccard_components(keyed, key="_row").select(F.col("doc_id").alias("_row"), "n_shingles", "component_id").distinct(), "components")
     several = found.filter("component_id <> _row").select("component_id").distinct()
-    grouped = found.join(several, "component_id", "left_semi").join(numbered.select("_row", F.col("doc_id").alias("id")), "_row")
+    grouped = found.join(several, "component_id", "left_semi").join(keyed.select("_row", F.col("doc_id").alias("id")).distinct(), "_row")
     kept = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_row"))["_row"].alias("kept"))
-    dropped = grouped.join(kept, "component_id").filter("_row <> kept").select("_row")
-    return numbered.join(dropped, "_row", "left_anti").select(docs.columns)
+    dropped = materialize(grouped.join(kept, "component_id").filter("_row <> kept").select("_row"), "dropped")
+    if repeated.isEmpty():
+        return keyed.join(dropped, "_row", "left_anti").select(docs.columns)
+    # rows equal in all columns are one group as well, if they have words
+    again = repeated.join(found.filter("n_shingles > 0"), "_row", "left_semi").join(dropped, "_row", "left_anti")
+    once = keyed.join(again, "_row", "left_semi").dropDuplicates(["_row"])
+    return keyed.join(dropped.union(again), "_row", "left_anti").select(docs.columns).union(once.select(docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the rows that hold a benchmark item, whatever their ids."""
-    numbered = _with_row_keys(docs)
-    found = materialize(containment.contaminated(numbered, table(spark, sf_dir, "benchmark"), key="_row").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
-    return numbered.join(found, "_row", "left_anti").select(docs.columns)
+    keyed, _ = _keyed(docs)
+    found = materialize(containment.contaminated(keyed, table(spark, sf_dir, "benchmark"), key="_row").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return keyed.join(found, "_row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
