@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-from cohortry.llm.words import mix, text_runs, word_hashes
+from cohortry.llm.words import mix, text_runs
 from cohortry.storage import materialize
 
 LENGTH = 200
@@ -35,6 +35,18 @@ def _anchor_hashes(text: np.ndarray) -> np.ndarray:
     return mix((thirty_two[:n] ^ (thirty_two[:n] >> np.uint64(29))) * k + eight[32 : 32 + n])
 
 
+def _stretch_hashes(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of all bytes of each stretch, from the hashes of the ANCHOR bytes at every ANCHOR bytes and at its end."""
+    odd = np.uint64(0xD6E8FEB86659FD93)
+    total = mix(sizes.astype(np.uint64) * odd + hashes[starts + sizes - ANCHOR])
+    live, at = np.arange(len(starts)), 0
+    while len(live):
+        total[live] = mix(total[live] * odd + hashes[starts[live] + at])
+        at += ANCHOR
+        live = live[sizes[live] >= at + ANCHOR]
+    return total
+
+
 def stretches(text: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> dict[str, np.ndarray]:
     """Cut the strings of ``length`` bytes of a run of texts into stretches that share their anchor.
 
@@ -67,7 +79,7 @@ def stretches(text: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> di
     lo = np.flatnonzero(first)
     n = np.bincount(np.cumsum(first)[inside] - 1, minlength=len(lo))
     row = np.searchsorted(offsets, lo, "right") - 1
-    content = word_hashes(text, lo, lo + n + length - 1, lower=False) + mix(hashes[at[lo]])
+    content = _stretch_hashes(hashes, lo, n + length - 1)
     return dict(zip(names, (row, lo - offsets[row], n, at[lo] - lo, hashes[at[lo]].view(np.int64), content.view(np.int64)), strict=True))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortry.llm.words import HashIndex, text_runs, word_hashes, word_spans
+from cohortry.llm.words import HashIndex, eights, hash_eights, lowered, same_bytes, text_runs, word_spans
 
 BLOCK_IDS = 16_384
 SEGMENT_IDS = 1 << 20
@@ -35,6 +35,7 @@ END_ID = 2
 #: Kinds of planes.
 BIT, BYTE = 0, 1
 WORDS_KEPT = 1_200_000
+BYTES_KEPT = 64 << 20
 
 _POINT = np.zeros(256, bool)
 _POINT[[44, 46]] = True
@@ -92,12 +93,14 @@ class Encoder:
 
     Such a tokenizer encodes every blank-separated word on its own, so the ids of a text are those of its
     words one after another. Each new word goes through the library once; up to ``WORDS_KEPT`` words are
-    kept, by a 64-bit hash and their length. Where the tokenizer also parts a last full stop or comma from
-    a letter before it, words are kept without them. Both are tried on probes when a file is opened.
+    kept, up to ``BYTES_KEPT`` bytes of them, and are found by a 64-bit hash; the bytes are then compared, and a run of texts in which
+    two words share a hash is encoded by the library text by text. Where the tokenizer also parts a last full stop or comma from
+    a letter before it, words are kept without them; where it lower-cases, words are kept in lower case, except those
+    that hold the first character of a special token. All this is tried on probes when a file is opened.
     """
 
-    #: Parts the words of one call to the library; words that hold it are encoded alone.
-    DIVIDER = "|"
+    #: Letters that may make up a plain word: such a word goes to the tokenizer's model without its pre-tokenizer, if probes allow.
+    LETTERS = "".join(map(chr, [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -109,9 +112,25 @@ class Encoder:
             raise ValueError("the tokenizer does not part words at white space")
         self.parts_points = all(one(w + p) == one(w) + one(p) for w in ("ab", "X", "qz") for p in (".", ","))
         self.lowers = all(one(w) == one(w.lower()) for w in ("AB", "aBc", "XyZZy"))
-        bar = one(self.DIVIDER)
-        self.bar = bar[0] if len(bar) == 1 else None
-        self.odd = re.compile("|".join(re.escape(x) for x in [self.DIVIDER, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]))
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join(re.escape(x) for x in special) or "(?!)")
+        self.model = self.tokenizer.model
+        normalizer, parter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.normal = normalizer.normalize_str if normalizer else str
+        self.parts = (lambda w: [p for p, _ in parter.pre_tokenize_str(w)]) if parter else (lambda w: [w])
+        # how the pre-tokenizer writes each letter; whole words of letters must be written letter by letter
+        written = {c: self.parts(c) for c in self.LETTERS}
+        plain = all(len(p) == 1 for p in written.values()) and self.normal(self.LETTERS) == self.LETTERS and self.parts(self.LETTERS) == ["".join(p[0] for p in written.values())]
+        self.written = {ord(c): p[0] for c, p in written.items()} if plain else {}
+        self.plain = re.compile(f"[{self.LETTERS}]+" if plain else "(?!)")
+        marks = "!$%&()*+,-./:;=?@[]^_`{}~#"
+        tailed = plain and self.parts(marks) == [marks] and self.parts(self.LETTERS + marks) == [*self.parts(self.LETTERS), marks]
+        self.tailed = re.compile(f"([{self.LETTERS}]+)([{re.escape(marks)}]+)" if tailed else "(?!)")
+        self.tails: dict[str, list[int]] = {}
+        if any(self._word(w) != one(w) for w in ("ab", "don't", "x-1.5é", "été", "ñu***", "ABc12", "e\u0301a", "İ9")):
+            raise ValueError("the tokenizer adds to what its model and pre-tokenizer give")
+        self.marks = np.zeros(256, bool)
+        self.marks[[x.encode()[0] for x in special if x]] = True
         self._clear()
 
     def _ids(self, text: str) -> list[int]:
@@ -119,63 +138,87 @@ class Encoder:
 
     def _clear(self) -> None:
         self.index = HashIndex()
-        self.lengths = np.zeros(1 << 14, np.int32)
+        self.words = np.zeros(1 << 18, np.uint8)
+        self.word_ends = np.zeros(1 << 14, np.int64)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
 
-    def _encode(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of some words one after another, and the number of ids of each; plain words hold no divider or special token."""
-        if plain and self.bar is not None:
-            ids = np.array(self.tokenizer.encode_batch_fast([f" {self.DIVIDER} ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
-            return ids[ids != self.bar], np.diff(np.concatenate([[-1], np.flatnonzero(ids == self.bar), [len(ids)]])) - 1
-        ids = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+    def _word(self, word: str) -> list[int]:
+        if self.plain.fullmatch(word):
+            return [t.id for t in self.model.tokenize(word.translate(self.written))]
+        if self.odd.search(word):
+            return self._ids(word)
+        if tailed := self.tailed.fullmatch(word):
+            tail = self.tails.get(tailed[2])
+            if tail is None:
+                if len(self.tails) > 10_000:
+                    self.tails.clear()
+                tail = self.tails[tailed[2]] = [t.id for part in self.parts(self.normal(tailed[2])) for t in self.model.tokenize(part)]
+            return self._word(tailed[1]) + tail
+        return [t.id for part in self.parts(self.normal(word)) for t in self.model.tokenize(part)]
 
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        text = [w.decode() for w in words]
-        odd = np.array([self.odd.search(w) is not None for w in text], bool)
-        for which, plain in ((np.flatnonzero(~odd), True), (np.flatnonzero(odd), False)):
-            for k in range(0, len(which), 4096):
-                some = which[k : k + 4096]
-                ids, counts = self._encode([text[i] for i in some], plain)
-                at = self.index.count
-                ends = self.ends[at] + np.cumsum(counts)
-                while at + len(some) >= len(self.ends):
-                    self.ends, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ends, self.lengths))
-                while ends[-1] > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                self.flat[self.ends[at] : ends[-1]] = ids
-                self.ends[at + 1 : at + 1 + len(some)] = ends
-                self.lengths[at : at + len(some)] = [len(words[i]) for i in some]
-                self.index.add(hashes[some], np.arange(at, at + len(some)))
-
-    def _places(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        hashes = word_hashes(text, starts, ends, self.lowers)
+        found = [self._word(w.decode()) for w in words]
+        at, new = self.index.count, len(words)
+        ends = self.ends[at] + np.cumsum([len(x) for x in found])
+        word_ends = self.word_ends[at] + np.cumsum([len(w) for w in words])
+        while at + new >= len(self.ends):
+            self.ends, self.word_ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ends, self.word_ends))
+        while ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while word_ends[-1] + 8 > len(self.words):
+            self.words = np.concatenate([self.words, np.zeros_like(self.words)])
+        self.flat[self.ends[at] : ends[-1]] = [i for x in found for i in x]
+        self.words[self.word_ends[at] : word_ends[-1]] = np.frombuffer(b"".join(words), np.uint8)
+        self.ends[at + 1 : at + 1 + new] = ends
+        self.word_ends[at + 1 : at + 1 + new] = word_ends
+        self.index.add(hashes, np.arange(at, at + new))
+
+    def _folded(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The bytes by which words are kept."""
+        if not self.lowers:
+            return text
+        out, marked = lowered(text), np.flatnonzero(self.marks[text])
+        for k in np.unique(np.searchsorted(starts, marked, "right") - 1).tolist():
+            out[starts[k] : ends[k]] = text[starts[k] : ends[k]]
+        return out
+
+    def _places(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """The place of every word; none where two words share a hash."""
+        folded, sizes = self._folded(text, starts, ends), ends - starts
+        view = eights(folded)
+        hashes = hash_eights(view, starts, sizes)
         places = self.index.find(hashes)
         new = np.flatnonzero(places < 0)
         if len(new):
             _, first = np.unique(hashes[new], return_index=True)
             first = new[first]
-            self._learn(hashes[first], [text[starts[k] : ends[k]].tobytes() for k in first])
+            self._learn(hashes[first], [folded[starts[k] : ends[k]].tobytes() for k in first])
             places[new] = self.index.find(hashes[new])
-        if (self.lengths[places] != ends - starts).any():
-            raise ValueError("two words share a hash")
+        low = self.word_ends[places]
+        if (self.word_ends[places + 1] - low != sizes).any() or not same_bytes(view, starts, np.ndarray((len(self.words) - 7,), "<u8", self.words, strides=(1,)), low, sizes).all():
+            return None
         return places
 
     def encode_column(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text of a column; null counts as empty."""
         for _, text, offsets in text_runs(column):
-            if self.index.count > WORDS_KEPT:
+            if self.index.count > WORDS_KEPT or self.word_ends[self.index.count] > BYTES_KEPT:
                 self._clear()
             starts, ends, _ = word_spans(text, offsets)
             if self.parts_points and len(starts):
                 point = (ends - starts > 1) & _POINT[text[ends - 1]] & _LETTER[text[ends - 2]]
-                tails = np.flatnonzero(np.repeat(point, 1 + point) & np.concatenate([[False], np.repeat(np.arange(len(starts)), 1 + point)[1:] == np.repeat(np.arange(len(starts)), 1 + point)[:-1]]))
                 split_starts, split_ends = np.repeat(starts, 1 + point), np.repeat(ends, 1 + point)
+                # where the second part of each parted word stands
+                tails = np.flatnonzero(point) + np.arange(1, int(point.sum()) + 1)
                 split_starts[tails] = split_ends[tails] - 1
                 split_ends[tails - 1] -= 1
                 starts, ends = split_starts, split_ends
             places = self._places(text, starts, ends)
+            if places is None:
+                for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                    yield np.array(self._ids(text[a:b].tobytes().decode()), np.uint32)
+                continue
             low = self.ends[places]
             counts = self.ends[places + 1] - low
             total = np.concatenate([[0], np.cumsum(counts)])

@@ -19,9 +19,10 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C55
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+#: Words of more bytes are hashed one by one, shorter ones all at once.
+LONG_WORD = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,17 +35,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers, modulo 2**64, of the hash base and of its inverse."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
-
-
 def text_runs(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) for runs of rows with about ``limit`` bytes; null counts as empty."""
     if not len(column):
@@ -74,12 +64,60 @@ def word_spans(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of every word."""
-    up, down = powers(len(text) + 1)
-    total = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum(((_LOWER[text] if lower else text).astype(np.uint64) + np.uint64(1)) * up[: len(text)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+def eights(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from every byte on as one number (with zeros beyond the end), as a view of a padded copy."""
+    padded = np.zeros(len(text) + 8, np.uint8)
+    padded[: len(text)] = text
+    return np.ndarray((len(text) + 1,), "<u8", padded, strides=(1,))
+
+
+def lowered(text: np.ndarray) -> np.ndarray:
+    return _LOWER[text]
+
+
+def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of every word: the sum of its scrambled pieces of eight bytes, each with its place, scrambled with its length.
+
+    Scrambling is not linear, so words that repeat a pattern are told apart like any others.
+    """
+    return hash_eights(eights(lowered(text) if lower else text), starts, ends - starts, seed)
+
+
+def hash_eights(view: np.ndarray, starts: np.ndarray, sizes: np.ndarray, seed: int = 0) -> np.ndarray:
+    """``word_hashes`` on what ``eights`` returns."""
+    salts = mix(np.arange(1, -(-LONG_WORD // 8) + 1, dtype=np.uint64) * _ODD + np.uint64(seed))
+    total = mix((view[starts] & _KEEP[np.minimum(sizes, 8)]) ^ salts[0])
+    live = np.flatnonzero(sizes > 8)
+    for k in live[sizes[live] > LONG_WORD].tolist():
+        n = -(-int(sizes[k]) // 8)
+        value = view[int(starts[k]) : int(starts[k]) + 8 * n - 7 : 8] & np.uint64(0xFFFFFFFFFFFFFFFF)
+        value[-1] &= _KEEP[int(sizes[k]) - 8 * (n - 1)]
+        total[k] = mix(value ^ mix(np.arange(1, n + 1, dtype=np.uint64) * _ODD + np.uint64(seed))).sum(dtype=np.uint64)
+    live = live[sizes[live] <= LONG_WORD]
+    at = 8
+    while len(live):
+        left = sizes[live] - at
+        total[live] += mix((view[starts[live] + at] & _KEEP[np.minimum(left, 8)]) ^ salts[at // 8])
+        live = live[left > 8]
+        at += 8
+    return mix(total + sizes.astype(np.uint64) * _ODD)
+
+
+def same_bytes(view: np.ndarray, starts: np.ndarray, other: np.ndarray, other_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether each word has the same bytes as its counterpart of the same size; both sides as ``eights`` returns them."""
+    same = (view[starts] ^ other[other_starts]) & _KEEP[np.minimum(sizes, 8)] == 0
+    live = np.flatnonzero(sizes > 8)
+    for k in live[sizes[live] > LONG_WORD].tolist():
+        a, b, n = int(starts[k]), int(other_starts[k]), int(sizes[k])
+        same[k] = (view[a : a + n - 7 : 8] == other[b : b + n - 7 : 8]).all() and view[a + n - 8] == other[b + n - 8]
+    live = live[sizes[live] <= LONG_WORD]
+    at = 8
+    while len(live):
+        left = sizes[live] - at
+        same[live] &= (view[starts[live] + at] ^ other[other_starts[live] + at]) & _KEEP[np.minimum(left, 8)] == 0
+        live = live[left > 8]
+        at += 8
+    return same
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -101,11 +139,11 @@ def sequence_hash(words: np.ndarray) -> int:
     return int(value[0])
 
 
-def shingle_sets(column: pa.Array, n: int, whole_if_short: bool) -> Iterator[tuple[int, np.ndarray]]:
+def shingle_sets(column: pa.Array, n: int, whole_if_short: bool, seed: int = 0) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of every text of an Arrow column."""
     for first, text, offsets in text_runs(column):
         starts, ends, heads = word_spans(text, offsets)
-        words = word_hashes(text, starts, ends)
+        words = word_hashes(text, starts, ends, seed=seed)
         grams = shingle_hashes(words, n)
         for k in range(len(offsets) - 1):
             a, b = int(heads[k]), int(heads[k + 1])
