@@ -87,9 +87,10 @@ def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their exact shingle sets.
+    """The pairs (a, b) that link, by their whole shingle sets.
 
-    Texts travel, not sets: they compress, hashes do not.
+    Texts travel, not sets: they compress, hashes do not. Shingles go by 64-bit hashes of another seed than those of
+    the index, so two shingles pass for one only if both hashes agree.
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +98,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataF
 
         for batch in batches:
             keep = []
-            for (_, x), (_, y) in zip(shingle_sets(batch.column("ta"), n, True), shingle_sets(batch.column("tb"), n, True), strict=True):
+            for (_, x), (_, y) in zip(shingle_sets(batch.column("ta"), n, True, 1), shingle_sets(batch.column("tb"), n, True, 1), strict=True):
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
@@ -170,9 +171,11 @@ def _near_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, keys = None, ["token", "other", "left", "right"]
         best: dict[int, tuple[int, int]] = {}
-        found: dict[tuple[int, int], int] = {}
+        found: list[np.ndarray] = []
+        rows_held = 0
 
-        def look(table: pa.Table) -> None:
+        def look(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            nonlocal rows_held
             bucket = _Bucket(table, percent)
             cid = bucket.cid
             least, partner = np.full(len(cid), np.iinfo(np.int64).max), np.full(len(cid), -1)
@@ -181,8 +184,10 @@ def _near_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 if not len(others):
                     continue
                 if not nearest:
-                    for k, d in zip(others, differ, strict=True):
-                        found[int(min(cid[i], cid[k])), int(max(cid[i], cid[k]))] = int(d)
+                    found.append(np.stack([np.minimum(cid[i], cid[others]), np.maximum(cid[i], cid[others]), differ]))
+                    rows_held += len(others)
+                    if rows_held > 200_000:
+                        yield out()
                     continue
                 k = differ.argmin()
                 if differ[k] < least[i]:
@@ -193,13 +198,19 @@ def _near_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 x, new = int(cid[i]), (int(least[i]), int(cid[partner[i]]))
                 if x not in best or new < best[x]:
                     best[x] = new
+            if len(best) > 200_000:
+                yield out()
 
         def out() -> pa.RecordBatch:
-            rows = [(x, y, d) for x, (d, y) in best.items()] if nearest else [(*p, d) for p, d in found.items()]
+            nonlocal rows_held
+            if nearest:
+                columns = np.array([(x, y, d) for x, (d, y) in best.items()], np.int64).reshape(-1, 3).T
+            else:
+                columns = np.unique(np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1), axis=1)
             best.clear()
             found.clear()
-            columns = list(zip(*rows, strict=True)) or [[]] * 3
-            return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in columns], names=["a", "b", "differ"])
+            rows_held = 0
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["a", "b", "differ"])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -212,12 +223,10 @@ def _near_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
             edges = np.flatnonzero(change)
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if b - a > 1:
-                    look(table.slice(a, b - a))
+                    yield from look(table.slice(a, b - a))
             held = table.slice(edges[-1])
-            if len(found) + len(best) > 200_000:
-                yield out()
         if held is not None and held.num_rows > 1:
-            look(held)
+            yield from look(held)
         yield out()
 
     keys = ["token", "other", "left", "right"]
