@@ -30,14 +30,14 @@ class Dictionaries:
     contents: tuple[bytes, ...]
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: str = "doc_id", sample_docs: int = SAMPLE_DOCS, size: int = DICTIONARY_BYTES) -> Dictionaries:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, size: int = DICTIONARY_BYTES) -> Dictionaries:
     """Build a dictionary a language from a bounded sample of the rows with text and language.
 
-    The sample is the first ``sample_docs`` rows of each language by a hash of ``order`` and text; each gives an equal
-    share of the dictionary, and what shorter ones leave is filled from the next. Rows without a letter
-    or with blank language take no part.
+    The sample is the first ``sample_docs`` rows of each language by a hash of the text, and nothing but text and language
+    steers it; copies among them count once. Each gives ``size / 64`` characters at most, in that order, until the dictionary is full, so
+    that of long texts 64 are used and of short ones up to ``sample_docs``. Rows without a letter or with blank language take no part.
     """
-    labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(order, text).alias("h"))
+    labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     piece = max(256, size // 64)
     # the share of a text is cut before rows are ranked; ranks are limited before they are shuffled
     rows = labelled.select("lang", "h", F.lower(F.substring("text", 1, piece)).alias("part"))
@@ -46,7 +46,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: str = "d
     for r in best.select("lang", "rank", "part").collect():
         found.setdefault(r["lang"], []).append((r["rank"], r["part"]))
     names = tuple(sorted(found))
-    return Dictionaries(names, tuple(" ".join(p for _, p in sorted(found[n])).encode()[:size] for n in names))
+    return Dictionaries(names, tuple(" ".join(dict.fromkeys(p for _, p in sorted(found[n]))).encode()[:size] for n in names))
 
 
 def _settings() -> zstandard.ZstdCompressionParameters:
