@@ -27,15 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortry.llm.words import HashIndex, eights, hash_eights, lowered, same_bytes, text_runs, word_spans
+from cohortry.llm.tables import small_batches
+from cohortry.llm.words import WordTable, eights, lowered, text_runs, word_spans
 
 BLOCK_IDS = 16_384
 SEGMENT_IDS = 1 << 20
 END_ID = 2
 #: Kinds of planes.
 BIT, BYTE = 0, 1
-WORDS_KEPT = 1_200_000
-BYTES_KEPT = 64 << 20
+WORDS_KEPT = 500_000
+BYTES_KEPT = 32 << 20
 
 _POINT = np.zeros(256, bool)
 _POINT[[44, 46]] = True
@@ -137,11 +138,9 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _clear(self) -> None:
-        self.index = HashIndex()
-        self.words = np.zeros(1 << 18, np.uint8)
-        self.word_ends = np.zeros(1 << 14, np.int64)
+        self.words = WordTable()
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)
+        self.ends = np.zeros(1 << 14, np.int32)
 
     def _word(self, word: str) -> list[int]:
         if self.plain.fullmatch(word):
@@ -157,22 +156,16 @@ class Encoder:
             return self._word(tailed[1]) + tail
         return [t.id for part in self.parts(self.normal(word)) for t in self.model.tokenize(part)]
 
-    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         found = [self._word(w.decode()) for w in words]
-        at, new = self.index.count, len(words)
+        at, new = len(self.words), len(words)
         ends = self.ends[at] + np.cumsum([len(x) for x in found])
-        word_ends = self.word_ends[at] + np.cumsum([len(w) for w in words])
         while at + new >= len(self.ends):
-            self.ends, self.word_ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ends, self.word_ends))
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         while ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while word_ends[-1] + 8 > len(self.words):
-            self.words = np.concatenate([self.words, np.zeros_like(self.words)])
         self.flat[self.ends[at] : ends[-1]] = [i for x in found for i in x]
-        self.words[self.word_ends[at] : word_ends[-1]] = np.frombuffer(b"".join(words), np.uint8)
         self.ends[at + 1 : at + 1 + new] = ends
-        self.word_ends[at + 1 : at + 1 + new] = word_ends
-        self.index.add(hashes, np.arange(at, at + new))
 
     def _folded(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The bytes by which words are kept."""
@@ -183,27 +176,10 @@ class Encoder:
             out[starts[k] : ends[k]] = text[starts[k] : ends[k]]
         return out
 
-    def _places(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
-        """The place of every word; none where two words share a hash."""
-        folded, sizes = self._folded(text, starts, ends), ends - starts
-        view = eights(folded)
-        hashes = hash_eights(view, starts, sizes)
-        places = self.index.find(hashes)
-        new = np.flatnonzero(places < 0)
-        if len(new):
-            _, first = np.unique(hashes[new], return_index=True)
-            first = new[first]
-            self._learn(hashes[first], [folded[starts[k] : ends[k]].tobytes() for k in first])
-            places[new] = self.index.find(hashes[new])
-        low = self.word_ends[places]
-        if (self.word_ends[places + 1] - low != sizes).any() or not same_bytes(view, starts, np.ndarray((len(self.words) - 7,), "<u8", self.words, strides=(1,)), low, sizes).all():
-            return None
-        return places
-
     def encode_column(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text of a column; null counts as empty."""
         for _, text, offsets in text_runs(column):
-            if self.index.count > WORDS_KEPT or self.word_ends[self.index.count] > BYTES_KEPT:
+            if len(self.words) > WORDS_KEPT or self.words.size > BYTES_KEPT:
                 self._clear()
             starts, ends, _ = word_spans(text, offsets)
             if self.parts_points and len(starts):
@@ -214,7 +190,7 @@ class Encoder:
                 split_starts[tails] = split_ends[tails] - 1
                 split_ends[tails - 1] -= 1
                 starts, ends = split_starts, split_ends
-            places = self._places(text, starts, ends)
+            places = self.words.places(eights(self._folded(text, starts, ends)), starts, ends - starts, self._learn)
             if places is None:
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                     yield np.array(self._ids(text[a:b].tobytes().decode()), np.uint32)
@@ -272,7 +248,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, kind: int = BYTE, b
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     schema = "part int, seq int, n_ids long, doc_ids array<long>, counts array<long>, image binary"
-    ordered.mapInArrow(encode, schema).write.option("compression", "uncompressed").parquet(path)
+    small_batches(ordered).mapInArrow(encode, schema).write.option("compression", "uncompressed").parquet(path)
 
 
 def read_tokens(files: DataFrame, ids: bool = False) -> DataFrame:
@@ -301,5 +277,5 @@ def read_tokens(files: DataFrame, ids: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     more = ", ids array<long>" if ids else ""
-    docs = files.select("part", "seq", "doc_ids", "counts", "image").mapInArrow(decode, "doc_id long, part int, seq int, own long, n_tokens long, ids_crc32 long" + more)
+    docs = small_batches(files.select("part", "seq", "doc_ids", "counts", "image")).mapInArrow(decode, "doc_id long, part int, seq int, own long, n_tokens long, ids_crc32 long" + more)
     return docs.join(bases, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("own")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if ids else []))

@@ -7,7 +7,7 @@ depend on the size of an Arrow batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -198,3 +198,52 @@ class HashIndex:
             won = self.keys[at] == hashes
             self.values[at[won]] = places[won]
             hashes, places, at = hashes[~won], places[~won], (at[~won] + np.uint64(1)) & mask
+
+
+class WordTable:
+    """Words that were met before, with their bytes. A word is found by its hash, and its bytes are then compared."""
+
+    def __init__(self):
+        self.index = HashIndex()
+        self.bytes = np.zeros(1 << 18, np.uint8)
+        self.ends = np.zeros(1 << 14, np.int32)
+
+    def __len__(self) -> int:
+        return self.index.count
+
+    @property
+    def size(self) -> int:
+        return int(self.ends[len(self)])
+
+    def places(self, view: np.ndarray, starts: np.ndarray, sizes: np.ndarray, learn: Callable[[list[bytes]], None]) -> np.ndarray | None:
+        """The number of every word, in the order in which words were first met; none where two words share a hash.
+
+        ``view`` is what ``eights`` returns. ``learn`` gets the bytes of the new words, before they are numbered.
+        """
+        hashes = hash_eights(view, starts, sizes)
+        found = self.index.find(hashes)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            _, first = np.unique(hashes[new], return_index=True)
+            first = new[first]
+            text = view.base
+            words = [text[a : a + n].tobytes() for a, n in zip(starts[first].tolist(), sizes[first].tolist(), strict=True)]
+            learn(words)
+            self._add(hashes[first], words)
+            found[new] = self.index.find(hashes[new])
+        low = self.ends[found]
+        own = np.ndarray((len(self.bytes) - 7,), "<u8", self.bytes, strides=(1,))
+        if (self.ends[found + 1] - low != sizes).any() or not same_bytes(view, starts, own, low, sizes).all():
+            return None
+        return found
+
+    def _add(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        at, new = len(self), len(words)
+        ends = self.ends[at] + np.cumsum([len(w) for w in words])
+        while at + new >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while ends[-1] + 8 > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)])
+        self.bytes[self.ends[at] : ends[-1]] = np.frombuffer(b"".join(words), np.uint8)
+        self.ends[at + 1 : at + 1 + new] = ends
+        self.index.add(hashes, np.arange(at, at + new))
