@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.tables import WORD, running_total, word_count
+from cohortry.storage import materialize
 
 BLOCK_WORDS = 1024
 
@@ -116,7 +117,8 @@ class Mixture:
     def __init__(self, docs: DataFrame, weights: Sequence[float] | None = None, block: int = BLOCK_WORDS, shards: int = 16, seed: int = 1729, key: str = "doc_id", source: str = "source", text: str = "text"):
         self.docs, self.block, self.names = docs, block, (key, source, text)
         spark = docs.sparkSession
-        sized = _sized(docs, [], key, source, text)
+        # texts are counted once; their sizes are written as a narrow table
+        self.sized = sized = materialize(_sized(docs, [], key, source, text), "sizes")
         found = sorted((r["_none"], r["_source"], r["n"]) for r in sized.groupBy("_none", "_source").agg(F.sum("_size").alias("n")).collect())
         sizes = [n for *_, n in found]
         weights = list(weights) if weights is not None else [1 + k % 3 for k in range(len(found))]
@@ -162,7 +164,7 @@ class Mixture:
 
     def placed(self, keep: Sequence[str] = ()) -> DataFrame:
         """Every document with its source's figures and ``_at``, its first word in the source's stream."""
-        sized = _sized(self.docs, keep, *self.names).join(F.broadcast(self.sources), ["_none", "_source"])
+        sized = (_sized(self.docs, keep, *self.names) if keep else self.sized).join(F.broadcast(self.sources), ["_none", "_source"])
         return running_total(sized, ["_no"], "_size", ["_id", "_text_hash"], "_at")
 
     def stretches(self, placed: DataFrame) -> DataFrame:
