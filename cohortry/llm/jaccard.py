@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortry.llm.tables import small_batches
 from cohortry.llm.words import mix, sequence_hash, shingle_hashes, text_runs, word_hashes, word_spans
 from cohortry.operators.components import components
 from cohortry.storage import materialize
@@ -83,7 +84,7 @@ def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 names=["doc_id", "text_hash", "n", "set_id", "check", "prefix", "bitmap"],
             )
 
-    return docs.select("doc_id", "text_hash", "text").mapInArrow(scan, "doc_id long, text_hash long, n long, set_id long, check long, prefix array<long>, bitmap binary")
+    return small_batches(docs.select("doc_id", "text_hash", "text")).mapInArrow(scan, "doc_id long, text_hash long, n long, set_id long, check long, prefix array<long>, bitmap binary")
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -109,7 +110,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataF
     texts = texts.join(wanted, "cid", "left_semi")
     with_a = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
     with_b = with_a.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
-    return with_b.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").distinct()
+    return small_batches(with_b.select("a", "b", "ta", "tb")).mapInArrow(check, "a long, b long").distinct()
 
 
 def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -230,7 +231,7 @@ def _near_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
         yield out()
 
     keys = ["token", "other", "left", "right"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(scan, "a long, b long, differ long")
+    return small_batches(rows.repartition(*keys).sortWithinPartitions(*keys)).mapInArrow(scan, "a long, b long, differ long")
 
 
 def _pieces(rows: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from cohortry.llm.tables import small_batches
+
 #: Bounds of the training sample: documents a language, and bytes of its dictionary.
 SAMPLE_DOCS = 200
 DICTIONARY_BYTES = 64 << 10
@@ -102,4 +104,4 @@ def predict(docs: DataFrame, model: Dictionaries, margin: float = MARGIN) -> Dat
             columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.bool_()), batch.columns[-1]]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score", "accepted", "_letter"])
 
-    return ready.mapInArrow(judge, schema).drop("_letter")
+    return small_batches(ready).mapInArrow(judge, schema).drop("_letter")

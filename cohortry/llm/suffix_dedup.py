@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+from cohortry.llm.tables import small_batches
 from cohortry.llm.words import mix, text_runs
 from cohortry.storage import materialize
 
@@ -199,7 +200,7 @@ def _stretch_rows(docs: DataFrame, length: int) -> DataFrame:
                 kinds = {"lo": pa.int32(), "n": pa.int32(), "off": pa.int32(), "anchor": pa.int64(), "content": pa.int64()}
                 yield pa.RecordBatch.from_arrays(arrays + [pa.array(found[k]).cast(t) for k, t in kinds.items()], names=["doc_id", "text_hash", *kinds])
 
-    return docs.mapInArrow(scan, "doc_id long, text_hash long, lo int, n int, off int, anchor long, content long")
+    return small_batches(docs).mapInArrow(scan, "doc_id long, text_hash long, lo int, n int, off int, anchor long, content long")
 
 
 def _matched(rows: DataFrame, length: int, batch: int, parts: int) -> DataFrame:
@@ -230,7 +231,7 @@ def _matched(rows: DataFrame, length: int, batch: int, parts: int) -> DataFrame:
                 spans = [[{"b": int(a + shift[i]), "e": int(e + shift[i])} for a, e in _spans(family.marks[i], length)] for i in part]
                 yield pa.RecordBatch.from_arrays([pa.array(content[part]), pa.array(spans, pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())])))], names=["content", "spans"])
 
-    return rows.repartition(parts, "anchor", "slice").select("content", "shift", "copies", "off", "bytes").mapInArrow(scan, "content long, spans array<struct<b:int,e:int>>")
+    return small_batches(rows.repartition(parts, "anchor", "slice").select("content", "shift", "copies", "off", "bytes")).mapInArrow(scan, "content long, spans array<struct<b:int,e:int>>")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, batch: int = BATCH) -> DataFrame:
@@ -300,4 +301,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batch: int = BATCH, ke
                 digests.append(hashlib.sha256(left).hexdigest())
             yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(kept, pa.binary()), pa.array(digests)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return small_batches(joined).mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
