@@ -157,11 +157,14 @@ def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
 
     Vectors are dealt to shards of about ``shard_rows`` by a hash of their id. A shard is a graph for each level of
     lengths, and equal vectors of a shard are one node, with one place and the same links. Vectors
-    that are null, zero, or hold null or non-finite components take no part, nor do null ids. All vectors
-    must have one length. Rows of equal id stand as candidates each. The table is written to the shared folder.
+    that are null, zero, or hold null or non-finite components take no part, nor do null ids. Vectors of different
+    dimensions have no inner product: each dimension has graphs of its own, and a query finds vectors of its dimension only.
+    Rows of equal id stand as candidates each. The table is written to the shared folder.
     """
     usable = _usable(vectors, key, vector)
     shards = max(1, -(-usable.count() // shard_rows))
+    # more tasks than shards, so that few share one; the number stands, adaptive execution merges none of them
+    tasks = max(4 * shards, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def graph(table: pa.Table) -> pa.Table:
         table = table.sort_by("vec_id")
@@ -180,10 +183,10 @@ def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
             links[here] = Graph(x[here[first[order]]]).out[place[here]]
         for name, column in (("level", pa.array(level, pa.int32())), ("place", pa.array(place, pa.int32())), ("links", pa.array(list(links), pa.list_(pa.int32())))):
             table = table.append_column(name, column)
-        return table.select(["shard", "level", "place", "vec_id", "v", "links"])
+        return table.select(["shard", "dim", "level", "place", "vec_id", "v", "links"])
 
-    dealt = usable.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    return materialize(dealt.groupBy("shard").applyInArrow(graph, "shard int, level int, place int, vec_id long, v array<double>, links array<int>"), "graph")
+    dealt = usable.withColumns({"shard": F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"), "dim": F.size("v")}).repartition(tasks, "shard", "dim")
+    return materialize(dealt.groupBy("shard", "dim").applyInArrow(graph, "shard int, dim int, level int, place int, vec_id long, v array<double>, links array<int>"), "graph")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding", beam: int = SEARCH_BEAM) -> DataFrame:
@@ -198,6 +201,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id
     shards = index.select("shard").distinct()
     nodes = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     spread = _spread(asked, shards, blocks)
+    tasks = max(4 * blocks * shards.count(), int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    nodes, spread = (x.repartition(tasks, "shard", "dim", "block") for x in (nodes, spread))
 
     def beam_search(graph: pa.Table, query: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -245,7 +250,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id
                 out.append((np.full(len(first), own[a + row]), ids[rows[first]], of[first]))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
 
-    found = nodes.groupBy("shard", "block").cogroup(spread.groupBy("shard", "block")).applyInArrow(beam_search, "query_id long, vec_id long, score double")
+    found = nodes.groupBy("shard", "dim", "block").cogroup(spread.groupBy("shard", "dim", "block")).applyInArrow(beam_search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -253,4 +258,4 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id
 def _spread(asked: DataFrame, shards: DataFrame, blocks: int) -> DataFrame:
     """A row per query and shard; the shard numbers are a range, so a count of them is enough."""
     top = shards.agg(F.max("shard")).first()[0]
-    return asked.select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(top if top is not None else 0))).alias("shard"))
+    return asked.select("vec_id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(top if top is not None else 0))).alias("shard"))
