@@ -2,48 +2,87 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.operators.statistics import benjamini_hochberg, fisher_exact, wilson
 from cohortry.storage import materialize
 
 FDR = 0.05
+MINIMUM_BLOCKS = 3
+MINIMUM_FEATURE_PROTEINS = 2
+#: Feature types that describe the data rather than the entities.
+TECHNICAL_TYPES = ("EVIDENCE_AVAILABILITY", "STRUCTURE_AVAILABLE")
+BLOCK = ["comparison_id", "partition", "unit"]
+PART = ["comparison_id", "partition"]
+FEATURE = ["feature_type", "feature_id"]
+SIDES = (("target", True), ("background", False))
+PARTITIONS = ("DISCOVERY", "VALIDATION")
+#: A comparison without discoveries is named by the first of these that any of its discovery rows has.
+UNTESTED = ("INSUFFICIENT_SAMPLE_SIZE", "NO_ELIGIBLE_FEATURES", "INPUT_UNAVAILABLE", "FAILED", "EXCLUDED", "AMBIGUOUS_CLASS", "MAPPING_FAILED", "NOT_SELECTED")
 
 
 def block_classes(members: DataFrame) -> DataFrame:
-    """(comparison_id, partition, unit, is_target, mixed, assessed) of every block.
+    """(comparison_id, partition, unit, is_target, mixed, n) of every block.
 
-    ``members``: comparison_id, partition, unit, protein_id, is_target, assessed. A block with members of both classes is
-    mixed; a block is assessed when all its members are.
+    ``members``: comparison_id, partition, unit, protein_id, is_target. A block with members of both classes is mixed.
     """
-    flags = members.groupBy("comparison_id", "partition", "unit").agg(F.max("is_target").alias("t"), F.min("is_target").alias("b"), F.min("assessed").alias("assessed"))
-    return flags.select("comparison_id", "partition", "unit", F.col("t").alias("is_target"), (F.col("t") != F.col("b")).alias("mixed"), "assessed")
+    flags = members.groupBy(*BLOCK).agg(F.max("is_target").alias("t"), F.min("is_target").alias("b"), F.count("*").alias("n"))
+    return flags.select(*BLOCK, F.col("t").alias("is_target"), (F.col("t") != F.col("b")).alias("mixed"), "n")
+
+
+def assessed_blocks(members: DataFrame, blocks: DataFrame, assessed: DataFrame) -> DataFrame:
+    """(comparison_id, partition, unit, universe): pure blocks all of whose members are in a universe."""
+    inside = members.join(assessed, "protein_id").groupBy(*BLOCK, "universe").agg(F.count("*").alias("k"))
+    return inside.join(blocks.filter(~F.col("mixed")), BLOCK).filter("k = n").select(*BLOCK, "universe", "is_target")
+
+
+def _sides(condition: Column, suffix: str) -> list[Column]:
+    return [F.count_if((F.col("is_target") == t) & condition).alias(f"{n}_{suffix}") for n, t in SIDES]
+
 
+def sample_counts(members: DataFrame) -> DataFrame:
+    """Per comparison and partition: proteins of both classes, pure blocks of both, and mixed blocks."""
+    proteins = members.groupBy(*PART).agg(*_sides(F.lit(True), "proteins"))
+    blocks = block_classes(members).groupBy(*PART).agg(*_sides(~F.col("mixed"), "blocks"), F.count_if("mixed").alias("mixed_blocks"))
+    return proteins.join(blocks, PART)
 
-def feature_block_counts(members: DataFrame, positives: DataFrame) -> DataFrame:
-    """Per comparison, partition and feature: present, absent and unknown blocks of both classes.
 
-    ``positives``: protein_id, feature_type, feature_id. A block is present if any member is positive, absent if
-    all members are assessed and none is positive, else unknown. Absent blocks are never listed: they are the
-    assessed blocks of a class less those of them that are present. Mixed blocks leave both sides.
+def feature_block_counts(members: DataFrame, positives: DataFrame, universes: DataFrame, assessed: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Per comparison, partition and feature: proteins with it, and present, absent and unknown blocks of both classes.
+
+    ``positives``: protein_id, feature_type, feature_id. ``universes``: feature_type, feature_id, universe; null means that every
+    protein was assessed. ``assessed``: universe, protein_id. A block is present if any member is positive, absent if all members are
+    in the feature's universe and none is positive, else unknown. Absent blocks are never listed: they are the assessed blocks of a
+    class less those of them that are present. Mixed blocks leave both sides. ``wanted`` (comparison_id, feature_type, feature_id)
+    limits the rows to its features and adds those that no protein of a partition has.
     """
-    blocks = block_classes(members).filter(~F.col("mixed")).drop("mixed")
-    totals = blocks.groupBy("comparison_id", "partition").agg(
-        *[F.count_if(F.col("is_target") == t).alias(f"{n}_blocks") for n, t in (("target", True), ("background", False))],
-        *[F.count_if((F.col("is_target") == t) & F.col("assessed")).alias(f"{n}_assessed") for n, t in (("target", True), ("background", False))],
-    )
-    present = members.join(positives, "protein_id").select("comparison_id", "partition", "unit", "feature_type", "feature_id").distinct().join(blocks, ["comparison_id", "partition", "unit"])
-    counted = present.groupBy("comparison_id", "partition", "feature_type", "feature_id").agg(
-        *[F.count_if(F.col("is_target") == t).alias(f"{n}_present") for n, t in (("target", True), ("background", False))],
-        *[F.count_if((F.col("is_target") == t) & F.col("assessed")).alias(f"{n}_both") for n, t in (("target", True), ("background", False))],
+    blocks = materialize(block_classes(members), "blocks")
+    pure = blocks.filter(~F.col("mixed"))
+    totals = pure.groupBy(*PART).agg(*_sides(F.lit(True), "blocks"))
+    full = materialize(assessed_blocks(members, blocks, assessed), "assessed")
+    in_universe = full.groupBy(*PART, "universe").agg(*_sides(F.lit(True), "assessed"))
+    keyed = members.join(positives, "protein_id").join(universes, FEATURE)
+    if wanted is not None:
+        keyed = keyed.join(wanted, ["comparison_id", *FEATURE], "left_semi")
+    present = keyed.groupBy(*BLOCK, *FEATURE, "universe").agg(F.count_if("is_target").alias("t"), F.count_if(~F.col("is_target")).alias("b"))
+    present = present.join(pure.select(*BLOCK, "is_target"), BLOCK, "left").join(full.select(*BLOCK, "universe", F.lit(True).alias("whole")), [*BLOCK, "universe"], "left")
+    inside = F.col("universe").isNull() | F.coalesce("whole", F.lit(False))
+    counted = present.groupBy(*PART, *FEATURE, "universe").agg(
+        F.sum("t").alias("target_with"), F.sum("b").alias("background_with"), *_sides(F.lit(True), "present"), *_sides(inside, "both")
     )
-    joined = counted.join(F.broadcast(totals), ["comparison_id", "partition"])
+    if wanted is not None:
+        every = wanted.join(universes, FEATURE).withColumn("partition", F.explode(F.array(*map(F.lit, PARTITIONS))))
+        counted = every.join(counted.drop("universe"), [*PART, *FEATURE], "left").fillna(0, ["target_with", "background_with", *(f"{n}_{k}" for n, _ in SIDES for k in ("present", "both"))])
+    joined = counted.join(totals, PART).join(in_universe, [*PART, "universe"], "left")
+    whole = lambda n: F.when(F.col("universe").isNull(), F.col(f"{n}_blocks")).otherwise(F.coalesce(f"{n}_assessed", F.lit(0)))
     out = joined.select(
-        "comparison_id", "partition", "feature_type", "feature_id", "target_blocks", "background_blocks", "target_present", "background_present",
-        *[(F.col(f"{n}_assessed") - F.col(f"{n}_both")).alias(f"{n}_absent") for n in ("target", "background")],
-    )
-    return out.withColumns({f"{n}_unknown": F.col(f"{n}_blocks") - F.col(f"{n}_present") - F.col(f"{n}_absent") for n in ("target", "background")})
+        *PART, *FEATURE, "target_with", "background_with", *[f"{n}_{k}" for n, _ in SIDES for k in ("blocks", "present")],
+        *[(whole(n) - F.col(f"{n}_both")).alias(f"{n}_absent") for n, _ in SIDES],
+    )
+    return out.withColumns({f"{n}_unknown": F.col(f"{n}_blocks") - F.col(f"{n}_present") - F.col(f"{n}_absent") for n, _ in SIDES})
 
 
 def prevalence(counts: DataFrame) -> DataFrame:
@@ -55,48 +94,111 @@ def prevalence(counts: DataFrame) -> DataFrame:
     return out.withColumn("direction", F.when(d > 0, "TARGET_ENRICHED").when(d < 0, "BACKGROUND_ENRICHED").when(d == 0, "NO_DIFFERENCE"))
 
 
-def associate(members: DataFrame, positives: DataFrame, minimum_blocks: int = 3, fdr: float = FDR) -> DataFrame:
-    """Association rows of all comparisons: counts, tests, intervals and two false-discovery scopes.
+def _status_rows(parts: DataFrame, status: str) -> DataFrame:
+    return parts.select(*PART, F.lit("ANALYSIS").alias("feature_type"), F.lit(status).alias("feature_id"), *[f"{n}_blocks" for n, _ in SIDES], F.lit("NOT_TESTED").alias("direction"), F.lit(status).alias("status"))
+
+
+def associate(
+    members: DataFrame, positives: DataFrame, universes: DataFrame, assessed: DataFrame, comparisons: DataFrame, exploratory: DataFrame | None = None,
+    minimum_target: int = MINIMUM_BLOCKS, minimum_background: int = MINIMUM_BLOCKS, minimum_proteins: int = MINIMUM_FEATURE_PROTEINS, fdr: float = FDR,
+) -> DataFrame:
+    """Association rows of all comparisons and both partitions: counts, tests, intervals and two false-discovery scopes.
 
-    Partitions with fewer than ``minimum_blocks`` pure blocks in a class are INSUFFICIENT_SAMPLE_SIZE and not tested.
-    Held-out features are those that passed in discovery with a difference: the family is frozen.
+    Where a partition has too few pure blocks of a class there is one row INSUFFICIENT_SAMPLE_SIZE. Discovery tests the features that
+    ``minimum_proteins`` of its proteins have (else NO_ELIGIBLE_FEATURES); the held-out partition tests those that passed in discovery
+    with a difference, whether or not it has them (else NOT_SELECTED): the family is frozen. A feature with too few assessed blocks of a
+    class is INSUFFICIENT_SAMPLE_SIZE, a held-out one of ``exploratory`` (feature_type, feature_id) is EXCLUDED; neither is tested.
     """
-    counts = prevalence(feature_block_counts(members, positives))
-    enough = (F.col("target_blocks") >= minimum_blocks) & (F.col("background_blocks") >= minimum_blocks)
-    counts = materialize(counts.withColumn("status", F.when(enough, "COMPLETE").otherwise("INSUFFICIENT_SAMPLE_SIZE")), "counts")
+    parts = comparisons.select("comparison_id").distinct().withColumn("partition", F.explode(F.array(*map(F.lit, PARTITIONS))))
+    parts = parts.join(sample_counts(members), PART, "left").fillna(0)
+    enough = (F.col("target_blocks") >= minimum_target) & (F.col("background_blocks") >= minimum_background)
+    parts = materialize(parts.withColumn("enough", enough), "parts")
+    able = parts.filter("enough")
+    short = _status_rows(parts.filter(~F.col("enough")), "INSUFFICIENT_SAMPLE_SIZE")
+    none = positives.sparkSession.createDataFrame([], "feature_type string, feature_id string")
+    exploratory = none if exploratory is None else exploratory.select(*FEATURE).distinct()
+
+    def judged(counts: DataFrame) -> DataFrame:
+        counts = prevalence(counts).join(exploratory.withColumn("_exploratory", F.lit(True)), FEATURE, "left")
+        denominator = lambda n: F.col(f"{n}_present") + F.col(f"{n}_absent")
+        few = (denominator("target") < minimum_target) | (denominator("background") < minimum_background)
+        excluded = F.coalesce("_exploratory", F.lit(False)) & (F.col("partition") == "VALIDATION")
+        counts = counts.withColumn("status", F.when(excluded, "EXCLUDED").when(few, "INSUFFICIENT_SAMPLE_SIZE").otherwise("COMPLETE"))
+        untested = F.col("status") != "COMPLETE"
+        blank = {c: F.when(~untested, F.col(c)) for c in ("target_prevalence", "background_prevalence", "prevalence_difference")}
+        return counts.withColumns({**blank, "direction": F.when(untested, "NOT_TESTED").otherwise(F.col("direction"))}).drop("_exploratory")
 
     def tested(rows: DataFrame) -> DataFrame:
         done = fisher_exact(rows.filter("status = 'COMPLETE'"), "target_present", "target_absent", "background_present", "background_absent")
         done = benjamini_hochberg(done, ["comparison_id", "partition", "feature_type"])
         done = benjamini_hochberg(done, ["partition", "feature_type"], out="study_q_value")
-        low, high = wilson(F.col("target_present"), F.col("target_present") + F.col("target_absent"))
-        done = done.withColumns({"target_low": low, "target_high": high})
+        for n, _ in SIDES:
+            low, high = wilson(F.col(f"{n}_present"), F.col(f"{n}_present") + F.col(f"{n}_absent"))
+            done = done.withColumns({f"{n}_low": low, f"{n}_high": high})
         return done.unionByName(rows.filter("status <> 'COMPLETE'"), allowMissingColumns=True)
 
-    discovery = materialize(tested(counts.filter("partition = 'DISCOVERY'")), "discovery")
-    frozen = discovery.filter((F.col("q_value") <= fdr) & (F.col("prevalence_difference") != 0)).select("comparison_id", "feature_type", "feature_id")
-    held_out = counts.filter("partition = 'VALIDATION'").join(frozen, ["comparison_id", "feature_type", "feature_id"], "left_semi")
-    return discovery.unionByName(tested(held_out))
-
-
-def synthesize(associations: DataFrame, comparisons: DataFrame, fdr: float = FDR) -> DataFrame:
-    """Pair every discovery with its held-out row and name the evidence; comparisons without one get a row saying so."""
-    keys = ["comparison_id", "feature_type", "feature_id"]
-    pick = lambda part, name: associations.filter(F.col("partition") == part).select(*keys, "status", *[F.col(c).alias(f"{name}_{c}") for c in ("q_value", "study_q_value", "prevalence_difference")])
-    found = pick("DISCOVERY", "discovery").filter((F.col("status") == "COMPLETE") & (F.col("discovery_q_value") <= fdr) & (F.col("discovery_prevalence_difference") != 0))
-    paired = found.join(pick("VALIDATION", "validation").withColumnRenamed("status", "held_status"), keys, "left")
-    d, v = F.col("discovery_prevalence_difference"), F.col("validation_prevalence_difference")
+    own = members.filter("partition = 'DISCOVERY'")
+    counts = feature_block_counts(own, positives, universes, assessed).join(able.select(*PART), PART, "left_semi")
+    counts = materialize(judged(counts.filter(F.col("target_with") + F.col("background_with") >= minimum_proteins)), "counts")
+    discovery = materialize(tested(counts), "discovery")
+    ineligible = able.filter("partition = 'DISCOVERY'").join(counts.select("comparison_id").distinct(), "comparison_id", "left_anti")
+    frozen = materialize(discovery.filter((F.col("q_value") <= fdr) & (F.col("prevalence_difference") != 0)).select("comparison_id", *FEATURE), "frozen")
+    held = able.filter("partition = 'VALIDATION'")
+    wanted = frozen.join(held.select("comparison_id"), "comparison_id", "left_semi")
+    kept = feature_block_counts(members.filter("partition = 'VALIDATION'"), positives, universes, assessed, wanted)
+    validation = tested(materialize(judged(kept.filter("partition = 'VALIDATION'")), "held"))
+    unselected = held.join(frozen.select("comparison_id").distinct(), "comparison_id", "left_anti")
+    out = discovery.unionByName(validation)
+    for rows in (short, _status_rows(ineligible, "NO_ELIGIBLE_FEATURES"), _status_rows(unselected, "NOT_SELECTED")):
+        out = out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def evidence_class(fdr: float, technical: Sequence[str] = TECHNICAL_TYPES) -> Column:
+    """The class of a discovery row paired with its held-out row (columns prefixed discovery_, validation_ and held_status)."""
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    within = F.coalesce(F.col("validation_q_value") <= fdr, F.lit(False))
     held = (
         F.when(F.col("held_status").isNull() | (F.col("held_status") != "COMPLETE"), "NO_VALIDATION_DATA")
-        .when(d * v <= 0, "DIRECTION_DISCORDANT")
-        .when(F.col("validation_study_q_value") <= fdr, "VALIDATED_STUDY_WIDE")
-        .when(F.col("validation_q_value") <= fdr, "VALIDATED_WITHIN_COMPARISON")
+        .when(zero("discovery_prevalence_difference") * zero("validation_prevalence_difference") < 0, "DIRECTION_DISCORDANT")
+        .when(within & F.coalesce(F.col("validation_study_q_value") <= fdr, F.lit(False)), "VALIDATED_STUDY_WIDE")
+        .when(within, "VALIDATED_WITHIN_COMPARISON")
         .otherwise("DISCOVERY_ONLY")
     )
-    scope = F.when(F.col("discovery_study_q_value") <= fdr, "DECISION_CANDIDATE__").otherwise("EXPLORATORY_LOCAL_ONLY__")
-    named = paired.withColumn("evidence_class", F.concat(scope, held)).drop("held_status")
-    state = associations.filter("partition = 'DISCOVERY'").groupBy("comparison_id").agg(F.bool_or(F.col("status") == "COMPLETE").alias("done"))
-    none = comparisons.select("comparison_id").join(found, "comparison_id", "left_anti").join(state, "comparison_id", "left")
-    status = F.when(F.col("done"), "NO_SIGNIFICANT_SIGNATURE").when(F.col("done").isNotNull(), "INSUFFICIENT_SAMPLE_SIZE").otherwise("NO_ELIGIBLE_FEATURES")
-    none = none.select("comparison_id", F.lit("ANALYSIS").alias("feature_type"), status.alias("feature_id"), status.alias("status"), F.when(F.col("done"), "NO_DISCOVERY_SIGNATURE").otherwise(F.concat(F.lit("DISCOVERY_NOT_TESTED__"), status)).alias("evidence_class"))
+    scope = (
+        F.when(F.col("feature_type").isin(*technical), "QC_TECHNICAL_NON_BIOLOGICAL__")
+        .when(F.coalesce("exploratory", F.lit(False)), "EXPLORATORY_ALL_DATA_DERIVATION__")
+        .when(F.col("discovery_study_q_value") <= fdr, "DECISION_CANDIDATE__")
+        .otherwise("EXPLORATORY_LOCAL_ONLY__")
+    )
+    return F.concat(scope, held)
+
+
+def validation_pairs(associations: DataFrame, fdr: float = FDR) -> DataFrame:
+    """Every discovery that passes with a difference, beside its held-out row where there is one."""
+    keys = ["comparison_id", *FEATURE]
+    values = ("q_value", "study_q_value", "prevalence_difference")
+    pick = lambda part, name: associations.filter(F.col("partition") == part).select(*keys, "status", *[F.col(c).alias(f"{name}_{c}") for c in values])
+    found = pick("DISCOVERY", "discovery").filter((F.col("status") == "COMPLETE") & (F.col("discovery_q_value") <= fdr) & (F.col("discovery_prevalence_difference") != 0))
+    return found.join(pick("VALIDATION", "validation").withColumnRenamed("status", "held_status"), keys, "left")
+
+
+def synthesize(associations: DataFrame, fdr: float = FDR, exploratory: DataFrame | None = None) -> DataFrame:
+    """Pair every discovery with its held-out row and name the evidence; a comparison without one gets a row saying why.
+
+    ``exploratory`` (feature_type, feature_id): features defined on all data, which no held-out row can confirm.
+    """
+    paired = validation_pairs(associations, fdr)
+    if exploratory is None:
+        paired = paired.withColumn("exploratory", F.lit(False))
+    else:
+        paired = paired.join(exploratory.select(*FEATURE).distinct().withColumn("exploratory", F.lit(True)), FEATURE, "left")
+    named = paired.withColumn("evidence_class", evidence_class(fdr)).drop("held_status", "exploratory")
+    seen = associations.filter("partition = 'DISCOVERY'").groupBy("comparison_id").agg(F.collect_set("status").alias("seen"))
+    comparisons = associations.select("comparison_id").distinct()
+    none = comparisons.join(named.select("comparison_id").distinct(), "comparison_id", "left_anti").join(seen, "comparison_id", "left")
+    done = F.coalesce(F.arrays_overlap("seen", F.array(F.lit("COMPLETE"), F.lit("NO_SIGNIFICANT_SIGNATURE"))), F.lit(False))
+    first = F.coalesce(*[F.when(F.array_contains("seen", s), s) for s in UNTESTED], F.lit("NO_ELIGIBLE_FEATURES"))
+    status = F.when(done, "NO_SIGNIFICANT_SIGNATURE").otherwise(first)
+    none = none.select("comparison_id", F.lit("ANALYSIS").alias("feature_type"), status.alias("feature_id"), status.alias("status"), F.when(done, "NO_DISCOVERY_SIGNATURE").otherwise(F.concat(F.lit("DISCOVERY_NOT_TESTED__"), status)).alias("evidence_class"))
     return named.unionByName(none, allowMissingColumns=True)

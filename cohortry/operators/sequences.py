@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from cohortry.storage import materialize
@@ -16,45 +20,137 @@ from cohortry.storage import materialize
 CHUNK_LINES = 1000
 
 
-def _windows(sequence: Column, k: int) -> Column:
-    """All substrings of length k in order, read in one pass over the sequence."""
-    return F.regexp_extract_all(sequence, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
+#: Residues of a k-mer code, five bits each; anything else ends a window.
+_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ*-?"
+_CODES = np.zeros(256, np.uint64)
+_CODES[[ord(c) for c in _SYMBOLS]] = np.arange(1, len(_SYMBOLS) + 1)
+MAX_K = 12
+#: K-mers of a vocabulary that is sent to the executors (8 bytes each).
+VOCABULARY_LIMIT = 1_000_000
+
+
+def kmer_codes(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, code) of the distinct k-mers of every sequence of a column, from vectorised windows; null gives none."""
+    if not 1 <= k <= MAX_K:
+        raise ValueError(f"k-mers of 1 to {MAX_K} residues have codes")
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if not len(column):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    text = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    if len(text) < k:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    codes = _CODES[text]
+    count = len(text) - k + 1
+    value, whole = np.zeros(count, np.uint64), np.ones(count, bool)
+    for j in range(k):
+        value = (value << np.uint64(5)) | codes[j : j + count]
+        whole &= codes[j : j + count] > 0
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    whole &= row[:count] == row[k - 1 :]
+    row, value = row[:count][whole], value[whole]
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+    return row[first], value[first]
+
+
+def kmer_texts(codes: np.ndarray, k: int) -> pa.Array:
+    """The k-mers of codes as text."""
+    symbols = np.frombuffer(b"." + _SYMBOLS.encode() + b"..", np.uint8)
+    letters = np.stack([symbols[((codes >> np.uint64(5 * (k - 1 - j))) & np.uint64(31)).astype(np.int64)] for j in range(k)], axis=1)
+    offsets = pa.py_buffer(np.arange(0, k * len(codes) + 1, k, dtype=np.int32).tobytes())
+    return pa.StringArray.from_buffers(len(codes), offsets, pa.py_buffer(letters.tobytes()))
+
+
+def kmer_prevalence(proteins: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """(length, kmer, proteins): how many of the proteins have each k-mer. Counts are added up within a batch before they are shuffled."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in lengths:
+                _, codes = kmer_codes(batch.column("sequence"), k)
+                found, n = np.unique(codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k, np.int32)), kmer_texts(found, k), pa.array(n.astype(np.int64))], names=["length", "kmer", "n"])
 
+    counted = proteins.select("sequence").mapInArrow(scan, "length int, kmer string, n long")
+    return counted.groupBy("length", "kmer").agg(F.sum("n").alias("proteins"))
 
-def kmers(sequence: Column, k: int) -> Column:
-    """The distinct overlapping k-mers of a sequence; none when it is shorter than k."""
-    return F.array_distinct(_windows(sequence, k))
 
+def kmer_rows(proteins: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(protein_id, length, kmer): which k-mers of a vocabulary (length, kmer) every protein has.
 
-def kmer_rows(proteins: DataFrame, lengths: Sequence[int]) -> DataFrame:
-    """(protein_id, length, kmer), one row for each distinct k-mer of a protein."""
-    every = F.array_distinct(F.flatten(F.array(*[kmers(F.col("sequence"), k) for k in lengths])))
-    return proteins.select("protein_id", F.explode(every).alias("kmer")).select("protein_id", F.length("kmer").alias("length"), "kmer")
+    A vocabulary of up to ``VOCABULARY_LIMIT`` k-mers is sent to the executors, so that no other k-mer leaves a task; a larger one is joined.
+    """
+    sizes = {r["length"]: r["n"] for r in vocabulary.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    small = sum(sizes.values()) <= VOCABULARY_LIMIT
+    kept: dict[int, np.ndarray] = {}
+    if small:
+        for k in sizes:
+            texts = pa.array(sorted(r["kmer"] for r in vocabulary.filter(F.col("length") == k).select("kmer").distinct().collect()))
+            kept[k] = np.unique(kmer_codes(texts, k)[1])
+    schema = T.StructType([proteins.schema["protein_id"], T.StructField("length", T.IntegerType()), T.StructField("kmer", T.StringType())])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in sizes:
+                row, codes = kmer_codes(batch.column("sequence"), k)
+                if small:
+                    at = np.minimum(np.searchsorted(kept[k], codes), len(kept[k]) - 1)
+                    hit = kept[k][at] == codes
+                    row, codes = row[hit], codes[hit]
+                yield pa.RecordBatch.from_arrays([batch.column("protein_id").take(pa.array(row)), pa.array(np.full(len(row), k, np.int32)), kmer_texts(codes, k)], names=["protein_id", "length", "kmer"])
 
+    rows = proteins.select("protein_id", "sequence").mapInArrow(scan, schema)
+    return rows if small else rows.join(vocabulary.select("length", "kmer"), ["length", "kmer"], "left_semi")
 
-def ranked_vocabulary(rows: DataFrame, budget: int, lengths: Sequence[int]) -> DataFrame:
-    """(length, kmer, proteins): the most frequent k-mers, the budget shared evenly by length, longer lengths first.
 
-    What one length leaves unused is filled from all the others by the same order: falling count, then k-mer.
+def ranked_vocabulary(counts: DataFrame, budget: int, lengths: Sequence[int], minimum: int = 1, strict: bool = False) -> DataFrame:
+    """(length, kmer, proteins) of the k-mers to keep, from ``kmer_prevalence`` of the discovery proteins.
+
+    Only k-mers of ``minimum`` proteins are kept. With ``strict`` all of these are, and more than ``budget`` are an error. Else the budget is
+    shared evenly by length, longer lengths first, by falling count, then k-mer; what one length leaves unused is filled from all the
+    others by falling count, then the id ``k<length>:<kmer>``.
     """
-    counts = rows.groupBy("length", "kmer").agg(F.count_distinct("protein_id").alias("proteins"))
+    counts = counts.filter(F.col("proteins") >= minimum).select("length", "kmer", "proteins")
+    if strict:
+        if counts.count() > budget:
+            raise ValueError(f"more than {budget} k-mers; take shorter ones or a larger budget")
+        return counts
     share, extra = divmod(budget, len(lengths))
     own = F.lit(0)
     for place, k in enumerate(sorted(lengths, reverse=True)):
         own = F.when(F.col("length") == k, share + (place < extra)).otherwise(own)
-    by_count = [F.desc("proteins"), F.col("kmer")]
-    ranked = counts.withColumns({"_rank": F.row_number().over(Window.partitionBy("length").orderBy(*by_count)), "_own": own})
-    first = ranked.filter("_rank <= _own")
-    rest = ranked.filter("_rank > _own").orderBy(*by_count, "length").limit(budget)
-    left = first.agg((F.lit(budget) - F.count("*")).alias("_left"))
-    filled = rest.withColumn("_place", F.row_number().over(Window.orderBy(*by_count, "length"))).crossJoin(F.broadcast(left)).filter("_place <= _left")
-    return first.select("length", "kmer", "proteins").unionByName(filled.select("length", "kmer", "proteins"))
+    # no length gives more than the budget, so ranks beyond it are cut before anything is sorted as a whole
+    ranked = counts.withColumn("_rank", F.row_number().over(Window.partitionBy("length").orderBy(F.desc("proteins"), "kmer"))).filter(F.col("_rank") <= budget)
+    ranked = materialize(ranked.withColumn("_own", own), "ranked")
+    first, rest = ranked.filter("_rank <= _own"), ranked.filter("_rank > _own")
+    left = budget - first.count()
+    by_id = [F.desc("proteins"), F.concat(F.lit("k"), "length", F.lit(":"), "kmer")]
+    return first.select("length", "kmer", "proteins").unionByName(rest.orderBy(*by_id).limit(left).select("length", "kmer", "proteins"))
+
+
+def kmer_features(proteins: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(protein_id, feature_type, feature_id, feature_name, derivation_scope, feature_definition_sha256) of the k-mers of a vocabulary.
+
+    The definition digest is that of the text that names type, id and algorithm, a line each.
+    """
+    rows = kmer_rows(proteins, vocabulary)
+    key = F.concat(F.lit("k"), "length", F.lit(":"), "kmer")
+    text = F.concat(F.lit("feature definition v1\nfeature_type=AMINO_ACID_KMER\nfeature_id="), key, F.lit("\nalgorithm=exact_protein_level_presence\n"))
+    defined = vocabulary.select("length", "kmer", key.alias("feature_id"), F.sha2(text, 256).alias("feature_definition_sha256"))
+    joined = rows.join(defined, ["length", "kmer"])
+    return joined.select("protein_id", F.lit("AMINO_ACID_KMER").alias("feature_type"), "feature_id", F.concat(F.lit("k"), "length", F.lit(" "), "kmer").alias("feature_name"), F.lit("DISCOVERY_DERIVED").alias("derivation_scope"), "feature_definition_sha256")
 
 
 def occurrences(sequence: Column, motif: str) -> Column:
-    """1-based starts of all overlapping occurrences."""
-    starts = F.transform(_windows(sequence, len(motif)), lambda x, i: F.when(x == motif, i + 1))
-    return F.filter(starts, lambda i: i.isNotNull())
+    """1-based starts of all overlapping occurrences, found by looking ahead for the motif alone."""
+    before = F.transform(F.split(sequence, f"(?={re.escape(motif)})"), F.length)
+    starts = F.transform(F.sequence(F.lit(1), F.size(before)), lambda i: F.aggregate(F.slice(before, 1, i - 1), F.lit(1), lambda s, n: s + n))
+    return F.filter(starts, lambda i: F.substring(sequence, i, F.lit(len(motif))) == motif)
 
 
 def residues(aligned: DataFrame, within: Sequence[str] = ()) -> DataFrame:
@@ -62,41 +158,88 @@ def residues(aligned: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     return aligned.select("sequence_id", *within, F.posexplode(F.split("sequence", ""))).select("sequence_id", *within, (F.col("pos") + 1).alias("column"), F.col("col").alias("residue"))
 
 
-def column_summary(aligned: DataFrame) -> DataFrame:
-    """Per column: gap fraction, consensus residue (most frequent, then first), its share, and entropy in bits."""
+#: The twenty residues that count as known.
+CANONICAL = "ACDEFGHIKLMNPQRSTVWY"
+
+
+def column_summary(aligned: DataFrame, known: str = CANONICAL, reference: object = None) -> DataFrame:
+    """Per column: gap fraction, fraction of known residues, the most frequent known residue (then the first), its share of the known, entropy in bits.
+
+    With the id of a ``reference`` row also ``reference_position``, null at its gaps.
+    """
     counts = residues(aligned).groupBy("column", "residue").agg(F.count("*").alias("n"))
     whole = Window.partitionBy("column")
-    real = F.col("residue") != "-"
+    real = F.col("residue").isin(*known)
     some = counts.withColumns({"rows": F.sum("n").over(whole), "filled": F.sum(F.when(real, F.col("n")).otherwise(0)).over(whole)})
     p = F.col("n") / F.col("filled")
-    return some.groupBy("column").agg(
-        (1 - F.max("filled") / F.max("rows")).alias("gap_fraction"),
+    out = some.groupBy("column").agg(
+        (F.sum(F.when(F.col("residue") == "-", F.col("n")).otherwise(0)) / F.max("rows")).alias("gap_fraction"),
+        (F.max("filled") / F.max("rows")).alias("canonical_fraction"),
         F.min(F.when(real, F.struct((-F.col("n")).alias("n"), F.col("residue").alias("r")))).alias("best"),
         F.sum(F.when(real, -p * F.log2(p))).alias("entropy"),
         F.max("filled").alias("filled"),
-    ).select("column", "gap_fraction", F.col("best.r").alias("consensus"), (-F.col("best.n") / F.col("filled")).alias("consensus_share"), "entropy")
+    ).select("column", "gap_fraction", "canonical_fraction", F.col("best.r").alias("consensus"), (-F.col("best.n") / F.col("filled")).alias("consensus_share"), "entropy")
+    if reference is None:
+        return out
+    own = residues(aligned.filter(F.col("sequence_id") == reference)).filter("residue <> '-'").select("column")
+    return out.join(reference_positions(aligned, reference).join(own, "column", "left_semi").withColumnRenamed("position", "reference_position"), "column", "left")
+
 
+def read_substitutions(spark: SparkSession, path: str) -> DataFrame:
+    """(first, second, score) of a residue substitution matrix in its usual text form: ``#`` remarks, a heading of residues, a line each."""
+    lines = spark.read.text(path).filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    cells = lines.select(F.split(F.trim("value"), r"\s+").alias("cells"), F.col("value").rlike(r"^\s").alias("heading"))
+    heading = cells.filter("heading").select(F.col("cells").alias("names"))
+    rows = cells.filter("not heading").crossJoin(F.broadcast(heading))
+    return rows.select(F.col("cells")[0].alias("first"), F.explode(F.arrays_zip("names", F.slice("cells", 2, 100).alias("scores"))).alias("z")).select("first", F.col("z.names").alias("second"), F.col("z.scores").cast("double").alias("score"))
 
-def pairwise_identity(aligned: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """(a, b, comparable, identical, identity) of pairs of rows with a <= b, over columns where both have residues.
+
+def alignment_members(aligned: DataFrame, reference: object, scores: DataFrame, known: str = CANONICAL) -> DataFrame:
+    """Every row against a reference row: own length, comparable and identical known residues, overlaps of both, and the sum of substitution scores.
+
+    ``scores``: first, second, score. Shares are null where they have no denominator.
+    """
+    long = residues(aligned)
+    own = residues(aligned.filter(F.col("sequence_id") == reference)).select("column", F.col("residue").alias("_of"))
+    width = F.length(F.regexp_replace("sequence", "-", ""))
+    sizes = aligned.select("sequence_id", width.cast("long").alias("sequence_length"))
+    joined = long.join(F.broadcast(own), "column")
+    table = scores.select(F.col("first").alias("_of"), F.col("second").alias("residue"), "score")
+    both = F.col("_of").isin(*known) & F.col("residue").isin(*known)
+    sums = joined.join(F.broadcast(table), ["_of", "residue"], "left").groupBy("sequence_id").agg(
+        F.count_if((F.col("_of") != "-") & (F.col("residue") != "-")).alias("_overlap"), F.count_if(both).alias("comparable"),
+        F.count_if(both & (F.col("_of") == F.col("residue"))).alias("_identical"), F.coalesce(F.sum(F.when(both, F.col("score"))), F.lit(0.0)).alias("substitution_score"),
+        F.count_if(F.col("_of") != "-").alias("_reference"),
+    )
+    share = lambda a, b: F.col(a) / F.when(F.col(b) > 0, F.col(b))
+    return sums.join(sizes, "sequence_id").select(
+        "sequence_id", "sequence_length", "comparable", share("_identical", "comparable").alias("identity_to_reference"),
+        share("_overlap", "_reference").alias("reference_overlap"), share("_overlap", "sequence_length").alias("member_overlap"), "substitution_score",
+    )
+
+
+def pairwise_identity(aligned: DataFrame, within: Sequence[str] = (), known: str | None = None) -> DataFrame:
+    """(a, b, comparable, identical, identity) of pairs of rows with a <= b, over columns where both have residues (of ``known``, if given).
 
     ``within``: columns that name an alignment, where a table holds many small ones; only rows of one are paired.
     """
-    long = residues(aligned, within).filter("residue <> '-'")
+    long = residues(aligned, within).filter(F.col("residue").isin(*known) if known else F.col("residue") != "-")
     x, y = long.select(*within, F.col("sequence_id").alias("a"), "column", F.col("residue").alias("ra")), long.select(*within, F.col("sequence_id").alias("b"), "column", F.col("residue").alias("rb"))
     pairs = x.join(y, [*within, "column"]).filter("a <= b").groupBy("a", "b").agg(F.count("*").alias("comparable"), F.count_if(F.col("ra") == F.col("rb")).alias("identical"))
     return pairs.withColumn("identity", F.col("identical") / F.col("comparable"))
 
 
-def reference_positions(aligned: DataFrame, reference: int) -> DataFrame:
+def reference_positions(aligned: DataFrame, reference: object) -> DataFrame:
     """(column, position): the running number of residues along the reference row."""
     own = residues(aligned.filter(F.col("sequence_id") == reference))
     return own.select("column", F.sum(F.when(F.col("residue") != "-", 1).otherwise(0)).over(Window.orderBy("column").rowsBetween(Window.unboundedPreceding, 0)).alias("position"))
 
 
-def ordered_digests(rows: DataFrame, group: str, key: str, text: str) -> DataFrame:
+def ordered_digests(rows: DataFrame, group: str, key: str | None, text: str) -> DataFrame:
     """(group, digest): SHA-256 over the lines ``key, tab, text, newline`` of a group in order of key; null where it has none.
 
+    Without a key the lines are ``text, newline`` in order of the text.
+
     Lines are sorted in ranges and joined into chunks in parallel. A digest is one chain, so a group's chunks pass through
     one task; it sorts on disk and holds a batch of them at a time.
     """
@@ -132,8 +275,10 @@ def ordered_digests(rows: DataFrame, group: str, key: str, text: str) -> DataFra
     s = pa.string()
     packed = pa.schema([("g", s), ("first", s), ("k", pa.int64()), ("last_k", pa.int64()), ("last", s), ("lines", s)])
     digested = pa.schema([("g", s), ("digest", s)])
-    line = F.concat(F.col(key).cast("string"), F.lit("\t"), F.col(text), F.lit("\n"))
-    lines = materialize(rows.select(F.col(group).cast("string").alias("g"), F.col(key).cast("long").alias("k"), line.alias("line")), "lines")
+    head = [F.col(key).cast("string"), F.lit("\t")] if key else []
+    line = F.concat(*head, F.col(text), F.lit("\n"))
+    place = F.col(key).cast("long") if key else F.lit(0).cast("long")
+    lines = materialize(rows.select(F.col(group).cast("string").alias("g"), place.alias("k"), line.alias("line")), "lines")
     ranged = lines.filter("line is not null").repartitionByRange("g", "k", "line").sortWithinPartitions("g", "k", "line")
     chunks = ranged.mapInArrow(pack, "g string, first string, k long, last_k long, last string, lines string")
     # equal lines may fill a chunk whole, so the last line takes part in the order

@@ -5,30 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.operators import association, blocks, sequences, statistics
+from cohortry.operators import association, blocks, reports, sequences, statistics, universes
 from cohortry.plans import bindings as B
 from cohortry.plans.registry import query
 from cohortry.storage import materialize, table
 
-_COUNTS = f"""{B.MEMBERS}, {B.POSITIVES},
-    blocks AS (SELECT comparison_id, partition, unit, bool_or(is_target) AS is_target, bool_and(assessed) AS assessed, bool_or(is_target) <> bool_and(is_target) AS mixed FROM members GROUP BY ALL),
-    pure AS (SELECT * FROM blocks WHERE NOT mixed),
-    totals AS (SELECT comparison_id, partition, count_if(is_target) AS target_blocks, count_if(NOT is_target) AS background_blocks,
-        count_if(is_target AND assessed) AS ta, count_if(NOT is_target AND assessed) AS ba FROM pure GROUP BY ALL),
-    present AS (SELECT DISTINCT m.comparison_id, m.partition, m.unit, f.feature_type, f.feature_id, b.is_target, b.assessed
-        FROM members m JOIN positives f USING (protein_id) JOIN pure b ON b.comparison_id = m.comparison_id AND b.partition = m.partition AND b.unit = m.unit),
-    counted AS (SELECT comparison_id, partition, feature_type, feature_id, count_if(is_target) AS target_present, count_if(NOT is_target) AS background_present,
-        count_if(is_target AND assessed) AS tb, count_if(NOT is_target AND assessed) AS bb FROM present GROUP BY ALL),
-    counts AS (SELECT comparison_id, partition, feature_type, feature_id, target_blocks, background_blocks, target_present, background_present,
-        ta - tb AS target_absent, ba - bb AS background_absent, target_blocks - target_present - (ta - tb) AS target_unknown, background_blocks - background_present - (ba - bb) AS background_unknown
-        FROM counted JOIN totals USING (comparison_id, partition))"""
-
-_PREVALENCE = """prevalent AS (SELECT *, target_present / nullif(target_present + target_absent, 0) AS target_prevalence, background_present / nullif(background_present + background_absent, 0) AS background_prevalence FROM counts),
+_UNIVERSES = """
+    univ AS (SELECT DISTINCT feature_type, feature_id, CASE WHEN feature_type = 'AMINO_ACID_KMER' THEN NULL WHEN feature_type = 'STRUCTURE_AVAILABLE' THEN 'FEATURE:' || feature_type || ':' || feature_id
+        WHEN feature_type = 'DOMAIN' THEN 'AUTHORITY:' || lower(split_part(feature_id, ':', 1)) ELSE 'POSITIVES' END AS universe FROM positives),
+    assessed AS (SELECT DISTINCT 'AUTHORITY:' || lower(domain_authority) AS universe, protein_id FROM domain_assessments WHERE assessment_status IN ('ASSESSED_WITH_HIT', 'ASSESSED_NO_HIT')
+        UNION SELECT 'FEATURE:' || feature_type || ':' || feature_id, protein_id FROM explicit_universes)"""
+_BASE = f"""{B.MEMBERS}, {B.cte("positives", "domain_assessments", "explicit_universes", "exploratory")}, {_UNIVERSES},
+    blocks AS (SELECT comparison_id, partition, unit, bool_or(is_target) AS is_target, bool_or(is_target) <> bool_and(is_target) AS mixed, count(*) AS n FROM members GROUP BY ALL),
+    pure AS (SELECT comparison_id, partition, unit, is_target, n FROM blocks WHERE NOT mixed)"""
+_COUNTS = f"""{_BASE},
+    totals AS (SELECT comparison_id, partition, count_if(is_target) AS target_blocks, count_if(NOT is_target) AS background_blocks FROM pure GROUP BY ALL),
+    whole AS (SELECT p.comparison_id, p.partition, p.unit, a.universe, p.is_target FROM members m JOIN pure p ON m.comparison_id = p.comparison_id AND m.partition = p.partition AND m.unit = p.unit JOIN assessed a ON a.protein_id = m.protein_id
+        GROUP BY p.comparison_id, p.partition, p.unit, a.universe, p.is_target, p.n HAVING count(*) = p.n),
+    utotals AS (SELECT comparison_id, partition, universe, count_if(is_target) AS ta, count_if(NOT is_target) AS ba FROM whole GROUP BY ALL),
+    raw AS (SELECT comparison_id, partition, feature_type, feature_id, count_if(is_target) AS target_with, count_if(NOT is_target) AS background_with FROM members JOIN positives USING (protein_id) GROUP BY ALL),
+    present AS (SELECT DISTINCT m.comparison_id, m.partition, m.unit, f.feature_type, f.feature_id, p.is_target FROM members m JOIN positives f USING (protein_id) JOIN pure p ON p.comparison_id = m.comparison_id AND p.partition = m.partition AND p.unit = m.unit),
+    seen AS (SELECT p.*, u.universe, u.universe IS NULL OR w.unit IS NOT NULL AS inside FROM present p JOIN univ u USING (feature_type, feature_id) LEFT JOIN whole w ON w.comparison_id = p.comparison_id AND w.partition = p.partition AND w.unit = p.unit AND w.universe = u.universe),
+    counted AS (SELECT comparison_id, partition, feature_type, feature_id, count_if(is_target) AS tp, count_if(NOT is_target) AS bp, count_if(is_target AND inside) AS tb, count_if(NOT is_target AND inside) AS bb FROM seen GROUP BY ALL),
+    grid AS (SELECT c.comparison_id, p.partition, u.feature_type, u.feature_id, u.universe FROM (SELECT DISTINCT comparison_id FROM comparisons) c, (SELECT unnest(['DISCOVERY', 'VALIDATION']) AS partition) p, univ u),
+    allcounts AS (SELECT g.comparison_id, g.partition, g.feature_type, g.feature_id, coalesce(r.target_with, 0) AS target_with, coalesce(r.background_with, 0) AS background_with, t.target_blocks, t.background_blocks,
+        coalesce(c.tp, 0) AS target_present, coalesce(c.bp, 0) AS background_present, CASE WHEN g.universe IS NULL THEN t.target_blocks ELSE coalesce(ta, 0) END - coalesce(tb, 0) AS target_absent, CASE WHEN g.universe IS NULL THEN t.background_blocks ELSE coalesce(ba, 0) END - coalesce(bb, 0) AS background_absent
+        FROM grid g JOIN totals t USING (comparison_id, partition) LEFT JOIN raw r USING (comparison_id, partition, feature_type, feature_id) LEFT JOIN counted c USING (comparison_id, partition, feature_type, feature_id)
+        LEFT JOIN utotals u ON u.comparison_id = g.comparison_id AND u.partition = g.partition AND u.universe = g.universe),
+    fullcounts AS (SELECT *, target_blocks - target_present - target_absent AS target_unknown, background_blocks - background_present - background_absent AS background_unknown FROM allcounts),
+    counts AS (SELECT * FROM fullcounts WHERE target_with + background_with > 0)"""
+
+_PREVALENCE = """prevalent AS (SELECT *, target_present / nullif(target_present + target_absent, 0) AS target_prevalence, background_present / nullif(background_present + background_absent, 0) AS background_prevalence FROM fullcounts),
     shown AS (SELECT *, target_prevalence - background_prevalence AS prevalence_difference,
-        CASE WHEN target_prevalence > background_prevalence THEN 'TARGET_ENRICHED' WHEN target_prevalence < background_prevalence THEN 'BACKGROUND_ENRICHED' WHEN target_prevalence = background_prevalence THEN 'NO_DIFFERENCE' END AS direction,
-        CASE WHEN target_blocks >= 3 AND background_blocks >= 3 THEN 'COMPLETE' ELSE 'INSUFFICIENT_SAMPLE_SIZE' END AS status FROM prevalent)"""
+        CASE WHEN target_prevalence > background_prevalence THEN 'TARGET_ENRICHED' WHEN target_prevalence < background_prevalence THEN 'BACKGROUND_ENRICHED' WHEN target_prevalence = background_prevalence THEN 'NO_DIFFERENCE' END AS direction FROM prevalent)"""
 
-_LOGS = """tables AS (SELECT DISTINCT target_present::BIGINT AS a, target_absent::BIGINT AS b, background_present::BIGINT AS c, background_absent::BIGINT AS d FROM shown),
+_LOGS = """tables AS (SELECT DISTINCT target_present::BIGINT AS a, target_absent::BIGINT AS b, background_present::BIGINT AS c, background_absent::BIGINT AS d FROM {tables}),
     spread AS (SELECT *, unnest(range(greatest(0, a - d), least(a + b, a + c) + 1)) AS x FROM tables),
     logs AS (SELECT *, -lgamma(x + 1) - lgamma(a + b - x + 1) - lgamma(a + c - x + 1) - lgamma(d - a + x + 1) AS lp, -lgamma(a + 1) - lgamma(b + 1) - lgamma(c + 1) - lgamma(d + 1) AS own FROM spread),
     tops AS (SELECT *, max(lp) OVER (PARTITION BY a, b, c, d) AS top FROM logs),
@@ -43,31 +54,45 @@ def rounded(df: DataFrame, *columns: str, digits: int = 7) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-@query("agg01_feature_block_counts", f"WITH {_COUNTS} SELECT {_KEYS}, target_present, target_absent, target_unknown, background_present, background_absent, background_unknown FROM counts")
+def cohort(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(members, positives, universes, assessed)."""
+    positives = materialize(B.frame(spark, d, "positives"), "positives")
+    composed = universes.compose_universes(positives, B.frame(spark, d, "domain_assessments"), B.frame(spark, d, "explicit_universes"))
+    return materialize(B.members(spark, d), "members"), positives, *composed
+
+
+def _counts(spark: SparkSession, d: str) -> DataFrame:
+    return association.feature_block_counts(*cohort(spark, d))
+
+
+@query("jon03_universe_compose", f"WITH {_BASE} SELECT feature_type, feature_id, CASE WHEN universe IS NULL THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM (SELECT protein_id FROM assessed a WHERE a.universe = u.universe UNION SELECT protein_id FROM positives p WHERE p.feature_type = u.feature_type AND p.feature_id = u.feature_id)) END AS size FROM univ u")
+def jon03(spark: SparkSession, d: str) -> DataFrame:
+    _, positives, own, assessed = cohort(spark, d)
+    proteins = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"))
+    return universes.universe_sizes(positives, own, assessed, proteins).drop("universe")
+
+
+@query("agg01_feature_block_counts", f"WITH {_COUNTS} SELECT {_KEYS}, target_with, background_with, target_present, target_absent, target_unknown, background_present, background_absent, background_unknown FROM counts")
 def agg01(spark: SparkSession, d: str) -> DataFrame:
-    return association.feature_block_counts(B.members(spark, d), B.positives(spark, d)).drop("target_blocks", "background_blocks")
+    return _counts(spark, d).drop("target_blocks", "background_blocks")
 
 
-@query("agg02_association_counts", f"""WITH {_COUNTS}, mixed AS (SELECT comparison_id, partition, count_if(mixed) AS mixed_blocks, count_if(NOT mixed AND is_target) AS target_units, count_if(NOT mixed AND NOT is_target) AS background_units FROM blocks GROUP BY ALL),
+@query("agg02_association_counts", f"""WITH {_BASE}, mixed AS (SELECT comparison_id, partition, count_if(mixed) AS mixed_blocks, count_if(NOT mixed AND is_target) AS target_blocks, count_if(NOT mixed AND NOT is_target) AS background_blocks FROM blocks GROUP BY ALL),
     raw AS (SELECT comparison_id, partition, count_if(is_target) AS target_proteins, count_if(NOT is_target) AS background_proteins FROM members GROUP BY ALL)
     SELECT * FROM raw JOIN mixed USING (comparison_id, partition)""")
 def agg02(spark: SparkSession, d: str) -> DataFrame:
-    m = B.members(spark, d)
-    raw = m.groupBy("comparison_id", "partition").agg(F.count_if("is_target").alias("target_proteins"), F.count_if(~F.col("is_target")).alias("background_proteins"))
-    own = association.block_classes(m).groupBy("comparison_id", "partition").agg(F.count_if("mixed").alias("mixed_blocks"), F.count_if(~F.col("mixed") & F.col("is_target")).alias("target_units"), F.count_if(~F.col("mixed") & ~F.col("is_target")).alias("background_units"))
-    return raw.join(own, ["comparison_id", "partition"])
+    return association.sample_counts(B.members(spark, d))
 
 
-@query("agg03_prevalence", f"WITH {_COUNTS}, {_PREVALENCE} SELECT {_KEYS}, {_R.format('target_prevalence')}, {_R.format('background_prevalence')}, {_R.format('prevalence_difference')}, direction FROM shown")
+@query("agg03_prevalence", f"WITH {_COUNTS}, {_PREVALENCE} SELECT {_KEYS}, {_R.format('target_prevalence')}, {_R.format('background_prevalence')}, {_R.format('prevalence_difference')}, direction FROM shown WHERE target_with + background_with > 0")
 def agg03(spark: SparkSession, d: str) -> DataFrame:
-    out = association.prevalence(association.feature_block_counts(B.members(spark, d), B.positives(spark, d)))
+    out = association.prevalence(_counts(spark, d))
     return rounded(out.select(*_KEYS.split(", "), "target_prevalence", "background_prevalence", "prevalence_difference", "direction"), "target_prevalence", "background_prevalence", "prevalence_difference")
 
 
-@query("sta01_fisher_exact", f"WITH {_COUNTS}, {_PREVALENCE}, {_LOGS} SELECT a, b, c, d, round(p_value, 7) AS p_value, round(odds_ratio, 7) AS odds_ratio FROM fisher")
+@query("sta01_fisher_exact", f"WITH {_COUNTS}, {_LOGS.format(tables='counts')} SELECT a, b, c, d, round(p_value, 7) AS p_value, round(odds_ratio, 7) AS odds_ratio FROM fisher")
 def sta01(spark: SparkSession, d: str) -> DataFrame:
-    counts = association.feature_block_counts(B.members(spark, d), B.positives(spark, d))
-    cells = counts.select(F.col("target_present").alias("a"), F.col("target_absent").alias("b"), F.col("background_present").alias("c"), F.col("background_absent").alias("d")).distinct()
+    cells = _counts(spark, d).select(F.col("target_present").alias("a"), F.col("target_absent").alias("b"), F.col("background_present").alias("c"), F.col("background_absent").alias("d")).distinct()
     tested = statistics.fisher_exact(cells.withColumnsRenamed({k: f"{k}1" for k in "abcd"}), "a1", "b1", "c1", "d1")
     return rounded(tested.withColumnsRenamed({f"{k}1": k for k in "abcd"}), "p_value", "odds_ratio")
 
@@ -76,61 +101,75 @@ def sta01(spark: SparkSession, d: str) -> DataFrame:
     SELECT {_KEYS}, round(greatest(0, (k / n + z * z / (2 * n)) / (1 + z * z / n) - z * sqrt(k / n * (1 - k / n) / n + z * z / (4 * n * n)) / (1 + z * z / n)), 7) AS low,
     round(least(1, (k / n + z * z / (2 * n)) / (1 + z * z / n) + z * sqrt(k / n * (1 - k / n) / n + z * z / (4 * n * n)) / (1 + z * z / n)), 7) AS high FROM n""")
 def sta02(spark: SparkSession, d: str) -> DataFrame:
-    counts = association.feature_block_counts(B.members(spark, d), B.positives(spark, d))
     low, high = statistics.wilson(F.col("target_present"), F.col("target_present") + F.col("target_absent"))
-    return counts.filter("target_present + target_absent > 0").select(*_KEYS.split(", "), F.round(low, 7).alias("low"), F.round(high, 7).alias("high"))
-
-
-_TESTED = f"""{_COUNTS}, {_PREVALENCE}, {_LOGS},
-    joined AS (SELECT s.*, f.p_value, f.odds_ratio FROM shown s LEFT JOIN fisher f ON s.status = 'COMPLETE' AND s.target_present = f.a AND s.target_absent = f.b AND s.background_present = f.c AND s.background_absent = f.d),
-    dranks AS (SELECT *, count(*) OVER (PARTITION BY comparison_id, feature_type ORDER BY p_value) AS r, count(*) OVER (PARTITION BY comparison_id, feature_type) AS m,
-        count(*) OVER (PARTITION BY feature_type ORDER BY p_value) AS rs, count(*) OVER (PARTITION BY feature_type) AS ms FROM joined WHERE partition = 'DISCOVERY' AND status = 'COMPLETE'),
-    discovery AS (SELECT * EXCLUDE (r, m, rs, ms), least(1, min(p_value * m / r) OVER (PARTITION BY comparison_id, feature_type ORDER BY p_value RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q_value,
-        least(1, min(p_value * ms / rs) OVER (PARTITION BY feature_type ORDER BY p_value RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS study_q_value FROM dranks
-        UNION ALL SELECT *, NULL, NULL FROM joined WHERE partition = 'DISCOVERY' AND status <> 'COMPLETE'),
-    held AS (SELECT j.* FROM joined j SEMI JOIN (SELECT * FROM discovery WHERE q_value <= {{fdr}} AND prevalence_difference <> 0) f USING (comparison_id, feature_type, feature_id) WHERE j.partition = 'VALIDATION'),
-    vranks AS (SELECT *, count(*) OVER (PARTITION BY comparison_id, feature_type ORDER BY p_value) AS r, count(*) OVER (PARTITION BY comparison_id, feature_type) AS m,
-        count(*) OVER (PARTITION BY feature_type ORDER BY p_value) AS rs, count(*) OVER (PARTITION BY feature_type) AS ms FROM held WHERE status = 'COMPLETE'),
-    associations AS (SELECT * FROM discovery UNION ALL SELECT * EXCLUDE (r, m, rs, ms), least(1, min(p_value * m / r) OVER (PARTITION BY comparison_id, feature_type ORDER BY p_value RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-        least(1, min(p_value * ms / rs) OVER (PARTITION BY feature_type ORDER BY p_value RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) FROM vranks
-        UNION ALL SELECT *, NULL, NULL FROM held WHERE status <> 'COMPLETE')"""
+    return _counts(spark, d).filter("target_present + target_absent > 0").select(*_KEYS.split(", "), F.round(low, 7).alias("low"), F.round(high, 7).alias("high"))
+
+
+FDR = association.FDR
+
+
+def _adjusted(rows: str, out: str) -> str:
+    """SQL of the two adjusted values over the complete rows of one partition, with the others."""
+    return f"""{out}_ranks AS (SELECT *, count(*) OVER (PARTITION BY comparison_id, feature_type ORDER BY p_value) AS r, count(*) OVER (PARTITION BY comparison_id, feature_type) AS m,
+        count(*) OVER (PARTITION BY feature_type ORDER BY p_value) AS rs, count(*) OVER (PARTITION BY feature_type) AS ms FROM {rows} WHERE status = 'COMPLETE'),
+    {out} AS (SELECT * EXCLUDE (r, m, rs, ms), least(1, min(p_value * m / r) OVER (PARTITION BY comparison_id, feature_type ORDER BY p_value RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q_value,
+        least(1, min(p_value * ms / rs) OVER (PARTITION BY feature_type ORDER BY p_value RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS study_q_value FROM {out}_ranks
+        UNION ALL SELECT *, NULL, NULL FROM {rows} WHERE status <> 'COMPLETE')"""
+
+
+def _judged(rows: str) -> str:
+    return f"""SELECT s.*, CASE WHEN s.partition = 'VALIDATION' AND x.feature_id IS NOT NULL THEN 'EXCLUDED' WHEN target_present + target_absent < 3 OR background_present + background_absent < 3 THEN 'INSUFFICIENT_SAMPLE_SIZE' ELSE 'COMPLETE' END AS status
+        FROM {rows} s LEFT JOIN exploratory x ON x.feature_type = s.feature_type AND x.feature_id = s.feature_id"""
+
+
+_FISHER = "SELECT s.*, f.p_value, f.odds_ratio FROM {0} s LEFT JOIN fisher f ON s.status = 'COMPLETE' AND s.target_present = f.a AND s.target_absent = f.b AND s.background_present = f.c AND s.background_absent = f.d"
+_TESTED = f"""{_COUNTS}, {_PREVALENCE},
+    able AS (SELECT comparison_id, partition FROM totals WHERE target_blocks >= 3 AND background_blocks >= 3),
+    judged AS ({_judged('shown')}), {_LOGS.format(tables="judged WHERE status = 'COMPLETE'")},
+    drows AS ({_FISHER.format("(SELECT j.* FROM judged j SEMI JOIN able USING (comparison_id, partition) WHERE j.partition = 'DISCOVERY' AND target_with + background_with >= 2)")}), {_adjusted('drows', 'discovery')},
+    frozen AS (SELECT comparison_id, feature_type, feature_id FROM discovery WHERE q_value <= {FDR} AND prevalence_difference <> 0),
+    vrows AS ({_FISHER.format("(SELECT j.* FROM judged j SEMI JOIN able USING (comparison_id, partition) SEMI JOIN frozen f ON f.comparison_id = j.comparison_id AND f.feature_type = j.feature_type AND f.feature_id = j.feature_id WHERE j.partition = 'VALIDATION')")}), {_adjusted('vrows', 'validation')},
+    named AS (SELECT c.comparison_id, p.partition, coalesce(t.target_blocks, 0) AS target_blocks, coalesce(t.background_blocks, 0) AS background_blocks FROM comparisons c CROSS JOIN (SELECT unnest(['DISCOVERY', 'VALIDATION']) AS partition) p LEFT JOIN totals t USING (comparison_id, partition)),
+    states AS (SELECT comparison_id, partition, target_blocks, background_blocks, CASE WHEN target_blocks < 3 OR background_blocks < 3 THEN 'INSUFFICIENT_SAMPLE_SIZE' WHEN partition = 'DISCOVERY' THEN 'NO_ELIGIBLE_FEATURES' ELSE 'NOT_SELECTED' END AS status FROM named
+        WHERE target_blocks < 3 OR background_blocks < 3 OR (partition = 'DISCOVERY' AND comparison_id NOT IN (SELECT comparison_id FROM discovery)) OR (partition = 'VALIDATION' AND comparison_id NOT IN (SELECT comparison_id FROM frozen))),
+    associations AS (SELECT comparison_id, partition, feature_type, feature_id, target_blocks, background_blocks, target_present, target_absent, background_present, background_absent, CASE WHEN status = 'COMPLETE' THEN direction ELSE 'NOT_TESTED' END AS direction, status,
+        p_value, odds_ratio, q_value, study_q_value, CASE WHEN status = 'COMPLETE' THEN prevalence_difference END AS prevalence_difference FROM (SELECT * FROM discovery UNION ALL SELECT * FROM validation)
+        UNION ALL SELECT comparison_id, partition, 'ANALYSIS', status, target_blocks, background_blocks, NULL, NULL, NULL, NULL, 'NOT_TESTED', status, NULL, NULL, NULL, NULL, NULL FROM states)"""
 _ASSOC = ["p_value", "odds_ratio", "q_value", "study_q_value", "prevalence_difference"]
-#: The driver's tables hold no real differences; this threshold lets some features through to the held-out stage.
-LOOSE_FDR = 0.9
 
 
-@query("sta05_association_pipeline", f"WITH {_TESTED.format(fdr=LOOSE_FDR)} SELECT {_KEYS}, target_present, target_absent, background_present, background_absent, direction, status, {', '.join(_R.format(c) for c in _ASSOC)} FROM associations")
+def associations(spark: SparkSession, d: str) -> DataFrame:
+    return association.associate(*cohort(spark, d), B.frame(spark, d, "comparisons"), B.frame(spark, d, "exploratory"))
+
+
+@query("sta05_association_pipeline", f"WITH {_TESTED} SELECT {_KEYS}, target_blocks, background_blocks, target_present, target_absent, background_present, background_absent, direction, status, {', '.join(_R.format(c) for c in _ASSOC)} FROM associations")
 def sta05(spark: SparkSession, d: str) -> DataFrame:
-    out = association.associate(B.members(spark, d), B.positives(spark, d), fdr=LOOSE_FDR)
-    return rounded(out.select(*_KEYS.split(", "), "target_present", "target_absent", "background_present", "background_absent", "direction", "status", *_ASSOC), *_ASSOC)
+    out = associations(spark, d)
+    return rounded(out.select(*_KEYS.split(", "), "target_blocks", "background_blocks", "target_present", "target_absent", "background_present", "background_absent", "direction", "status", *_ASSOC), *_ASSOC)
 
 
-@query("sta03_bh_local", f"WITH {_TESTED.format(fdr=LOOSE_FDR)} SELECT {_KEYS}, round(q_value, 7) AS q_value FROM discovery WHERE q_value IS NOT NULL")
+@query("sta03_bh_local", f"WITH {_TESTED} SELECT {_KEYS}, round(q_value, 7) AS q_value FROM discovery WHERE q_value IS NOT NULL")
 def sta03(spark: SparkSession, d: str) -> DataFrame:
-    out = association.associate(B.members(spark, d), B.positives(spark, d), fdr=LOOSE_FDR)
-    return rounded(out.filter("partition = 'DISCOVERY' and q_value is not null").select(*_KEYS.split(", "), "q_value"), "q_value")
+    return rounded(associations(spark, d).filter("partition = 'DISCOVERY' and q_value is not null").select(*_KEYS.split(", "), "q_value"), "q_value")
 
 
-@query("sta04_bh_study", f"WITH {_TESTED.format(fdr=LOOSE_FDR)} SELECT {_KEYS}, round(study_q_value, 7) AS study_q_value FROM discovery WHERE study_q_value IS NOT NULL")
+@query("sta04_bh_study", f"WITH {_TESTED} SELECT {_KEYS}, round(study_q_value, 7) AS study_q_value FROM associations WHERE study_q_value IS NOT NULL")
 def sta04(spark: SparkSession, d: str) -> DataFrame:
-    out = association.associate(B.members(spark, d), B.positives(spark, d), fdr=LOOSE_FDR)
-    return rounded(out.filter("partition = 'DISCOVERY' and q_value is not null").select(*_KEYS.split(", "), "study_q_value"), "study_q_value")
+    return rounded(associations(spark, d).filter("study_q_value is not null").select(*_KEYS.split(", "), "study_q_value"), "study_q_value")
 
 
-_SIGN = f"""{_TESTED.format(fdr=LOOSE_FDR)},
-    found AS (SELECT * FROM discovery WHERE status = 'COMPLETE' AND q_value <= {LOOSE_FDR} AND prevalence_difference <> 0),
-    signs AS (SELECT f.comparison_id, f.feature_type, f.feature_id, 'COMPLETE' AS status, f.q_value AS dq, f.study_q_value AS ds, f.prevalence_difference AS dd, v.q_value AS vq, v.study_q_value AS vs, v.prevalence_difference AS vd, v.status AS held
-        FROM found f LEFT JOIN (SELECT * FROM associations WHERE partition = 'VALIDATION') v USING (comparison_id, feature_type, feature_id)),
-    classed AS (SELECT comparison_id, feature_type, feature_id, status, CASE WHEN ds <= {LOOSE_FDR} THEN 'DECISION_CANDIDATE__' ELSE 'EXPLORATORY_LOCAL_ONLY__' END ||
-        CASE WHEN held IS NULL OR held <> 'COMPLETE' THEN 'NO_VALIDATION_DATA' WHEN dd * vd <= 0 THEN 'DIRECTION_DISCORDANT' WHEN vs <= {LOOSE_FDR} THEN 'VALIDATED_STUDY_WIDE' WHEN vq <= {LOOSE_FDR} THEN 'VALIDATED_WITHIN_COMPARISON' ELSE 'DISCOVERY_ONLY' END AS evidence_class,
-        dq, vq FROM signs
-        UNION ALL SELECT t.comparison_id, 'ANALYSIS', s, s, CASE WHEN done THEN 'NO_DISCOVERY_SIGNATURE' ELSE 'DISCOVERY_NOT_TESTED__' || s END, NULL, NULL FROM (SELECT t.comparison_id, done, CASE WHEN done THEN 'NO_SIGNIFICANT_SIGNATURE' WHEN done IS NOT NULL THEN 'INSUFFICIENT_SAMPLE_SIZE' ELSE 'NO_ELIGIBLE_FEATURES' END AS s
-            FROM t LEFT JOIN (SELECT comparison_id, bool_or(status = 'COMPLETE') AS done FROM discovery GROUP BY 1) USING (comparison_id) WHERE comparison_id NOT IN (SELECT comparison_id FROM found)) t)"""
+_SIGN = f"""{_TESTED},
+    pairs AS (SELECT f.comparison_id, f.feature_type, f.feature_id, 'COMPLETE' AS status, f.q_value AS dq, f.study_q_value AS ds, f.prevalence_difference AS dd, v.q_value AS vq, v.study_q_value AS vs, v.prevalence_difference AS vd, v.status AS held
+        FROM (SELECT * FROM associations WHERE partition = 'DISCOVERY' AND q_value <= {FDR} AND prevalence_difference <> 0) f LEFT JOIN (SELECT * FROM associations WHERE partition = 'VALIDATION') v USING (comparison_id, feature_type, feature_id)),
+    classed AS (SELECT comparison_id, feature_type, feature_id, status, CASE WHEN feature_type IN ('EVIDENCE_AVAILABILITY', 'STRUCTURE_AVAILABLE') THEN 'QC_TECHNICAL_NON_BIOLOGICAL__' WHEN (feature_type, feature_id) IN (SELECT (feature_type, feature_id) FROM exploratory) THEN 'EXPLORATORY_ALL_DATA_DERIVATION__'
+        WHEN ds <= {FDR} THEN 'DECISION_CANDIDATE__' ELSE 'EXPLORATORY_LOCAL_ONLY__' END || CASE WHEN held IS NULL OR held <> 'COMPLETE' THEN 'NO_VALIDATION_DATA' WHEN coalesce(dd, 0) * coalesce(vd, 0) < 0 THEN 'DIRECTION_DISCORDANT'
+        WHEN vq <= {FDR} AND vs <= {FDR} THEN 'VALIDATED_STUDY_WIDE' WHEN vq <= {FDR} THEN 'VALIDATED_WITHIN_COMPARISON' ELSE 'DISCOVERY_ONLY' END AS evidence_class, dq, vq FROM pairs
+        UNION ALL SELECT comparison_id, 'ANALYSIS', s, s, CASE WHEN s = 'NO_SIGNIFICANT_SIGNATURE' THEN 'NO_DISCOVERY_SIGNATURE' ELSE 'DISCOVERY_NOT_TESTED__' || s END, NULL, NULL FROM (SELECT comparison_id, CASE WHEN bool_or(status = 'COMPLETE') THEN 'NO_SIGNIFICANT_SIGNATURE'
+            WHEN bool_or(status = 'INSUFFICIENT_SAMPLE_SIZE') THEN 'INSUFFICIENT_SAMPLE_SIZE' ELSE 'NO_ELIGIBLE_FEATURES' END AS s FROM associations WHERE partition = 'DISCOVERY' AND comparison_id NOT IN (SELECT comparison_id FROM pairs) GROUP BY 1))"""
 
 
 def signatures(spark: SparkSession, d: str) -> DataFrame:
-    comparisons = spark.createDataFrame([(t,) for t in B.TARGETS], "comparison_id string")
-    return association.synthesize(materialize(association.associate(B.members(spark, d), B.positives(spark, d), fdr=LOOSE_FDR), "associations"), comparisons, LOOSE_FDR)
+    return association.synthesize(materialize(associations(spark, d), "associations"), exploratory=B.frame(spark, d, "exploratory"))
 
 
 @query("sta06_signature_synthesis", f"WITH {_SIGN} SELECT comparison_id, feature_type, feature_id, status, evidence_class, round(dq, 7) AS discovery_q_value, round(vq, 7) AS validation_q_value FROM classed")
@@ -138,15 +177,33 @@ def sta06(spark: SparkSession, d: str) -> DataFrame:
     return rounded(signatures(spark, d).select("comparison_id", "feature_type", "feature_id", "status", "evidence_class", "discovery_q_value", "validation_q_value"), "discovery_q_value", "validation_q_value")
 
 
+@query("jon07_signature_validation_pair", f"WITH {_SIGN} SELECT comparison_id, feature_type, feature_id, round(dq, 7) AS discovery_q_value, round(dd, 7) AS discovery_prevalence_difference, held AS held_status, round(vs, 7) AS validation_study_q_value, round(vd, 7) AS validation_prevalence_difference FROM pairs")
+def jon07(spark: SparkSession, d: str) -> DataFrame:
+    pairs = association.validation_pairs(materialize(associations(spark, d), "associations"))
+    some = ["discovery_q_value", "discovery_prevalence_difference", "validation_study_q_value", "validation_prevalence_difference"]
+    return rounded(pairs.select("comparison_id", "feature_type", "feature_id", "held_status", *some), *some)
+
+
+@query("jon22_validation_of_signatures", f"WITH {_SIGN} SELECT a.comparison_id, a.partition, a.feature_type, a.feature_id, a.status, round(a.p_value, 7) AS p_value FROM associations a SEMI JOIN classed c ON c.comparison_id = a.comparison_id AND c.feature_type = a.feature_type AND c.feature_id = a.feature_id")
+def jon22(spark: SparkSession, d: str) -> DataFrame:
+    every = materialize(associations(spark, d), "associations")
+    found = reports.validation_of_signatures(every, association.synthesize(every, exploratory=B.frame(spark, d, "exploratory")))
+    return rounded(found.select("comparison_id", "partition", "feature_type", "feature_id", "status", "p_value"), "p_value")
+
+
 @query("agg18_evidence_class_counts", f"WITH {_SIGN} SELECT evidence_class, feature_type, count(*) AS signatures FROM classed GROUP BY ALL")
 def agg18(spark: SparkSession, d: str) -> DataFrame:
     return signatures(spark, d).groupBy("evidence_class", "feature_type").agg(F.count("*").alias("signatures"))
 
 
-@query("agg19_comparison_completion", f"WITH {_TESTED.format(fdr=LOOSE_FDR)} SELECT comparison_id, count(*) AS n_rows, count_if(status = 'COMPLETE') AS complete_rows, round(min(study_q_value), 7) AS min_study_q FROM associations GROUP BY 1")
+@query("agg19_comparison_completion", f"WITH {_TESTED} SELECT comparison_id, count(*) AS n_rows, count_if(status = 'COMPLETE') AS complete_rows, round(min(study_q_value), 7) AS min_study_q FROM associations GROUP BY 1")
 def agg19(spark: SparkSession, d: str) -> DataFrame:
-    out = association.associate(B.members(spark, d), B.positives(spark, d), fdr=LOOSE_FDR)
-    return out.groupBy("comparison_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("status") == "COMPLETE").alias("complete_rows"), F.round(F.min("study_q_value"), 7).alias("min_study_q"))
+    return associations(spark, d).groupBy("comparison_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("status") == "COMPLETE").alias("complete_rows"), F.round(F.min("study_q_value"), 7).alias("min_study_q"))
+
+
+@query("agg29_block_summary", f"WITH {_TESTED} SELECT comparison_id, partition, max(target_blocks) AS target_blocks, max(background_blocks) AS background_blocks FROM associations GROUP BY ALL")
+def agg29(spark: SparkSession, d: str) -> DataFrame:
+    return reports.block_summary(associations(spark, d))
 
 
 @query("grf02_partition_hash", f"WITH {B.MEMBERS} SELECT DISTINCT unit, partition FROM parts")
@@ -196,25 +253,25 @@ def val07(spark: SparkSession, d: str) -> DataFrame:
     return labels.agg(F.count_if(F.col("parent_label_id").isNull()).alias("roots")).crossJoin(unknown.agg(F.count("*").alias("unknown_parents"))).crossJoin(deep)
 
 
-_VOCAB = f"{B.SEQUENCES}, k AS (SELECT DISTINCT protein_id, n AS length, substr(sequence, i, n) AS kmer FROM sequences, (SELECT unnest([3, 4]) AS n), LATERAL (SELECT unnest(range(1, length(sequence) - n + 2)) AS i)), counts AS (SELECT length, kmer, count(*) AS proteins FROM k GROUP BY ALL)"
+_VOCAB = f"{B.SEQUENCES}, k AS (SELECT DISTINCT protein_id, n AS length, substr(sequence, i, n) AS kmer FROM sequences, (SELECT unnest([3, 4]) AS n), LATERAL (SELECT unnest(range(1, length(sequence) - n + 2)) AS i)), counts AS (SELECT length, kmer, count(*) AS proteins FROM k WHERE {B.IS_DISCOVERY} GROUP BY ALL)"
 
 
 @query("agg04_kmer_prevalence", f"WITH {_VOCAB} SELECT length, kmer, proteins FROM counts WHERE length = 3")
 def agg04(spark: SparkSession, d: str) -> DataFrame:
-    return sequences.kmer_rows(B.sequences(spark, d), [3]).groupBy("length", "kmer").agg(F.count("*").alias("proteins"))
+    return sequences.kmer_prevalence(B.discovery_sequences(spark, d), [3])
 
 
-@query("win01_ranked_kmer_vocabulary", f"""WITH {_VOCAB}, r AS (SELECT *, row_number() OVER (PARTITION BY length ORDER BY proteins DESC, kmer) AS rank FROM counts), first AS (SELECT * FROM r WHERE rank <= 250),
-    rest AS (SELECT *, row_number() OVER (ORDER BY proteins DESC, kmer, length) AS place FROM r WHERE rank > 250) SELECT length, kmer, proteins FROM first UNION ALL SELECT length, kmer, proteins FROM rest WHERE place <= 500 - (SELECT count(*) FROM first)""")
+@query("win01_ranked_kmer_vocabulary", f"""WITH {_VOCAB}, r AS (SELECT *, row_number() OVER (PARTITION BY length ORDER BY proteins DESC, kmer) AS rank FROM counts WHERE proteins >= 2), first AS (SELECT * FROM r WHERE rank <= 10000),
+    rest AS (SELECT *, row_number() OVER (ORDER BY proteins DESC, 'k' || length || ':' || kmer) AS place FROM r WHERE rank > 10000) SELECT length, kmer, proteins FROM first UNION ALL SELECT length, kmer, proteins FROM rest WHERE place <= 20000 - (SELECT count(*) FROM first)""")
 def win01(spark: SparkSession, d: str) -> DataFrame:
-    return sequences.ranked_vocabulary(sequences.kmer_rows(B.sequences(spark, d), [3, 4]), 500, [3, 4])
+    return sequences.ranked_vocabulary(sequences.kmer_prevalence(B.discovery_sequences(spark, d), [3, 4]), 20_000, [3, 4], minimum=2)
 
 
-@query("fea01_kmer_features", f"WITH {_VOCAB}, v AS (SELECT kmer FROM counts WHERE length = 3 ORDER BY proteins DESC, kmer LIMIT 50) SELECT protein_id, 'k3:' || kmer AS feature_id FROM k WHERE length = 3 AND kmer IN (SELECT kmer FROM v)")
+@query("fea01_kmer_features", f"""WITH {_VOCAB}, v AS (SELECT kmer FROM counts WHERE length = 3 ORDER BY proteins DESC, kmer LIMIT 50) SELECT protein_id, 'AMINO_ACID_KMER' AS feature_type, 'k3:' || kmer AS feature_id, 'k3 ' || kmer AS feature_name, 'DISCOVERY_DERIVED' AS derivation_scope,
+    sha256('feature definition v1' || chr(10) || 'feature_type=AMINO_ACID_KMER' || chr(10) || 'feature_id=k3:' || kmer || chr(10) || 'algorithm=exact_protein_level_presence' || chr(10)) AS feature_definition_sha256 FROM k WHERE length = 3 AND kmer IN (SELECT kmer FROM v)""")
 def fea01(spark: SparkSession, d: str) -> DataFrame:
-    rows = sequences.kmer_rows(B.sequences(spark, d), [3])
-    vocabulary = sequences.ranked_vocabulary(rows, 50, [3]).select("kmer")
-    return rows.join(F.broadcast(vocabulary), "kmer", "left_semi").select("protein_id", F.concat(F.lit("k3:"), "kmer").alias("feature_id"))
+    vocabulary = materialize(sequences.ranked_vocabulary(sequences.kmer_prevalence(B.discovery_sequences(spark, d), [3]), 50, [3]), "vocabulary")
+    return sequences.kmer_features(B.sequences(spark, d), vocabulary)
 
 
 @query("fea16_kmer_intervals", f"WITH {B.SEQUENCES} SELECT protein_id, i AS start, i + 2 AS stop FROM sequences, LATERAL (SELECT unnest(range(1, length(sequence) - 1)) AS i) WHERE substr(sequence, i, 3) = 'THE'")
@@ -233,60 +290,78 @@ def agg12(spark: SparkSession, d: str) -> DataFrame:
     return sequences.ordered_digests(B.sequences(spark, d).select("lang", "protein_id", F.sha2("sequence", 256).alias("h")), "lang", "protein_id", "h")
 
 
-_TM = 0.3
+_PASS = f"""{B.cte("structure_comparisons", "structure_partitions")},
+    ok AS (SELECT * FROM structure_comparisons WHERE comparison_status IN ('COMPLETE', 'SUCCESS', 'PASS') AND tm_score >= 0.5 AND coverage_a >= 0.5 AND coverage_b >= 0.5),
+    e AS (SELECT comparison_universe_id || '|' || coverage_scope || '|' || comparison_tool || '|' || comparison_tool_version AS search, protein_a_id AS a, protein_b_id AS b, tm_score FROM ok),
+    known AS (SELECT e.*, p.partition AS ap, q.partition AS bp FROM e LEFT JOIN structure_partitions p ON p.protein_id = a LEFT JOIN structure_partitions q ON q.protein_id = b),
+    s AS (SELECT search, a AS x, ap AS part, b AS y, tm_score FROM known UNION ALL SELECT search, b, bp, a, tm_score FROM known),
+    inner_s AS (SELECT DISTINCT search, s.x, s.y FROM s JOIN structure_partitions p ON p.protein_id = s.y WHERE s.part = 'DISCOVERY' AND p.partition = 'DISCOVERY'),
+    reach AS (SELECT DISTINCT search, x, x AS y FROM inner_s UNION SELECT r.search, r.x, i.y FROM reach r JOIN inner_s i ON r.search = i.search AND r.y = i.x),
+    comp AS (SELECT search, x AS protein_id, min(y) AS first_member FROM reach GROUP BY 1, 2),
+    piece AS (SELECT *, ('0x' || substr(sha256(protein_id::VARCHAR), 1, 15))::BIGINT AS one, ('0x' || substr(sha256(protein_id::VARCHAR), 16, 15))::BIGINT AS two FROM comp),
+    ids AS (SELECT search, first_member, count(*) AS reference_member_count, 'SC_' || substr(sha256(search || '|DISCOVERY|0.5|0.5|' || count(*) || '|' || bit_xor(one) || '|' || bit_xor(two)), 1, 16) AS cluster_id FROM piece GROUP BY search, first_member),
+    support AS (SELECT s.search, c.first_member, s.x AS protein_id, CASE WHEN s.part = 'VALIDATION' THEN 'VALIDATION_PROJECTION' ELSE 'DISCOVERY_COMPONENT' END AS membership_method, count(*) AS supporting_edge_count, max(tm_score) AS best_tm_score
+        FROM s JOIN comp c ON s.search = c.search AND s.y = c.protein_id WHERE s.part IS NOT NULL GROUP BY ALL),
+    edges AS (SELECT c.search, c.first_member, count(*) AS edge_count FROM inner_s i JOIN comp c ON c.search = i.search AND c.protein_id = i.x WHERE i.x < i.y GROUP BY ALL),
+    clusters AS (SELECT s.*, i.cluster_id, i.reference_member_count, e.edge_count, count(*) OVER (PARTITION BY s.search, s.first_member) AS member_count FROM support s JOIN ids i USING (search, first_member) JOIN edges e USING (search, first_member))"""
 
 
-@query("prj03_comparison_passes", f"WITH {B.PAIRS} SELECT universe, a, b, round(score, 7) AS score FROM pairs WHERE score >= {_TM} AND coverage >= 0.5")
-def prj03(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(B.structure_pairs(spark, d).filter((F.col("score") >= _TM) & (F.col("coverage") >= 0.5)).drop("coverage"), "score")
+def clusters(spark: SparkSession, d: str) -> DataFrame:
+    pairs = blocks.passing_pairs(B.frame(spark, d, "structure_comparisons"))
+    return blocks.structure_clusters(pairs, B.frame(spark, d, "structure_partitions"))
 
 
-_PASS = f"""{B.PAIRS}, e AS (SELECT universe, a, b, score FROM pairs WHERE score >= {_TM} AND coverage >= 0.5), s AS (SELECT universe, a AS x, b AS y, score FROM e UNION ALL SELECT universe, b, a, score FROM e),
-    inner_s AS (SELECT * FROM s WHERE x % 5 <> 0 AND y % 5 <> 0), reach AS (SELECT DISTINCT universe, x, x AS y FROM inner_s UNION SELECT r.universe, r.x, i.y FROM reach r JOIN inner_s i ON r.universe = i.universe AND r.y = i.x),
-    comp AS (SELECT universe, x AS protein_id, min(y) AS cluster FROM reach GROUP BY 1, 2)"""
+@query("prj03_comparison_passes", f"WITH {B.cte('structure_comparisons')} SELECT comparison_universe_id, protein_a_id, protein_b_id, source_record_id, tm_score FROM structure_comparisons WHERE comparison_status IN ('COMPLETE', 'SUCCESS', 'PASS') AND tm_score >= 0.5 AND coverage_a >= 0.5 AND coverage_b >= 0.5")
+def prj03(spark: SparkSession, d: str) -> DataFrame:
+    return blocks.passing_pairs(B.frame(spark, d, "structure_comparisons")).select("comparison_universe_id", "protein_a_id", "protein_b_id", "source_record_id", "tm_score")
 
 
-def _clusters(spark: SparkSession, d: str) -> DataFrame:
-    edges = prj03(spark, d)
-    proteins = table(spark, d, "embeddings").select(F.col("vec_id").alias("protein_id"), F.when(F.col("vec_id") % 5 == 0, "VALIDATION").otherwise("DISCOVERY").alias("partition"))
-    return blocks.structure_clusters(edges, proteins).withColumn("cluster", F.split("cluster", r"\|")[1].cast("long"))
+@query("grf05_structure_clusters", f"WITH RECURSIVE {_PASS} SELECT cluster_id, protein_id, member_count, reference_member_count, edge_count FROM clusters WHERE membership_method = 'DISCOVERY_COMPONENT'")
+def grf05(spark: SparkSession, d: str) -> DataFrame:
+    return clusters(spark, d).filter("membership_method = 'DISCOVERY_COMPONENT'").select("cluster_id", "protein_id", "member_count", "reference_member_count", "edge_count")
 
 
-@query("grf05_structure_clusters", f"WITH RECURSIVE {_PASS} SELECT universe, protein_id, cluster FROM comp")
-def grf05(spark: SparkSession, d: str) -> DataFrame:
-    return _clusters(spark, d).filter("membership = 'DISCOVERY_COMPONENT'").select("universe", "protein_id", "cluster")
+@query("grf06_validation_projection", f"WITH RECURSIVE {_PASS} SELECT cluster_id, protein_id, membership_method, best_tm_score FROM clusters WHERE membership_method = 'VALIDATION_PROJECTION'")
+def grf06(spark: SparkSession, d: str) -> DataFrame:
+    return clusters(spark, d).filter("membership_method = 'VALIDATION_PROJECTION'").select("cluster_id", "protein_id", "membership_method", "best_tm_score")
 
 
-_MEMBER = f"{_PASS}, joined AS (SELECT s.universe, s.x AS protein_id, c.cluster, count(*) AS edges, round(max(s.score), 7) AS best_score FROM s JOIN comp c ON s.universe = c.universe AND s.y = c.protein_id GROUP BY ALL)"
+@query("agg09_cluster_member_support", f"WITH RECURSIVE {_PASS} SELECT cluster_id, protein_id, supporting_edge_count, best_tm_score, member_count, edge_count FROM clusters")
+def agg09(spark: SparkSession, d: str) -> DataFrame:
+    return clusters(spark, d).select("cluster_id", "protein_id", "supporting_edge_count", "best_tm_score", "member_count", "edge_count")
 
 
-@query("grf06_validation_projection", f"WITH RECURSIVE {_MEMBER} SELECT universe, protein_id, cluster FROM joined WHERE protein_id % 5 = 0")
-def grf06(spark: SparkSession, d: str) -> DataFrame:
-    return _clusters(spark, d).filter("membership = 'VALIDATION_PROJECTED'").select("universe", "protein_id", "cluster")
+@query("fea06_cluster_features", f"WITH RECURSIVE {_PASS} SELECT DISTINCT protein_id, 'STRUCTURE_CLUSTER' AS feature_type, cluster_id AS feature_id, search AS evidence_reference FROM clusters")
+def fea06(spark: SparkSession, d: str) -> DataFrame:
+    return blocks.cluster_features(clusters(spark, d))
 
 
-@query("agg09_cluster_member_support", f"WITH RECURSIVE {_MEMBER} SELECT universe, cluster, protein_id, edges, best_score FROM joined")
-def agg09(spark: SparkSession, d: str) -> DataFrame:
-    return _clusters(spark, d).select("universe", "cluster", "protein_id", "edges", "best_score")
+@query("agg26_cluster_summary", f"WITH RECURSIVE {_PASS} SELECT cluster_id, max(reference_member_count) AS discovery_members, count_if(membership_method = 'VALIDATION_PROJECTION') AS projected_members, max(member_count) AS total_members, max(edge_count) AS discovery_edges FROM clusters GROUP BY 1")
+def agg26(spark: SparkSession, d: str) -> DataFrame:
+    return reports.cluster_summary(clusters(spark, d))
 
 
-@query("agg27_binned_density", f"WITH {B.PAIRS} SELECT round(floor(greatest(0, score) * 20) / 20, 2) AS score_bin, round(floor(coverage * 20 + 1e-9) / 20, 2) AS coverage_bin, count(*) AS n FROM pairs GROUP BY ALL")
+@query("agg27_binned_density", f"WITH {B.cte('structure_comparisons')} SELECT comparison_tool, round(floor(least(coverage_a, coverage_b) * 20) / 20, 2) AS minimum_coverage_bin, round(floor(tm_score * 20) / 20, 2) AS tm_score_bin, count(*) AS comparisons FROM structure_comparisons WHERE tm_score IS NOT NULL AND coverage_a IS NOT NULL AND coverage_b IS NOT NULL GROUP BY ALL")
 def agg27(spark: SparkSession, d: str) -> DataFrame:
-    bins = B.structure_pairs(spark, d).select(F.round(F.floor(F.greatest(F.lit(0.0), "score") * 20) / 20, 2).alias("score_bin"), F.round(F.floor(F.col("coverage") * 20 + 1e-9) / 20, 2).alias("coverage_bin"))
-    return bins.groupBy("score_bin", "coverage_bin").agg(F.count("*").alias("n"))
+    return reports.score_density(B.frame(spark, d, "structure_comparisons"))
 
 
-@query("jon23_partner_lookup", f"WITH {B.PAIRS} SELECT a, b, round(score, 7) AS score FROM pairs WHERE a = 7 OR b = 7")
+@query("jon23_partner_lookup", f"WITH {B.cte('structure_comparisons')}, b AS (SELECT protein_a_id AS protein_id, protein_b_id AS partner_id, comparison_tool, tm_score FROM structure_comparisons UNION ALL SELECT protein_b_id, protein_a_id, comparison_tool, tm_score FROM structure_comparisons) SELECT * FROM b WHERE protein_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')")
 def jon23(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(B.structure_pairs(spark, d).filter("a = 7 or b = 7").select("a", "b", "score"), "score")
+    asked = table(spark, d, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("protein_id"))
+    return reports.partners(B.frame(spark, d, "structure_comparisons"), asked)
+
+
+_CANONICAL = "', '".join(sequences.CANONICAL)
 
 
-@query("agg36_alignment_columns", f"""WITH {B.ALIGNED}, n AS (SELECT col, residue, count(*) AS n FROM residues GROUP BY ALL), f AS (SELECT col, sum(n) FILTER (residue <> '-') AS filled, sum(n) AS total FROM n GROUP BY 1),
-    best AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, residue) AS r FROM n WHERE residue <> '-')
-    SELECT f.col AS "column", round(1 - coalesce(filled, 0) / total, 7) AS gap_fraction, best.residue AS consensus, round(best.n / filled, 7) AS consensus_share,
-    (SELECT round(sum(-n.n / f.filled * log2(n.n / f.filled)), 7) FROM n WHERE n.col = f.col AND residue <> '-') AS entropy FROM f LEFT JOIN best ON best.col = f.col AND r = 1""")
+@query("agg36_alignment_columns", f"""WITH {B.ALIGNED}, n AS (SELECT col, residue, count(*) AS n FROM residues GROUP BY ALL), f AS (SELECT col, coalesce(sum(n) FILTER (residue IN ('{_CANONICAL}')), 0) AS filled, coalesce(sum(n) FILTER (residue = '-'), 0) AS gaps, sum(n) AS total FROM n GROUP BY 1),
+    best AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, residue) AS r FROM n WHERE residue IN ('{_CANONICAL}')), h AS (SELECT n.col, round(sum(-n.n / f.filled * log2(n.n / f.filled)), 7) AS entropy FROM n JOIN f ON n.col = f.col WHERE residue IN ('{_CANONICAL}') GROUP BY 1),
+    p AS (SELECT col, residue, sum((residue <> '-')::INT) OVER (ORDER BY col)::BIGINT AS position FROM residues WHERE sequence_id = 3)
+    SELECT f.col AS "column", round(gaps / total, 7) AS gap_fraction, round(filled / total, 7) AS canonical_fraction, best.residue AS consensus, round(best.n / filled, 7) AS consensus_share, entropy, CASE WHEN p.residue <> '-' THEN position END AS reference_position
+    FROM f LEFT JOIN best ON best.col = f.col AND r = 1 LEFT JOIN h ON h.col = f.col LEFT JOIN p ON p.col = f.col""")
 def agg36(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(sequences.column_summary(B.aligned(spark, d)), "gap_fraction", "consensus_share", "entropy").withColumn("column", F.col("column").cast("long"))
+    return rounded(sequences.column_summary(B.aligned(spark, d), reference=3), "gap_fraction", "canonical_fraction", "consensus_share", "entropy").withColumn("column", F.col("column").cast("long"))
 
 
 @query("agg38_pairwise_identity", f"WITH {B.ALIGNED}, l AS (SELECT * FROM residues WHERE residue <> '-') SELECT x.sequence_id AS a, y.sequence_id AS b, count(*) AS comparable, count_if(x.residue = y.residue)::BIGINT AS identical, round(count_if(x.residue = y.residue) / count(*), 7) AS identity FROM l x JOIN l y ON x.family = y.family AND x.col = y.col AND x.sequence_id <= y.sequence_id GROUP BY ALL")
@@ -297,21 +372,3 @@ def agg38(spark: SparkSession, d: str) -> DataFrame:
 @query("win13_running_reference_position", f"""WITH {B.ALIGNED} SELECT col AS "column", sum((residue <> '-')::INT) OVER (ORDER BY col)::BIGINT AS position FROM residues WHERE sequence_id = 3""")
 def win13(spark: SparkSession, d: str) -> DataFrame:
     return sequences.reference_positions(B.aligned(spark, d), 3).withColumn("column", F.col("column").cast("long"))
-
-
-@query("agg39_block_feature_mean", f"WITH {B.MEMBERS}, {B.POSITIVES}, pure AS (SELECT comparison_id, unit FROM members GROUP BY ALL HAVING bool_or(is_target) = bool_and(is_target)), x AS (SELECT m.comparison_id, m.unit, m.protein_id, f.feature_id FROM members m JOIN pure USING (comparison_id, unit) JOIN positives f USING (protein_id) WHERE f.feature_type = 'BRAND'), n AS (SELECT comparison_id, unit, count(*) AS n FROM members GROUP BY ALL) SELECT comparison_id, unit, feature_id, round(count(*) / any_value(n), 7) AS mean FROM x JOIN n USING (comparison_id, unit) GROUP BY ALL")
-def agg39(spark: SparkSession, d: str) -> DataFrame:
-    m = B.members(spark, d)
-    sizes = m.groupBy("comparison_id", "unit").agg(F.count("*").alias("n"), F.max("is_target").alias("x"), F.min("is_target").alias("y")).filter("x = y")
-    rows = m.join(sizes, ["comparison_id", "unit"]).join(B.positives(spark, d).filter("feature_type = 'BRAND'"), "protein_id")
-    return rows.groupBy("comparison_id", "unit", "feature_id").agg(F.round(F.count("*") / F.max("n"), 7).alias("mean"))
-
-
-@query("agg40_sample_weights", f"WITH {B.MEMBERS}, w AS (SELECT comparison_id, protein_id, is_target, 1 / count(*) OVER (PARTITION BY comparison_id, unit) AS w FROM members) SELECT comparison_id, protein_id, round(w * count(*) OVER (PARTITION BY comparison_id) / 2 / sum(w) OVER (PARTITION BY comparison_id, is_target), 7) AS weight FROM w")
-def agg40(spark: SparkSession, d: str) -> DataFrame:
-    m = B.members(spark, d).select("comparison_id", "protein_id", "unit", "is_target")
-    w = m.join(m.groupBy("comparison_id", "unit").agg((1 / F.count("*")).alias("w")), ["comparison_id", "unit"])
-    classes = w.groupBy("comparison_id", "is_target").agg(F.sum("w").alias("total"), F.count("*").alias("k"))
-    n = classes.groupBy("comparison_id").agg(F.sum("k").alias("n"))
-    out = w.join(F.broadcast(classes), ["comparison_id", "is_target"]).join(F.broadcast(n), "comparison_id")
-    return out.select("comparison_id", "protein_id", F.round(F.col("w") * F.col("n") / 2 / F.col("total"), 7).alias("weight"))

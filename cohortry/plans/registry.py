@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    for module in ("cohort", "tables", "reports"):
+    for module in ("cohort", "tables", "reports", "evidence", "imports", "modelling"):
         import_module(f"cohortry.plans.{module}")
 
 

@@ -1,22 +1,17 @@
-"""Queries of sources, checks, projections, joins, windows and set operations."""
+"""Queries of checks, reshaping and joins that need no more than one operator."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cohortry.operators import checks
-from cohortry.operators.blocks import best_per_key
 from cohortry.plans import bindings as B
 from cohortry.plans.registry import query
 from cohortry.sources import readers
 from cohortry.storage import table
 
 
-# -- checks ---------------------------------------------------------------------------------------------------
-
-
 @query("val01_key_unique", f"WITH {B.HITS} SELECT protein_id, authority, domain_id, start, count(*) AS n_rows FROM hits GROUP BY ALL HAVING count(*) > 1")
 def val01(spark: SparkSession, d: str) -> DataFrame:
     return checks.duplicate_keys(B.domain_hits(spark, d), ["protein_id", "authority", "domain_id", "start"]).withColumnRenamed("rows", "n_rows")
@@ -27,270 +22,35 @@ def val02(spark: SparkSession, d: str) -> DataFrame:
     return checks.broken_dependency(table(spark, d, "part"), ["p_brand"], ["p_size"])
 
 
-@query("val03_referential_check", "SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
-def val03(spark: SparkSession, d: str) -> DataFrame:
-    return checks.missing_references(table(spark, d, "customer"), "c_custkey", table(spark, d, "orders"), "o_custkey")
-
-
-@query("val04_identifier_text_check", "SELECT p_name FROM part WHERE NOT regexp_full_match(p_name, '[A-Za-z0-9][A-Za-z0-9_.:+/-]{0,254}')")
-def val04(spark: SparkSession, d: str) -> DataFrame:
-    return checks.bad_identifiers(table(spark, d, "part"), "p_name")
-
-
-@query("val05_coordinate_check", f"WITH {B.HITS}, n AS (SELECT protein_id, 5 AS length FROM hits GROUP BY 1) SELECT protein_id, start, start + 1 AS stop FROM hits JOIN n USING (protein_id) WHERE start < 1 OR start + 1 > length")
-def val05(spark: SparkSession, d: str) -> DataFrame:
-    rows = B.domain_hits(spark, d).withColumns({"stop": F.col("start") + 1, "length": F.lit(5)})
-    return checks.bad_intervals(rows, "start", "stop", "length").select("protein_id", "start", "stop")
-
-
 @query("val06_optional_number", "SELECT event_id, props FROM events WHERE trim(coalesce(props, '')) <> '' AND NOT coalesce(TRY_CAST(regexp_extract(props, '[0-9.]+') AS DOUBLE) BETWEEN 0 AND 50, false) AND regexp_extract(props, '[0-9.]+') <> ''")
 def val06(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events").withColumn("number", F.regexp_extract("props", "[0-9.]+", 0))
     return checks.bad_numbers(rows, "number", 0, 50).select("event_id", "props")
 
 
-@query("val12_enum_check", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')")
-def val12(spark: SparkSession, d: str) -> DataFrame:
-    return checks.bad_values(table(spark, d, "orders"), "o_orderstatus", ["F", "O"]).select("o_orderkey", "o_orderstatus")
-
-
-@query("val09_reviewed_label_coverage", "SELECT count(*) AS proteins, count_if(l.doc_id IS NULL) AS uncovered, count_if(quality = 1) AS targets, count_if(quality = 0) AS controls FROM documents d LEFT JOIN labels l USING (doc_id)")
-def val09(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").withColumn("there", F.lit(1)), "doc_id", "left")
-    return rows.agg(F.count("*").alias("proteins"), F.count_if(F.col("there").isNull()).alias("uncovered"), F.count_if(F.col("quality") == 1).alias("targets"), F.count_if(F.col("quality") == 0).alias("controls"))
-
-
-@query("val11_universe_check", f"WITH {B.POSITIVES} SELECT count(*) AS outside FROM positives WHERE protein_id NOT IN (SELECT o_orderkey FROM orders)")
-def val11(spark: SparkSession, d: str) -> DataFrame:
-    known = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"))
-    return B.positives(spark, d).join(known, "protein_id", "left_anti").agg(F.count("*").alias("outside"))
-
-
-# -- sources --------------------------------------------------------------------------------------------------
-
-
 @query("src11_wide_membership_unpivot", "SELECT user_id, event_type, unnest(list_distinct(list(event_id))) AS member FROM events GROUP BY 1, 2")
 def src11(spark: SparkSession, d: str) -> DataFrame:
     wide = readers.wide_members(table(spark, d, "events"), "user_id", "event_type", "event_id")
     return readers.unpivot_members(wide, "user_id", "event_type").withColumn("member", F.col("member").cast("long"))
 
 
-@query("src08_structure_pair_scan", "SELECT least(l_suppkey, l_partkey) AS a, greatest(l_suppkey, l_partkey) AS b, CASE WHEN l_suppkey <= l_partkey THEN l_discount ELSE l_tax END AS coverage_a, CASE WHEN l_suppkey <= l_partkey THEN l_tax ELSE l_discount END AS coverage_b FROM lineitem WHERE l_suppkey <> l_partkey")
-def src08(spark: SparkSession, d: str) -> DataFrame:
-    return readers.canonical_pairs(table(spark, d, "lineitem"), "l_suppkey", "l_partkey", "l_discount", "l_tax")
-
-
-@query("src18_search_hit_reduce", f"WITH {B.SEARCH}, p AS (SELECT least(member, seed) AS a, greatest(member, seed) AS b, bitscore AS score, line FROM search WHERE member <> seed) SELECT a, b, score FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY score DESC, line) AS r FROM p) WHERE r = 1")
-def src18(spark: SparkSession, d: str) -> DataFrame:
-    rows = B.search_hits(spark, d).filter("member <> seed").select(F.least("member", "seed").alias("a"), F.greatest("member", "seed").alias("b"), F.col("bitscore").alias("score"), "line")
-    return best_per_key(rows, ["a", "b"], [F.desc("score"), "line"]).drop("line")
-
-
-@query("src21_cluster_export_import", f"WITH {B.SEQUENCES} SELECT sequence, min(protein_id) AS protein_id, count(*) AS collapsed FROM sequences WHERE source = 'src3' GROUP BY 1")
-def src21(spark: SparkSession, d: str) -> DataFrame:
-    return B.sequences(spark, d).filter("source = 'src3'").groupBy("sequence").agg(F.min("protein_id").alias("protein_id"), F.count("*").alias("collapsed"))
-
-
-@query("src16_pocket_import", f"WITH {B.HITS} SELECT DISTINCT protein_id, 'POCKET:' || f AS feature_id FROM (SELECT protein_id, unnest(CASE WHEN start > 2 AND authority = 'A' THEN ['position', 'structure'] WHEN start > 2 THEN ['position'] WHEN authority = 'A' THEN ['structure'] ELSE [] END) AS f FROM hits)")
-def src16(spark: SparkSession, d: str) -> DataFrame:
-    rows = B.domain_hits(spark, d).select("protein_id", (F.col("start") > 2).alias("position"), (F.col("authority") == "A").alias("structure"))
-    return rows.unpivot(["protein_id"], ["position", "structure"], "name", "flag").filter("flag").select("protein_id", F.concat(F.lit("POCKET:"), "name").alias("feature_id")).distinct()
-
-
-# -- features of domains --------------------------------------------------------------------------------------
-
-
-@query("fea02_domain_features", f"WITH {B.HITS} SELECT protein_id, CASE WHEN authority = 'A' THEN 'PFAM_DOMAIN' ELSE 'DOMAIN' END AS feature_type, authority || ':' || domain_id AS feature_id, start FROM hits")
-def fea02(spark: SparkSession, d: str) -> DataFrame:
-    return B.domain_hits(spark, d).select("protein_id", F.when(F.col("authority") == "A", "PFAM_DOMAIN").otherwise("DOMAIN").alias("feature_type"), F.concat_ws(":", "authority", "domain_id").alias("feature_id"), "start")
-
-
-@query("fea03_domain_architecture", f"WITH {B.HITS} SELECT protein_id, authority, string_agg(domain_id, '>' ORDER BY start, domain_id) AS architecture FROM (SELECT DISTINCT * FROM hits) GROUP BY ALL")
-def fea03(spark: SparkSession, d: str) -> DataFrame:
-    hits = B.domain_hits(spark, d).distinct().groupBy("protein_id", "authority").agg(F.array_sort(F.collect_list(F.struct("start", "domain_id"))).alias("h"))
-    return hits.select("protein_id", "authority", F.array_join(F.transform("h", lambda x: x["domain_id"]), ">").alias("architecture"))
-
-
-@query("fea04_domain_sequences", f"WITH {B.SEQUENCES} SELECT protein_id, substr(sequence, (protein_id % 50 + 1)::INT, 20) AS domain_sequence FROM sequences")
-def fea04(spark: SparkSession, d: str) -> DataFrame:
-    return B.sequences(spark, d).select("protein_id", F.substring(F.col("sequence"), (F.col("protein_id") % 50 + 1).cast("int"), F.lit(20)).alias("domain_sequence"))
-
-
 @query("agg11_domain_assessment_summary", f"WITH {B.HITS} SELECT protein_id, authority, count(*) AS hits, count(DISTINCT domain_id) AS domains FROM hits GROUP BY ALL")
 def agg11(spark: SparkSession, d: str) -> DataFrame:
     return B.domain_hits(spark, d).groupBy("protein_id", "authority").agg(F.count("*").alias("hits"), F.count_distinct("domain_id").alias("domains"))
 
 
-@query("set03_complete_domain_assessments", f"WITH {B.HITS} SELECT o_orderkey AS protein_id, a.authority, CASE WHEN n IS NULL THEN 'NOT_ASSESSED' ELSE 'ASSESSED_WITH_HIT' END AS status FROM orders CROSS JOIN (SELECT DISTINCT authority FROM hits) a LEFT JOIN (SELECT protein_id, authority, count(*) AS n FROM hits GROUP BY ALL) h ON h.protein_id = o_orderkey AND h.authority = a.authority")
-def set03(spark: SparkSession, d: str) -> DataFrame:
-    known = agg11(spark, d).select("protein_id", "authority", F.lit("ASSESSED_WITH_HIT").alias("status"))
-    names = [r["authority"] for r in known.select("authority").distinct().limit(1000).collect()]  # authorities are a handful of tools
-    every = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), F.explode(F.array(*map(F.lit, names))).alias("authority"))
-    return every.join(known, ["protein_id", "authority"], "left").withColumn("status", F.coalesce("status", F.lit("NOT_ASSESSED")))
-
-
-@query("fea11_circularity_filter", f"WITH {B.HITS}, kept AS (SELECT DISTINCT protein_id, authority, domain_id FROM hits WHERE domain_id NOT IN ('Brand#1', 'Brand#11', 'Brand#12')) SELECT p.protein_id, p.authority, coalesce(k.n, 0) AS kept, CASE WHEN k.n IS NULL THEN 'ASSESSED_NO_HIT' ELSE 'ASSESSED_WITH_HIT' END AS status FROM (SELECT DISTINCT protein_id, authority FROM hits) p LEFT JOIN (SELECT protein_id, authority, count(*) AS n FROM kept GROUP BY ALL) k USING (protein_id, authority)")
-def fea11(spark: SparkSession, d: str) -> DataFrame:
-    hits = B.domain_hits(spark, d).select("protein_id", "authority", "domain_id").distinct()
-    kept = hits.filter(~F.col("domain_id").isin("Brand#1", "Brand#11", "Brand#12")).groupBy("protein_id", "authority").agg(F.count("*").alias("n"))
-    out = hits.select("protein_id", "authority").distinct().join(kept, ["protein_id", "authority"], "left")
-    return out.select("protein_id", "authority", F.coalesce("n", F.lit(0)).alias("kept"), F.when(F.col("n").isNull(), "ASSESSED_NO_HIT").otherwise("ASSESSED_WITH_HIT").alias("status"))
-
-
-# -- joins ----------------------------------------------------------------------------------------------------
-
-
-@query("jon01_label_membership_join", f"WITH {B.MEMBERS} SELECT comparison_id, protein_id, is_target FROM members")
-def jon01(spark: SparkSession, d: str) -> DataFrame:
-    return B.members(spark, d).select("comparison_id", "protein_id", "is_target")
-
-
-@query("jon02_feature_unit_join", f"WITH {B.MEMBERS}, {B.POSITIVES} SELECT comparison_id, unit, is_target, feature_id, count(*) AS proteins FROM members JOIN positives USING (protein_id) WHERE feature_type = 'BRAND' GROUP BY ALL")
+@query("jon02_feature_unit_join", f"WITH {B.MEMBERS}, {B.POSITIVES} SELECT comparison_id, unit, is_target, feature_id, count(*) AS proteins FROM members JOIN positives USING (protein_id) WHERE feature_type = 'DOMAIN' GROUP BY ALL")
 def jon02(spark: SparkSession, d: str) -> DataFrame:
-    joined = B.members(spark, d).join(B.positives(spark, d).filter("feature_type = 'BRAND'"), "protein_id")
+    joined = B.members(spark, d).join(B.frame(spark, d, "positives").filter("feature_type = 'DOMAIN'"), "protein_id")
     return joined.groupBy("comparison_id", "unit", "is_target", "feature_id").agg(F.count("*").alias("proteins"))
 
 
-@query("jon03_universe_compose", f"WITH {B.POSITIVES} SELECT feature_type, feature_id, CASE feature_type WHEN 'BRAND' THEN w ELSE n END AS universe FROM (SELECT feature_type, feature_id, count(DISTINCT protein_id) AS n FROM positives GROUP BY ALL), (SELECT count(DISTINCT l_orderkey) AS w FROM lineitem)")
-def jon03(spark: SparkSession, d: str) -> DataFrame:
-    own = B.positives(spark, d).groupBy("feature_type", "feature_id").agg(F.count_distinct("protein_id").alias("own"))
-    whole = table(spark, d, "lineitem").agg(F.count_distinct("l_orderkey").alias("whole"))
-    return own.crossJoin(F.broadcast(whole)).select("feature_type", "feature_id", F.when(F.col("feature_type") == "BRAND", F.col("whole")).otherwise(F.col("own")).alias("universe"))
-
-
-@query("jon13_representative_hits", f"WITH {B.SEARCH} SELECT member, seed, line, bitscore, CASE WHEN o_orderkey IS NULL THEN 'HIT_UNINDEXED' ELSE 'HIT_INDEXED' END AS status FROM search LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') ON member = o_orderkey")
-def jon13(spark: SparkSession, d: str) -> DataFrame:
-    index = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("member"), F.lit(True).alias("there"))
-    return B.search_hits(spark, d).join(index, "member", "left").select("member", "seed", "line", "bitscore", F.when(F.col("there"), "HIT_INDEXED").otherwise("HIT_UNINDEXED").alias("status"))
-
-
-@query("jon14_candidate_screen_audit", f"""WITH {B.SEARCH}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY member ORDER BY bitscore DESC, seed, part, line) AS r FROM search WHERE identity >= 95) WHERE r = 1),
-    first AS (SELECT seed, min(member) AS kept FROM best GROUP BY 1) SELECT o_orderkey AS member, CASE WHEN b.member IS NULL THEN 'NO_RETAINED_HIT' WHEN f.kept = b.member THEN 'SELECTED' ELSE 'EXACT_SEQUENCE_DUPLICATE' END AS status FROM orders LEFT JOIN best b ON b.member = o_orderkey LEFT JOIN first f ON f.seed = b.seed""")
-def jon14(spark: SparkSession, d: str) -> DataFrame:
-    best = best_per_key(B.search_hits(spark, d).filter("identity >= 95"), ["member"], [F.desc("bitscore"), "seed", "part", "line"]).select("member", "seed")
-    kept = best.groupBy("seed").agg(F.min("member").alias("kept"))
-    audit = table(spark, d, "orders").select(F.col("o_orderkey").alias("member")).join(best.join(kept, "seed"), "member", "left")
-    return audit.select("member", F.when(F.col("kept").isNull(), "NO_RETAINED_HIT").when(F.col("kept") == F.col("member"), "SELECTED").otherwise("EXACT_SEQUENCE_DUPLICATE").alias("status"))
-
-
-@query("jon15_hit_threshold_filter", f"WITH {B.SEARCH} SELECT member, seed, line, round(identity, 6) AS identity FROM search WHERE identity >= 92.5 AND bitscore > 20000")
-def jon15(spark: SparkSession, d: str) -> DataFrame:
-    return B.search_hits(spark, d).filter("identity >= 92.5 and bitscore > 20000").select("member", "seed", "line", F.round("identity", 6).alias("identity"))
-
-
 @query("jon17_group_search", "SELECT c_custkey, c_name, count(o_orderkey) AS members FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE contains(lower(c_name), '#00000001') GROUP BY ALL")
 def jon17(spark: SparkSession, d: str) -> DataFrame:
     groups = table(spark, d, "customer").filter(F.contains(F.lower("c_name"), F.lit("#00000001")))
     return groups.join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_custkey", "c_name").agg(F.count("o_orderkey").alias("members"))
 
 
-@query("jon29_label_alias_resolution", "WITH alias AS (SELECT n_nationkey, lower(n_name) AS term FROM nation UNION SELECT n_nationkey, 'n' || n_nationkey FROM nation), asked AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'N' || c_nationkey WHEN c_custkey % 7 = 0 THEN 'none' ELSE upper(n_name) END AS term FROM customer JOIN nation ON c_nationkey = n_nationkey) SELECT c_custkey, asked.term, n_nationkey FROM asked LEFT JOIN alias ON lower(asked.term) = alias.term")
-def jon29(spark: SparkSession, d: str) -> DataFrame:
-    nation, customer = table(spark, d, "nation"), table(spark, d, "customer")
-    alias = nation.select("n_nationkey", F.explode(F.array_distinct(F.array(F.lower("n_name"), F.concat(F.lit("n"), "n_nationkey")))).alias("alias"))
-    asked = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("N"), "c_nationkey")).when(F.col("c_custkey") % 7 == 0, "none").otherwise(F.upper("n_name")).alias("term"))
-    return asked.join(F.broadcast(alias), F.lower("term") == F.col("alias"), "left").select("c_custkey", "term", "n_nationkey")
-
-
-@query("jon25_control_candidate_join", """WITH s AS (SELECT o_orderkey, o_custkey, log2(o_totalprice + 1) AS n, o_orderstatus = 'P' AS target FROM orders)
-    SELECT t.o_orderkey AS target, c.o_orderkey AS control, round(abs(t.n - c.n), 7) AS caliper FROM s t JOIN s c ON t.target AND NOT c.target AND t.o_custkey = c.o_custkey WHERE abs(t.n - c.n) <= 0.5""")
-def jon25(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), "o_custkey", "o_totalprice", "o_orderstatus")
-    pairs = readers.caliper_join(rows.filter("o_orderstatus = 'P'"), rows.filter("o_orderstatus <> 'P'"), ["o_custkey"], "o_totalprice", 0.5)
-    return pairs.select(F.col("left_id").alias("target"), F.col("right_id").alias("control"), F.round("caliper", 7).alias("caliper"))
-
-
-# -- windows --------------------------------------------------------------------------------------------------
-
-
-@query("win03_best_hit_dedupe", f"WITH {B.SEARCH} SELECT member, seed, bitscore FROM (SELECT *, row_number() OVER (PARTITION BY member ORDER BY bitscore DESC, seed, part, line) AS r FROM search) WHERE r = 1")
-def win03(spark: SparkSession, d: str) -> DataFrame:
-    return best_per_key(B.search_hits(spark, d), ["member"], [F.desc("bitscore"), "seed", "part", "line"]).select("member", "seed", "bitscore")
-
-
-@query("win04_seed_priority_dedupe", f"WITH {B.SEQUENCES} SELECT protein_id, first_value(protein_id) OVER (PARTITION BY sequence ORDER BY protein_id % 5 <> 0, protein_id) AS retained FROM sequences")
-def win04(spark: SparkSession, d: str) -> DataFrame:
-    rows = B.sequences(spark, d).select("protein_id", F.sha2("sequence", 256).alias("h"))
-    kept = rows.groupBy("h").agg(F.min_by("protein_id", F.struct(F.col("protein_id") % 5 != 0, "protein_id")).alias("retained"))
-    return rows.join(kept, "h").select("protein_id", "retained")
-
-
-@query("win06_network_preview", "SELECT label, vec_id, members, role FROM (SELECT label, vec_id, count(*) OVER (PARTITION BY label) AS members, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1 THEN 'CENTROID' ELSE 'MEMBER' END AS role FROM embeddings) WHERE r <= 36")
-def win06(spark: SparkSession, d: str) -> DataFrame:
-    v = table(spark, d, "embeddings").select("label", "vec_id")
-    ranked = v.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))).filter("r <= 36")
-    return ranked.join(F.broadcast(v.groupBy("label").agg(F.count("*").alias("members"))), "label").select("label", "vec_id", "members", F.when(F.col("r") == 1, "CENTROID").otherwise("MEMBER").alias("role"))
-
-
-@query("win07_unit_representative", "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'F' DESC, o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1")
-def win07(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.min_by("o_orderkey", F.struct(F.col("o_orderstatus") != "F", -F.col("o_totalprice"), F.col("o_orderkey"))).alias("o_orderkey"))
-
-
-@query("win11_best_realignment", f"WITH {B.SEARCH} SELECT seed, max(bitscore) AS bitscore, arg_max(identity, (bitscore, identity)) AS identity FROM search GROUP BY 1")
-def win11(spark: SparkSession, d: str) -> DataFrame:
-    return B.search_hits(spark, d).groupBy("seed").agg(F.max("bitscore").alias("bitscore"), F.max_by("identity", F.struct("bitscore", "identity")).alias("identity"))
-
-
 @query("win12_top_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
 def win12(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100).select("o_orderkey", "o_totalprice")
-
-
-@query("win14_suggested_entities", f"WITH {B.HITS} SELECT protein_id, count(DISTINCT domain_id) AS labels FROM hits GROUP BY 1 ORDER BY labels DESC, protein_id LIMIT 250")
-def win14(spark: SparkSession, d: str) -> DataFrame:
-    return B.domain_hits(spark, d).groupBy("protein_id").agg(F.count_distinct("domain_id").alias("labels")).orderBy(F.desc("labels"), "protein_id").limit(250)
-
-
-@query("win15_matched_slots", "SELECT c_custkey, s AS slot, o_orderkey FROM (SELECT c_custkey, unnest([1, 2, 3]) AS s FROM customer) LEFT JOIN (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders) ON c_custkey = o_custkey AND s = r")
-def win15(spark: SparkSession, d: str) -> DataFrame:
-    slots = table(spark, d, "customer").select("c_custkey", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("slot"))
-    matched = table(spark, d, "orders").withColumn("slot", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))).filter("slot <= 3").select(F.col("o_custkey").alias("c_custkey"), "slot", "o_orderkey")
-    return slots.join(matched, ["c_custkey", "slot"], "left")
-
-
-# -- sets and projections -------------------------------------------------------------------------------------
-
-
-@query("set01_feature_merge", f"WITH {B.HITS}, u AS (SELECT protein_id, domain_id, 1 AS priority FROM hits WHERE authority = 'A' UNION ALL SELECT protein_id, domain_id, 2 FROM hits WHERE authority = 'N' UNION ALL SELECT protein_id, domain_id, 3 FROM hits WHERE authority = 'R') SELECT protein_id, domain_id, max(priority) AS priority FROM u GROUP BY ALL")
-def set01(spark: SparkSession, d: str) -> DataFrame:
-    hits = B.domain_hits(spark, d)
-    parts = [hits.filter(F.col("authority") == a).select("protein_id", "domain_id", F.lit(k).alias("priority")) for k, a in enumerate("ANR", 1)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("protein_id", "domain_id").agg(F.max("priority").alias("priority"))
-
-
-@query("set04_selection_except", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
-def set04(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey").subtract(table(spark, d, "orders").select("o_custkey"))
-
-
-@query("set06_taxon_filter", f"WITH {B.HITS} SELECT protein_id FROM hits GROUP BY 1 HAVING count(DISTINCT authority) = 1 AND bool_and(authority IN ('A', 'N'))")
-def set06(spark: SparkSession, d: str) -> DataFrame:
-    return B.domain_hits(spark, d).groupBy("protein_id").agg(F.count_distinct("authority").alias("n"), F.bool_and(F.col("authority").isin("A", "N")).alias("ok")).filter("n = 1 and ok").select("protein_id")
-
-
-@query("prj07_filtered_feature_export", f"WITH {B.HITS} SELECT protein_id, domain_id, start FROM hits WHERE authority IN ('A', 'R') AND contains(domain_id, '#2') ORDER BY ALL LIMIT 250000")
-def prj07(spark: SparkSession, d: str) -> DataFrame:
-    rows = B.domain_hits(spark, d).filter(F.col("authority").isin("A", "R") & F.contains("domain_id", F.lit("#2"))).select("protein_id", "domain_id", "start")
-    return rows.orderBy("protein_id", "domain_id", "start").limit(250_000)
-
-
-@query("prj08_bounded_preview", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
-def prj08(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").select("o_orderkey", "o_totalprice").orderBy("o_orderkey").offset(100).limit(50)
-
-
-@query("prj04_acquisition_outcome", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'FAILED' WHEN o_totalprice < 50000 THEN 'LOW_CONFIDENCE' WHEN o_orderstatus = 'F' THEN 'ELIGIBLE' ELSE 'UNVERIFIED' END AS outcome FROM orders")
-def prj04(spark: SparkSession, d: str) -> DataFrame:
-    status = F.col("o_orderstatus")
-    return table(spark, d, "orders").select("o_orderkey", F.when(status == "P", "FAILED").when(F.col("o_totalprice") < 50000, "LOW_CONFIDENCE").when(status == "F", "ELIGIBLE").otherwise("UNVERIFIED").alias("outcome"))
-
-
-@query("prj13_canonical_projection", f"WITH {B.HITS} SELECT protein_id, string_agg(DISTINCT domain_id, '|' ORDER BY domain_id) AS domains FROM hits GROUP BY 1")
-def prj13(spark: SparkSession, d: str) -> DataFrame:
-    return B.domain_hits(spark, d).groupBy("protein_id").agg(F.array_join(F.array_sort(F.collect_set("domain_id")), "|").alias("domains"))
-
-
-@query("fea21_exact_evidence", "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 0 AND l_discount <= 0.1 THEN round(100 * (1 - l_discount), 7) END AS identity, CASE WHEN l_quantity <= 40 THEN round(l_quantity / 40, 7) END AS coverage FROM lineitem")
-def fea21(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when((F.col("l_quantity") > 0) & (F.col("l_discount") <= 0.1), F.round(100 * (1 - F.col("l_discount")), 7)).alias("identity"), F.when(F.col("l_quantity") <= 40, F.round(F.col("l_quantity") / 40, 7)).alias("coverage"))
