@@ -12,7 +12,7 @@ from cohortry.plans.registry import query
 from cohortry.plans.reports import r7
 from cohortry.storage import materialize
 
-SETTINGS = models.Settings(maximum_features=60, folds=2, strengths=(1.0, 10.0), iterations=25, repeats=3, permuted_features=10)
+SETTINGS = models.Settings(maximum_features=60, folds=2, strengths=(1.0, 10.0), iterations=12, tolerance=1e-3, repeats=3, permuted_features=10)
 _SAMPLES = f"""{_BASE}, mixed AS (SELECT comparison_id, unit FROM blocks WHERE mixed AND partition = 'DISCOVERY'),
     samples AS (SELECT m.comparison_id, m.protein_id, m.partition, m.unit, m.is_target::INT AS target FROM members m WHERE m.partition <> 'DISCOVERY' OR (m.comparison_id, m.unit) NOT IN (SELECT (comparison_id, unit) FROM mixed))"""
 

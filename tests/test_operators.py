@@ -63,22 +63,80 @@ def test_chain_collapses(spark):
 
 def test_blocks_keep_unknown_apart(spark):
     members = spark.createDataFrame(
-        [("c", "DISCOVERY", 1, 1, True, True), ("c", "DISCOVERY", 1, 2, True, False), ("c", "DISCOVERY", 2, 3, True, True), ("c", "DISCOVERY", 3, 4, False, True), ("c", "DISCOVERY", 4, 5, False, True), ("c", "DISCOVERY", 4, 6, True, True), ("c", "DISCOVERY", 5, 7, True, False)],
-        "comparison_id string, partition string, unit long, protein_id long, is_target boolean, assessed boolean",
+        [("c", "DISCOVERY", 1, 1, True), ("c", "DISCOVERY", 1, 2, True), ("c", "DISCOVERY", 2, 3, True), ("c", "DISCOVERY", 3, 4, False), ("c", "DISCOVERY", 4, 5, False), ("c", "DISCOVERY", 4, 6, True), ("c", "DISCOVERY", 5, 7, True)],
+        "comparison_id string, partition string, unit long, protein_id long, is_target boolean",
     )
-    positives = spark.createDataFrame([(1, "F", "f"), (5, "F", "f")], "protein_id long, feature_type string, feature_id string")
-    row = association.feature_block_counts(members, positives).first()
+    positives = spark.createDataFrame([(1, "F", "f"), (5, "F", "f"), (1, "G", "g"), (1, "H", "h")], "protein_id long, feature_type string, feature_id string")
+    universes = spark.createDataFrame([("F", "f", "u"), ("G", "g", None), ("H", "h", "POSITIVES")], "feature_type string, feature_id string, universe string")
+    assessed = spark.createDataFrame([("u", k) for k in (1, 3, 4, 5, 6)], "universe string, protein_id long")
+    got = {r["feature_type"]: r for r in association.feature_block_counts(members, positives, universes, assessed).collect()}
     # block 1 is present though part of it is unassessed, 2 is absent, 5 unknown, 4 is mixed and leaves both sides
-    assert (row["target_present"], row["target_absent"], row["target_unknown"]) == (1, 1, 1)
+    row = got["F"]
+    assert (row["target_present"], row["target_absent"], row["target_unknown"], row["target_with"], row["background_with"]) == (1, 1, 1, 1, 1)
     assert (row["background_present"], row["background_absent"], row["background_unknown"]) == (0, 1, 0)
+    # a universal feature is known everywhere, one without a universe nowhere but where it is present
+    assert (got["G"]["target_absent"], got["G"]["target_unknown"], got["G"]["background_absent"]) == (2, 0, 1)
+    assert (got["H"]["target_absent"], got["H"]["target_unknown"], got["H"]["background_unknown"]) == (0, 2, 1)
+
+
+def cohort_rows(spark, absent_in_validation=False):
+    """Forty target and forty background blocks of one protein in each partition; feature x is in all targets, y in all proteins, z in one."""
+    members, positives, k = [], [], 0
+    for part in ("DISCOVERY", "VALIDATION"):
+        for target in (True, False):
+            for _ in range(40):
+                members.append(("c", part, k, k, target))
+                positives.append((k, "D", "y"))
+                if target and not (absent_in_validation and part == "VALIDATION"):
+                    positives.append((k, "D", "x"))
+                k += 1
+    members.append(("few", "DISCOVERY", 500, 500, True))
+    positives.append((0, "D", "z"))
+    types = "comparison_id string, partition string, unit long, protein_id long, is_target boolean", "protein_id long, feature_type string, feature_id string"
+    universes = spark.createDataFrame([("D", n, None) for n in "xyz"], "feature_type string, feature_id string, universe string")
+    return spark.createDataFrame(members, types[0]), spark.createDataFrame(positives, types[1]), universes, spark.createDataFrame([], "universe string, protein_id long")
+
+
+def test_association_statuses_and_frozen_family(spark):
+    names = spark.createDataFrame([("c",), ("few",)], "comparison_id string")
+    parts = cohort_rows(spark, absent_in_validation=True)
+    rows = {(r["comparison_id"], r["partition"], r["feature_id"]): r for r in association.associate(*parts, names).collect()}
+    assert rows["c", "DISCOVERY", "x"]["direction"] == "TARGET_ENRICHED" and rows["c", "DISCOVERY", "x"]["q_value"] < 1e-9
+    # z is in too few proteins; y has no difference, so only x is tested in the held-out part, where no protein has it
+    assert ("c", "DISCOVERY", "z") not in rows and ("c", "VALIDATION", "y") not in rows
+    held = rows["c", "VALIDATION", "x"]
+    assert (held["target_present"], held["target_absent"], held["status"], held["p_value"]) == (0, 40, "COMPLETE", 1.0)
+    assert {k[2] for k in rows if k[0] == "few"} == {"INSUFFICIENT_SAMPLE_SIZE"} and sum(k[0] == "few" for k in rows) == 2
+    excluded = association.associate(*parts, names, spark.createDataFrame([("D", "x")], "feature_type string, feature_id string"))
+    assert [r["status"] for r in excluded.filter("partition = 'VALIDATION' and feature_id = 'x'").collect()] == ["EXCLUDED"]
+
+
+def test_evidence_classes(spark):
+    row = lambda part, f, q, study, diff, status="COMPLETE", kind="D": ("c", part, kind, f, status, q, study, diff)
+    rows = [
+        row("DISCOVERY", "both", 0.01, 0.02, 0.5), row("VALIDATION", "both", 0.01, 0.02, 0.4), row("DISCOVERY", "within", 0.01, 0.02, 0.5), row("VALIDATION", "within", 0.01, 0.2, 0.4),
+        row("DISCOVERY", "study", 0.01, 0.02, 0.5), row("VALIDATION", "study", 0.2, 0.01, 0.4), row("DISCOVERY", "zero", 0.01, 0.2, 0.5), row("VALIDATION", "zero", 0.9, 0.9, 0.0),
+        row("DISCOVERY", "against", 0.01, 0.02, 0.5), row("VALIDATION", "against", 0.01, 0.01, -0.4), row("DISCOVERY", "alone", 0.01, 0.02, 0.5), row("DISCOVERY", "STRUCTURE", 0.01, 0.02, 0.5, kind="STRUCTURE_AVAILABLE"),
+        row("DISCOVERY", "all", 0.01, 0.02, 0.5), ("none", "DISCOVERY", "D", "n", "COMPLETE", 0.5, 0.5, 0.1), ("bare", "DISCOVERY", "ANALYSIS", "NO_ELIGIBLE_FEATURES", "NO_ELIGIBLE_FEATURES", None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "comparison_id string, partition string, feature_type string, feature_id string, status string, q_value double, study_q_value double, prevalence_difference double")
+    found = association.synthesize(df, exploratory=spark.createDataFrame([("D", "all")], "feature_type string, feature_id string")).collect()
+    got = {r["feature_id"]: r["evidence_class"] for r in found if r["comparison_id"] == "c"}
+    assert got == {
+        "both": "DECISION_CANDIDATE__VALIDATED_STUDY_WIDE", "within": "DECISION_CANDIDATE__VALIDATED_WITHIN_COMPARISON", "study": "DECISION_CANDIDATE__DISCOVERY_ONLY", "zero": "EXPLORATORY_LOCAL_ONLY__DISCOVERY_ONLY",
+        "against": "DECISION_CANDIDATE__DIRECTION_DISCORDANT", "alone": "DECISION_CANDIDATE__NO_VALIDATION_DATA", "STRUCTURE": "QC_TECHNICAL_NON_BIOLOGICAL__NO_VALIDATION_DATA", "all": "EXPLORATORY_ALL_DATA_DERIVATION__NO_VALIDATION_DATA",
+    }
+    assert {r["comparison_id"]: r["evidence_class"] for r in found if r["comparison_id"] != "c"} == {"none": "NO_DISCOVERY_SIGNATURE", "bare": "DISCOVERY_NOT_TESTED__NO_ELIGIBLE_FEATURES"}
 
 
 def test_structure_cluster_golden_case(spark):
-    edges = spark.createDataFrame([("u", 1, 2, 0.9), ("u", 2, 3, 0.8), ("u", 2, 4, 0.95), ("u", 2, 5, 0.65), ("u", 4, 5, 0.9)], "universe string, a long, b long, score double")
+    pairs = spark.createDataFrame([("u", "F", "t", "1", a, b, s) for a, b, s in ((1, 2, 0.9), (2, 3, 0.8), (2, 4, 0.95), (2, 5, 0.65), (4, 5, 0.9))], "comparison_universe_id string, coverage_scope string, comparison_tool string, comparison_tool_version string, protein_a_id long, protein_b_id long, tm_score double")
     proteins = spark.createDataFrame([(1, "DISCOVERY"), (2, "DISCOVERY"), (3, "DISCOVERY"), (4, "VALIDATION"), (5, "VALIDATION")], "protein_id long, partition string")
-    got = {r["protein_id"]: (r["membership"], r["edges"], r["best_score"]) for r in blocks.structure_clusters(edges, proteins).collect()}
-    assert got[1] == ("DISCOVERY_COMPONENT", 1, 0.9) and got[2][1] == 2
-    assert got[4] == ("VALIDATION_PROJECTED", 1, 0.95) and got[5] == ("VALIDATION_PROJECTED", 1, 0.65)
+    got = {r["protein_id"]: r for r in blocks.structure_clusters(pairs, proteins).collect()}
+    assert (got[1]["membership_method"], got[1]["supporting_edge_count"], got[1]["best_tm_score"], got[2]["supporting_edge_count"]) == ("DISCOVERY_COMPONENT", 1, 0.9, 2)
+    assert (got[4]["membership_method"], got[4]["supporting_edge_count"], got[4]["best_tm_score"], got[5]["best_tm_score"]) == ("VALIDATION_PROJECTION", 1, 0.95, 0.65)
+    assert {(r["member_count"], r["reference_member_count"], r["edge_count"]) for r in got.values()} == {(5, 3, 2)} and len({r["cluster_id"] for r in got.values()}) == 1
+    assert {r["membership_method"] for r in blocks.structure_clusters(pairs).collect()} == {"ALL_DATA_COMPONENT"}
 
 
 def test_label_closure_and_cycle(spark):
@@ -96,9 +154,28 @@ def test_pairwise_identity_golden_case(spark):
 
 
 def test_kmers_of_short_and_empty_sequences(spark):
-    rows = spark.createDataFrame([(1, "ABABA"), (2, "AB"), (3, "")], "protein_id long, sequence string")
-    got = sorted(tuple(r) for r in sequences.kmer_rows(rows, [3]).collect())
-    assert got == [(1, 3, "ABA"), (1, 3, "BAB")]
+    rows = spark.createDataFrame([(1, "ABABA"), (2, "AB"), (3, ""), (4, None), (5, "ABA*C-DABAB"), (6, "ab1ABA")], "protein_id long, sequence string")
+    seen = {(k, "".join(g)): set() for k in (2, 3) for g in ()}
+    for key, text in ((r[0], r[1] or "") for r in rows.collect()):
+        for k in (2, 3):
+            for i in range(len(text) - k + 1):
+                if all(c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ*-?" for c in text[i : i + k]):
+                    seen.setdefault((k, text[i : i + k]), set()).add(key)
+    counts = sequences.kmer_prevalence(rows, [2, 3])
+    assert {(r["length"], r["kmer"]): r["proteins"] for r in counts.collect()} == {k: len(v) for k, v in seen.items()}
+    words = spark.createDataFrame([(3, "ABA"), (3, "BAB"), (3, "ZZZ")], "length int, kmer string")
+    for limit in (sequences.VOCABULARY_LIMIT, 1):
+        sequences.VOCABULARY_LIMIT, old = limit, sequences.VOCABULARY_LIMIT
+        got = sorted(tuple(r) for r in sequences.kmer_rows(rows, words).select("protein_id", "length", "kmer").collect())
+        sequences.VOCABULARY_LIMIT = old
+        assert got == sorted((p, k, m) for (k, m), ps in seen.items() if m in ("ABA", "BAB") for p in ps)
+    ranked = {r["kmer"] for r in sequences.ranked_vocabulary(counts, 3, [2, 3], minimum=2).collect()}
+    order = sorted((( -len(v), f"k{k}:{m}"), k, m) for (k, m), v in seen.items() if len(v) >= 2)
+    first = [m for _, k, m in order if k == 3][:2] + [m for _, k, m in order if k == 2][:1]
+    assert ranked == set(first)
+    with pytest.raises(ValueError):
+        sequences.ranked_vocabulary(counts, 2, [2, 3], strict=True)
+    assert rows.filter("protein_id = 1").select(sequences.occurrences(F.col("sequence"), "ABA").alias("at")).first()["at"] == [1, 3]
 
 
 def test_fasta_round_trip(spark, tmp_path):
