@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a folder of our own."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset, a folder of our own in local mode, and an error on a cluster, whose machines share none."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
     known = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not known and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not known:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         known = spark.sparkContext.getCheckpointDir()
