@@ -173,7 +173,8 @@ class Mixture:
         spread = placed.filter("_size > 0").select("_no", "_at", "_size", F.explode(F.sequence(F.floor(F.col("_at") / self.block).cast("long"), last)).alias("block"))
         low = F.greatest(F.col("_at"), F.col("block") * self.block)
         high = F.least(F.col("_at") + F.col("_size"), F.col("block") * self.block + F.col("take"))
-        joined = spread.join(self.slots(), ["_no", "block"])
+        # slots grow with the words, though Spark takes the exploded ranges for a small table
+        joined = spread.join(self.slots().hint("merge"), ["_no", "block"])
         return joined.select("_no", "_at", "_size", "shard", "pass", (low - F.col("_at")).alias("begin"), (high - low).alias("words")).filter("words > 0")
 
     def taken(self) -> DataFrame:

@@ -14,7 +14,10 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose language is rejected; the others keep all their columns."""
+    """Drop the documents whose language is rejected; the others keep all their columns.
+
+    Null and empty texts, and texts without a letter, are rejected. Ids play no part; repeated rows are judged alike; no rows give none.
+    """
     model = language.fit(docs)
     own = {c: f"_own{k}" for k, c in enumerate(docs.columns)}
     judged = language.predict(docs.select(F.col("text"), *[F.col(f"`{c}`").alias(n) for c, n in own.items()]), model)
@@ -36,7 +39,10 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of every component, that of the smallest id; ids may be null or repeated."""
+    """Keep one row of every component, that of the smallest id (null ids last); rows are told apart by all their columns.
+
+    Rows that are equal in all columns are one group if they have words, and one stays. Texts without words form no group and all stay. No rows give none.
+    """
     keyed, repeated = _keyed(docs)
     found = materialize(jaccard.jaccard_components(keyed, key="_row").select(F.col("doc_id").alias("_row"), "n_shingles", "component_id").distinct(), "components")
     several = found.filter("component_id <> _row").select("component_id").distinct()
@@ -52,19 +58,28 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the rows that hold a benchmark item, whatever their ids."""
+    """Drop the rows that hold a benchmark item, whatever their ids, null ones and those of other texts included.
+
+    Null and empty texts hold none and stay. Without items, or without rows, nothing changes.
+    """
     keyed, _ = _keyed(docs)
     found = materialize(containment.contaminated(keyed, table(spark, sf_dir, "benchmark"), key="_row").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
     return keyed.join(found, "_row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture of sources as documents, a row per pass that takes words of one."""
+    """The mixture of sources as documents, a row per pass that takes words of one.
+
+    Texts without words are never taken. Null sources are one source; null ids and repeated rows are kept, each on its own. No rows give none.
+    """
     return mixing.Mixture(docs).documents()
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode the mixture, write it in bit planes, and read back where every document stands."""
+    """Encode the mixture, write it in bit planes, and read back where every document stands.
+
+    Null ids stand first; rows of one id stand one after another. No rows give none.
+    """
     path = new_path(spark, "tokens")
     token_files.write_tokens(docs, path, tokenizer_path())
     return token_files.read_tokens(spark.read.parquet(path))
