@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import containment, graph_search, jaccard, language, licenses, mixing, shards, suffix_dedup, token_counts, token_files
+from cohortry.llm import containment, conversations, graph_search, jaccard, language, licenses, mixing, shards, suffix_dedup, token_counts, token_files
 from cohortry.storage import new_path, table
 
 
@@ -67,7 +67,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.licensed(table(spark, sf_dir, "documents"), licenses.TEMPLATES)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_bit_planes, op4_minimax_shards, op5_decontamination, op6_graph_search, op7_jaccard_join, op8_language_id, op9_source_mix, op10_license_scan)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_bit_planes, op4_minimax_shards, op5_decontamination, op6_graph_search, op7_jaccard_join, op8_language_id, op9_source_mix, op10_license_scan, op11_conversation_repair)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
