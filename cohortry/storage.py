@@ -36,6 +36,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder in buckets of ``key``, as many as the session's shuffle partitions; a join by ``key`` then moves the other side only."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", new_path(spark, label)).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One input table. Python workers that this session starts find this package where the driver has it."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
