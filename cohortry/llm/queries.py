@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import containment, conversations, graph_search, jaccard, language, licenses, mixing, shards, suffix_dedup, token_counts, token_files
+from cohortry.llm import bpe_words, containment, conversations, graph_search, jaccard, language, licenses, mixing, shards, suffix_dedup, token_counts, token_files
 from cohortry.storage import new_path, table
 
 
@@ -71,7 +71,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_bit_planes, op4_minimax_shards, op5_decontamination, op6_graph_search, op7_jaccard_join, op8_language_id, op9_source_mix, op10_license_scan, op11_conversation_repair)}
+def op13_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    found = bpe_words.decode(bpe_words.encode(table(spark, sf_dir, "documents"), path), path)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_bit_planes, op4_minimax_shards, op5_decontamination, op6_graph_search, op7_jaccard_join, op8_language_id, op9_source_mix, op10_license_scan, op11_conversation_repair, op13_bpe_words)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
