@@ -29,14 +29,15 @@ from cohortry.storage import bucketed
 #: White space as tokenizers see it (fixed values), and the place before a blank that does not follow any.
 SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 EDGE = rf"(?= )(?<=[^{SPACE}])"
-#: Bytes of text that make up a block, words of a bucket, ids that leave a task at a time.
+#: Bytes of text that make up a block, words of a bucket, ids that leave a task and words that are encoded at a time.
 BLOCK_BYTES = 16 << 20
 BUCKET_WORDS = 1 << 20
 IDS_OUT = 1 << 20
+ENCODED = 8192
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
+@lru_cache(maxsize=4)
+def tokenizer(path: str, special_as_text: bool = False):
     """The tokenizer of a file, without truncation and padding; refused if it does not part words at blanks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -44,6 +45,7 @@ def tokenizer(path: str):
     found = Tokenizer.from_file(path)
     found.no_truncation()
     found.no_padding()
+    found.encode_special_tokens = special_as_text
 
     def one(text: str) -> list[int]:
         return found.encode(text, add_special_tokens=False).ids
@@ -69,16 +71,32 @@ def pieces(path: str) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-def _packed(values: np.ndarray) -> bytes:
+def packed(values: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers in byte planes, compressed."""
     return zstandard.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
-def _numbers(data: bytes) -> np.ndarray:
+def numbers(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array]]:
+    """Blocks of rows (doc_id, words) of about ``BLOCK_BYTES``: their ids, how many words each has, and all words in order."""
+    keys, counts, held, size = [], [], [], 0
+    for batch in batches:
+        lists = batch.column("words")
+        keys.append(batch.column("doc_id"))
+        counts.append(pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int32))
+        held.append(lists.flatten())
+        size += held[-1].nbytes
+        if size >= BLOCK_BYTES:
+            yield pa.concat_arrays(keys), np.concatenate(counts), pa.concat_arrays(held)
+            keys, counts, held, size = [], [], [], 0
+    if held:
+        yield pa.concat_arrays(keys), np.concatenate(counts), pa.concat_arrays(held)
+
+
 def _blocks(rows: DataFrame) -> DataFrame:
     """Blocks of documents: block, doc_ids, how many words each has, n_words, codes (a number for every place), sizes and bytes of the different words."""
     key = rows.schema["doc_id"].dataType
@@ -90,28 +108,14 @@ def _blocks(rows: DataFrame) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block = TaskContext.get().partitionId() << 32
-        keys, counts, held, size = [], [], [], 0
-
-        def close() -> pa.RecordBatch:
-            coded = pa.concat_arrays(held).cast(pa.large_binary()).dictionary_encode()
+        part = TaskContext.get().partitionId() << 32
+        for block, (keys, counts, places) in enumerate(gathered(batches)):
+            coded = places.cast(pa.large_binary()).dictionary_encode()
             words = coded.dictionary
-            sizes = pc.binary_length(words).to_numpy().astype(np.int64)
-            columns = [[block], [pa.concat_arrays(keys)], [np.concatenate(counts)], [len(words)], [_packed(coded.indices.to_numpy())], [_packed(sizes)], [zstandard.compress(b"".join(words.to_pylist()))]]
-            types = [pa.int64(), pa.list_(keys[0].type), pa.list_(pa.int32()), pa.int64(), *[pa.binary()] * 3]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.fieldNames())
-
-        for batch in batches:
-            lists = batch.column("words")
-            keys.append(batch.column("doc_id"))
-            counts.append(pc.list_value_length(lists).to_numpy().astype(np.int32))
-            held.append(lists.flatten())
-            size += held[-1].nbytes
-            if size >= BLOCK_BYTES:
-                yield close()
-                keys, counts, held, size, block = [], [], [], 0, block + 1
-        if held:
-            yield close()
+            sizes = pc.binary_length(words).to_numpy()
+            columns = [[part + block], [keys], [counts], [len(words)], [packed(coded.indices.to_numpy())], [packed(sizes)], [zstandard.compress(b"".join(words.to_pylist()))]]
+            types = [pa.int64(), pa.list_(keys.type), pa.list_(pa.int32()), pa.int64(), *[pa.binary()] * 3]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.fieldNames())
 
     return small_batches(rows).mapInArrow(gather, schema)
 
@@ -127,7 +131,7 @@ def _asked(blocks: DataFrame, buckets: int) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                sizes, data = _numbers(row["sizes"]).astype(np.int64), zstandard.decompress(row["bytes"])
+                sizes, data = numbers(row["sizes"]).astype(np.int64), zstandard.decompress(row["bytes"])
                 words, starts = _strings(sizes, data), np.cumsum(sizes) - sizes
                 bucket = (hash_eights(eights(np.frombuffer(data, np.uint8)), starts, sizes) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -136,7 +140,7 @@ def _asked(blocks: DataFrame, buckets: int) -> DataFrame:
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                     if a < b:
                         at = order[a:b]
-                        cells = row["block"], int(bucket[at[0]]), _packed(at), _packed(sizes[at]), zstandard.compress(b"".join(words.take(pa.array(at)).to_pylist()))
+                        cells = row["block"], int(bucket[at[0]]), packed(at), packed(sizes[at]), zstandard.compress(b"".join(words.take(pa.array(at)).to_pylist()))
                         for column, cell in zip(out, cells, strict=True):
                             column.append(cell)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.int64(), pa.int64(), *[pa.binary()] * 3], strict=True)], names=["block", "bucket", "places", "sizes", "bytes"])
@@ -144,27 +148,36 @@ def _asked(blocks: DataFrame, buckets: int) -> DataFrame:
     return small_batches(blocks.select("block", "sizes", "bytes")).mapInArrow(deal, "block long, bucket long, places binary, sizes binary, bytes binary")
 
 
+def word_ids(found, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each word has, and all ids. The library's result of a word takes about a kilobyte, so few words are encoded at a time."""
+    counts, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a in range(0, len(words), ENCODED):
+        ids = [e.ids for e in found.encode_batch_fast(words[a : a + ENCODED].to_pylist(), add_special_tokens=False)]
+        counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat.append(np.fromiter(chain.from_iterable(ids), np.int64, int(counts[-1].sum())))
+    return np.concatenate(counts), np.concatenate(flat)
+
+
 def _answers(asked: DataFrame, path: str) -> DataFrame:
     """block, places, counts and ids of the words there; every different word of a bucket is encoded once."""
 
     def encode(group: pa.Table) -> pa.Table:
-        sizes = [_numbers(x) for x in group.column("sizes").to_pylist()]
+        sizes = [numbers(x) for x in group.column("sizes").to_pylist()]
         coded = _strings(np.concatenate(sizes), b"".join(map(zstandard.decompress, group.column("bytes").to_pylist()))).dictionary_encode()
-        found = [e.ids for e in tokenizer(path).encode_batch(coded.dictionary.cast(pa.large_string()).to_pylist(), add_special_tokens=False)]
-        count = np.array([len(x) for x in found], np.int64)
-        flat, first = np.fromiter(chain.from_iterable(found), np.int64, int(count.sum())), np.cumsum(count) - count
+        count, flat = word_ids(tokenizer(path), coded.dictionary.cast(pa.large_string()))
+        first = np.cumsum(count) - count
         codes, at, counts, ids = coded.indices.to_numpy(), 0, [], []
         for n in map(len, sizes):
             here = codes[at : at + n]
             at += n
-            counts.append(_packed(count[here]))
-            ids.append(_packed(flat[_runs(first[here], count[here])]))
+            counts.append(packed(count[here]))
+            ids.append(packed(flat[runs(first[here], count[here])]))
         return pa.table([group.column("block"), group.column("places"), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())], names=["block", "places", "counts", "ids"])
 
     return asked.groupBy("bucket").applyInArrow(encode, "block long, places binary, counts binary, ids binary")
 
 
-def _runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+def runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """first[0], first[0] + 1, ... as many as count[0], then the same of the next."""
     ends = np.cumsum(count)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
@@ -190,18 +203,18 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                 keys, words, n_words, codes, found = (batch.column(n)[k] for n in ("doc_ids", "words", "n_words", "codes", "found"))
                 count, flat, first, at = np.zeros(n_words.as_py(), np.int64), [], np.zeros(n_words.as_py(), np.int64), 0
                 for part in found.as_py():
-                    places, own, ids = (_numbers(part[n]).astype(np.int64) for n in ("places", "counts", "ids"))
+                    places, own, ids = (numbers(part[n]).astype(np.int64) for n in ("places", "counts", "ids"))
                     count[places], first[places] = own, at + np.cumsum(own) - own
                     flat.append(ids.astype(np.int32))
                     at += len(ids)
-                flat, codes = np.concatenate(flat), _numbers(codes.as_py())
+                flat, codes = np.concatenate(flat), numbers(codes.as_py())
                 edges = np.concatenate([[0], np.cumsum(words.values.to_numpy())])
                 at = np.concatenate([[0], np.cumsum(count[codes])])[edges]
                 a = 0
                 while a < len(keys):
                     b = max(a + 1, int(np.searchsorted(at, at[a] + IDS_OUT, "right")) - 1)
                     here = codes[edges[a] : edges[b]]
-                    ids = pa.ListArray.from_arrays(pa.array(at[a : b + 1] - at[a], pa.int32()), pa.array(flat[_runs(first[here], count[here])]))
+                    ids = pa.ListArray.from_arrays(pa.array(at[a : b + 1] - at[a], pa.int32()), pa.array(flat[runs(first[here], count[here])]))
                     yield pa.RecordBatch.from_arrays([keys.values[a:b], ids], names=["doc_id", "ids"])
                     a = b
 
