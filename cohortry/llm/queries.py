@@ -7,11 +7,11 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import bpe_words, containment, conversations, graph_search, jaccard, language, licenses, mixing, shards, suffix_dedup, token_counts, token_files
+from cohortry.llm import bpe_words, containment, conversations, cross_align, graph_search, jaccard, language, licenses, mixing, shards, suffix_dedup, token_counts, token_files
 from cohortry.storage import new_path, table
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=4)
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -71,6 +71,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_align.count_links(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
     found = bpe_words.decode(bpe_words.encode(table(spark, sf_dir, "documents"), path), path)
@@ -79,7 +83,7 @@ def op13_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_bit_planes, op4_minimax_shards, op5_decontamination, op6_graph_search, op7_jaccard_join, op8_language_id, op9_source_mix, op10_license_scan, op11_conversation_repair, op13_bpe_words)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_bit_planes, op4_minimax_shards, op5_decontamination, op6_graph_search, op7_jaccard_join, op8_language_id, op9_source_mix, op10_license_scan, op11_conversation_repair, op12_cross_align, op13_bpe_words)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
