@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-from cohortry.llm.tables import small_batches
+from cohortry.llm.tables import small_batches, spread_join
 from cohortry.llm.words import mix, text_runs
 from cohortry.storage import materialize
 
@@ -24,6 +23,8 @@ BATCH = 8192
 TASK_SUFFIXES = 60_000
 HOT = 20_000
 SLICE = 16
+#: String starts that are looked at together; places within them are told apart by 24 bits.
+PIECE = 1 << 22
 
 
 def _anchor_hashes(text: np.ndarray) -> np.ndarray:
@@ -57,6 +58,16 @@ def stretches(text: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> di
     anchor's distance from that start, the anchor's hash, and a hash of all bytes of the stretch.
     """
     names = ("row", "lo", "n", "off", "anchor", "content")
+    if len(text) > PIECE + length - 1:
+        # pieces overlap so that every string lies in one; where a string lies in its piece does not change its anchor
+        parts = []
+        for a in range(0, len(text) - length + 1, PIECE):
+            piece = text[a : a + PIECE + length - 1]
+            inner = np.clip(offsets - a, 0, len(piece))
+            part = stretches(piece, inner, length)
+            part["lo"] = part["lo"] + inner[part["row"]] + a - offsets[part["row"]]
+            parts.append(part)
+        return {k: np.concatenate([p[k] for p in parts]) for k in names}
     count = len(text) - length + 1
     if count <= 0:
         return {k: np.zeros(0, np.int64) for k in names}
@@ -196,11 +207,11 @@ def _stretch_rows(docs: DataFrame, length: int) -> DataFrame:
             for first, text, offsets in text_runs(batch.column("bytes"), 1 << 19):
                 found = stretches(text, offsets, length)
                 row = pa.array(first + found.pop("row"))
-                arrays = [batch.column("doc_id").take(row), batch.column("text_hash").take(row)]
+                arrays = [batch.column(c).take(row) for c in ("doc_id", "text_hash", "times")]
                 kinds = {"lo": pa.int32(), "n": pa.int32(), "off": pa.int32(), "anchor": pa.int64(), "content": pa.int64()}
-                yield pa.RecordBatch.from_arrays(arrays + [pa.array(found[k]).cast(t) for k, t in kinds.items()], names=["doc_id", "text_hash", *kinds])
+                yield pa.RecordBatch.from_arrays(arrays + [pa.array(found[k]).cast(t) for k, t in kinds.items()], names=["doc_id", "text_hash", "times", *kinds])
 
-    return small_batches(docs).mapInArrow(scan, "doc_id long, text_hash long, lo int, n int, off int, anchor long, content long")
+    return small_batches(docs).mapInArrow(scan, "doc_id long, text_hash long, times long, lo int, n int, off int, anchor long, content long")
 
 
 def _matched(rows: DataFrame, length: int, batch: int, parts: int) -> DataFrame:
@@ -234,22 +245,32 @@ def _matched(rows: DataFrame, length: int, batch: int, parts: int) -> DataFrame:
     return small_batches(rows.repartition(parts, "anchor", "slice").select("content", "shift", "copies", "off", "bytes")).mapInArrow(scan, "content long, spans array<struct<b:int,e:int>>")
 
 
+def _different(docs: DataFrame) -> DataFrame:
+    """Rows that differ in doc_id or text, with ``times``, how often each stands there; texts move only if any row is repeated."""
+    repeated = docs.groupBy("doc_id", "text_hash").agg(F.count("*").alias("times")).filter("times > 1")
+    if repeated.isEmpty():
+        return docs.withColumn("times", F.lit(1).cast("long"))
+    return docs.groupBy("doc_id", "text_hash").agg(F.first("bytes").alias("bytes"), F.count("*").alias("times"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, batch: int = BATCH) -> DataFrame:
     """(doc_id, text_hash, spans): for documents with any, the byte stretches covered by strings of ``length`` bytes that start elsewhere too.
 
     ``docs`` has doc_id, text_hash and bytes. Strings that are equal have the same anchor, so only anchors
     that occur twice are kept; then equal stretches are counted, and one of each goes to the family of suffix arrays of
     its anchor's partition, with its number of copies. An anchor with very many different stretches is split by the anchor's
-    distance from the string's start, which equal strings share. Spans of one document may touch or overlap.
+    distance from the string's start, which equal strings share. Rows of equal doc_id and text are counted and read once.
+    There is a row for each different document. Spans of one document may touch or overlap.
     """
+    docs = _different(docs)
     rows = _stretch_rows(docs, length)
-    twice = rows.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    found = materialize(rows.join(twice, "anchor", "left_semi"), "occurrences")
-    same = found.groupBy("content").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("anchor", "doc_id", "text_hash", "lo", "n", "off")))
+    twice = materialize(rows.groupBy("anchor").agg(F.sum("times").alias("c")).filter("c > 1"), "anchors")
+    found = materialize(spread_join(rows, twice, "anchor", "c", "left_semi"), "occurrences")
+    same = found.groupBy("content").agg(F.sum("times").alias("copies"), F.count("*").alias("rows"), *(F.first(c).alias(c) for c in ("anchor", "doc_id", "text_hash", "lo", "n", "off")))
     same = materialize(same, "stretches")
-    hot = same.groupBy("anchor").agg(F.count("*").alias("m")).filter(F.col("m") > HOT).select("anchor", F.lit(True).alias("hot"))
+    hot = materialize(same.groupBy("anchor").agg(F.count("*").alias("m")).filter(F.col("m") > HOT).withColumn("hot", F.lit(True)), "hot")
     low, high = F.floor((F.col("off") - F.col("n") + 1) / SLICE), F.floor(F.col("off") / SLICE)
-    cut = same.join(hot, "anchor", "left").withColumn("slice", F.explode(F.when(F.col("hot"), F.sequence(low, high)).otherwise(F.array(F.lit(-1).cast("long")))))
+    cut = spread_join(same, hot, "anchor", "m", "left").withColumn("slice", F.explode(F.when(F.col("hot"), F.sequence(low, high)).otherwise(F.array(F.lit(-1).cast("long")))))
     first = F.when(F.col("slice") < 0, 0).otherwise(F.greatest(F.lit(0), F.col("off") - SLICE * F.col("slice") - SLICE + 1)).cast("int")
     last = F.when(F.col("slice") < 0, F.col("n") - 1).otherwise(F.least(F.col("n") - 1, F.col("off") - SLICE * F.col("slice"))).cast("int")
     cut = cut.withColumn("shift", first).withColumn("size", last - first + length)
@@ -258,8 +279,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batch: int = BATCH) ->
     taken = F.transform("asked", lambda s: F.struct(s["anchor"].alias("anchor"), s["slice"].alias("slice"), s["content"].alias("content"), s["copies"].alias("copies"), s["shift"].alias("shift"), s["off"].alias("off"), F.substring(F.col("bytes"), s["lo"] + s["shift"] + 1, s["size"]).alias("bytes")))
     stretch = read.select(F.explode(taken).alias("s")).select("s.*")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-same.count() // TASK_SUFFIXES))
-    matched = _matched(stretch, length, batch, parts)
-    placed = found.select("content", "doc_id", "text_hash", "lo").join(matched, "content")
+    # a stretch of a hot anchor comes back from several slices
+    matched = _matched(stretch, length, batch, parts).groupBy("content").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    matched = materialize(matched.join(same.select("content", "rows"), "content"), "matched")
+    placed = spread_join(found.select("content", "doc_id", "text_hash", "lo"), matched, "content", "rows")
     return placed.select("doc_id", "text_hash", F.transform("spans", lambda s: F.struct((s["b"] + F.col("lo")).alias("b"), (s["e"] + F.col("lo")).alias("e"))).alias("spans"))
 
 
