@@ -71,6 +71,14 @@ def pieces(path: str) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
+def joined(values: pa.Array) -> bytes:
+    """All strings of an array, one after another."""
+    if not len(values):
+        return b""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(values)]), values.cast(pa.large_binary()))
+    return pc.binary_join(whole, pa.scalar(b"", pa.large_binary()))[0].as_buffer().to_pybytes()
+
+
 def packed(values: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers in byte planes, compressed."""
     return zstandard.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
@@ -113,7 +121,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
             coded = places.cast(pa.large_binary()).dictionary_encode()
             words = coded.dictionary
             sizes = pc.binary_length(words).to_numpy()
-            columns = [[part + block], [keys], [counts], [len(words)], [packed(coded.indices.to_numpy())], [packed(sizes)], [zstandard.compress(b"".join(words.to_pylist()))]]
+            columns = [[part + block], [keys], [counts], [len(words)], [packed(coded.indices.to_numpy())], [packed(sizes)], [zstandard.compress(joined(words))]]
             types = [pa.int64(), pa.list_(keys.type), pa.list_(pa.int32()), pa.int64(), *[pa.binary()] * 3]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.fieldNames())
 
@@ -140,7 +148,7 @@ def _asked(blocks: DataFrame, buckets: int) -> DataFrame:
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                     if a < b:
                         at = order[a:b]
-                        cells = row["block"], int(bucket[at[0]]), packed(at), packed(sizes[at]), zstandard.compress(b"".join(words.take(pa.array(at)).to_pylist()))
+                        cells = row["block"], int(bucket[at[0]]), packed(at), packed(sizes[at]), zstandard.compress(joined(words.take(pa.array(at))))
                         for column, cell in zip(out, cells, strict=True):
                             column.append(cell)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.int64(), pa.int64(), *[pa.binary()] * 3], strict=True)], names=["block", "bucket", "places", "sizes", "bytes"])
@@ -194,7 +202,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     answers = _answers(_asked(blocks, -(-total // BUCKET_WORDS) or 1), path)
     found = answers.groupBy("block").agg(F.collect_list(F.struct("places", "counts", "ids")).alias("found"))
-    joined = blocks.select("block", "doc_ids", F.col("counts").alias("words"), "n_words", "codes").join(found, "block").drop("block")
+    whole = blocks.select("block", "doc_ids", F.col("counts").alias("words"), "n_words", "codes").join(found, "block").drop("block")
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +226,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                     yield pa.RecordBatch.from_arrays([keys.values[a:b], ids], names=["doc_id", "ids"])
                     a = b
 
-    return small_batches(joined).mapInArrow(place, schema)
+    return small_batches(whole).mapInArrow(place, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -232,14 +240,14 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces(path)
         for batch in batches:
-            lists = batch.column(ids).cast(pa.large_list(pa.int64()))
-            flat = lists.values.to_numpy(zero_copy_only=False) if not lists.values.null_count else pc.fill_null(lists.values, -1).to_numpy()
-            known = (flat >= 0) & (flat < len(table))
-            taken = table.take(pa.array(flat, mask=~known)).fill_null(b"")
-            offsets = lists.offsets.to_numpy()
-            ends = np.concatenate([[0], np.cumsum(pc.binary_length(taken).to_numpy(), dtype=np.int64)])[offsets]
-            data = b"".join(taken.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pylist()) if len(offsets) else b""
-            texts = [None if null else data[a - ends[0] : b - ends[0]].decode("utf-8", "replace") for a, b, null in zip(ends[:-1].tolist(), ends[1:].tolist(), lists.is_null().to_pylist(), strict=True)]
+            lists = batch.column(ids)
+            flat = lists.values.cast(pa.int64())
+            known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(table)))
+            if flat.null_count or not pc.all(known).as_py():
+                flat = pc.if_else(pc.fill_null(known, False), flat, len(table))
+            taken = pa.concat_arrays([table, pa.array([b""], pa.binary())]).take(flat) if len(flat) else pa.array([], pa.binary())
+            whole = pc.binary_join(pa.LargeListArray.from_arrays(lists.offsets.cast(pa.int64()), taken), b"")
+            texts = [None if null else data.decode("utf-8", "replace") for data, null in zip(whole.to_pylist(), lists.is_null().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(f) for f in schema.fieldNames()[:-1]), pa.array(texts, pa.string())], names=schema.fieldNames())
 
     return small_batches(encoded).mapInArrow(join, schema)
