@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortry.llm.bpe_words import EDGE, gathered, numbers, packed, pieces, runs, tokenizer, word_ids
+from cohortry.llm.bpe_words import EDGE, gathered, joined, numbers, packed, pieces, runs, tokenizer, word_ids
 from cohortry.llm.perfect_hash import PerfectHash
 from cohortry.llm.tables import small_batches
 from cohortry.llm.words import mix
@@ -92,9 +92,9 @@ class Aligner:
         length, fits = np.fromiter(map(len, own), np.int64, n), np.ones(n, bool)
         for ids, count, table, sizes in sides:
             given = np.bincount(np.repeat(np.arange(n), count), weights=sizes[ids], minlength=n).astype(np.int64)
-            if (given != length).any() or b"".join(table.take(pa.array(ids)).to_pylist()) != b"".join(own):
+            if (given != length).any() or joined(table.take(pa.array(ids))) != b"".join(own):
                 ends = np.cumsum(count)
-                fits &= [b"".join(table.take(pa.array(ids[e - c : e])).to_pylist()) == w for e, c, w in zip(ends.tolist(), count.tolist(), own, strict=True)]
+                fits &= [joined(table.take(pa.array(ids[e - c : e]))) == w for e, c, w in zip(ends.tolist(), count.tolist(), own, strict=True)]
         tokens, counts, ends = [], [], []
         for ids, count, _, sizes in sides:
             keep = np.repeat(fits, count)
@@ -134,8 +134,8 @@ class Block:
 
     def texts(self) -> pa.Array:
         """``a1,a2|b1;a3|b2`` of every document, empty without tokens."""
-        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(self.edges), self.aligner.text.take(pa.array(self.at))), SEMICOLON)
-        return pc.if_else(pa.array(self.ok), joined, pa.scalar("", pa.large_string()))
+        text = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(self.edges), self.aligner.text.take(pa.array(self.at))), SEMICOLON)
+        return pc.if_else(pa.array(self.ok), text, pa.scalar("", pa.large_string()))
 
     def facts(self) -> list[np.ndarray]:
         """Numbers of tokens of A and B and of groups."""
