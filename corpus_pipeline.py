@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.llm import containment, jaccard, language, mixing, token_files
@@ -24,17 +24,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.filter("accepted").select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
-def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents with ``_row``, a hash of all their columns that no two different rows share, and the keys of repeated rows."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """The documents as doc_id, text and ``row``, the keys of repeated rows, and what gives the input's own columns back.
+
+    ``row`` is a hash of all columns that no two different rows share. The input's columns go by other names meanwhile, so theirs may be any.
+    """
+    own = {c: f"_own{k}" for k, c in enumerate(docs.columns)}
+    back = [F.col(n).alias(c) for c, n in own.items()]
+    named = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
     # hashes pass over nulls, so which columns are null is hashed as well
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns = [F.col(n) for n in own.values()]
     parts = [*[c.isNull() for c in columns], *columns]
     for seed in range(8):
-        keyed = docs.withColumn("_row", F.xxhash64(F.lit(seed), *parts))
-        other = keyed.select("_row", F.xxhash64(F.lit(-1 - seed), *parts).alias("h"))
-        repeated = materialize(other.groupBy("_row").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).filter("n > 1"), "repeated")
+        keyed = named.select("*", F.col(own["doc_id"]).alias("doc_id"), F.col(own["text"]).alias("text"), F.xxhash64(F.lit(seed), *parts).alias("row"))
+        other = keyed.select("row", F.xxhash64(F.lit(-1 - seed), *parts).alias("h"))
+        repeated = materialize(other.groupBy("row").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).filter("n > 1"), "repeated")
         if repeated.filter("lo <> hi").isEmpty():
-            return keyed, repeated.select("_row")
+            return keyed, repeated.select("row"), back
     raise RuntimeError("rows share hashes under every seed")
 
 
@@ -43,18 +49,18 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows that are equal in all columns are one group if they have words, and one stays. Texts without words form no group and all stay. No rows give none.
     """
-    keyed, repeated = _keyed(docs)
-    found = materialize(jaccard.jaccard_components(keyed, key="_row").select(F.col("doc_id").alias("_row"), "n_shingles", "component_id").distinct(), "components")
-    several = found.filter("component_id <> _row").select("component_id").distinct()
-    grouped = found.join(several, "component_id", "left_semi").join(keyed.select("_row", F.col("doc_id").alias("id")).distinct(), "_row")
-    kept = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_row"))["_row"].alias("kept"))
-    dropped = materialize(grouped.join(kept, "component_id").filter("_row <> kept").select("_row"), "dropped")
+    keyed, repeated, back = _keyed(docs)
+    found = materialize(jaccard.jaccard_components(keyed, key="row").select(F.col("doc_id").alias("row"), "n_shingles", "component_id").distinct(), "components")
+    several = found.filter("component_id <> row").select("component_id").distinct()
+    grouped = found.join(several, "component_id", "left_semi").join(keyed.select("row", F.col("doc_id").alias("id")).distinct(), "row")
+    kept = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))["row"].alias("kept"))
+    dropped = materialize(grouped.join(kept, "component_id").filter("row <> kept").select("row"), "dropped")
     if repeated.isEmpty():
-        return keyed.join(dropped, "_row", "left_anti").select(docs.columns)
+        return keyed.join(dropped, "row", "left_anti").select(back)
     # rows equal in all columns are one group as well, if they have words
-    again = repeated.join(found.filter("n_shingles > 0"), "_row", "left_semi").join(dropped, "_row", "left_anti")
-    once = keyed.join(again, "_row", "left_semi").dropDuplicates(["_row"])
-    return keyed.join(dropped.union(again), "_row", "left_anti").select(docs.columns).union(once.select(docs.columns))
+    again = repeated.join(found.filter("n_shingles > 0"), "row", "left_semi").join(dropped, "row", "left_anti")
+    once = keyed.join(again, "row", "left_semi").dropDuplicates(["row"])
+    return keyed.join(dropped.union(again), "row", "left_anti").select(back).union(once.select(back))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +68,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Null and empty texts hold none and stay. Without items, or without rows, nothing changes.
     """
-    keyed, _ = _keyed(docs)
-    found = materialize(containment.contaminated(keyed, table(spark, sf_dir, "benchmark"), key="_row").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
-    return keyed.join(found, "_row", "left_anti").select(docs.columns)
+    keyed, _, back = _keyed(docs)
+    found = materialize(containment.contaminated(keyed, table(spark, sf_dir, "benchmark"), key="row").select(F.col("doc_id").alias("row")).distinct(), "contaminated")
+    return keyed.join(found, "row", "left_anti").select(back)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
