@@ -232,12 +232,31 @@ def src17(spark: SparkSession, d: str) -> DataFrame:
     return scans.group_summaries(rows, ["cluster_id", "alignment_tools"], ["members"], ["mean_score"], ["cluster_id"])
 
 
-@query("src18_search_hit_reduce", """WITH h AS (SELECT l_orderkey % 200 AS q, l_suppkey AS t, (l_partkey % 100) / 1e2 AS qt, (l_orderkey % 100) / 1e2 AS tt, l_quantity::BIGINT AS al, l_orderkey * 1000 + l_linenumber * 100 + l_partkey % 100 AS row FROM lineitem WHERE l_orderkey % 200 <> l_suppkey),
-    p AS (SELECT least(q, t) AS a, greatest(q, t) AS b, least(qt, tt) AS tm, row, al, 20 + q % 30 AS ql, 20 + t % 30 AS tl, q, t FROM h), r AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY tm DESC, row) AS k FROM p)
-    SELECT a AS protein_a_id, b AS protein_b_id, tm AS tm_score, round(least(1, al / CASE WHEN q <= t THEN ql ELSE tl END), 7) AS coverage_a, round(least(1, al / CASE WHEN q <= t THEN tl ELSE ql END), 7) AS coverage_b FROM r WHERE k = 1""")
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query("src18_search_hit_reduce", f"""
+    WITH h AS (
+        SELECT *, l_orderkey % 200 AS q, l_suppkey AS t, (l_partkey % 100) / 1e2 AS qt, (l_orderkey % 100) / 1e2 AS tt, l_quantity::BIGINT AS al
+        FROM lineitem WHERE l_orderkey % 200 <> l_suppkey
+    ),
+    p AS (SELECT *, least(q, t) AS a, greatest(q, t) AS b, least(qt, tt) AS tm, 20 + q % 30 AS ql, 20 + t % 30 AS tl FROM h),
+    r AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY tm DESC, {", ".join(_LINE)}) AS k FROM p)
+    SELECT a AS protein_a_id, b AS protein_b_id, tm AS tm_score, round(least(1, al / CASE WHEN q <= t THEN ql ELSE tl END), 7) AS coverage_a,
+        round(least(1, al / CASE WHEN q <= t THEN tl ELSE ql END), 7) AS coverage_b
+    FROM r WHERE k = 1""")
 def src18(spark: SparkSession, d: str) -> DataFrame:
     q, t = F.col("l_orderkey") % 200, F.col("l_suppkey")
-    hits = table(spark, d, "lineitem").select((F.col("l_orderkey") * 1000 + F.col("l_linenumber") * 100 + F.col("l_partkey") % 100).alias("row"), q.alias("query_id"), t.alias("target_id"), (F.col("l_partkey") % 100 / 100).alias("query_tm"), (F.col("l_orderkey") % 100 / 100).alias("target_tm"), F.col("l_quantity").cast("long").alias("aligned"), (q % 30 + 20).alias("query_length"), (t % 30 + 20).alias("target_length"))
+    hits = table(spark, d, "lineitem").select(
+        F.struct(*_LINE).alias("row"),
+        q.alias("query_id"),
+        t.alias("target_id"),
+        (F.col("l_partkey") % 100 / 100).alias("query_tm"),
+        (F.col("l_orderkey") % 100 / 100).alias("target_tm"),
+        F.col("l_quantity").cast("long").alias("aligned"),
+        (q % 30 + 20).alias("query_length"),
+        (t % 30 + 20).alias("target_length"),
+    )
     return r7(scans.reduce_hits(hits).drop("aligned"), "coverage_a", "coverage_b")
 
 

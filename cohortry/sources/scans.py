@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortry.operators.checks import require_empty
 from cohortry.sources.readers import read_fasta
+from cohortry.storage import materialize
 
 DIGEST = "^[0-9a-f]{64}$"
 CURATION = ("REVIEWED_POSITIVE", "EVIDENCE_SUPPORTED_POSITIVE", "REVIEWED_NEGATIVE", "PROPOSED", "AMBIGUOUS", "UNMAPPED", "EXCLUDED", "REJECTED")
@@ -288,16 +289,22 @@ def reduce_hits(hits: DataFrame) -> DataFrame:
     """(protein_a_id, protein_b_id, tm_score, coverage_a, coverage_b, aligned): the best hit of every unordered pair of an all-against-all search; self hits are dropped.
 
     ``hits``: row, query_id, target_id, query_tm, target_tm, aligned, query_length, target_length. The score is the smaller one, coverages are the aligned length over the protein's, 1 at most, and follow
-    their ends. Of equal scores the first row counts.
+    their ends. Of equal scores the first row counts, so ``row`` (of any type that has an order) must name a hit; two hits of one pair that share score and row are an error.
     """
     a_query = F.col("query_id") <= F.col("target_id")
     cover = lambda n: F.least(F.lit(1.0), F.col("aligned") / F.col(n))
     side = lambda x, y: F.when(a_query, x).otherwise(y)
     rows = hits.filter(F.col("query_id") != F.col("target_id")).select(
         F.least("query_id", "target_id").alias("protein_a_id"), F.greatest("query_id", "target_id").alias("protein_b_id"),
-        F.struct(F.least("query_tm", "target_tm").alias("tm_score"), (-F.col("row")).alias("at"), side(cover("query_length"), cover("target_length")).alias("coverage_a"), side(cover("target_length"), cover("query_length")).alias("coverage_b"), "aligned").alias("h"),
+        F.least("query_tm", "target_tm").alias("tm_score"), "row", F.struct(side(cover("query_length"), cover("target_length")).alias("coverage_a"), side(cover("target_length"), cover("query_length")).alias("coverage_b"), "aligned").alias("h"),
     )
-    return rows.groupBy("protein_a_id", "protein_b_id").agg(F.max("h").alias("h")).select("protein_a_id", "protein_b_id", "h.tm_score", "h.coverage_a", "h.coverage_b", "h.aligned")
+    pair = ["protein_a_id", "protein_b_id"]
+    place = F.struct((-F.col("tm_score")).alias("falling"), "row")
+    best = materialize(rows.groupBy(*pair).agg(F.min_by(F.struct("tm_score", "row", "h"), place).alias("best")), "best_hits")
+    # only hits that tie with the best one in score are looked at again
+    level = best.select(*pair, "best.tm_score", "best.row")
+    require_empty(rows.join(level, [*pair, "tm_score", "row"]).groupBy(*pair).agg(F.count("*").alias("n")).filter("n > 1"), "search hits that share their row")
+    return best.select(*pair, "best.tm_score", "best.h.coverage_a", "best.h.coverage_b", "best.h.aligned")
 
 
 # -- flexible tables -----------------------------------------------------------------------------------------------
