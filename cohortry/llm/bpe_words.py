@@ -10,6 +10,7 @@ bucket encodes every different word once, and the ids return to the places of th
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -29,11 +30,13 @@ from cohortry.storage import bucketed
 #: White space as tokenizers see it (fixed values), and the place before a blank that does not follow any.
 SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 EDGE = rf"(?= )(?<=[^{SPACE}])"
+#: The same white space in the other syntax of Arrow's patterns.
+TRAIL = re.sub(r"\\u(....)", r"\\x{\1}", SPACE)
 #: Bytes of text that make up a block, words of a bucket, ids that leave a task and words that are encoded at a time.
 BLOCK_BYTES = 16 << 20
 BUCKET_WORDS = 1 << 20
 IDS_OUT = 1 << 20
-ENCODED = 8192
+ENCODED = 4096
 
 
 @lru_cache(maxsize=4)
@@ -89,8 +92,8 @@ def numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array]]:
-    """Blocks of rows (doc_id, words) of about ``BLOCK_BYTES``: their ids, how many words each has, and all words in order."""
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array]]:
+    """Blocks of rows (doc_id, words) of about ``limit`` bytes: their ids, how many words each has, and all words in order."""
     keys, counts, held, size = [], [], [], 0
     for batch in batches:
         lists = batch.column("words")
@@ -98,7 +101,7 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.n
         counts.append(pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int32))
         held.append(lists.flatten())
         size += held[-1].nbytes
-        if size >= BLOCK_BYTES:
+        if size >= limit:
             yield pa.concat_arrays(keys), np.concatenate(counts), pa.concat_arrays(held)
             keys, counts, held, size = [], [], [], 0
     if held:
@@ -117,7 +120,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId() << 32
-        for block, (keys, counts, places) in enumerate(gathered(batches)):
+        for block, (keys, counts, places) in enumerate(gathered(batches, BLOCK_BYTES)):
             coded = places.cast(pa.large_binary()).dictionary_encode()
             words = coded.dictionary
             sizes = pc.binary_length(words).to_numpy()
@@ -156,14 +159,33 @@ def _asked(blocks: DataFrame, buckets: int) -> DataFrame:
     return small_batches(blocks.select("block", "sizes", "bytes")).mapInArrow(deal, "block long, bucket long, places binary, sizes binary, bytes binary")
 
 
-def word_ids(found, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """How many ids each word has, and all ids. The library's result of a word takes about a kilobyte, so few words are encoded at a time."""
-    counts, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def word_ids(found, words: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each word has, and all ids; ``sizes`` has the bytes of every id.
+
+    The library takes long to hand over a result, so ``ENCODED`` words go to it as one text where they may: a word that begins with a blank, after one that
+    ends with another character than white space, begins at an edge. The bytes of the ids then tell which word they are of.
+    """
+    count = np.zeros(len(words), np.int64)
+    flat = [np.zeros(0, np.int64)]
+    length = pc.binary_length(words).to_numpy().astype(np.int64)
+    apart = pc.or_(pc.invert(pc.starts_with(words, " ")), pc.match_substring_regex(words, rf"[{TRAIL}]\z")).to_numpy(zero_copy_only=False) | (length == 0)
     for a in range(0, len(words), ENCODED):
-        ids = [e.ids for e in found.encode_batch_fast(words[a : a + ENCODED].to_pylist(), add_special_tokens=False)]
-        counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-        flat.append(np.fromiter(chain.from_iterable(ids), np.int64, int(counts[-1].sum())))
-    return np.concatenate(counts), np.concatenate(flat)
+        some = words[a : a + ENCODED]
+        alone = np.flatnonzero(apart[a : a + ENCODED])
+        together = np.flatnonzero(~apart[a : a + ENCODED])
+        texts = [joined(some.take(pa.array(together))).decode(), *some.take(pa.array(alone)).to_pylist()]
+        ids = [e.ids for e in found.encode_batch_fast(texts, add_special_tokens=False)]
+        own = np.array(ids[0], np.int64)
+        ends = np.cumsum(length[a + together])
+        at = np.searchsorted(np.cumsum(sizes[own]), ends, "right")
+        count[a + together] = np.diff(at, prepend=0)
+        count[a + alone] = [len(x) for x in ids[1:]]
+        first = np.zeros(len(some), np.int64)
+        first[together] = at - count[a + together]
+        first[alone] = len(own) + np.cumsum(count[a + alone]) - count[a + alone]
+        every = np.concatenate([own, np.fromiter(chain.from_iterable(ids[1:]), np.int64)])
+        flat.append(every[runs(first, count[a : a + ENCODED])])
+    return count, np.concatenate(flat)
 
 
 def _answers(asked: DataFrame, path: str) -> DataFrame:
@@ -172,7 +194,7 @@ def _answers(asked: DataFrame, path: str) -> DataFrame:
     def encode(group: pa.Table) -> pa.Table:
         sizes = [numbers(x) for x in group.column("sizes").to_pylist()]
         coded = _strings(np.concatenate(sizes), b"".join(map(zstandard.decompress, group.column("bytes").to_pylist()))).dictionary_encode()
-        count, flat = word_ids(tokenizer(path), coded.dictionary.cast(pa.large_string()))
+        count, flat = word_ids(tokenizer(path), coded.dictionary.cast(pa.large_string()), pc.binary_length(pieces(path)).to_numpy())
         first = np.cumsum(count) - count
         codes, at, counts, ids = coded.indices.to_numpy(), 0, [], []
         for n in map(len, sizes):

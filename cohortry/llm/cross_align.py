@@ -28,8 +28,9 @@ from cohortry.llm.tables import small_batches
 from cohortry.llm.words import mix
 from cohortry.storage import materialize
 
-#: Words that a worker keeps with their alignment.
-WORDS_KEPT = 300_000
+#: Words that a worker keeps with their alignment, and bytes of text that make up a block.
+WORDS_KEPT = 400_000
+BLOCK_BYTES = 4 << 20
 #: Pairs that a task counts before it hands them on, pairs of a shard, counts of a leaf of the tree, links of a lookup, children of a node.
 PAIRS_HELD = 1 << 20
 SHARD_PAIRS = 1 << 16
@@ -63,7 +64,9 @@ class Aligner:
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         none = np.zeros(0, np.int64)
-        self.n_a, self.n_b, self.n_groups, self.first, self.pairs = none, none, none, none, none
+        self.n_a, self.n_b, self.n_groups, self.first = none, none, none, none
+        # the links of all words by the number of their pair, and the pairs by number
+        self.links, self.pairs, self.number = none, none, {}
         self.fits, self.text = np.zeros(0, bool), pa.array([], pa.large_string())
 
     def places(self, words: pa.Array) -> np.ndarray:
@@ -81,7 +84,7 @@ class Aligner:
     def _learn(self, words: list[str]) -> None:
         n = len(words)
         sides = []
-        count, ids = word_ids(self.a, pa.array(words, pa.large_string()))
+        count, ids = word_ids(self.a, pa.array(words, pa.large_string()), self.a_sizes)
         sides.append((ids, count, self.a_bytes, self.a_sizes))
         # the piece tokenizer puts the blank of a word in front itself, but not of a blank alone, at the end of a text
         lists = self.b.encode([w[1:] for w in words], num_threads=1)
@@ -112,8 +115,12 @@ class Aligner:
         text = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts), pc.binary_join_element_wise(*groups, BAR)), SEMICOLON)
         at = len(self.known)
         self.known.update(zip(words, range(at, at + n), strict=True))
-        self.first = np.concatenate([self.first, len(self.pairs) + cuts[:-1]])
-        self.pairs = np.concatenate([self.pairs, tokens[0][both[0]] << 32 | tokens[1][both[1]]])
+        self.first = np.concatenate([self.first, len(self.links) + cuts[:-1]])
+        pairs, which = np.unique(tokens[0][both[0]] << 32 | tokens[1][both[1]], return_inverse=True)
+        fresh = [p for p in pairs.tolist() if p not in self.number]
+        self.number.update(zip(fresh, range(len(self.pairs), len(self.pairs) + len(fresh)), strict=True))
+        self.pairs = np.concatenate([self.pairs, np.array(fresh, np.int64)])
+        self.links = np.concatenate([self.links, np.fromiter(map(self.number.__getitem__, pairs.tolist()), np.int64, len(pairs))[which]])
         self.n_a, self.n_b, self.n_groups = (np.concatenate(x) for x in ((self.n_a, counts[0]), (self.n_b, counts[1]), (self.n_groups, n_groups)))
         self.fits, self.text = np.concatenate([self.fits, fits]), pa.concat_arrays([self.text, text])
 
@@ -142,13 +149,14 @@ class Block:
         return [np.where(self.ok, self.total(x), 0) for x in (self.aligner.n_a, self.aligner.n_b, self.aligner.n_groups)]
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, pair, how often) of the links; a pair may stand there once for each different word of a document."""
-        doc = np.repeat(np.arange(len(self.counts)), self.counts)
+        """(document, number of a pair, how often it is linked there), by document."""
         mine = np.repeat(self.ok, self.counts)
-        key, often = np.unique(doc[mine] * max(1, len(self.aligner.fits)) + self.at[mine], return_counts=True)
-        doc, word = np.divmod(key, max(1, len(self.aligner.fits)))
+        word = self.at[mine]
         n = self.aligner.n_groups[word]
-        return np.repeat(doc, n), self.aligner.pairs[runs(self.aligner.first[word], n)], np.repeat(often, n)
+        doc = np.repeat(np.repeat(np.arange(len(self.counts)), self.counts)[mine], n)
+        wide = max(1, len(self.aligner.pairs))
+        key, often = np.unique(doc * wide + self.aligner.links[runs(self.aligner.first[word], n)], return_counts=True)
+        return key // wide, key % wide, often
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -174,7 +182,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), *[T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_groups")], T.StructField("groups", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, counts, words in gathered(batches):
+        for keys, counts, words in gathered(batches, BLOCK_BYTES):
             block = Block(_aligner((a_path, b_path)), counts, words)
             yield pa.RecordBatch.from_arrays([keys, *map(pa.array, block.facts()), block.texts().cast(pa.string())], names=schema.fieldNames())
 
@@ -183,7 +191,6 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
 
 def _counted(pairs: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     different, at = np.unique(pairs, return_inverse=True)
-    # sums of a task stay far below 2**53
     return different, np.bincount(at, weights=often, minlength=len(different)).astype(np.int64)
 
 
@@ -203,12 +210,16 @@ def pair_counts(words: DataFrame, paths: tuple[str, str]) -> DataFrame:
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), part, np.int64)), pa.array(pairs), pa.array(_hashed(pairs)), pa.array(often)], names=["part", "pair", "hash", "n"])
 
-        for _, counts, words in gathered(batches):
+        for _, counts, words in gathered(batches, BLOCK_BYTES):
             block = Block(_aligner(paths), counts, words)
-            uses = np.bincount(block.at[np.repeat(block.ok, counts)], minlength=len(block.aligner.fits))
+            aligner = block.aligner
+            uses = np.bincount(block.at[np.repeat(block.ok, counts)], minlength=len(aligner.fits))
             used = np.flatnonzero(uses)
-            n = block.aligner.n_groups[used]
-            pairs, often = _counted(np.concatenate([pairs, block.aligner.pairs[runs(block.aligner.first[used], n)]]), np.concatenate([often, np.repeat(uses[used], n)]))
+            n = aligner.n_groups[used]
+            # sums of a task stay far below 2**53
+            here = np.bincount(aligner.links[runs(aligner.first[used], n)], weights=np.repeat(uses[used], n), minlength=len(aligner.pairs)).astype(np.int64)
+            met = np.flatnonzero(here)
+            pairs, often = _counted(np.concatenate([pairs, aligner.pairs[met]]), np.concatenate([often, here[met]]))
             if len(pairs) > PAIRS_HELD:
                 yield out()
                 pairs, often = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -303,7 +314,7 @@ def count_links(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id",
         def row(*values) -> list:
             return [*values, *[None] * (len(arrow) - len(values))]
 
-        for number, (keys, counts, words) in enumerate(gathered(batches)):
+        for number, (keys, counts, words) in enumerate(gathered(batches, BLOCK_BYTES)):
             block = Block(_aligner(paths), counts, words)
             texts = block.texts()
             digests = [hashlib.sha256(x.as_buffer()).hexdigest() if ok else "" for x, ok in zip(texts, block.ok.tolist(), strict=True)]
@@ -311,15 +322,17 @@ def count_links(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id",
             # what needs no lookup goes under a shard of its own
             out = [row(part + number, -1, keys, [x.tolist() for x in block.facts()], digests)]
             doc, pair, often = block.links()
-            different, at = np.unique(pair, return_inverse=True)
-            shard = _hashed(different) % shards
-            order = np.argsort(shard[at], kind="stable")
-            edges = np.searchsorted(shard[at][order], np.arange(shards + 1))
+            shard = _hashed(block.aligner.pairs) % shards
+            order = np.argsort(shard[pair], kind="stable")
+            edges = np.searchsorted(shard[pair][order], np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(edges)).tolist():
                 mine = order[edges[s] : edges[s + 1]]
-                own, local = np.unique(at[mine], return_inverse=True)
-                docs_here, spans = np.unique(doc[mine], return_counts=True)
-                out.append([part + number, s, None, None, None, zstandard.compress(different[own].tobytes()), packed(local), packed(often[mine]), packed(docs_here), packed(spans)])
+                used = np.bincount(pair[mine], minlength=len(block.aligner.pairs)) > 0
+                local = (np.cumsum(used) - 1)[pair[mine]]
+                # links stand by document
+                heads = np.flatnonzero(np.diff(doc[mine], prepend=-1))
+                spans = np.diff(heads, append=len(mine))
+                out.append([part + number, s, None, None, None, zstandard.compress(block.aligner.pairs[used].tobytes()), packed(local), packed(often[mine]), packed(doc[mine][heads]), packed(spans)])
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], names=arrow.names)
 
     def look_up(rows: pa.Table, index: pa.Table) -> pa.Table:

@@ -36,6 +36,7 @@ def test_round_trip_against_the_library(frame, library, monkeypatch, small):
         monkeypatch.setattr(bpe_words, "BUCKET_WORDS", 40)
         monkeypatch.setattr(bpe_words, "BLOCK_BYTES", 500)
         monkeypatch.setattr(bpe_words, "IDS_OUT", 30)
+        monkeypatch.setattr(bpe_words, "ENCODED", 5)
     got = bpe_words.decode(bpe_words.encode(frame, PATH), PATH).collect()
     want = [(k if k % 7 else None, library.encode(t or "", add_special_tokens=False).ids) for k, t in enumerate(texts())]
     assert sorted((r["doc_id"] or -1, r["ids"]) for r in got) == sorted((k or -1, ids) for k, ids in want)

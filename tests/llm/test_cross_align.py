@@ -97,9 +97,9 @@ def keyed(rows):
 @pytest.mark.parametrize("small", [False, True])
 def test_counts_against_whole_texts(frame, rows, monkeypatch, small):
     if small:
-        for name, value in (("SHARD_PAIRS", 40), ("LEAF_ROWS", 2), ("LOOKUP_LINKS", 300), ("PAIRS_HELD", 50), ("WORDS_KEPT", 100), ("CHILDREN", 2)):
+        for name, value in (("SHARD_PAIRS", 40), ("LEAF_ROWS", 2), ("LOOKUP_LINKS", 300), ("PAIRS_HELD", 50), ("WORDS_KEPT", 100), ("CHILDREN", 2), ("BLOCK_BYTES", 1000)):
             monkeypatch.setattr(cross_align, name, value)
-        monkeypatch.setattr(bpe_words, "BLOCK_BYTES", 1000)
+            monkeypatch.setattr(bpe_words, "ENCODED", 7)
     want = [tuple(r[:-1]) for r in whole(rows)]
     assert keyed(tuple(r) for r in cross_align.count_links(frame, A, B).collect()) == keyed(want)
 
