@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,8 +18,8 @@ from cohortry.operators.checks import require_empty
 from cohortry.storage import materialize
 
 FEATURE = ["feature_type", "feature_id"]
-#: What parts the type of a feature from its id in a token; it occurs in neither.
-MARK = "\u0001"
+#: Different training rows of a comparison that are worked on as one matrix.
+BLOCK_ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -26,15 +27,16 @@ class Settings:
     """Sizes, strengths and seed of the models."""
 
     minimum_samples: int = 10
-    minimum_blocks: int = 5
-    maximum_features: int = 5000
+    minimum_blocks: int = 3
+    maximum_features: int = 500
     folds: int = 5
-    strengths: tuple[float, ...] = (0.1, 1.0, 10.0)
-    l1_ratio: float = 0.5
-    iterations: int = 200
-    tolerance: float = 1e-6
-    repeats: int = 5
+    strengths: tuple[float, ...] = (0.01, 0.1, 1.0)
+    l1_ratio: float = 0.2
+    iterations: int = 2000
+    tolerance: float = 1e-4
+    repeats: int = 10
     permuted_features: int = 50
+    explained: int = 10
     seed: int = 1729
 
 
@@ -115,70 +117,203 @@ def sample_weights(samples: DataFrame) -> DataFrame:
     return out.withColumn("weight", F.col("_w") * F.col("_n") / 2 / F.col("_total")).drop("_w", "_total", "_k", "_n")
 
 
-def feature_vectors(samples: DataFrame, positives: DataFrame, features: Sequence[tuple[str, str]]) -> DataFrame:
-    """The samples of one comparison with a sparse vector of which of the features they have, in their order."""
-    tokens = positives.select("protein_id", F.concat_ws(MARK, *FEATURE).alias("token")).join(samples.select("protein_id").distinct(), "protein_id", "left_semi").groupBy("protein_id").agg(F.collect_set("token").alias("tokens"))
-    model = CountVectorizerModel.from_vocabulary([f"{t}{MARK}{i}" for t, i in features], inputCol="tokens", outputCol="features", binary=True)
-    rows = samples.join(tokens, "protein_id", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
-    return model.transform(rows).drop("tokens")
-
-
-# -- fit ---------------------------------------------------------------------------------------------------------
-
-
-def fit_elastic_net(rows: DataFrame, strength: float, settings: Settings = Settings()) -> LogisticRegressionModel:
-    """The weighted elastic net; the weights add up to the number of rows, so the penalty is the strength over it."""
-    n = rows.count()
-    return LogisticRegression(
-        featuresCol="features", labelCol="target", weightCol="weight", regParam=strength / max(1, n), elasticNetParam=settings.l1_ratio, standardization=False, maxIter=settings.iterations, tol=settings.tolerance,
-    ).fit(rows)
+def feature_rows(samples: DataFrame, positives: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Add features: the places (from 0) of the chosen features that a sample has, in order; no more than a comparison has features.
 
+    ``chosen``: comparison_id, feature_type, feature_id, place (from 1), as ``select_features`` gives them. All comparisons are done at once.
+    """
+    have = samples.join(positives.select("protein_id", *FEATURE).distinct(), "protein_id").join(chosen.select("comparison_id", *FEATURE, "place"), ["comparison_id", *FEATURE])
+    lists = have.groupBy("comparison_id", "protein_id").agg(F.sort_array(F.collect_list((F.col("place") - 1).cast("int"))).alias("features"))
+    return samples.join(lists, ["comparison_id", "protein_id"], "left").withColumn("features", F.coalesce("features", F.array().cast("array<int>")))
 
-def with_probability(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
-    """Add probability and logit of the target class."""
-    scored = model.transform(rows)
-    return scored.withColumns({"p": vector_to_array("probability")[1], "logit": vector_to_array("rawPrediction")[1]}).drop("rawPrediction", "probability", "prediction").withColumnRenamed("p", "probability")
 
+# -- fit ---------------------------------------------------------------------------------------------------------
 
-def block_means(rows: DataFrame, features: int) -> DataFrame:
-    """(unit, target, values): the mean vector of every pure block of one comparison, as an array; blocks of both classes are left out."""
-    flat = rows.select("unit", "target", F.posexplode(vector_to_array("features")).alias("at", "value"))
-    sums = flat.groupBy("unit", "at").agg(F.avg("value").alias("value"))
-    arrays = sums.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("v")).select("unit", F.transform("v", lambda x: x["value"]).alias("values"))
-    pure = rows.groupBy("unit").agg(F.min("target").alias("target"), F.max("target").alias("_high")).filter("target = _high").select("unit", "target")
-    return pure.join(arrays, "unit")
 
+def _training_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Different training rows of all comparisons, packed by comparison: fold, target, weight before scaling and features of up to ``BLOCK_ROWS`` rows.
 
-def block_logits(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
-    """(unit, target, logit) of pure blocks: the model is linear, so the logit of a block's mean vector is the mean of its members' logits."""
-    scored = with_probability(model, rows)
-    blocks = scored.groupBy("unit").agg(F.min("target").alias("target"), F.max("target").alias("_high"), F.avg("logit").alias("logit")).filter("target = _high")
-    return blocks.select("unit", "target", "logit").withColumn("probability", 1 / (1 + F.exp(-F.col("logit"))))
+    Rows of one comparison that agree in fold, class and features add up their weights, so a model reads different rows only.
+    """
+    weighted = rows.join(sizes, ["comparison_id", "unit"])
+    different = weighted.groupBy("comparison_id", "fold", "target", "features").agg(F.sum("base").alias("base"))
+    ordered = different.repartitionByRange("comparison_id", F.xxhash64("features")).sortWithinPartitions("comparison_id")
+    names = ["fold", "target", "base", "sizes", "features"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            heads = batch.column("comparison_id").to_pylist()
+            a = 0
+            while a < len(heads):
+                b = a
+                while b < len(heads) and b - a < BLOCK_ROWS and heads[b] == heads[a]:
+                    b += 1
+                part = table.slice(a, b - a)
+                lists = part.column("features").combine_chunks()
+                cells = [part.column("fold").to_numpy().astype("<i4"), part.column("target").to_numpy().astype("<i4"), part.column("base").to_numpy().astype("<f8"), pc.list_value_length(lists).to_numpy().astype("<i4"), lists.flatten().to_numpy().astype("<i4")]
+                yield pa.RecordBatch.from_arrays([pa.array([heads[a]]), *(pa.array([c.tobytes()], pa.binary()) for c in cells)], names=["comparison_id", *names])
+                a = b
+
+    return ordered.mapInArrow(pack, "comparison_id string, fold binary, target binary, base binary, sizes binary, features binary")
+
+
+def _sums(x: np.ndarray, sign: np.ndarray, weight: np.ndarray, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weighted log loss of some rows at ``beta``, its gradient and its matrix of second derivatives; the last column of ``x`` is 1."""
+    margin = x @ beta
+    p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
+    loss = float(weight @ np.logaddexp(0.0, -sign * margin))
+    return loss, x.T @ (weight * (p - (sign > 0))), x.T @ (x * (weight * p * (1 - p))[:, None])
+
+
+def _direction(gradient: np.ndarray, curvature: np.ndarray, beta: np.ndarray, l1: float) -> np.ndarray:
+    """The step that minimises the quadratic model plus the l1 penalty, by coordinate descent; the last coefficient is the intercept, without penalty."""
+    step, bent, diagonal, k = np.zeros(len(beta)), np.zeros(len(beta)), curvature.diagonal(), len(beta)
+    enough = 1e-12 * (1 + np.abs(beta).max())
+    for _ in range(1000):
+        largest = 0.0
+        for j in range(k):
+            a = diagonal[j]
+            if a <= 1e-14:
+                continue
+            to = beta[j] + step[j] - (gradient[j] + bent[j]) / a
+            if j < k - 1:
+                to = math.copysign(max(abs(to) - l1 / a, 0.0), to)
+            change = to - beta[j] - step[j]
+            if change:
+                bent += change * curvature[:, j]
+                step[j] += change
+                largest = max(largest, abs(change))
+        if largest <= enough:
+            break
+    return step
+
+
+_STATE = (
+    "comparison_id string, strength double, fold int, background_scale double, target_scale double, at array<double>, trial array<double>, step array<double>, "
+    "objective double, drop double, size double, passes int, done boolean, converged boolean"
+)
+
+
+def fit_all(rows: DataFrame, folds: int, settings: Settings = Settings()) -> DataFrame:
+    """(comparison_id, strength, fold, beta, converged, passes): the elastic nets of all comparisons, strengths and left-out folds (-1: none), fitted together.
+
+    ``rows``: comparison_id, unit, target, fold, features (places) and n_features of the discovery samples. The penalty of a model is strength * (l1_ratio * |b|_1 + (1 - l1_ratio) / 2 * |b|^2)
+    beside the weighted log loss; weights are those of ``sample_weights`` over the training rows. ``beta`` ends with the intercept.
+
+    Every pass is one job over the packed rows of all models: a task adds up loss, gradient and curvature of its rows, the sums of a model meet, and the model takes a proximal Newton step, or
+    halves its last one if the loss did not fall enough. A model is done when its step is below the tolerance; the state of the models is a table with a row each.
+    """
+    sizes = rows.groupBy("comparison_id", "unit").agg((1 / F.count("*")).alias("base"))
+    blocks = materialize(_training_blocks(rows, sizes), "training")
+    classes = rows.join(sizes, ["comparison_id", "unit"]).groupBy("comparison_id", "fold", "target").agg(F.sum("base").alias("w"), F.count("*").alias("k"), F.max("n_features").alias("d"))
+    left_out = rows.select("comparison_id", F.explode(F.sequence(F.lit(-1), F.lit(folds - 1))).alias("out")).distinct()
+    use = classes.join(left_out, "comparison_id").filter("fold <> out")
+    parts = use.groupBy("comparison_id", "out").agg(
+        F.sum("k").alias("n"), F.sum(F.when(F.col("target") == 1, F.col("w"))).alias("t"), F.sum(F.when(F.col("target") == 0, F.col("w"))).alias("b"), F.max("d").alias("d"), F.count_distinct("fold").alias("left")
+    )
+    have = classes.groupBy("comparison_id").agg(F.count_distinct("fold").alias("all"))
+    # leaving out a fold that a comparison does not have is no model of its own
+    ready = parts.join(have, "comparison_id").filter("t is not null and b is not null and (out = -1 or left < all)")
+    zeros = F.array_repeat(F.lit(0.0), F.col("d") + 1)
+    state = ready.select(
+        "comparison_id", F.explode(F.array(*[F.lit(float(x)) for x in settings.strengths])).alias("strength"), F.col("out").alias("fold"), (F.col("n") / 2 / F.col("b")).alias("background_scale"),
+        (F.col("n") / 2 / F.col("t")).alias("target_scale"), zeros.alias("at"), zeros.alias("trial"), zeros.alias("step"), F.lit(float("inf")).alias("objective"), F.lit(0.0).alias("drop"), F.lit(1.0).alias("size"),
+        F.lit(0).alias("passes"), F.lit(False).alias("done"), F.lit(False).alias("converged"),
+    )
+    state = materialize(state, "state")
+    key, ratio, tolerance, most = ["comparison_id", "strength", "fold"], settings.l1_ratio, settings.tolerance, settings.iterations
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, list] = {}
+
+        def out() -> pa.RecordBatch:
+            columns = [[*k, v[0], v[1].tobytes(), v[2].tobytes()] for k, v in sums.items()]
+            sums.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*columns, strict=True), [pa.string(), pa.float64(), pa.int32(), pa.float64(), pa.binary(), pa.binary()], strict=True)], names=[*key, "loss", "gradient", "curvature"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if sums and next(iter(sums))[0] != row["comparison_id"]:
+                    yield out()
+                fold, target, each, features = (np.frombuffer(row[n], "<i4") for n in ("fold", "target", "sizes", "features"))
+                base = np.frombuffer(row["base"], "<f8")
+                x = np.zeros((len(fold), len(row["models"][0]["trial"])))
+                x[np.repeat(np.arange(len(fold)), each), features] = 1
+                x[:, -1] = 1
+                for m in row["models"]:
+                    # rows of the fold that is left out weigh nothing
+                    weight = base * np.where(target == 1, m["target_scale"], m["background_scale"]) * (fold != m["fold"])
+                    found = _sums(x, np.where(target == 1, 1.0, -1.0), weight, np.array(m["trial"]))
+                    have = sums.setdefault((row["comparison_id"], m["strength"], m["fold"]), [0.0, 0.0, 0.0])
+                    for k in range(3):
+                        have[k] = have[k] + found[k]
+        if sums:
+            yield out()
+
+    def advance(sums: pa.Table, states: pa.Table) -> pa.Table:
+        (m,) = states.to_pylist()
+        if sums.num_rows:
+            trial, at, k = np.array(m["trial"]), np.array(m["at"]), len(m["at"])
+            gradient = sum(np.frombuffer(v) for v in sums.column("gradient").to_pylist())
+            curvature = sum(np.frombuffer(v) for v in sums.column("curvature").to_pylist()).reshape(k, k)
+            l1, ridge = m["strength"] * ratio, np.append(np.full(k - 1, m["strength"] * (1 - ratio)), 0.0)
+            objective = sum(sums.column("loss").to_pylist()) + l1 * np.abs(trial[:-1]).sum() + (ridge * trial**2).sum() / 2
+            m["passes"] += 1
+            if objective <= m["objective"] + 0.01 * m["size"] * m["drop"] + 1e-12 * abs(objective):
+                gradient = gradient + ridge * trial
+                step = _direction(gradient, curvature + np.diag(ridge), trial, l1)
+                # at a small step the next error is of its square, so the step is taken without another look
+                small = np.abs(step).max() <= tolerance * max(1.0, np.abs(trial).max())
+                m |= {"at": trial + step if small else trial, "step": step, "objective": objective, "size": 1.0, "drop": float(gradient @ step + l1 * (np.abs(trial + step)[:-1].sum() - np.abs(trial[:-1]).sum())), "trial": trial + step, "done": small, "converged": small}
+            else:
+                m["size"] /= 2
+                m["trial"] = at + m["size"] * np.array(m["step"])
+                m["done"] = m["size"] < 1e-12
+            m["done"] = bool(m["done"] or m["passes"] >= most)
+        return pa.table([pa.array([m[f.name]], f.type) for f in states.schema], schema=states.schema)
+
+    while True:
+        live = state.filter("not done")
+        if live.isEmpty():
+            break
+        models = live.groupBy("comparison_id").agg(F.collect_list(F.struct("strength", "fold", "background_scale", "target_scale", "trial")).alias("models"))
+        sums = blocks.join(models, "comparison_id").mapInArrow(add, "comparison_id string, strength double, fold int, loss double, gradient binary, curvature binary")
+        state = materialize(sums.groupBy(*key).cogroup(state.groupBy(*key)).applyInArrow(advance, _STATE), "state")
+    return state.select(*key, F.col("at").alias("beta"), "converged", "passes")
+
+
+def logit(features: str, beta: str) -> Column:
+    """The logit of a row: the coefficients at its places, and the intercept, which stands last."""
+    return F.aggregate(F.col(features), F.element_at(F.col(beta), -1), lambda total, k: total + F.element_at(F.col(beta), k + 1))
+
+
+def block_logits(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, unit, target, logit, probability) of pure blocks: the model is linear, so the logit of a block's mean vector is the mean of its members' logits."""
+    blocks = rows.groupBy(*by, "unit").agg(F.min("target").alias("target"), F.max("target").alias("_high"), F.avg("logit").alias("logit")).filter("target = _high").drop("_high")
+    return blocks.withColumn("probability", 1 / (1 + F.exp(-F.col("logit"))))
+
+
+def block_means(rows: DataFrame, by: Sequence[str] = ("comparison_id",)) -> DataFrame:
+    """(by, unit, target, at, value): the mean vector of every pure block without its zeros; blocks of both classes are left out."""
+    by = list(by)
+    sizes = rows.groupBy(*by, "unit").agg(F.min("target").alias("target"), F.max("target").alias("_high"), F.count("*").alias("_n")).filter("target = _high").drop("_high")
+    ones = rows.select(*by, "unit", F.explode("features").alias("at")).groupBy(*by, "unit", "at").agg(F.count("*").alias("_k"))
+    return ones.join(sizes, [*by, "unit"]).select(*by, "unit", "target", "at", (F.col("_k") / F.col("_n")).alias("value"))
 
 
-def select_strength(rows: DataFrame, folds: DataFrame, settings: Settings = Settings()) -> tuple[float | None, float | None, int]:
-    """(strength, mean area, folds): the strength of the largest mean area under the curve over blocks, the larger one of equals; none without two complete folds.
+def select_strength(rows: DataFrame, fits: DataFrame) -> DataFrame:
+    """(comparison_id, strength, cv_roc_auc, folds): the strength of the largest mean area under the curve over held-out blocks, the larger one of equals.
 
-    ``rows``: unit, target, features of the discovery samples of one comparison; ``folds``: unit, fold, folds. Strengths and folds are a handful; each is one distributed fit.
+    ``rows``: comparison_id, unit, target, fold, folds, features of discovery; ``fits``: what ``fit_all`` gives. Strengths without a figure for every fold, and comparisons with fewer than two folds, are left out.
     """
-    dealt = materialize(rows.join(folds.select("unit", "fold", "folds"), "unit"), "folds")
-    first = dealt.agg(F.max("folds").alias("k")).first()
-    k = first["k"] or 0
-    if k < 2:
-        return None, None, 0
-    scores: dict[float, list[float]] = {}
-    for fold in range(k):
-        train, held = dealt.filter(F.col("fold") != fold), dealt.filter(F.col("fold") == fold)
-        weighted = materialize(sample_weights(train.withColumn("comparison_id", F.lit(""))), "train")
-        for strength in settings.strengths:
-            found = ranking_metrics(block_logits(fit_elastic_net(weighted, strength, settings), held)).first()
-            if found and found["roc_auc"] is not None:
-                scores.setdefault(strength, []).append(found["roc_auc"])
-    complete = {s: sum(v) / k for s, v in scores.items() if len(v) == k}
-    if not complete:
-        return None, None, 0
-    best = max(complete, key=lambda s: (complete[s], s))
-    return best, complete[best], k
+    key = ["comparison_id", "strength", "fold"]
+    scored = rows.filter("folds > 1").join(fits.select(*key, "beta"), ["comparison_id", "fold"]).withColumn("logit", logit("features", "beta"))
+    areas = ranking_metrics(block_logits(scored, key), key).filter("roc_auc is not null")
+    folds = rows.groupBy("comparison_id").agg(F.max("folds").cast("int").alias("folds"))
+    means = areas.groupBy("comparison_id", "strength").agg(F.avg("roc_auc").alias("cv_roc_auc"), F.count("*").alias("k")).join(folds, "comparison_id").filter("k = folds")
+    best = means.groupBy("comparison_id", "folds").agg(F.max(F.struct("cv_roc_auc", "strength")).alias("best"))
+    return best.select("comparison_id", "best.strength", "best.cv_roc_auc", "folds")
 
 
 # -- metrics -----------------------------------------------------------------------------------------------------
@@ -228,10 +363,10 @@ def validation_metrics(blocks: DataFrame, samples: DataFrame, settings: Settings
 # -- explanations ------------------------------------------------------------------------------------------------
 
 
-def coefficient_table(model: LogisticRegressionModel, features: Sequence[tuple[str, str]], spark) -> DataFrame:
-    """(feature_type, feature_id, at, coefficient): the coefficients in the order of the features."""
-    values = model.coefficients.toArray().tolist()
-    return spark.createDataFrame([(t, i, k, v) for k, ((t, i), v) in enumerate(zip(features, values, strict=True))], "feature_type string, feature_id string, at int, coefficient double")
+def coefficient_table(fits: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(comparison_id, feature_type, feature_id, at, coefficient) of one fit a comparison, in the order of the features."""
+    places = fits.select("comparison_id", F.posexplode("beta").alias("at", "coefficient"))
+    return places.join(chosen.select("comparison_id", *FEATURE, (F.col("place") - 1).cast("int").alias("at")), ["comparison_id", "at"]).select("comparison_id", *FEATURE, "at", "coefficient")
 
 
 def discovery_means(samples: DataFrame, positives: DataFrame, features: DataFrame) -> DataFrame:
@@ -272,25 +407,52 @@ def importance_rank(coefficients: DataFrame) -> DataFrame:
     return coefficients.withColumn("importance_rank", rank)
 
 
+def permuted(x: Column, n: Column, *key: Column) -> Column:
+    """Where a keyed pseudorandom permutation of 0 to n - 1 puts x.
+
+    A Feistel network on the cells of a grid that is hardly larger than n, walked until it ends inside. The walk is bounded: of 64 steps every one leaves the grid's
+    surplus with a chance of 1 - 1 / sqrt(n) at least, and an x that never did would be null.
+    """
+    wide = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    high = F.ceil(n / wide).cast("long")
+
+    def walk(y: Column) -> Column:
+        left, right = F.floor(y / high).cast("long"), y % high
+        for r in range(4):
+            if r % 2:
+                right = F.pmod(right + F.xxhash64(*key, F.lit(r), left), high)
+            else:
+                left = F.pmod(left + F.xxhash64(*key, F.lit(r), right), wide)
+        return left * high + right
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.lit(-1).cast("long"), lambda y, k: F.when((y >= 0) & (y < n), y).otherwise(walk(F.when(y < 0, x).otherwise(y))))
+    return F.when(found < n, found)
+
+
 def permutation_importance(blocks: DataFrame, values: DataFrame, coefficients: DataFrame, repeats: int = Settings.repeats, top: int = Settings.permuted_features, seed: int = Settings.seed) -> DataFrame:
-    """(feature_type, feature_id, importance_mean, importance_stddev): the loss of balanced accuracy over held-out blocks when one feature's values are dealt anew.
+    """(comparison_id, feature_type, feature_id, importance_mean, importance_stddev): the loss of balanced accuracy over held-out blocks when one feature's values are dealt anew.
 
-    ``blocks``: unit, target, logit of one comparison; ``values``: unit, feature_type, feature_id, value, without zeros; ``coefficients``: feature_type, feature_id, at, coefficient. The ``top`` features by absolute coefficient are
-    tried. A permutation gives the block of rank r in one order of hashes the value of the block of rank r in another; the logit changes by the coefficient times the difference of values.
+    ``blocks``: comparison_id, unit, target, logit; ``values``: comparison_id, unit, at, value, without zeros; ``coefficients``: as ``coefficient_table`` gives them. The ``top`` features of a comparison by absolute coefficient are
+    tried. A keyed permutation of the blocks sends every value to another block, so only blocks that lose or get a value are looked at: rows grow with the values that are not 0, not with blocks times features.
     """
-    chosen = coefficients.orderBy(F.desc(F.abs("coefficient")), "at").limit(top).select(*FEATURE, "coefficient")
-    tries = blocks.sparkSession.range(repeats).select(F.col("id").cast("int").alias("repeat"))
-    grid = chosen.crossJoin(F.broadcast(tries))
-    n = F.broadcast(blocks.agg(F.count_if(F.col("target") == 1).alias("_pos"), F.count_if(F.col("target") == 0).alias("_neg"), F.count_if((F.col("target") == 1) & (F.col("logit") >= 0)).alias("_tp"), F.count_if((F.col("target") == 0) & (F.col("logit") < 0)).alias("_tn")))
-    placed = blocks.withColumn("r", F.row_number().over(Window.orderBy(F.xxhash64("unit"), "unit")))
-    rows = placed.crossJoin(F.broadcast(grid)).join(values, ["unit", *FEATURE], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
-    order = Window.partitionBy(*FEATURE, "repeat").orderBy(F.xxhash64(F.lit(seed), "repeat", *FEATURE, "unit"), "unit")
-    dealt = rows.withColumn("p", F.row_number().over(order))
-    moved = dealt.select(*FEATURE, "repeat", F.col("p").alias("r"), F.col("value").alias("moved"))
-    changed = dealt.join(moved, [*FEATURE, "repeat", "r"]).withColumn("z", F.col("logit") + F.col("coefficient") * (F.col("moved") - F.col("value")))
-    counts = changed.groupBy(*FEATURE, "repeat").agg(F.count_if((F.col("target") == 1) & (F.col("z") >= 0)).alias("tp"), F.count_if((F.col("target") == 0) & (F.col("z") < 0)).alias("tn")).crossJoin(n)
-    loss = ((F.col("_tp") - F.col("tp")) / F.col("_pos") + (F.col("_tn") - F.col("tn")) / F.col("_neg")) / 2
-    return counts.withColumn("loss", loss).groupBy(*FEATURE).agg(F.avg("loss").alias("importance_mean"), F.stddev_pop("loss").alias("importance_stddev"))
+    rank = F.row_number().over(Window.partitionBy("comparison_id").orderBy(F.desc(F.abs("coefficient")), "at"))
+    tried = coefficients.withColumn("_k", rank).filter(F.col("_k") <= top).select("comparison_id", *FEATURE, "at", "coefficient")
+    placed = materialize(blocks.withColumn("r", (F.row_number().over(Window.partitionBy("comparison_id").orderBy(F.xxhash64("unit"), "unit")) - 1).cast("long")), "placed")
+    hit = (F.col("target") == 1) == (F.col("logit") >= 0)
+    n = placed.groupBy("comparison_id").agg(F.count("*").alias("n"), F.count_if(F.col("target") == 1).alias("pos"), F.count_if(F.col("target") == 0).alias("neg"))
+    have = values.join(placed.select("comparison_id", "unit", "r"), ["comparison_id", "unit"]).join(tried, ["comparison_id", "at"]).join(n, "comparison_id")
+    dealt = have.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    to = permuted(F.col("r"), F.col("n"), F.lit(seed), F.col("repeat"), *[F.col(c) for c in FEATURE])
+    moved = F.explode(F.array(F.struct(F.col("r").alias("r"), (-F.col("value")).alias("by")), F.struct(to.alias("r"), F.col("value").alias("by"))))
+    changes = dealt.select("comparison_id", *FEATURE, "repeat", "coefficient", moved.alias("m")).groupBy("comparison_id", *FEATURE, "repeat", "coefficient", F.col("m.r").alias("r")).agg(F.sum("m.by").alias("by"))
+    after = changes.join(placed.select("comparison_id", "r", "target", "logit"), ["comparison_id", "r"])
+    now = (F.col("target") == 1) == (F.col("logit") + F.col("coefficient") * F.col("by") >= 0)
+    lost = (hit.cast("int") - now.cast("int")).cast("long")
+    counts = after.groupBy("comparison_id", *FEATURE, "repeat").agg(F.sum(F.when(F.col("target") == 1, lost).otherwise(0)).alias("t"), F.sum(F.when(F.col("target") == 0, lost).otherwise(0)).alias("b"))
+    # a feature that no held-out block has loses nothing
+    every = tried.select("comparison_id", *FEATURE, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat")).join(n, "comparison_id").join(counts, ["comparison_id", *FEATURE, "repeat"], "left").fillna(0, ["t", "b"])
+    loss = (F.col("t") / F.col("pos") + F.col("b") / F.col("neg")) / 2
+    return every.withColumn("loss", loss).groupBy("comparison_id", *FEATURE).agg(F.avg("loss").alias("importance_mean"), F.stddev_pop("loss").alias("importance_stddev"))
 
 
 def model_status(status: DataFrame, fitted: DataFrame) -> DataFrame:
@@ -320,64 +482,41 @@ class Fitted:
     explanations: DataFrame
 
 
-def fit_comparisons(members: DataFrame, positives: DataFrame, universes: DataFrame, assessed: DataFrame, comparisons: DataFrame, exploratory: DataFrame | None = None, settings: Settings = Settings(), explain_top: int = 10) -> Fitted:
-    """Fit, validate and explain a model for every comparison that has enough samples.
-
-    Comparisons are a bounded list and are fitted one after another; each fit runs over all its samples on the executors. The driver holds the selected features of one comparison, ``maximum_features`` at most.
-    """
-    spark = members.sparkSession
+def fit_comparisons(members: DataFrame, positives: DataFrame, universes: DataFrame, assessed: DataFrame, comparisons: DataFrame, exploratory: DataFrame | None = None, settings: Settings = Settings()) -> Fitted:
+    """Fit, validate and explain a model for every comparison that has enough samples; all comparisons go through one set of jobs."""
     samples = materialize(model_samples(members), "samples")
     status = materialize(sample_status(samples, comparisons, settings), "status")
-    chosen = materialize(select_features(samples, positives, complete_features(samples, positives, universes, assessed, exploratory), settings.maximum_features), "chosen")
-    coefficients, predictions, permutations, fitted = [], [], [], []
-    for row in status.filter("status = 'READY'").orderBy("comparison_id").collect():
-        name = row["comparison_id"]
-        features = [(r["feature_type"], r["feature_id"]) for r in chosen.filter(F.col("comparison_id") == name).orderBy("place").select(*FEATURE).collect()]
-        if not features:
-            continue
-        rows = materialize(feature_vectors(samples.filter(F.col("comparison_id") == name), positives, features), "vectors")
-        own, held = rows.filter("partition = 'DISCOVERY'"), rows.filter("partition = 'VALIDATION'")
-        strength, area, k = select_strength(own, grouped_folds(samples.filter(F.col("comparison_id") == name), settings.folds, settings.seed), settings)
-        if strength is None:
-            fitted.append((name, len(features), None, None, 0, None, None, None))
-            continue
-        model = fit_elastic_net(sample_weights(own), strength, settings)
-        blocks = materialize(block_logits(model, held), "blocks")
-        sizes = held.join(blocks.select("unit"), "unit", "left_semi").agg(F.count_if(F.col("target") == 1).alias("t"), F.count_if(F.col("target") == 0).alias("b")).first()
-        units = blocks.agg(F.count_if(F.col("target") == 1).alias("t"), F.count_if(F.col("target") == 0).alias("b")).first()
-        adequate = min(sizes) >= settings.minimum_samples and min(units) >= settings.minimum_blocks
-        table = coefficient_table(model, features, spark)
-        coefficients.append(materialize(table.withColumn("comparison_id", F.lit(name)), "coefficients"))
-        scored = with_probability(model, rows).withColumn("comparison_id", F.lit(name))
-        predictions.append(materialize(scored.select("comparison_id", "protein_id", "partition", "unit", "target", "probability"), "predictions"))
-        if adequate:
-            members_of = held.groupBy("unit").agg(F.count("*").alias("n"))
-            shares = held.select("protein_id", "unit").join(positives.select("protein_id", *FEATURE).distinct(), "protein_id").groupBy("unit", *FEATURE).agg(F.count("*").alias("k")).join(members_of, "unit").select("unit", *FEATURE, (F.col("k") / F.col("n")).alias("value"))
-            permutations.append(materialize(permutation_importance(blocks, shares, table, settings.repeats, settings.permuted_features, settings.seed).withColumn("comparison_id", F.lit(name)), "permutation"))
-        converged = model.summary.totalIterations < settings.iterations
-        fitted.append((name, len(features), strength, area, k, bool(adequate), bool(converged), float(model.intercept)))
-    union = lambda parts, schema: _union(parts) if parts else spark.createDataFrame([], schema)
-    done = spark.createDataFrame(fitted, "comparison_id string, features int, strength double, cv_roc_auc double, folds int, adequate boolean, converged boolean, intercept double")
-    coefs = importance_rank(union(coefficients, "feature_type string, feature_id string, at int, coefficient double, comparison_id string"))
-    scored = union(predictions, "comparison_id string, protein_id long, partition string, unit long, target int, probability double")
-    means = materialize(discovery_means(samples, positives, coefs.select("comparison_id", *FEATURE)), "means")
-    own = samples.filter("partition = 'VALIDATION'")
-    contributions = linear_contributions(own, positives, coefs, means, explain_top)
+    ready = status.filter("status = 'READY'").select("comparison_id")
+    usable = samples.join(ready, "comparison_id", "left_semi")
+    chosen = materialize(select_features(usable, positives, complete_features(usable, positives, universes, assessed, exploratory), settings.maximum_features), "chosen")
+    counts = chosen.groupBy("comparison_id").agg(F.count("*").cast("int").alias("n_features"))
+    rows = materialize(feature_rows(usable, positives, chosen).join(counts, "comparison_id"), "rows")
+    own = rows.filter("partition = 'DISCOVERY'")
+    dealt = materialize(own.join(grouped_folds(usable, settings.folds, settings.seed).select("comparison_id", "unit", "fold", "folds"), ["comparison_id", "unit"]), "folds")
+    fits = materialize(fit_all(dealt, settings.folds, settings), "fits")
+    strengths = materialize(select_strength(dealt, fits), "strengths")
+    final = materialize(fits.filter("fold = -1").join(strengths, ["comparison_id", "strength"]), "final")
+    coefficients = materialize(importance_rank(coefficient_table(final, chosen)), "coefficients")
+    scored = rows.join(final.select("comparison_id", "beta"), "comparison_id").withColumn("logit", logit("features", "beta")).drop("beta")
+    scored = materialize(scored.withColumn("probability", 1 / (1 + F.exp(-F.col("logit")))), "scored")
     held = scored.filter("partition = 'VALIDATION'")
-    logit = F.log(F.col("probability") / (1 - F.col("probability")))
-    blocks = held.groupBy("comparison_id", "unit").agg(F.min("target").alias("target"), F.max("target").alias("_high"), F.avg(logit).alias("logit")).filter("target = _high").select("comparison_id", "unit", "target", (1 / (1 + F.exp(-F.col("logit")))).alias("probability"))
+    blocks = materialize(block_logits(held, ["comparison_id"]), "blocks")
+    pure = held.join(blocks.select("comparison_id", "unit"), ["comparison_id", "unit"], "left_semi")
+    enough = pure.groupBy("comparison_id").agg(
+        ((F.least(F.count_if(F.col("target") == 1), F.count_if(F.col("target") == 0)) >= settings.minimum_samples)
+         & (F.least(F.count_distinct(F.when(F.col("target") == 1, F.col("unit"))), F.count_distinct(F.when(F.col("target") == 0, F.col("unit")))) >= settings.minimum_blocks)).alias("adequate")
+    )
+    adequate = enough.filter("adequate").select("comparison_id")
+    permutation = permutation_importance(blocks.join(adequate, "comparison_id", "left_semi"), block_means(held), coefficients.join(adequate, "comparison_id", "left_semi"), settings.repeats, settings.permuted_features, settings.seed)
+    means = materialize(discovery_means(samples, positives, coefficients.select("comparison_id", *FEATURE)), "means")
+    contributions = linear_contributions(samples.filter("partition = 'VALIDATION'"), positives, coefficients, means, settings.explained)
     metrics = validation_metrics(blocks, held.select("comparison_id", "unit", "target"), settings)
-    base = coefs.join(means, ["comparison_id", *FEATURE]).groupBy("comparison_id").agg(F.sum(F.col("coefficient") * F.col("mean")).alias("_base"))
-    models = model_status(status, done).join(base, "comparison_id", "left").withColumn("expected_log_odds", F.col("intercept") + F.col("_base")).drop("_base").join(metrics, "comparison_id", "left")
-    permutation = union(permutations, "feature_type string, feature_id string, importance_mean double, importance_stddev double, comparison_id string")
-    return Fitted(models, coefs, scored, metrics, permutation, contributions)
-
-
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    fitted = counts.join(final.select("comparison_id", "strength", "cv_roc_auc", "folds", "converged", F.element_at("beta", -1).alias("intercept")), "comparison_id", "left").join(enough, "comparison_id", "left")
+    fitted = fitted.select("comparison_id", F.col("n_features").alias("features"), "strength", "cv_roc_auc", F.coalesce("folds", F.lit(0)).alias("folds"), F.coalesce("adequate", F.lit(False)).alias("adequate"), "converged", "intercept")
+    base = coefficients.join(means, ["comparison_id", *FEATURE]).groupBy("comparison_id").agg(F.sum(F.col("coefficient") * F.col("mean")).alias("_base"))
+    models = model_status(status, fitted).join(base, "comparison_id", "left").withColumn("expected_log_odds", F.col("intercept") + F.col("_base")).drop("_base").join(metrics, "comparison_id", "left")
+    predictions = scored.select("comparison_id", "protein_id", "partition", "unit", "target", "probability")
+    return Fitted(materialize(models, "models"), coefficients, predictions, metrics, materialize(permutation, "permutation"), materialize(contributions, "contributions"))
 
 
 def importance_table(fitted: Fitted, means: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from cohortry.plans.registry import query
 from cohortry.plans.reports import r7
 from cohortry.storage import materialize
 
-SETTINGS = models.Settings(maximum_features=60, folds=2, strengths=(1.0, 10.0), iterations=12, tolerance=1e-3, repeats=3, permuted_features=10)
+SETTINGS = models.Settings()
 _SAMPLES = f"""{_BASE}, mixed AS (SELECT comparison_id, unit FROM blocks WHERE mixed AND partition = 'DISCOVERY'),
     samples AS (SELECT m.comparison_id, m.protein_id, m.partition, m.unit, m.is_target::INT AS target FROM members m WHERE m.partition <> 'DISCOVERY' OR (m.comparison_id, m.unit) NOT IN (SELECT (comparison_id, unit) FROM mixed))"""
 
@@ -23,7 +23,7 @@ def samples(spark: SparkSession, d: str) -> DataFrame:
 
 @query("mlx01_sample_selection", f"""WITH {_SAMPLES}, c AS (SELECT comparison_id, count_if(partition = 'DISCOVERY' AND target = 1) AS discovery_target_count, count_if(partition = 'DISCOVERY' AND target = 0) AS discovery_background_count, count_if(partition = 'VALIDATION' AND target = 1) AS validation_target_count, count_if(partition = 'VALIDATION' AND target = 0) AS validation_background_count,
         count(DISTINCT CASE WHEN partition = 'DISCOVERY' AND target = 1 THEN unit END) AS discovery_target_blocks, count(DISTINCT CASE WHEN partition = 'DISCOVERY' AND target = 0 THEN unit END) AS discovery_background_blocks, count(DISTINCT CASE WHEN partition = 'VALIDATION' AND target = 1 THEN unit END) AS validation_target_blocks, count(DISTINCT CASE WHEN partition = 'VALIDATION' AND target = 0 THEN unit END) AS validation_background_blocks FROM samples GROUP BY 1)
-    SELECT *, CASE WHEN least(discovery_target_count, discovery_background_count) < 10 THEN 'INSUFFICIENT_SAMPLE_SIZE' WHEN least(discovery_target_blocks, discovery_background_blocks) < 5 THEN 'INSUFFICIENT_INDEPENDENT_GROUPS' ELSE 'READY' END AS status FROM c""")
+    SELECT *, CASE WHEN least(discovery_target_count, discovery_background_count) < 10 THEN 'INSUFFICIENT_SAMPLE_SIZE' WHEN least(discovery_target_blocks, discovery_background_blocks) < 3 THEN 'INSUFFICIENT_INDEPENDENT_GROUPS' ELSE 'READY' END AS status FROM c""")
 def mlx01(spark: SparkSession, d: str) -> DataFrame:
     return models.sample_status(samples(spark, d), B.frame(spark, d, "comparisons"), SETTINGS)
 
@@ -49,17 +49,25 @@ def _everything(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Data
     return materialize(samples(spark, d), "samples"), positives, every
 
 
-@query("win02_round_robin_features", f"WITH {_ALL} SELECT comparison_id, feature_type, feature_id, proteins, place FROM placed WHERE place <= 60")
+@query("win02_round_robin_features", f"WITH {_ALL} SELECT comparison_id, feature_type, feature_id, proteins, place FROM placed WHERE place <= 500")
 def win02(spark: SparkSession, d: str) -> DataFrame:
-    return models.select_features(*_everything(spark, d), 60)
-
-
-@query("mlx03_feature_vectors")
+    return models.select_features(*_everything(spark, d))
+
+
+@query("mlx03_feature_vectors", f"""
+    WITH {_ALL},
+    x AS (
+        SELECT s.comparison_id, s.protein_id, p.place - 1 AS k FROM samples s JOIN positives f USING (protein_id)
+        JOIN placed p ON p.comparison_id = s.comparison_id AND p.feature_type = f.feature_type AND p.feature_id = f.feature_id WHERE p.place <= 500
+    ),
+    v AS (SELECT comparison_id, protein_id, string_agg(k, ',' ORDER BY k) AS places, count(*) AS ones FROM x GROUP BY ALL)
+    SELECT s.comparison_id, s.protein_id, s.partition, s.target, coalesce(v.places, '') AS places, coalesce(v.ones, 0)::INT AS ones
+    FROM samples s LEFT JOIN v USING (comparison_id, protein_id)""")
 def mlx03(spark: SparkSession, d: str) -> DataFrame:
     own, positives, every = _everything(spark, d)
-    chosen = models.select_features(own, positives, every, 60).filter("comparison_id = 'MACHINERY'").orderBy("place").collect()
-    rows = models.feature_vectors(own.filter("comparison_id = 'MACHINERY'"), positives, [(r["feature_type"], r["feature_id"]) for r in chosen])
-    return rows.select("protein_id", "partition", "target", models.vector_to_array("features").alias("features"))
+    chosen = materialize(models.select_features(own, positives, every), "chosen")
+    rows = models.feature_rows(own, positives, chosen)
+    return rows.select("comparison_id", "protein_id", "partition", "target", F.array_join(F.col("features").cast("array<string>"), ",").alias("places"), F.size("features").alias("ones"))
 
 
 @query("mlx04_grouped_folds", f"""WITH {_SAMPLES}, b AS (SELECT DISTINCT comparison_id, unit, target FROM samples WHERE partition = 'DISCOVERY'), p AS (SELECT *, row_number() OVER (PARTITION BY comparison_id, target ORDER BY sha256('1729:' || unit), unit) AS k FROM b), f AS (SELECT comparison_id, least(5, min(n))::INT AS folds FROM (SELECT comparison_id, target, count(*) AS n FROM b GROUP BY ALL) GROUP BY 1)
@@ -95,7 +103,7 @@ def mlx08(spark: SparkSession, d: str) -> DataFrame:
     return r7(found, *[c for c in found.columns if c != "comparison_id"])
 
 
-_MEANS = f"""{_ALL}, chosen AS (SELECT * FROM placed WHERE place <= 60), size AS (SELECT comparison_id, unit, target, count(*) AS n FROM samples WHERE partition = 'DISCOVERY' GROUP BY ALL), tot AS (SELECT comparison_id, count(*) AS b, sum(target) AS t FROM size GROUP BY 1),
+_MEANS = f"""{_ALL}, chosen AS (SELECT * FROM placed WHERE place <= 500), size AS (SELECT comparison_id, unit, target, count(*) AS n FROM samples WHERE partition = 'DISCOVERY' GROUP BY ALL), tot AS (SELECT comparison_id, count(*) AS b, sum(target) AS t FROM size GROUP BY 1),
     sh AS (SELECT s.comparison_id, s.unit, s.target, f.feature_type, f.feature_id, count(*) / any_value(z.n) AS v FROM samples s JOIN positives f USING (protein_id) JOIN size z ON z.comparison_id = s.comparison_id AND z.unit = s.unit WHERE s.partition = 'DISCOVERY' GROUP BY ALL),
     means AS (SELECT c.comparison_id, c.feature_type, c.feature_id, c.place, coalesce(sum(v), 0) / any_value(b) AS mean, coalesce(sum(CASE WHEN sh.target = 1 THEN v END), 0) / any_value(t) AS target_mean, coalesce(sum(CASE WHEN sh.target = 0 THEN v END), 0) / any_value(b - t) AS background_mean FROM chosen c JOIN tot USING (comparison_id) LEFT JOIN sh ON sh.comparison_id = c.comparison_id AND sh.feature_type = c.feature_type AND sh.feature_id = c.feature_id GROUP BY ALL),
     coef AS (SELECT *, (place * 7 % 11 - 5) / 4e0 AS coefficient FROM means)"""
@@ -104,7 +112,7 @@ _MEANS = f"""{_ALL}, chosen AS (SELECT * FROM placed WHERE place <= 60), size AS
 def _explained(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(samples, positives, coefficients, means); the coefficients are numbers that stand in for a fit."""
     own, positives, every = _everything(spark, d)
-    chosen = materialize(models.select_features(own, positives, every, 60), "chosen")
+    chosen = materialize(models.select_features(own, positives, every), "chosen")
     means = materialize(models.discovery_means(own, positives, chosen), "means")
     return own, positives, chosen.select("comparison_id", "feature_type", "feature_id", F.col("place").alias("at"), ((F.col("place") * 7 % 11 - 5) / 4).alias("coefficient")), means
 
@@ -158,6 +166,16 @@ def mlx09(spark: SparkSession, d: str) -> DataFrame:
     return fitted(spark, d).permutation
 
 
+@query("mlx10_fitted_contributions")
+def mlx10_fitted(spark: SparkSession, d: str) -> DataFrame:
+    return fitted(spark, d).explanations
+
+
+@query("win10_fitted_rank")
+def win10_fitted(spark: SparkSession, d: str) -> DataFrame:
+    return fitted(spark, d).coefficients.select("comparison_id", "feature_type", "feature_id", "coefficient", "importance_rank")
+
+
 @query("mlx11_importance_table")
 def mlx11(spark: SparkSession, d: str) -> DataFrame:
     found = fitted(spark, d)
