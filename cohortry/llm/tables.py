@@ -52,23 +52,3 @@ def running_total(df: DataFrame, within: Sequence[str], value: str, order: Seque
     inside = Window.partitionBy(*within, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     joined = dealt.join(base, [*within, "_bucket"])
     return joined.withColumn(out, (F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).cast("long")).drop("_bucket", "_base")
-
-
-#: Keys that hold over one in ``SHARE`` of all rows are dealt to ``SALTS`` tasks.
-SHARE, SALTS = 1000, 64
-
-
-def spread_join(rows: DataFrame, keys: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
-    """``rows.join(keys, key, how)`` for ``keys`` with one row a key and the number of its rows, ``count``: rows of a heavy key go to many tasks.
-
-    Heavy are at most ``SHARE`` keys, whatever the input, so their list may be broadcast; only they are repeated for the salts.
-    ``keys`` is read three times, so it should be a written table.
-    """
-    total = keys.agg(F.sum(count)).first()[0] or 0
-    heavy = keys.filter(F.col(count) > max(SHARE, total / SHARE)).select(key)
-    if heavy.isEmpty():
-        return rows.join(keys.drop(count), key, how)
-    flag = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
-    salted = rows.join(flag, key, "left").withColumn("_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_heavy")
-    salts = F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-    return salted.join(keys.drop(count).join(flag, key, "left").withColumn("_salt", salts).drop("_heavy"), [key, "_salt"], how).drop("_salt")

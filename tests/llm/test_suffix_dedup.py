@@ -4,7 +4,7 @@ import hashlib
 import random
 import time
 
-from cohortry.llm import suffix_dedup, tables
+from cohortry.llm import suffix_dedup
 
 
 def noise(n, seed):
@@ -54,14 +54,3 @@ def test_ten_thousand_repeats_of_a_row(spark):
     none = hashlib.sha256(b"").hexdigest()
     left = hashlib.sha256(other[900:].encode()).hexdigest()
     assert sorted(map(tuple, got), key=str) == sorted([(1, 4200, 4200, 1, none, 10_000), (2, 2000, 900, 1, left, 1), (None, 900, 900, 1, none, 2), (3, 0, 0, 0, none, 2)], key=str)
-
-
-def test_rows_of_a_heavy_key_are_dealt_out(spark):
-    rows = spark.range(40_000).selectExpr("if(id < 20000, 7, id) as k", "id")
-    keys = rows.groupBy("k").count().filter("k <> 39999")
-    for how in ("inner", "left", "left_semi"):
-        want = rows.join(keys.drop("count"), "k", how).count()
-        got = tables.spread_join(rows, keys, "k", "count", how)
-        assert (got.count(), got.columns) == (want, ["k", "id"])
-    salted = tables.spread_join(rows, keys, "k", "count", "left_semi").select("k", "id").filter("k = 7").distinct().count()
-    assert salted == 20_000
