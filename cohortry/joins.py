@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Keys that hold over one in ``SHARE`` of all rows are dealt to ``SALTS`` tasks.
-SHARE, SALTS = 1000, 64
+SHARE, SALTS = 1000, 256
 
 
 def spread_join(rows: DataFrame, keys: DataFrame, on: str | Sequence[str], count: str, how: str = "inner", sizes: DataFrame | None = None) -> DataFrame:
