@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from cohortry.operators.checks import require_empty
+from cohortry.ranks import medians
 
 PASS, CENTROID = "EXACT_THRESHOLDS_PASS", "CENTROID_SELF"
 DIGEST = "^[0-9a-f]{64}$"
@@ -273,18 +274,25 @@ def _scopes(membership: DataFrame, cluster: object) -> DataFrame:
 
 def partition_compare(membership: DataFrame, cluster: object) -> DataFrame:
     """A cluster beside all members: proteins, groups, lengths (least, median, mean, most) and rescued singletons."""
-    return _scopes(membership, cluster).groupBy("scope").agg(
-        F.count("*").alias("proteins"), F.count_distinct("subcluster_id").alias("audited_groups"), F.count_distinct("native_representative_id").alias("native_groups"), F.min("sequence_length").alias("shortest"),
-        F.median("sequence_length").alias("median_length"), F.avg("sequence_length").alias("mean_length"), F.max("sequence_length").alias("longest"), F.count_if(~F.col("alignment_status").isin(CENTROID, PASS)).alias("rescued_singletons"),
-    )
+    rows = _scopes(membership, cluster)
+    counts = rows.groupBy("scope").agg(
+        F.count("*").alias("proteins"),
+        F.count_distinct("subcluster_id").alias("audited_groups"),
+        F.count_distinct("native_representative_id").alias("native_groups"),
+        F.min("sequence_length").alias("shortest"),
+        F.avg("sequence_length").alias("mean_length"),
+        F.max("sequence_length").alias("longest"),
+        F.count_if(~F.col("alignment_status").isin(CENTROID, PASS)).alias("rescued_singletons"),
+    )
+    return counts.join(medians(rows, ["scope"], ["sequence_length"]).withColumnRenamed("sequence_length", "median_length"), "scope", "left")
 
 
 def partition_evidence(membership: DataFrame, cluster: object) -> DataFrame:
     """A cluster beside all members, by alignment status: proteins, measured alignments, least and median identity, median coverages and score."""
-    return _scopes(membership, cluster).groupBy("scope", "alignment_status").agg(
-        F.count("*").alias("proteins"), F.count("pident").alias("measured"), F.min("pident").alias("minimum_identity"), F.median("pident").alias("median_identity"),
-        F.median("representative_coverage").alias("median_representative_coverage"), F.median("member_coverage").alias("median_member_coverage"), F.median("bitscore").alias("median_bitscore"),
-    )
+    rows, key = _scopes(membership, cluster), ["scope", "alignment_status"]
+    counts = rows.groupBy(*key).agg(F.count("*").alias("proteins"), F.count("pident").alias("measured"), F.min("pident").alias("minimum_identity"))
+    names = {"pident": "median_identity", "representative_coverage": "median_representative_coverage", "member_coverage": "median_member_coverage", "bitscore": "median_bitscore"}
+    return counts.join(medians(rows, key, list(names)).withColumnsRenamed(names), key, "left")
 
 
 def taxon_overlap(taxa: DataFrame, groups: Sequence[object]) -> DataFrame:

@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from cohortry.ranks import first_rows, running_count
 from cohortry.storage import materialize
 
-#: Lines that are joined into one row before they are digested in order.
+#: Lines that are joined into one row before they are digested in order, and lines or digests under one digest of a tree.
 CHUNK_LINES = 1000
-
+FAN = 64
+#: Aligned rows of a block, about; blocks are compared in pairs.
+PAIR_ROWS = 256
 
 #: Residues of a k-mer code, five bits each; anything else ends a window.
 _SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ*-?"
@@ -124,13 +127,13 @@ def ranked_vocabulary(counts: DataFrame, budget: int, lengths: Sequence[int], mi
     own = F.lit(0)
     for place, k in enumerate(sorted(lengths, reverse=True)):
         own = F.when(F.col("length") == k, share + (place < extra)).otherwise(own)
-    # no length gives more than the budget, so ranks beyond it are cut before anything is sorted as a whole
-    ranked = counts.withColumn("_rank", F.row_number().over(Window.partitionBy("length").orderBy(F.desc("proteins"), "kmer"))).filter(F.col("_rank") <= budget)
-    ranked = materialize(ranked.withColumn("_own", own), "ranked")
-    first, rest = ranked.filter("_rank <= _own"), ranked.filter("_rank > _own")
+    counts = materialize(counts.withColumn("_own", own.cast("long")), "vocabulary")
+    first = materialize(first_rows(counts, ["length"], "proteins", "kmer", "_own"), "first")
     left = budget - first.count()
-    by_id = [F.desc("proteins"), F.concat(F.lit("k"), "length", F.lit(":"), "kmer")]
-    return first.select("length", "kmer", "proteins").unionByName(rest.orderBy(*by_id).limit(left).select("length", "kmer", "proteins"))
+    rest = counts.join(first.select("length", "kmer"), ["length", "kmer"], "left_anti")
+    rest = rest.select("length", "kmer", "proteins", F.concat(F.lit("k"), "length", F.lit(":"), "kmer").alias("_id"), F.lit(left).cast("long").alias("_left"))
+    more = first_rows(rest, [], "proteins", "_id", "_left")
+    return first.select("length", "kmer", "proteins").unionByName(more.select("length", "kmer", "proteins"))
 
 
 def kmer_features(proteins: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -221,11 +224,50 @@ def alignment_members(aligned: DataFrame, reference: object, scores: DataFrame,
 def pairwise_identity(aligned: DataFrame, within: Sequence[str] = (), known: str | None = None) -> DataFrame:
     """(a, b, comparable, identical, identity) of pairs of rows with a <= b, over columns where both have residues (of ``known``, if given).
 
-    ``within``: columns that name an alignment, where a table holds many small ones; only rows of one are paired.
+    ``within``: columns that name an alignment, where a table holds many; only rows of one are paired, and an id names one row of one alignment. Rows are dealt into blocks of about ``PAIR_ROWS``;
+    a pair of blocks is one row of work, whose counts are products of the incidence matrices of each residue. Residues are characters of Latin-1.
     """
-    long = residues(aligned, within).filter(F.col("residue").isin(*known) if known else F.col("residue") != "-")
-    x, y = long.select(*within, F.col("sequence_id").alias("a"), "column", F.col("residue").alias("ra")), long.select(*within, F.col("sequence_id").alias("b"), "column", F.col("residue").alias("rb"))
-    pairs = x.join(y, [*within, "column"]).filter("a <= b").groupBy("a", "b").agg(F.count("*").alias("comparable"), F.count_if(F.col("ra") == F.col("rb")).alias("identical"))
+    within = list(within)
+    sizes = aligned.groupBy(*within).agg(F.ceil(F.count("*") / PAIR_ROWS).alias("_blocks"))
+    placed = aligned.join(sizes, within) if within else aligned.crossJoin(F.broadcast(sizes))
+    block = F.pmod(F.xxhash64("sequence_id"), F.col("_blocks")).cast("int")
+    blocks = placed.groupBy(*within, "_blocks", block.alias("_block")).agg(F.collect_list(F.struct("sequence_id", "sequence")).alias("_rows"))
+    meet = F.transform(F.sequence(F.lit(0), (F.col("_blocks") - 1).cast("int")), lambda k: F.struct(F.least(k, "_block").alias("x"), F.greatest(k, "_block").alias("y")))
+    met = blocks.withColumn("_meet", F.explode(meet)).groupBy(*within, "_meet").agg(F.sort_array(F.collect_list(F.struct("_block", "_rows"))).alias("pair"))
+    name = aligned.schema["sequence_id"].dataType
+    schema = T.StructType([T.StructField("a", name), T.StructField("b", name), T.StructField("comparable", T.LongType()), T.StructField("identical", T.LongType())])
+    letters = np.array([ord(c) for c in known], np.uint8) if known else None
+
+    def matrix(rows: list[dict]) -> np.ndarray:
+        texts = [(r["sequence"] or "").encode("latin-1", "replace") for r in rows]
+        out = np.zeros((len(texts), max(map(len, texts), default=0)), np.uint8)
+        for k, text in enumerate(texts):
+            out[k, : len(text)] = np.frombuffer(text, np.uint8)
+        return np.where(np.isin(out, letters) if known else (out != ord("-")), out, 0)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind = batch.schema.field("pair").type.value_type.field("_rows").type.value_type.field("sequence_id").type
+            for pair in batch.column("pair"):
+                sides = [s["_rows"] for s in pair.as_py()]
+                left, right = sides[0], sides[-1]
+                x, y = matrix(left), matrix(right)
+                wide = min(x.shape[1], y.shape[1])
+                x, y = x[:, :wide], y[:, :wide]
+                comparable = (x != 0).astype(np.float32) @ (y != 0).astype(np.float32).T
+                identical = sum(((x == c).astype(np.float32) @ (y == c).astype(np.float32).T for c in np.unique(x[x != 0])), np.zeros_like(comparable))
+                at, to = np.nonzero(comparable)
+                ids, others = [r["sequence_id"] for r in left], [r["sequence_id"] for r in right]
+                order = np.array([[a <= b for b in others] for a in ids])
+                own = len(sides) == 1
+                # within one block each pair stands there from both sides
+                keep = order[at, to] if own else np.ones(len(at), bool)
+                at, to = at[keep], to[keep]
+                first = [ids[i] if order[i, j] else others[j] for i, j in zip(at.tolist(), to.tolist(), strict=True)]
+                second = [others[j] if order[i, j] else ids[i] for i, j in zip(at.tolist(), to.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(first, kind), pa.array(second, kind), pa.array(comparable[at, to].astype(np.int64)), pa.array(identical[at, to].astype(np.int64))], names=schema.fieldNames())
+
+    pairs = met.select("pair").mapInArrow(products, schema)
     return pairs.withColumn("identity", F.col("identical") / F.col("comparable"))
 
 
@@ -286,3 +328,25 @@ def ordered_digests(rows: DataFrame, group: str, key: str | None, text: str) ->
     found = in_order.mapInArrow(digest, "g string, digest string").withColumnRenamed("g", "of")
     groups = lines.select("g").distinct()
     return groups.join(found, F.col("g").eqNullSafe(F.col("of")), "left").select(F.col("g").alias(group), "digest")
+
+
+def digest_tree(rows: DataFrame, group: str, key: str, text: str, fan: int = FAN) -> DataFrame:
+    """(group, digest): a tree of SHA-256 digests over the lines ``key, tab, text, newline`` of a group in order of key, then line; null where it has none.
+
+    The lines are numbered in their order; ``fan`` at a time are digested, then ``fan`` of these digests (as hexadecimal text, one after another), and so on until one is left. So a digest depends on the
+    lines alone, and no task holds more than ``fan`` of a group.
+    """
+    line = F.concat(F.col(key).cast("string"), F.lit("\t"), F.col(text), F.lit("\n"))
+    lines = rows.select(F.col(group).alias("g"), F.col(key).alias("k"), line.alias("line")).filter("line IS NOT NULL")
+    nodes = running_count(lines, ["g"], ["k", "line"], upto="no", whole="nodes").select("g", (F.col("no") - 1).alias("no"), "line", "nodes")
+    most = None
+    while most is None or most > 1:
+        joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("no", "line"))), lambda x: x["line"]), "")
+        up = nodes.groupBy("g", "nodes", F.floor(F.col("no") / fan).cast("long").alias("up")).agg(joined.alias("joined"))
+        # a group that is down to one digest keeps it
+        done = F.lit(False) if most is None else F.col("nodes") == 1
+        nodes = up.select("g", F.col("up").alias("no"), F.when(done, F.col("joined")).otherwise(F.sha2("joined", 256)).alias("line"), F.ceil(F.col("nodes") / fan).cast("long").alias("nodes"))
+        nodes = materialize(nodes, "digests")
+        most = nodes.agg(F.max("nodes")).first()[0] or 0
+    groups = rows.select(F.col(group).alias("of")).distinct()
+    return groups.join(nodes, F.col("of").eqNullSafe(F.col("g")), "left").select(F.col("of").alias(group), F.col("line").alias("digest"))
