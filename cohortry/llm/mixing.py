@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.tables import WORD, running_total, word_count
 from cohortry.storage import materialize
 
 BLOCK_WORDS = 1024
+#: Rounds of the permutation's network.
+ROUNDS = 4
 
 
 def capped_targets(sizes: Sequence[int], weights: Sequence[float], most: float = 3.0) -> list[float]:
@@ -56,14 +60,49 @@ def draw_counts(slots: Sequence[int], shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def _permutation(count: int, seed: int) -> tuple[int, int]:
-    """(a, b) of the permutation i -> (a * i + b) mod count; a * i stays below 2**62."""
-    rng = np.random.default_rng(seed)
-    most = max(1, min(count - 1, (1 << 62) // max(1, count)))
-    a = int(rng.integers(1, most + 1))
-    while math.gcd(a, count) != 1:
-        a = a % most + 1
-    return a, int(rng.integers(0, count))
+class Permutation:
+    """A keyed pseudorandom permutation of 0 to count - 1: a Feistel network on the cells of a grid hardly larger than ``count``, walked until it ends inside."""
+
+    def __init__(self, count: int, key: int):
+        self.count, self.key = count, key
+        self.wide = math.isqrt(max(0, count - 1)) + 1
+        self.high = -(-count // self.wide) or 1
+
+    def _add(self, step: int, x: int) -> int:
+        # what Spark's xxhash64 gives for the three numbers
+        found = 42
+        for value in (self.key, step, x):
+            found = xxhash.xxh64_intdigest(struct.pack("<q", value), found)
+        return found - (1 << 64) if found >> 63 else found
+
+    def inverse(self, y: int) -> int:
+        """The number that is sent to y."""
+        while True:
+            left, right = divmod(y, self.high)
+            for step in reversed(range(ROUNDS)):
+                if step % 2:
+                    right = (right - self._add(step, left)) % self.high
+                else:
+                    left = (left - self._add(step, right)) % self.wide
+            y = left * self.high + right
+            if y < self.count:
+                return y
+
+    @staticmethod
+    def column(x: Column, count: Column, key: Column, wide: Column, high: Column) -> Column:
+        """Where x is sent, of the permutation whose figures the other columns hold; a walk of 64 steps ends outside for no count in practice, and would be null."""
+
+        def once(y: Column) -> Column:
+            left, right = F.floor(y / high).cast("long"), F.pmod(y, high)
+            for step in range(ROUNDS):
+                if step % 2:
+                    right = F.pmod(right + F.pmod(F.xxhash64(key, F.lit(step).cast("long"), left), high), high)
+                else:
+                    left = F.pmod(left + F.pmod(F.xxhash64(key, F.lit(step).cast("long"), right), wide), wide)
+            return left * high + right
+
+        found = F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.lit(-1).cast("long"), lambda y, k: F.when((y >= 0) & (y < count), y).otherwise(once(F.when(y < 0, x).otherwise(y))))
+        return F.when(found < count, found)
 
 
 def plan_sources(sizes: Sequence[int], targets: Sequence[float], block: int, seed: int) -> list[dict]:
@@ -79,13 +118,13 @@ def plan_sources(sizes: Sequence[int], targets: Sequence[float], block: int, see
         tail = size - (blocks - 1) * block if blocks else 0
         passes = []
         for e in range(full + bool(rest)):
-            a, b = _permutation(blocks, seed + 1000 * s + e)
-            at = (blocks - 1 - b) * pow(a, -1, blocks) % blocks if blocks > 1 else 0
+            p = Permutation(blocks, seed + 1000 * s + e)
+            at = p.inverse(blocks - 1)
             goal = size if e < full else rest
             slots = -(-goal // block)
             if at < slots:
                 slots = 1 + -(-max(0, goal - tail) // block)
-            passes.append({"a": a, "b": b, "tail_at": at, "goal": goal, "slots": min(slots, blocks)})
+            passes.append({"key": p.key, "wide": p.wide, "high": p.high, "tail_at": at, "goal": goal, "slots": min(slots, blocks)})
         out.append({"blocks": blocks, "tail": tail, "passes": passes})
     return out
 
@@ -133,7 +172,7 @@ class Mixture:
 
     @staticmethod
     def _slot_ranges(plans: list[dict], drawn: np.ndarray) -> list[tuple]:
-        """(source, pass, shard, first slot, end slot, a, b, blocks, tail, tail_at, goal)."""
+        """(source, pass, shard, first slot, end slot, key, wide, high, blocks, tail, tail_at, goal)."""
         out = []
         for s, plan in enumerate(plans):
             ends = np.cumsum(drawn[:, s])
@@ -142,22 +181,22 @@ class Mixture:
                 for k, end in enumerate(ends):
                     low, high = max(first, int(end) - int(drawn[k, s])), min(first + p["slots"], int(end))
                     if low < high:
-                        out.append((s, e, k, low - first, high - first, p["a"], p["b"], plan["blocks"], plan["tail"], p["tail_at"], p["goal"]))
+                        out.append((s, e, k, low - first, high - first, p["key"], p["wide"], p["high"], plan["blocks"], plan["tail"], p["tail_at"], p["goal"]))
                 first += p["slots"]
         return out
 
     def slots(self) -> DataFrame:
         """One row per slot: shard, source number, pass, slot, block and the words it takes of it."""
         ranges = self.docs.sparkSession.createDataFrame(
-            self._ranges, "_no int, pass int, shard int, low long, high long, a long, b long, blocks long, tail long, tail_at long, goal long"
+            self._ranges, "_no int, pass int, shard int, low long, end long, key long, wide long, high long, blocks long, tail long, tail_at long, goal long"
         )
         step = 1 << 16
-        pieces = ranges.withColumn("from", F.explode(F.sequence("low", F.col("high") - 1, F.lit(step)))).repartition(F.col("_no"), F.col("from"), F.col("pass"), F.col("shard"))
-        rows = pieces.withColumn("slot", F.explode(F.sequence("from", F.least(F.col("from") + step, "high") - 1)))
+        pieces = ranges.withColumn("from", F.explode(F.sequence("low", F.col("end") - 1, F.lit(step)))).repartition(F.col("_no"), F.col("from"), F.col("pass"), F.col("shard"))
+        rows = pieces.withColumn("slot", F.explode(F.sequence("from", F.least(F.col("from") + step, "end") - 1)))
         length = F.when(F.col("block") == F.col("blocks") - 1, F.col("tail")).otherwise(self.block)
         before = F.col("slot") * self.block - F.when(F.col("tail_at") < F.col("slot"), self.block - F.col("tail")).otherwise(0)
         return (
-            rows.withColumn("block", (F.col("a") * F.col("slot") + F.col("b")) % F.col("blocks"))
+            rows.withColumn("block", Permutation.column(*map(F.col, ("slot", "blocks", "key", "wide", "high"))))
             .withColumn("take", F.greatest(F.lit(0), F.least(length, F.col("goal") - before)).cast("long"))
             .select("shard", "_no", "pass", "slot", "block", "take")
         )

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cohortry.llm import containment, graph_search, jaccard, language, licenses, mixing, shards, suffix_dedup, token_counts, token_files
 
@@ -270,10 +271,18 @@ def test_mixture(docs, none, rows):
     assert mixing.Mixture(none).taken().count() == 0
 
 
-def test_permutation_and_counts():
-    for n in (1, 2, 7, 64, 1000):
-        a, b = mixing._permutation(n, n)
-        assert sorted((a * i + b) % n for i in range(n)) == list(range(n))
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000])
+def test_permutation_and_counts(spark, n):
+    rows = []
+    for key in (5, 6):
+        p = mixing.Permutation(n, key)
+        columns = [F.lit(x).cast("long") for x in (n, key, p.wide, p.high)]
+        to = [r["to"] for r in spark.range(n).select("id", mixing.Permutation.column(F.col("id"), *columns).alias("to")).orderBy("id").collect()]
+        assert sorted(to) == list(range(n)) and [p.inverse(y) for y in to] == list(range(n))
+        rows.append(to)
+    if n > 50:
+        # neighbours are at no fixed distance, and keys differ
+        assert rows[0] != rows[1] and len({(y - x) % n for x, y in zip(rows[0], rows[0][1:], strict=False)}) > n / 3
     drawn = mixing.draw_counts([100, 7, 0, 33], 6, 1)
     assert drawn.sum(axis=0).tolist() == [100, 7, 0, 33] and max(drawn.sum(axis=1)) - min(drawn.sum(axis=1)) <= 6
 
