@@ -107,7 +107,7 @@ def hierarchy_violations(labels: DataFrame, closure: DataFrame) -> DataFrame:
     found = [
         (labels.groupBy("label_id").agg(F.count("*").alias("n")).filter("n > 1").select("label_id"), "REPEATED_LABEL"),
         (named.join(shared, "term", "left_semi").select("label_id").distinct(), "SHARED_ALIAS"),
-        (roots.crossJoin(F.broadcast(several)).select("label_id"), "SEVERAL_ROOTS"),
+        (roots.crossJoin(several).select("label_id"), "SEVERAL_ROOTS"),
         (labels.filter("parent_label_id is not null").join(known, "parent_label_id", "left_anti").select("label_id"), "UNKNOWN_PARENT"),
         (backed.join(known.withColumnRenamed("parent_label_id", "b"), "b", "left_anti").select("label_id"), "UNKNOWN_BACKGROUND"),
         (below.union(above).distinct(), "BACKGROUND_OVERLAPS_TARGET"),
@@ -122,7 +122,7 @@ def hierarchy_violations(labels: DataFrame, closure: DataFrame) -> DataFrame:
 def default_backgrounds(labels: DataFrame, closure: DataFrame, fallback: str) -> DataFrame:
     """(label_id, background): the default background of the nearest ancestor that has one, the label itself first."""
     own = labels.filter("default_background_label_id is not null").select(F.col("label_id").alias("ancestor_id"), F.col("default_background_label_id").alias("b"))
-    near = closure.join(F.broadcast(own), "ancestor_id").groupBy("label_id").agg(F.min_by("b", F.struct("depth", "ancestor_id")).alias("b"))
+    near = closure.join(own, "ancestor_id").groupBy("label_id").agg(F.min_by("b", F.struct("depth", "ancestor_id")).alias("b"))
     return labels.select("label_id").join(near, "label_id", "left").select("label_id", F.coalesce("b", F.lit(fallback)).alias("background"))
 
 
@@ -138,7 +138,7 @@ def profile_comparisons(labels: DataFrame, closure: DataFrame, root: str, fallba
     rows = chosen.select("label_id", "display_name").join(default_backgrounds(labels, closure, fallback), "label_id")
     names = labels.select(F.col("label_id").alias("background"), F.col("display_name").alias("_other"))
     clean = lambda c: F.replace(F.replace(F.col(c), F.lit(":"), F.lit("__")), F.lit("/"), F.lit("_"))
-    return rows.join(F.broadcast(names), "background").select(F.concat(clean("label_id"), F.lit("_vs_"), clean("background")).alias("comparison_id"), F.concat("display_name", F.lit(" versus "), "_other").alias("display_name"), F.col("label_id").alias("target_label_id"), F.col("background").alias("background_label_id"))
+    return rows.join(names, "background").select(F.concat(clean("label_id"), F.lit("_vs_"), clean("background")).alias("comparison_id"), F.concat("display_name", F.lit(" versus "), "_other").alias("display_name"), F.col("label_id").alias("target_label_id"), F.col("background").alias("background_label_id"))
 
 
 def assignment_violations(assignments: DataFrame, labels: DataFrame, closure: DataFrame, not_reviewed: Sequence[str] = ()) -> DataFrame:
@@ -155,7 +155,7 @@ def assignment_violations(assignments: DataFrame, labels: DataFrame, closure: Da
     problem = F.when(F.col("reviewed_positive_allowed").isNull(), "UNKNOWN_LABEL").when(~F.col("reviewed_positive_allowed"), "POSITIVE_NOT_ALLOWED").when(state, "STATE_NOT_REVIEWED").when(role, "WRONG_ROLE")
     single = joined.withColumn("problem", problem).filter("problem is not null").select("protein_id", "label_id", "problem")
     exclusive = labels.filter("exclusivity_group is not null").select(F.col("label_id").alias("ancestor_id"), "exclusivity_group")
-    owned = positive.select("protein_id", "label_id").join(closure.join(F.broadcast(exclusive), "ancestor_id"), "label_id").select("protein_id", "exclusivity_group", "ancestor_id").distinct()
+    owned = positive.select("protein_id", "label_id").join(closure.join(exclusive, "ancestor_id"), "label_id").select("protein_id", "exclusivity_group", "ancestor_id").distinct()
     several = owned.groupBy("protein_id", "exclusivity_group").agg(F.count("*").alias("n")).filter("n > 1")
     clash = owned.join(several, ["protein_id", "exclusivity_group"], "left_semi").select("protein_id", F.col("ancestor_id").alias("label_id"), F.lit("EXCLUSIVITY_CONFLICT").alias("problem"))
     return single.unionByName(clash)

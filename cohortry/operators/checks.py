@@ -72,7 +72,7 @@ def class_members(memberships: DataFrame, comparisons: DataFrame) -> DataFrame:
     ``memberships``: protein_id, label_id; ``comparisons``: comparison_id, target_label_ids and background_label_ids (arrays).
     """
     sides = [comparisons.select("comparison_id", F.explode(c).alias("label_id"), F.lit(t).alias("is_target")) for c, t in (("target_label_ids", True), ("background_label_ids", False))]
-    rows = memberships.select("protein_id", "label_id").join(F.broadcast(sides[0].unionByName(sides[1]).distinct()), "label_id")
+    rows = memberships.select("protein_id", "label_id").join(sides[0].unionByName(sides[1]).distinct(), "label_id")
     found = rows.groupBy("comparison_id", "protein_id").agg(F.max("is_target").alias("is_target"), F.min("is_target").alias("_other"))
     require_empty(found.filter("is_target <> _other"), "proteins in both classes of a comparison")
     return found.drop("_other")
@@ -82,7 +82,7 @@ def resolve_labels(terms: DataFrame, labels: DataFrame, allow_unknown: bool = Fa
     """Terms with the label that goes by them, as id, display name or alias, whatever their case; an unknown term is an error unless it is allowed, then its label is null."""
     names = labels.select("label_id", F.explode(F.array_distinct(F.transform(F.concat(F.array("label_id", "display_name"), "aliases"), F.lower))).alias("_term"))
     require_empty(names.groupBy("_term").agg(F.count_distinct("label_id").alias("n")).filter("n > 1"), "terms of several labels")
-    found = terms.join(F.broadcast(names), F.lower("term") == F.col("_term"), "left").drop("_term")
+    found = terms.join(names, F.lower("term") == F.col("_term"), "left").drop("_term")
     if not allow_unknown:
         require_empty(found.filter("label_id is null"), "unknown terms")
     return found

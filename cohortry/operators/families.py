@@ -149,7 +149,7 @@ def group_snapshot(members: DataFrame, by_id: DataFrame, by_label: DataFrame) ->
     """
     one = by_id.select(F.col("sequence_id").alias("protein_id"), F.col("reviewed_species").alias("_si"), F.col("reviewed_taxon_id").alias("_ti"))
     two = by_label.select(F.col("released_species").alias("species_label"), F.col("reviewed_species").alias("_sl"), F.col("reviewed_taxon_id").alias("_tl"))
-    rows = members.filter("sequence is not null").join(one, "protein_id", "left").join(F.broadcast(two), "species_label", "left")
+    rows = members.filter("sequence is not null").join(one, "protein_id", "left").join(two, "species_label", "left")
     clash = F.coalesce(F.col("_ti") != F.col("_tl"), F.lit(False))
     return rows.select("protein_id", F.sha2("sequence", 256).alias("sequence_sha256"), F.col("species_label").alias("released_species"), F.when(~clash, F.coalesce("_si", "_sl")).alias("reviewed_species"), F.when(~clash, F.coalesce("_ti", "_tl")).alias("reviewed_taxon_id"))
 
@@ -305,9 +305,9 @@ def taxon_overlap(taxa: DataFrame, groups: Sequence[object]) -> DataFrame:
     masks = {g: 1 << k for k, g in enumerate(groups)}
     spark = taxa.sparkSession
     table = spark.createDataFrame([(g, m) for g, m in masks.items()], T.StructType([taxa.schema["group"], T.StructField("bit", T.IntegerType())]))
-    regions = taxa.filter("taxon is not null").join(F.broadcast(table), "group").groupBy("taxon").agg(F.bit_or("bit").alias("mask")).groupBy("mask").agg(F.count("*").alias("n"))
-    pairs = table.select(F.col("group").alias("group_a"), F.col("bit").alias("x")).crossJoin(F.broadcast(table.select(F.col("group").alias("group_b"), F.col("bit").alias("y"))))
-    joined = pairs.join(F.broadcast(regions), F.col("mask").bitwiseAND(F.col("x").bitwiseOR(F.col("y"))) != 0, "left")
+    regions = taxa.filter("taxon is not null").join(table, "group").groupBy("taxon").agg(F.bit_or("bit").alias("mask")).groupBy("mask").agg(F.count("*").alias("n"))
+    pairs = table.select(F.col("group").alias("group_a"), F.col("bit").alias("x")).crossJoin(table.select(F.col("group").alias("group_b"), F.col("bit").alias("y")))
+    joined = pairs.join(regions, F.col("mask").bitwiseAND(F.col("x").bitwiseOR(F.col("y"))) != 0, "left")
     both = (F.col("mask").bitwiseAND(F.col("x")) != 0) & (F.col("mask").bitwiseAND(F.col("y")) != 0)
     counted = joined.groupBy("group_a", "group_b").agg(F.coalesce(F.sum(F.when(both, F.col("n"))), F.lit(0)).alias("shared"), F.coalesce(F.sum("n"), F.lit(0)).alias("united"))
     return counted.withColumn("jaccard", F.col("shared") / F.nullif(F.col("united"), F.lit(0)))
@@ -319,7 +319,7 @@ def exclusive_regions(taxa: DataFrame, groups: Sequence[object]) -> DataFrame:
         raise ValueError("name 2 or 3 different groups")
     names = taxa.sparkSession.createDataFrame([(" + ".join(str(g) for k, g in enumerate(groups) if m >> k & 1), m) for m in range(1, 1 << len(groups))], "groups string, mask int")
     table = taxa.sparkSession.createDataFrame([(g, 1 << k) for k, g in enumerate(groups)], T.StructType([taxa.schema["group"], T.StructField("bit", T.IntegerType())]))
-    regions = taxa.filter("taxon is not null").join(F.broadcast(table), "group").groupBy("taxon").agg(F.bit_or("bit").alias("mask")).groupBy("mask").agg(F.count("*").alias("taxa"))
+    regions = taxa.filter("taxon is not null").join(table, "group").groupBy("taxon").agg(F.bit_or("bit").alias("mask")).groupBy("mask").agg(F.count("*").alias("taxa"))
     return names.join(regions, "mask", "left").select("groups", F.coalesce("taxa", F.lit(0).cast("long")).alias("taxa"))
 
 

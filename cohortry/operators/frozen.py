@@ -87,11 +87,11 @@ def unit_evidence(units: DataFrame, comparisons: DataFrame, frozen: DataFrame, c
     sizes = units.groupBy("unit_id").agg(F.count("*").alias("member_count"))
     reference = frozen.groupBy("comparison_id").agg(F.count("*").alias("reference_features"), F.count_if(F.col("feature_type") == KMER).alias("_kmers"))
     asked = comparisons.select("comparison_id").distinct().join(reference, "comparison_id", "left").fillna(0)
-    counted = calls.join(F.broadcast(frozen.select("comparison_id", *FEATURE)), FEATURE).groupBy("unit_id", "comparison_id").agg(
+    counted = calls.join(frozen.select("comparison_id", *FEATURE), FEATURE).groupBy("unit_id", "comparison_id").agg(
         F.count_if(F.col("call") == "PRESENT").alias("present"), F.count_if(F.col("call") == "ABSENT").alias("_absent"),
         F.count_if((F.col("call") == "PRESENT") & (F.col("feature_type") == KMER)).alias("_present_kmers"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("call") == "PRESENT", F.col("feature_type")))), "|").alias("types"),
     )
-    rows = sizes.crossJoin(F.broadcast(asked)).join(counted, ["unit_id", "comparison_id"], "left").fillna(0, ["present", "_absent", "_present_kmers"])
+    rows = sizes.crossJoin(asked).join(counted, ["unit_id", "comparison_id"], "left").fillna(0, ["present", "_absent", "_present_kmers"])
     absent = F.col("_absent") + F.col("_kmers") - F.col("_present_kmers")
     rows = rows.withColumn("absent", absent).withColumn("unknown", F.col("reference_features") - F.col("present") - F.col("absent"))
     state = F.when(F.col("reference_features") == 0, "NO_VALIDATED_REFERENCE_FEATURES").when(F.col("present") > 0, "FEATURE_EVIDENCE_PRESENT").when(F.col("unknown") > 0, "UNKNOWN_ASSESSMENT").otherwise("ASSESSED_NO_FEATURE")
@@ -102,7 +102,7 @@ def unit_hits(units: DataFrame, frozen: DataFrame, states: DataFrame, kmers: Dat
     """(unit_id, comparison_id, feature_type, feature_id, positives, q_value, fdr_scope): what each unit has, and how many of its members have it."""
     have = states.filter((F.col("evidence_status") == PRESENT) & (F.col("feature_type") != KMER)).select("protein_id", *FEATURE).unionByName(kmers.select("protein_id", *FEATURE)).distinct()
     rows = have.join(units, "protein_id").groupBy("unit_id", *FEATURE).agg(F.count("*").alias("positives"))
-    return rows.join(F.broadcast(frozen), FEATURE).select("unit_id", "comparison_id", *FEATURE, "positives", "q_value", "fdr_scope")
+    return rows.join(frozen, FEATURE).select("unit_id", "comparison_id", *FEATURE, "positives", "q_value", "fdr_scope")
 
 
 SEARCH = ["comparison_tool", "comparison_tool_version", "coverage_scope"]

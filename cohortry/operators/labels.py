@@ -132,7 +132,7 @@ def score_rules(texts: DataFrame, domains: DataFrame, structures: DataFrame, rul
     by_text = best.groupBy("protein_id", "rule_id").agg(F.sum("score").alias("text_score"), F.collect_set(F.when(F.col("score") > 0, F.col("evidence_group"))).alias("text_groups"), F.count("*").alias("texts"), F.bool_or("trusted_specific").alias("trusted"))
     by_domain = found.groupBy("protein_id", "rule_id").agg(F.sum("score").alias("domain_score"), F.max(F.when(F.col("kind") == "REQUIRED_DOMAIN", F.col("patterns"))).alias("required_found"))
     table = spark.createDataFrame([(r.rule_id, r.label_id, r.component_role, r.priority, len(r.required), r.specific_alone) for r in rules], "rule_id string, label_id string, component_role string, priority int, required int, alone boolean")
-    rows = by_text.join(by_domain, ["protein_id", "rule_id"], "full").join(F.broadcast(table), "rule_id").join(structures.select("protein_id", "structure_eligible"), "protein_id", "left")
+    rows = by_text.join(by_domain, ["protein_id", "rule_id"], "full").join(table, "rule_id").join(structures.select("protein_id", "structure_eligible"), "protein_id", "left")
     score = F.coalesce("text_score", F.lit(0.0)) + F.coalesce("domain_score", F.lit(0.0))
     groups = F.array_sort(F.concat(F.coalesce("text_groups", F.array().cast("array<string>")), F.when(F.coalesce("domain_score", F.lit(0.0)) > 0, F.array(F.lit("PFAM"))).otherwise(F.array().cast("array<string>"))))
     rows = rows.withColumns({"score": score, "evidence_groups": groups, "texts": F.coalesce("texts", F.lit(0)), "trusted": F.coalesce("trusted", F.lit(False))})
@@ -157,7 +157,7 @@ def trusted_candidates(direct: DataFrame, labels: DataFrame, structures: DataFra
     own = {r.label_id: r for r in rules}
     table = labels.sparkSession.createDataFrame([(r.label_id, r.rule_id, r.priority) for r in own.values()], "label_id string, rule_id string, priority int")
     allowed = labels.filter(F.col("reviewed_positive_allowed") & ~F.col("label_id").startswith("control")).select("label_id", "component_role")
-    rows = direct.select("protein_id", "label_id").distinct().join(F.broadcast(allowed), "label_id").join(F.broadcast(table), "label_id", "left").join(structures.select("protein_id", "structure_eligible"), "protein_id", "left")
+    rows = direct.select("protein_id", "label_id").distinct().join(allowed, "label_id").join(table, "label_id", "left").join(structures.select("protein_id", "structure_eligible"), "protein_id", "left")
     ok = F.coalesce("structure_eligible", F.lit(False)) if policy.needs_structure else F.lit(True)
     return rows.select(
         "protein_id", "label_id", F.coalesce("rule_id", F.lit("trusted_direct_label")).alias("rule_id"), "component_role", F.coalesce("priority", F.lit(10_000)).alias("priority"),
@@ -223,7 +223,7 @@ def propagate_labels(memberships: DataFrame, consensus: DataFrame, selected: Dat
     usable = [r for r in rules if r.propagate and r.required]
     table = memberships.sparkSession.createDataFrame([(r.label_id, r.rule_id, r.component_role, r.priority, len(r.required)) for r in usable], "label_id string, rule_id string, component_role string, priority int, required int")
     found = domain_evidence(domains, usable, policy).filter("kind = 'REQUIRED_DOMAIN'").select("protein_id", "rule_id", "patterns").distinct()
-    asked = memberships.select("group_id", "protein_id").distinct().join(consensus.select("group_id", "label_id"), "group_id").join(F.broadcast(table), "label_id").join(selected.select("protein_id"), "protein_id", "left_anti")
+    asked = memberships.select("group_id", "protein_id").distinct().join(consensus.select("group_id", "label_id"), "group_id").join(table, "label_id").join(selected.select("protein_id"), "protein_id", "left_anti")
     rows = asked.join(found, ["protein_id", "rule_id"]).filter("patterns = required").join(structures.select("protein_id", "structure_eligible"), "protein_id", "left")
     ok = F.coalesce("structure_eligible", F.lit(False)) if policy.needs_structure else F.lit(True)
     score = policy.group + policy.required_domain
@@ -274,7 +274,7 @@ def without_defining_domains(hits: DataFrame, assessments: DataFrame, defining:
     A protein that an authority has left without any hit counts as assessed without one; other states stay. Keyed by protein and authority, so one authority's hits say
     nothing of another's.
     """
-    kept = hits.select("protein_id", "domain_authority", "domain_id").distinct().join(F.broadcast(defining.select("domain_id").distinct()), "domain_id", "left_anti")
+    kept = hits.select("protein_id", "domain_authority", "domain_id").distinct().join(defining.select("domain_id").distinct(), "domain_id", "left_anti")
     counts = kept.groupBy("protein_id", "domain_authority").agg(F.count("*").alias("n"))
     rows = assessments.select("protein_id", "domain_authority", "assessment_status").join(counts, ["protein_id", "domain_authority"], "left")
     status = F.when((F.col("assessment_status") == "ASSESSED_WITH_HIT") & F.col("n").isNull(), "ASSESSED_NO_HIT").otherwise(F.col("assessment_status"))

@@ -36,7 +36,7 @@ def control_pool(proteins: DataFrame, candidates: DataFrame, targets: DataFrame,
 def targets_by_background(selected: DataFrame, closure: DataFrame, comparisons: DataFrame) -> DataFrame:
     """(background_label_id, protein_id, target_label_id): targets under the background of each comparison whose target label they have or inherit."""
     up = selected.select("protein_id", "label_id").join(closure, "label_id").select("protein_id", F.col("ancestor_id").alias("target_label_id"))
-    return up.join(F.broadcast(comparisons.select("target_label_id", "background_label_id")), "target_label_id").select("background_label_id", "protein_id", "target_label_id").distinct()
+    return up.join(comparisons.select("target_label_id", "background_label_id"), "target_label_id").select("background_label_id", "protein_id", "target_label_id").distinct()
 
 
 def unit_representatives(contexts: DataFrame) -> DataFrame:
@@ -215,16 +215,16 @@ def matched_cohorts(comparisons: DataFrame, memberships: DataFrame, units: DataF
     """
     require_empty(audit_violations(audit, memberships, units), "a matching audit that contradicts the cohort")
     audited = audit.select("background_label_id").distinct().withColumn("_audited", F.lit(True))
-    asked = comparisons.join(F.broadcast(audited), "background_label_id", "left")
+    asked = comparisons.join(audited, "background_label_id", "left")
     state = asked.groupBy("comparison_id").agg(F.bool_or(F.coalesce("_audited", F.lit(False))).alias("any"), F.bool_and(F.coalesce("_audited", F.lit(False))).alias("all"))
     require_empty(state.filter("any and not `all`"), "comparisons of audited and unaudited backgrounds")
-    chosen = comparisons.join(F.broadcast(state.filter("`all`").select("comparison_id")), "comparison_id", "left_semi")
+    chosen = comparisons.join(state.filter("`all`").select("comparison_id"), "comparison_id", "left_semi")
     labelled = memberships.select("protein_id", "label_id").distinct().join(units, "protein_id")
-    target = labelled.join(F.broadcast(chosen.select("comparison_id", F.col("target_label_id").alias("label_id")).distinct()), "label_id").select("comparison_id", "protein_id", "unit").distinct()
-    links = audit.filter("status = 'MATCHED'").join(F.broadcast(chosen.select("comparison_id", "background_label_id").distinct()), "background_label_id").select("comparison_id", F.col("target_unit_id").alias("unit"), "control_unit_id").distinct()
+    target = labelled.join(chosen.select("comparison_id", F.col("target_label_id").alias("label_id")).distinct(), "label_id").select("comparison_id", "protein_id", "unit").distinct()
+    links = audit.filter("status = 'MATCHED'").join(chosen.select("comparison_id", "background_label_id").distinct(), "background_label_id").select("comparison_id", F.col("target_unit_id").alias("unit"), "control_unit_id").distinct()
     kept_target = target.join(links.select("comparison_id", "unit").distinct(), ["comparison_id", "unit"], "left_semi")
     used = links.join(target.select("comparison_id", "unit").distinct(), ["comparison_id", "unit"], "left_semi").select("comparison_id", F.col("control_unit_id").alias("unit")).distinct()
-    background = labelled.join(F.broadcast(chosen.select("comparison_id", F.col("background_label_id").alias("label_id")).distinct()), "label_id").select("comparison_id", "protein_id", "unit").distinct()
+    background = labelled.join(chosen.select("comparison_id", F.col("background_label_id").alias("label_id")).distinct(), "label_id").select("comparison_id", "protein_id", "unit").distinct()
     kept_background = background.join(used, ["comparison_id", "unit"], "left_semi")
     columns = ["comparison_id", "protein_id", "unit"]
     return kept_target.select(*columns, F.lit(True).alias("is_target")).unionByName(kept_background.select(*columns, F.lit(False).alias("is_target")))
@@ -233,7 +233,7 @@ def matched_cohorts(comparisons: DataFrame, memberships: DataFrame, units: DataF
 def cohort_coverage(cohorts: DataFrame, comparisons: DataFrame, memberships: DataFrame, units: DataFrame) -> DataFrame:
     """Per comparison: target units in all and matched, their fraction, target proteins kept and left out, control units and proteins."""
     labelled = memberships.select("protein_id", "label_id").distinct().join(units, "protein_id")
-    target = labelled.join(F.broadcast(comparisons.select("comparison_id", F.col("target_label_id").alias("label_id")).distinct()), "label_id").select("comparison_id", "protein_id", "unit").distinct()
+    target = labelled.join(comparisons.select("comparison_id", F.col("target_label_id").alias("label_id")).distinct(), "label_id").select("comparison_id", "protein_id", "unit").distinct()
     whole = target.groupBy("comparison_id").agg(F.count_distinct("unit").alias("target_units"), F.count("*").alias("_proteins"))
     own = cohorts.groupBy("comparison_id").agg(
         F.count_distinct(F.when(F.col("is_target"), F.col("unit"))).alias("matched_target_units"), F.count_if("is_target").alias("target_proteins"),

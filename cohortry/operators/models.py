@@ -77,7 +77,7 @@ def complete_features(samples: DataFrame, positives: DataFrame, universes: DataF
     if exploratory is not None:
         usable = usable.join(exploratory.select(*FEATURE).distinct(), FEATURE, "left_anti")
     listed = usable.join(inside, "universe").select("comparison_id", *FEATURE)
-    every = usable.filter("universe is null").select(*FEATURE).crossJoin(F.broadcast(sizes.select("comparison_id")))
+    every = usable.filter("universe is null").select(*FEATURE).crossJoin(sizes.select("comparison_id"))
     return listed.unionByName(every.select("comparison_id", *FEATURE))
 
 
@@ -105,7 +105,7 @@ def grouped_folds(samples: DataFrame, folds: int = Settings.folds, seed: int = S
     order = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("unit").cast("string")), 256)
     place = F.row_number().over(Window.partitionBy("comparison_id", "target").orderBy(order, "unit"))
     sizes = blocks.groupBy("comparison_id", "target").agg(F.count("*").alias("n")).groupBy("comparison_id").agg(F.least(F.lit(folds), F.min("n")).cast("int").alias("folds"))
-    return blocks.withColumn("_place", place).join(F.broadcast(sizes), "comparison_id").select("comparison_id", "unit", "target", ((F.col("_place") - 1) % F.col("folds")).cast("int").alias("fold"), "folds")
+    return blocks.withColumn("_place", place).join(sizes, "comparison_id").select("comparison_id", "unit", "target", ((F.col("_place") - 1) % F.col("folds")).cast("int").alias("fold"), "folds")
 
 
 def sample_weights(samples: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ def sample_weights(samples: DataFrame) -> DataFrame:
     w = samples.join(samples.groupBy("comparison_id", "unit").agg((1 / F.count("*")).alias("_w")), ["comparison_id", "unit"])
     classes = w.groupBy("comparison_id", "target").agg(F.sum("_w").alias("_total"), F.count("*").alias("_k"))
     n = classes.groupBy("comparison_id").agg(F.sum("_k").alias("_n"))
-    out = w.join(F.broadcast(classes), ["comparison_id", "target"]).join(F.broadcast(n), "comparison_id")
+    out = w.join(classes, ["comparison_id", "target"]).join(n, "comparison_id")
     return out.withColumn("weight", F.col("_w") * F.col("_n") / 2 / F.col("_total")).drop("_w", "_total", "_k", "_n")
 
 
@@ -380,7 +380,7 @@ def discovery_means(samples: DataFrame, positives: DataFrame, features: DataFram
     have = own.join(positives.select("protein_id", *FEATURE).distinct(), "protein_id").join(features.select("comparison_id", *FEATURE), ["comparison_id", *FEATURE], "left_semi")
     share = have.groupBy("comparison_id", "unit", "target", *FEATURE).agg(F.count("*").alias("k")).join(sizes, ["comparison_id", "unit", "target"]).withColumn("s", F.col("k") / F.col("n"))
     sums = share.groupBy("comparison_id", *FEATURE).agg(F.sum("s").alias("_s"), F.sum(F.when(F.col("target") == 1, F.col("s")).otherwise(0.0)).alias("_st"))
-    rows = features.select("comparison_id", *FEATURE).join(sums, ["comparison_id", *FEATURE], "left").fillna(0.0).join(F.broadcast(blocks), "comparison_id")
+    rows = features.select("comparison_id", *FEATURE).join(sums, ["comparison_id", *FEATURE], "left").fillna(0.0).join(blocks, "comparison_id")
     return rows.select("comparison_id", *FEATURE, (F.col("_s") / F.col("_b")).alias("mean"), (F.col("_st") / F.col("_t")).alias("target_mean"), ((F.col("_s") - F.col("_st")) / F.col("_c")).alias("background_mean"))
 
 
@@ -390,7 +390,7 @@ def linear_contributions(samples: DataFrame, positives: DataFrame, coefficients:
     This is the interventional additive explanation of a linear model. ``coefficients``: comparison_id, feature_type, feature_id, at, coefficient. ``top`` keeps the largest of each protein; ties go to the earlier feature.
     """
     table = coefficients.join(means.select("comparison_id", *FEATURE, "mean"), ["comparison_id", *FEATURE])
-    every = samples.select("comparison_id", "protein_id").join(F.broadcast(table), "comparison_id")
+    every = samples.select("comparison_id", "protein_id").join(table, "comparison_id")
     have = positives.select("protein_id", *FEATURE).distinct().withColumn("value", F.lit(1))
     rows = every.join(have, ["protein_id", *FEATURE], "left").withColumn("value", F.coalesce("value", F.lit(0)))
     rows = rows.withColumn("contribution", F.col("coefficient") * (F.col("value") - F.col("mean")))

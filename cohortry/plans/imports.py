@@ -46,7 +46,7 @@ def snk03(spark: SparkSession, d: str) -> DataFrame:
     return writers.fasta_text(rows, 20)
 
 
-@query("snk01_canonical_parquet_write")
+@query("snk01_canonical_parquet_write", f"WITH {B.HITS} SELECT authority, count(*) AS rows, sum(start)::BIGINT AS starts FROM hits GROUP BY 1")
 def snk01(spark: SparkSession, d: str) -> DataFrame:
     path = new_path(spark, "canonical")
     writers.write_canonical(B.domain_hits(spark, d), ["protein_id", "authority", "domain_id", "start"], path, 5000)
@@ -68,6 +68,55 @@ def snk04(spark: SparkSession, d: str) -> DataFrame:
     return writers.reconcile(declared, found)
 
 
+@query("snk04_written_files", """
+    SELECT DISTINCT l_returnflag AS authority, CASE l_returnflag WHEN 'A' THEN 'UNDECLARED' ELSE 'DIGEST_DIFFERS' END AS problem FROM lineitem WHERE l_returnflag IN ('A', 'N')
+    UNION ALL SELECT 'none', 'MISSING'""")
+def snk04_written(spark: SparkSession, d: str) -> DataFrame:
+    """Files of hits by authority, with a manifest of whole-file digests: A's files are not declared, N's digests are wrong, R's are right, and one file is declared too many."""
+    path = new_path(spark, "written")
+    B.domain_hits(spark, d).write.partitionBy("authority").option("maxRecordsPerFile", 5000).parquet(path)
+    whole = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    names = whole.select(F.concat_ws("/", F.element_at(F.split("path", "/"), -2), F.element_at(F.split("path", "/"), -1)).alias("name"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    authority = F.regexp_extract("name", "authority=([^/]*)/", 1)
+    extra = spark.createDataFrame([("authority=none/x", 1, "")], names.schema)
+    declared = names.filter(authority != "A").withColumn("sha256", F.when(authority == "N", F.sha2("sha256", 256)).otherwise(F.upper("sha256"))).unionByName(extra)
+    found = writers.file_inventory(spark, path).filter(F.col("name").startswith("authority="))
+    return writers.reconcile(declared, found).select(authority.alias("authority"), "problem").distinct()
+
+
+@query("snk03_written_fasta", """
+    SELECT o_orderkey::VARCHAR AS protein_id, CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderpriority END AS description, repeat('ACDEF', (o_orderkey % 12 + 1)::INT) AS sequence,
+        5 * (o_orderkey % 12 + 1) AS sequence_length, sha256(repeat('ACDEF', (o_orderkey % 12 + 1)::INT)) AS sequence_sha256 FROM orders""")
+def snk03_written(spark: SparkSession, d: str) -> DataFrame:
+    """FASTA files of orders, written in order of id and read back."""
+    path = new_path(spark, "fasta")
+    description = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderpriority"))
+    sequence = F.repeat(F.lit("ACDEF"), (F.col("o_orderkey") % 12 + 1).cast("int"))
+    writers.write_fasta(table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), description.alias("description"), sequence.alias("sequence")), path, 20)
+    return readers.read_fasta(spark, path)
+
+
+@query("src01_fasta_scan", f"""
+    WITH {B.SEQUENCES}, s AS (SELECT protein_id, sequence, protein_id % 4 AS k FROM sequences WHERE length(sequence) > 0)
+    SELECT 'P' || protein_id AS protein_id, CASE WHEN k < 2 THEN 'of ' || k ELSE '' END AS description, sequence, length(sequence) AS sequence_length, sha256(sequence) AS sequence_sha256 FROM s""")
+def src01(spark: SparkSession, d: str) -> DataFrame:
+    """Whole sequences as records with lower-case residues, blank lines and a terminal stop; the scan takes these away."""
+    path, k = new_path(spark, "records"), F.col("protein_id") % 4
+    rows = B.sequences(spark, d).filter(F.length("sequence") > 0)
+    body = F.when(k == 0, F.lower("sequence")).when(k == 1, F.regexp_replace("sequence", "(.{60})", "$1\n")).when(k == 2, F.concat("sequence", F.lit("*"))).otherwise(F.concat(F.lit("\n"), "sequence", F.lit(" \n")))
+    head = F.concat(F.lit(">P"), "protein_id", F.when(k < 2, F.concat(F.lit("  of "), k)).otherwise(""))
+    rows.select(F.concat(head, F.lit("\n"), body)).write.text(path)
+    return readers.read_fasta(spark, path)
+
+
+@query("src03_tsv_scan", "SELECT l_orderkey::VARCHAR AS l_orderkey, CASE WHEN l_linenumber = 1 THEN '' ELSE l_returnflag END AS flag, l_partkey::VARCHAR AS l_partkey, count(*) AS n FROM lineitem GROUP BY ALL")
+def src03(spark: SparkSession, d: str) -> DataFrame:
+    """Lines as a TSV with blank cells, read back as text."""
+    path, names = new_path(spark, "tsv"), ["l_orderkey", "flag", "l_partkey"]
+    writers.write_tsv(table(spark, d, "lineitem").withColumn("flag", F.when(F.col("l_linenumber") > 1, F.col("l_returnflag"))), names, path)
+    return readers.read_tsv(spark, path, names).groupBy(*names).agg(F.count("*").alias("n"))
+
+
 @query("set05_manifest_inventory_diff", "SELECT 'part' || c_custkey AS name, 'DECLARED_ONLY' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') UNION ALL SELECT DISTINCT 'extra' || o_custkey, 'FOUND_ONLY' FROM orders WHERE o_custkey % 10 = 0")
 def set05(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
