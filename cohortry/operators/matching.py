@@ -107,32 +107,38 @@ def greedy_match(pairs: DataFrame, slots: int = 1, max_rounds: int = 200) -> Dat
 def maximum_match(pairs: DataFrame, max_rounds: int = 200) -> DataFrame:
     """(target_unit, control_unit, control_id, distance): a matching of as many targets as possible.
 
-    Starts from the greedy matching. A round grows paths from all unmatched targets at once, each control and target in one path's tree; where trees reach
-    free controls, one path each is flipped. When no tree reaches one, no path exists, so no larger matching does. The trees are rows, not objects in a task.
+    Starts from the greedy matching. A phase grows trees from all unmatched targets at once, level by level, each control and target in one tree; at the first level where trees reach
+    free controls, one shortest path of each such tree is flipped. When no tree reaches one, no path exists, so no larger matching does. A reached control is a row that names the target
+    it was reached from, so rows do not grow with the depth; paths are read back level by level.
     """
     edges = materialize(pairs.select("target_unit", "control_unit", "control_id", "distance"), "edges")
     match = materialize(greedy_match(edges).select("target_unit", "control_unit"), "match")
-    link = F.struct(F.col("target_unit").alias("t"), F.col("control_unit").alias("c"))
     for _ in range(max_rounds):
-        free = edges.select("target_unit").distinct().join(match, "target_unit", "left_anti")
-        front = free.select("target_unit", F.col("target_unit").alias("root"), F.array().cast(f"array<struct<t:{edges.schema['target_unit'].dataType.simpleString()},c:{edges.schema['control_unit'].dataType.simpleString()}>>").alias("path"))
-        seen, hits = None, None
+        front = edges.select("target_unit").distinct().join(match, "target_unit", "left_anti").select("target_unit", F.col("target_unit").alias("root"))
+        levels, hits = [], None
         while True:
-            step = front.join(edges, "target_unit").select("control_unit", "root", "distance", F.array_append("path", link).alias("path"))
-            if seen is not None:
-                step = step.join(seen, "control_unit", "left_anti")
-            step = materialize(step.groupBy("control_unit").agg(F.min_by(F.struct("root", "path", "distance"), F.struct(F.size("path"), "root", "distance")).alias("b")).select("control_unit", "b.*"), "step")
+            step = front.join(edges, "target_unit").select("control_unit", "target_unit", "root", "distance")
+            for earlier in levels:
+                step = step.join(earlier.select("control_unit"), "control_unit", "left_anti")
+            first = F.min_by(F.struct("target_unit", "root", "distance"), F.struct("root", "distance", "target_unit"))
+            step = materialize(step.groupBy("control_unit").agg(first.alias("b")).select("control_unit", "b.*"), "level")
             if step.isEmpty():
                 break
+            levels.append(step)
             open_ = step.join(match.select("control_unit"), "control_unit", "left_anti")
             if not open_.isEmpty():
-                hits = open_.groupBy("root").agg(F.min_by("path", F.struct("distance", "control_unit")).alias("path"))
+                hits = open_.groupBy("root").agg(F.min_by("control_unit", F.struct("distance", "control_unit")).alias("control_unit"))
                 break
-            seen = step.select("control_unit") if seen is None else materialize(seen.union(step.select("control_unit")), "seen")
-            front = step.join(match, "control_unit").select("target_unit", "root", "path")
+            front = step.select("control_unit", "root").join(match, "control_unit").select("target_unit", "root")
         if hits is None:
             return match.join(edges, ["target_unit", "control_unit"]).select("target_unit", "control_unit", "control_id", "distance")
-        new = materialize(hits.select(F.explode("path").alias("l")).select(F.col("l.t").alias("target_unit"), F.col("l.c").alias("control_unit")), "flipped")
+        ends, new = hits.select("control_unit"), None
+        for level in reversed(levels):
+            links = materialize(ends.join(level.select("control_unit", "target_unit"), "control_unit"), "links")
+            new = links if new is None else new.unionByName(links)
+            # the target's own control is what the level before reached
+            ends = match.join(links.select("target_unit"), "target_unit", "left_semi").select("control_unit")
+        new = materialize(new.select("target_unit", "control_unit"), "flipped")
         match = materialize(match.join(new.select("target_unit"), "target_unit", "left_anti").unionByName(new), "match")
     raise RuntimeError(f"no maximum matching after {max_rounds} rounds")
 

@@ -31,6 +31,15 @@ def test_greedy_match_takes_targets_in_turn(spark, slots):
         assert sorted(tuple(r) for r in got) == sorted(want)
 
 
+def test_maximum_match_follows_long_paths(spark):
+    """A chain in which every target prefers its neighbour's control needs one path through all of them."""
+    n = 8
+    pairs = [(t, 100 + t, 100 + t, 0.1) for t in range(n)] + [(t, 101 + t, 101 + t, 0.5) for t in range(n)] + [(n, 100, 100, 0.3)]
+    got = matching.maximum_match(spark.createDataFrame(pairs, PAIRS)).collect()
+    assert len(got) == n + 1 and len({r["control_unit"] for r in got}) == len({r["target_unit"] for r in got}) == n + 1
+    assert {(r["target_unit"], r["control_unit"]) for r in got} == {(n, 100), *((t, 101 + t) for t in range(n))}
+
+
 def test_maximum_match_covers_as_many_targets_as_possible(spark):
     for seed in range(3):
         pairs = random_pairs(seed, 7, 6, 0.3)
