@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.operators.statistics import benjamini_hochberg, fisher_exact, wilson
+from cohortry.operators.statistics import adjusted, fisher_exact, wilson
 from cohortry.storage import materialize
 
 FDR = 0.05
@@ -130,8 +130,7 @@ def associate(
 
     def tested(rows: DataFrame) -> DataFrame:
         done = fisher_exact(rows.filter("status = 'COMPLETE'"), "target_present", "target_absent", "background_present", "background_absent")
-        done = benjamini_hochberg(done, ["comparison_id", "partition", "feature_type"])
-        done = benjamini_hochberg(done, ["partition", "feature_type"], out="study_q_value")
+        done = adjusted(done, {"q_value": ["comparison_id", "partition", "feature_type"], "study_q_value": ["partition", "feature_type"]})
         for n, _ in SIDES:
             low, high = wilson(F.col(f"{n}_present"), F.col(f"{n}_present") + F.col(f"{n}_absent"))
             done = done.withColumns({f"{n}_low": low, f"{n}_high": high})
@@ -142,7 +141,7 @@ def associate(
     counts = materialize(judged(counts.filter(F.col("target_with") + F.col("background_with") >= minimum_proteins)), "counts")
     discovery = materialize(tested(counts), "discovery")
     ineligible = able.filter("partition = 'DISCOVERY'").join(counts.select("comparison_id").distinct(), "comparison_id", "left_anti")
-    frozen = materialize(discovery.filter((F.col("q_value") <= fdr) & (F.col("prevalence_difference") != 0)).select("comparison_id", *FEATURE), "frozen")
+    frozen = discovery.filter((F.col("q_value") <= fdr) & (F.col("prevalence_difference") != 0)).select("comparison_id", *FEATURE)
     held = able.filter("partition = 'VALIDATION'")
     wanted = frozen.join(held.select("comparison_id"), "comparison_id", "left_semi")
     kept = feature_block_counts(members.filter("partition = 'VALIDATION'"), positives, universes, assessed, wanted)

@@ -116,15 +116,23 @@ def wilson(successes: Column, trials: Column, z: float = Z95) -> tuple[Column, C
 
 
 def benjamini_hochberg(df: DataFrame, by: Sequence[str], p: str = "p_value", out: str = "q_value") -> DataFrame:
-    """Add the adjusted p-values of each family; rows of null p take no part and get null.
+    """Add the adjusted p-values of each family, the rows that agree in ``by``; see ``adjusted``."""
+    return adjusted(df, {out: by}, p)
+
+
+def adjusted(df: DataFrame, scopes: dict[str, Sequence[str]], p: str = "p_value") -> DataFrame:
+    """Add a column of adjusted p-values (Benjamini-Hochberg) for each scope, a name with the columns that make up its families; rows of null p take no part and get null.
 
     A family's different p-values with their counts are dealt by range and sorted; ranks are counted and the least later value is
     kept within a range, and a row per range and family carries counts forward and minima back. So no task holds more of a family than a range,
-    whatever its size. Ties share one value, so this is exact.
+    whatever its size. Ties share one value, so this is exact. All scopes go through one pass.
     """
-    by = list(by)
-    counts = df.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("_k"))
-    ranges = materialize(counts.repartitionByRange(*by, p).withColumn("_part", F.spark_partition_id()), "p_values")
+    by, name = ["_scope", "_family"], lambda columns: F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    stacked = None
+    for scope, columns in scopes.items():
+        rows = df.filter(F.col(p).isNotNull()).groupBy(name(columns).alias("_family"), p).agg(F.count("*").alias("_k")).withColumn("_scope", F.lit(scope))
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    ranges = materialize(stacked.repartitionByRange(*by, p).withColumn("_part", F.spark_partition_id()), "p_values")
     here = Window.partitionBy(*by, "_part").orderBy(p)
     sums = ranges.groupBy(*by, "_part").agg(F.sum("_k").alias("_s"))
     family = Window.partitionBy(*by)
@@ -135,5 +143,8 @@ def benjamini_hochberg(df: DataFrame, by: Sequence[str], p: str = "p_value", out
     ranked = ranked.withColumn("_least", F.min("_v").over(here.rowsBetween(0, Window.unboundedFollowing)))
     minima = ranked.groupBy(*by, "_part").agg(F.min("_v").alias("_v"))
     later = minima.withColumn("_later", F.min("_v").over(family.orderBy("_part").rowsBetween(1, Window.unboundedFollowing))).drop("_v")
-    q = ranked.join(later, [*by, "_part"]).select(*by, p, F.least(F.lit(1.0), "_least", "_later").alias(out))
-    return spread_join(df, q, [*by, p], "_k", "left", sizes=ranges.select(*by, p, "_k"))
+    q = ranked.join(later, [*by, "_part"]).select(*by, p, F.least(F.lit(1.0), "_least", "_later").alias("_q"))
+    for scope, columns in scopes.items():
+        own = q.filter(F.col("_scope") == scope).select("_family", p, F.col("_q").alias(scope))
+        df = spread_join(df.withColumn("_family", name(columns)), own, ["_family", p], "_k", "left", sizes=ranges.filter(F.col("_scope") == scope).select("_family", p, "_k")).drop("_family")
+    return df
