@@ -60,6 +60,14 @@ def snk02(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_tsv(spark, path, ["o_orderkey", "o_orderstatus", "o_orderpriority"]).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum(F.col("o_orderkey").cast("long")).alias("keys"))
 
 
+@query("snk02_sorted_tsv", "SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, o_orderpriority FROM orders")
+def snk02_sorted(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as one sorted table with one heading, read back."""
+    path, names = new_path(spark, "sorted"), ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    writers.write_tsv(table(spark, d, "orders"), names, path, order=["o_orderkey"])
+    return readers.read_tsv(spark, path, names, one_heading=True)
+
+
 @query("snk04_manifest_reconcile", "SELECT 'g' || c_custkey AS name, CASE WHEN c_custkey % 5 = 0 THEN 'MISSING' WHEN c_custkey % 5 = 1 THEN 'UNDECLARED' WHEN c_custkey % 5 = 2 THEN 'SIZE_DIFFERS' ELSE 'DIGEST_DIFFERS' END AS problem FROM customer WHERE c_custkey % 5 < 4")
 def snk04(spark: SparkSession, d: str) -> DataFrame:
     own = table(spark, d, "customer").select(F.concat(F.lit("g"), "c_custkey").alias("name"), (F.col("c_custkey") % 5).alias("k"), F.sha2(F.col("c_name"), 256).alias("sha256"))

@@ -187,3 +187,13 @@ def mlx11(spark: SparkSession, d: str) -> DataFrame:
 @query("mlx11_status_rows")
 def mlx11_status(spark: SparkSession, d: str) -> DataFrame:
     return fitted(spark, d).models
+
+
+@query("mlx11_status_counts", f"""
+    WITH {_SAMPLES}
+    SELECT comparison_id, count_if(partition = 'DISCOVERY' AND target = 1) AS discovery_target_count, count_if(partition = 'DISCOVERY' AND target = 0) AS discovery_background_count,
+        count_if(partition = 'VALIDATION' AND target = 1) AS validation_target_count, count_if(partition = 'VALIDATION' AND target = 0) AS validation_background_count
+    FROM samples GROUP BY 1""")
+def mlx11_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The counts that stand in the status rows of the fitted models."""
+    return fitted(spark, d).models.select("comparison_id", *[f"{p}_{c}_count" for p in ("discovery", "validation") for c in ("target", "background")])

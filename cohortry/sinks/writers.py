@@ -19,11 +19,22 @@ def write_canonical(df: DataFrame, columns: Sequence[str], path: str, rows: int
     df.select(*columns).write.option("maxRecordsPerFile", rows).option("compression", "zstd").parquet(path)
 
 
-def write_tsv(df: DataFrame, columns: Sequence[str], path: str, plain: int = PLAIN_ROWS) -> None:
-    """A TSV table with a heading in each file; packed with gzip above ``plain`` rows. Empty texts and nulls are both empty cells."""
-    packed = df.limit(plain + 1).count() > plain
-    rows = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
-    rows.write.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("compression", "gzip" if packed else "none").csv(path)
+def write_tsv(df: DataFrame, columns: Sequence[str], path: str, plain: int = PLAIN_ROWS, order: Sequence[str] = ()) -> None:
+    """A TSV table; packed with gzip above ``plain`` rows. Empty texts and nulls are both empty cells; tabs and line ends in a cell are an error of the table.
+
+    Without ``order`` every file has a heading. With it the rows are dealt and sorted by these columns, and the files, in order of their names, are one sorted table with one heading at its start.
+    """
+    packed = "gzip" if df.limit(plain + 1).count() > plain else "none"
+    if not order:
+        rows = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
+        rows.write.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("compression", packed).csv(path)
+        return
+    keys = [f"_key{k}" for k in range(len(order))]
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    lines = df.select(F.lit(1).alias("_rank"), *[F.col(c).alias(k) for c, k in zip(order, keys, strict=True)], F.concat_ws("\t", *cells).alias("value"))
+    heading = df.sparkSession.createDataFrame([("\t".join(columns),)], "value string").select(F.lit(0).alias("_rank"), *[F.lit(None).cast(lines.schema[k].dataType).alias(k) for k in keys], "value")
+    place = ["_rank", *keys, "value"]
+    heading.unionByName(lines).repartitionByRange(*place).sortWithinPartitions(*place).select("value").write.option("compression", packed).text(path)
 
 
 def fasta_text(df: DataFrame, width: int = 0) -> DataFrame:

@@ -34,10 +34,22 @@ def fasta_violations(records: DataFrame) -> DataFrame:
     return records.select("protein_id", problem.alias("problem")).filter("problem is not null").unionByName(again)
 
 
-def read_tsv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """A headed TSV of text columns; blank cells are empty strings, and a header or width that differs is an error."""
+def read_tsv(spark: SparkSession, path: str, columns: Sequence[str], one_heading: bool = False) -> DataFrame:
+    """A headed TSV of text columns; blank cells are empty strings, and a header or width that differs is an error.
+
+    With ``one_heading`` the files are one table, whose first file alone has the heading; it must be there exactly once.
+    """
     schema = ", ".join(f"`{c}` string" for c in columns)
-    rows = spark.read.csv(path, sep="\t", header=True, schema=schema, mode="FAILFAST", enforceSchema=False, quote="")
+    if one_heading:
+        rows = spark.read.csv(path, sep="\t", schema=schema, mode="FAILFAST", quote="")
+        heading = F.lit(True)
+        for c in columns:
+            heading = heading & F.coalesce(F.col(c) == c, F.lit(False))
+        if (n := rows.filter(heading).count()) != 1:
+            raise ValueError(f"{n} headings in {path}")
+        rows = rows.filter(~heading)
+    else:
+        rows = spark.read.csv(path, sep="\t", header=True, schema=schema, mode="FAILFAST", enforceSchema=False, quote="")
     return rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns])
 
 

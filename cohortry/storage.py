@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +26,37 @@ def work_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+#: Folders that ``new_path`` named, by application.
+_named: dict[str, list[str]] = {}
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _named.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """A scope of intermediate tables: those that are written inside are deleted at its end, so results must be written or collected before.
+
+    Outside a scope they stay until the folder is cleared, as results are lazy and may read them at any time.
+    """
+    named = _named.setdefault(spark.sparkContext.applicationId, [])
+    before = len(named)
+    try:
+        yield
+    finally:
+        gone = named[before:]
+        del named[before:]
+        _delete(spark, gone)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

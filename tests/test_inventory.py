@@ -1,11 +1,14 @@
 """Digests of files that are read in pieces, and the manifest check over them."""
 
 import hashlib
+import os
 import random
 
 import pytest
 
+from cohortry import storage
 from cohortry.sinks import writers
+from cohortry.sources import readers
 
 
 def test_digests_of_any_bytes(spark, tmp_path):
@@ -30,3 +33,31 @@ def test_a_byte_order_mark_is_refused(spark, tmp_path):
     (tmp_path / "marked").write_bytes(b"\xef\xbb\xbfabc\n")
     with pytest.raises(Exception, match="were not read"):
         writers.file_inventory(spark, str(tmp_path)).collect()
+
+
+def test_a_sorted_table_has_one_heading(spark, tmp_path):
+    rows = [(k * 37 % 500, None if k % 5 == 0 else f"t{k}") for k in range(500)]
+    frame = spark.createDataFrame(rows, "k int, t string").repartition(3)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_tsv(frame, ["t", "k"], str(tmp_path / "t"), order=["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    files = sorted((tmp_path / "t").glob("part-*"))
+    lines = "".join(f.read_text() for f in files).splitlines()
+    assert len(files) > 1 and lines == ["t\tk"] + [f"{t or ''}\t{k}" for k, t in sorted(rows, key=lambda r: r[0])]
+    back = readers.read_tsv(spark, str(tmp_path / "t"), ["t", "k"], one_heading=True)
+    assert sorted(map(tuple, back.collect())) == sorted((t or "", str(k)) for k, t in rows)
+    writers.write_tsv(frame, ["t", "k"], str(tmp_path / "u"))
+    with pytest.raises(ValueError, match="headings"):
+        readers.read_tsv(spark, str(tmp_path / "u"), ["k", "t"], one_heading=True)
+
+
+def test_a_scope_deletes_its_tables(spark):
+    before = storage.materialize(spark.range(3), "kept")
+    with storage.intermediate(spark):
+        inside = storage.materialize(spark.range(5), "gone")
+        path = inside.inputFiles()[0].rpartition("/")[0].removeprefix("file://").removeprefix("file:")
+        assert inside.count() == 5 and os.path.isdir(path)
+    assert not os.path.exists(path) and before.count() == 3
