@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Keys that hold over one in ``SHARE`` of all rows are dealt to ``SALTS`` tasks.
-SHARE, SALTS = 1000, 256
+#: Keys that hold over one in ``SHARE`` of all rows, and more than ``FLOOR``, are dealt to ``SALTS`` tasks.
+SHARE, FLOOR, SALTS = 1000, 10_000, 256
 
 
 def spread_join(rows: DataFrame, keys: DataFrame, on: str | Sequence[str], count: str, how: str = "inner", sizes: DataFrame | None = None) -> DataFrame:
@@ -20,7 +20,7 @@ def spread_join(rows: DataFrame, keys: DataFrame, on: str | Sequence[str], count
     on = [on] if isinstance(on, str) else list(on)
     sizes, keys = keys if sizes is None else sizes, keys.drop(count)
     total, most = sizes.agg(F.sum(count), F.max(count)).first()
-    least = max(SHARE, (total or 0) / SHARE)
+    least = max(FLOOR, (total or 0) / SHARE)
     if (most or 0) <= least:
         return rows.join(keys, on, how)
     flag = F.broadcast(sizes.filter(F.col(count) > least).select(*on, F.lit(True).alias("_heavy")))

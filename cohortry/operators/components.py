@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from cohortry.joins import SALTS, SHARE
 from cohortry.storage import materialize
 
+#: Edge ends that a task takes without more ado.
+FLOOR = 100_000
+
 
 def _both(edges: DataFrame) -> DataFrame:
     """Every edge from both of its ends."""
@@ -15,7 +18,7 @@ def _both(edges: DataFrame) -> DataFrame:
 
 
 def _hubs(edges: DataFrame) -> tuple[DataFrame | None, tuple]:
-    """The nodes that over one in ``SHARE`` of all edge ends meet in, so ``2 * SHARE`` at most (none if no node has many edges), and a mark of the edges.
+    """The nodes that over one in ``SHARE`` of all edge ends meet in, so ``SHARE`` at most (none if no node has ``FLOOR``), and a mark of the edges.
 
     An edge of a round leads from a node to a neighbour of its neighbours, so within the round no other node gets as many edges.
     """
@@ -23,8 +26,11 @@ def _hubs(edges: DataFrame) -> tuple[DataFrame | None, tuple]:
     ends = marked.union(marked.select("b", "a", F.lit(0).cast("long")))
     degrees = ends.groupBy("a").agg(F.count("*").alias("n"), F.bit_xor("h").alias("h"))
     total, most, check = degrees.agg(F.sum("n"), F.max("n"), F.bit_xor("h")).first()
-    least = max(SHARE, (total or 0) / SHARE)
-    return (degrees.filter(F.col("n") > least).select("a", F.lit(True).alias("hub")) if (most or 0) > least else None), (total, check)
+    least = max(FLOOR, (total or 0) / SHARE)
+    if (most or 0) <= least:
+        return None, (total, check)
+    found = degrees.filter(F.col("n") > least).select("a", F.lit(True).alias("hub"))
+    return edges.sparkSession.createDataFrame(found.collect(), found.schema), (total, check)
 
 
 def salted(edges: DataFrame, hubs: DataFrame) -> DataFrame:

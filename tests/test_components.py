@@ -26,7 +26,8 @@ def brute(edges):
 
 
 def test_graphs_with_hubs_and_chains(spark, monkeypatch):
-    monkeypatch.setattr(C, "SHARE", 5)
+    monkeypatch.setattr(C, "SHARE", 50)
+    monkeypatch.setattr(C, "FLOOR", 5)
     for seed in range(3):
         rng = random.Random(seed)
         edges = [(500, rng.randint(0, 999)) for _ in range(300)] + [(k, k + 1) for k in range(2000, 2040)] + [(rng.randint(0, 1500), rng.randint(0, 1500)) for _ in range(400)]

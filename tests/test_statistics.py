@@ -80,7 +80,8 @@ def test_no_window_holds_a_whole_family(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
 
 
-def test_heavy_keys_of_several_columns(spark):
+def test_heavy_keys_of_several_columns(spark, monkeypatch):
+    monkeypatch.setattr(joins, "FLOOR", 1000)
     rows = spark.range(9000).selectExpr("if(id < 4000, 'a', 'b') as f", "if(id < 4000, 1, id) as p", "id")
     keys = rows.groupBy("f", "p").agg(F.count("*").alias("n"), F.max("id").alias("v"))
     got = joins.spread_join(rows, keys, ["f", "p"], "n", "left")
