@@ -65,7 +65,12 @@ def _counts(spark: SparkSession, d: str) -> DataFrame:
     return association.feature_block_counts(*cohort(spark, d))
 
 
-@query("jon03_universe_compose", f"WITH {_BASE} SELECT feature_type, feature_id, CASE WHEN universe IS NULL THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM (SELECT protein_id FROM assessed a WHERE a.universe = u.universe UNION SELECT protein_id FROM positives p WHERE p.feature_type = u.feature_type AND p.feature_id = u.feature_id)) END AS size FROM univ u")
+@query("jon03_universe_compose", f"""
+    WITH {_BASE} SELECT feature_type, feature_id, CASE WHEN universe IS NULL THEN (SELECT count(*)
+    FROM orders) ELSE (SELECT count(*) FROM (SELECT protein_id FROM assessed a
+    WHERE a.universe = u.universe UNION SELECT protein_id FROM positives p
+    WHERE p.feature_type = u.feature_type AND p.feature_id = u.feature_id)) END AS size
+    FROM univ u""")
 def jon03(spark: SparkSession, d: str) -> DataFrame:
     _, positives, own, assessed = cohort(spark, d)
     proteins = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"))
@@ -84,7 +89,9 @@ def agg02(spark: SparkSession, d: str) -> DataFrame:
     return association.sample_counts(B.members(spark, d))
 
 
-@query("agg03_prevalence", f"WITH {_COUNTS}, {_PREVALENCE} SELECT {_KEYS}, {_R.format('target_prevalence')}, {_R.format('background_prevalence')}, {_R.format('prevalence_difference')}, direction FROM shown WHERE target_with + background_with > 0")
+@query("agg03_prevalence", f"""
+    WITH {_COUNTS}, {_PREVALENCE} SELECT {_KEYS}, {_R.format('target_prevalence')}, {_R.format('background_prevalence')},
+    {_R.format('prevalence_difference')}, direction FROM shown WHERE target_with + background_with > 0""")
 def agg03(spark: SparkSession, d: str) -> DataFrame:
     out = association.prevalence(_counts(spark, d))
     return rounded(out.select(*_KEYS.split(", "), "target_prevalence", "background_prevalence", "prevalence_difference", "direction"), "target_prevalence", "background_prevalence", "prevalence_difference")
@@ -122,7 +129,9 @@ def _judged(rows: str) -> str:
         FROM {rows} s LEFT JOIN exploratory x ON x.feature_type = s.feature_type AND x.feature_id = s.feature_id"""
 
 
-_FISHER = "SELECT s.*, f.p_value, f.odds_ratio FROM {0} s LEFT JOIN fisher f ON s.status = 'COMPLETE' AND s.target_present = f.a AND s.target_absent = f.b AND s.background_present = f.c AND s.background_absent = f.d"
+_FISHER = """
+    SELECT s.*, f.p_value, f.odds_ratio FROM {0} s LEFT JOIN fisher f ON s.status = 'COMPLETE' AND s.target_present = f.a AND
+    s.target_absent = f.b AND s.background_present = f.c AND s.background_absent = f.d"""
 _TESTED = f"""{_COUNTS}, {_PREVALENCE},
     able AS (SELECT comparison_id, partition FROM totals WHERE target_blocks >= 3 AND background_blocks >= 3),
     judged AS ({_judged('shown')}), {_LOGS.format(tables="judged WHERE status = 'COMPLETE'")},
@@ -142,7 +151,10 @@ def associations(spark: SparkSession, d: str) -> DataFrame:
     return association.associate(*cohort(spark, d), B.frame(spark, d, "comparisons"), B.frame(spark, d, "exploratory"))
 
 
-@query("sta05_association_pipeline", f"WITH {_TESTED} SELECT {_KEYS}, target_blocks, background_blocks, target_present, target_absent, background_present, background_absent, direction, status, {', '.join(_R.format(c) for c in _ASSOC)} FROM associations")
+@query("sta05_association_pipeline", f"""
+    WITH {_TESTED} SELECT {_KEYS}, target_blocks, background_blocks, target_present, target_absent, background_present,
+    background_absent, direction, status, {', '.join(_R.format(c) for c in _ASSOC)}
+    FROM associations""")
 def sta05(spark: SparkSession, d: str) -> DataFrame:
     out = associations(spark, d)
     return rounded(out.select(*_KEYS.split(", "), "target_blocks", "background_blocks", "target_present", "target_absent", "background_present", "background_absent", "direction", "status", *_ASSOC), *_ASSOC)
@@ -177,14 +189,20 @@ def sta06(spark: SparkSession, d: str) -> DataFrame:
     return rounded(signatures(spark, d).select("comparison_id", "feature_type", "feature_id", "status", "evidence_class", "discovery_q_value", "validation_q_value"), "discovery_q_value", "validation_q_value")
 
 
-@query("jon07_signature_validation_pair", f"WITH {_SIGN} SELECT comparison_id, feature_type, feature_id, round(dq, 7) AS discovery_q_value, round(dd, 7) AS discovery_prevalence_difference, held AS held_status, round(vs, 7) AS validation_study_q_value, round(vd, 7) AS validation_prevalence_difference FROM pairs")
+@query("jon07_signature_validation_pair", f"""
+    WITH {_SIGN} SELECT comparison_id, feature_type, feature_id, round(dq, 7) AS discovery_q_value, round(dd, 7) AS
+    discovery_prevalence_difference, held AS held_status, round(vs, 7) AS validation_study_q_value, round(vd, 7) AS
+    validation_prevalence_difference FROM pairs""")
 def jon07(spark: SparkSession, d: str) -> DataFrame:
     pairs = association.validation_pairs(materialize(associations(spark, d), "associations"))
     some = ["discovery_q_value", "discovery_prevalence_difference", "validation_study_q_value", "validation_prevalence_difference"]
     return rounded(pairs.select("comparison_id", "feature_type", "feature_id", "held_status", *some), *some)
 
 
-@query("jon22_validation_of_signatures", f"WITH {_SIGN} SELECT a.comparison_id, a.partition, a.feature_type, a.feature_id, a.status, round(a.p_value, 7) AS p_value FROM associations a SEMI JOIN classed c ON c.comparison_id = a.comparison_id AND c.feature_type = a.feature_type AND c.feature_id = a.feature_id")
+@query("jon22_validation_of_signatures", f"""
+    WITH {_SIGN} SELECT a.comparison_id, a.partition, a.feature_type, a.feature_id, a.status, round(a.p_value, 7) AS p_value
+    FROM associations a SEMI JOIN classed c ON c.comparison_id = a.comparison_id AND c.feature_type = a.feature_type AND c.feature_id =
+    a.feature_id""")
 def jon22(spark: SparkSession, d: str) -> DataFrame:
     every = materialize(associations(spark, d), "associations")
     found = reports.validation_of_signatures(every, association.synthesize(every, exploratory=B.frame(spark, d, "exploratory")))
@@ -235,17 +253,28 @@ def hierarchy(spark: SparkSession, d: str) -> DataFrame:
     return root.union(one).union(two).union(three)
 
 
-_CLOSURE = f"{_TREE}, up AS (SELECT label_id, label_id AS ancestor_id, 0 AS depth FROM labels UNION ALL SELECT up.label_id, l.parent_label_id, depth + 1 FROM up JOIN labels l ON up.ancestor_id = l.label_id WHERE l.parent_label_id IS NOT NULL)"
+_CLOSURE = f"""
+    {_TREE}, up AS (SELECT label_id, label_id AS ancestor_id, 0 AS depth
+    FROM labels UNION ALL SELECT up.label_id, l.parent_label_id, depth + 1
+    FROM up JOIN labels l ON up.ancestor_id = l.label_id WHERE l.parent_label_id IS NOT NULL)"""
 
 
-@query("grf03_label_closure", f"WITH RECURSIVE {_CLOSURE}, direct AS (SELECT c_custkey AS protein_id, 'S' || c_nationkey || c_mktsegment AS label_id FROM customer UNION SELECT c_custkey, 'N' || c_nationkey FROM customer WHERE c_custkey % 3 = 0) SELECT protein_id, ancestor_id AS label_id, CASE WHEN min(depth) = 0 THEN 'DIRECT' ELSE 'INHERITED' END AS source FROM direct JOIN up USING (label_id) GROUP BY 1, 2")
+@query("grf03_label_closure", f"""
+    WITH RECURSIVE {_CLOSURE}, direct AS (SELECT c_custkey AS protein_id, 'S' || c_nationkey || c_mktsegment AS label_id
+    FROM customer UNION SELECT c_custkey, 'N' || c_nationkey FROM customer
+    WHERE c_custkey % 3 = 0) SELECT protein_id, ancestor_id AS label_id, CASE WHEN min(depth) = 0 THEN 'DIRECT' ELSE 'INHERITED' END AS
+    source FROM direct JOIN up USING (label_id) GROUP BY 1, 2""")
 def grf03(spark: SparkSession, d: str) -> DataFrame:
     customer = table(spark, d, "customer")
     direct = customer.select(F.col("c_custkey").alias("protein_id"), F.concat(F.lit("S"), "c_nationkey", "c_mktsegment").alias("label_id")).union(customer.filter("c_custkey % 3 = 0").select("c_custkey", F.concat(F.lit("N"), "c_nationkey")))
     return blocks.expand_memberships(direct, blocks.label_closure(hierarchy(spark, d)))
 
 
-@query("val07_hierarchy_check", f"WITH RECURSIVE {_CLOSURE} SELECT (SELECT count(*) FROM labels WHERE parent_label_id IS NULL) AS roots, (SELECT count(*) FROM labels WHERE parent_label_id NOT IN (SELECT label_id FROM labels)) AS unknown_parents, max(depth)::INT AS deepest, count(*) AS closure_rows FROM up")
+@query("val07_hierarchy_check", f"""
+    WITH RECURSIVE {_CLOSURE} SELECT (SELECT count(*) FROM labels
+    WHERE parent_label_id IS NULL) AS roots, (SELECT count(*) FROM labels
+    WHERE parent_label_id NOT IN (SELECT label_id FROM labels)) AS unknown_parents, max(depth)::INT AS deepest, count(*) AS
+    closure_rows FROM up""")
 def val07(spark: SparkSession, d: str) -> DataFrame:
     labels = hierarchy(spark, d)
     unknown = labels.filter("parent_label_id is not null").join(labels.select(F.col("label_id").alias("parent_label_id")), "parent_label_id", "left_anti")
@@ -253,7 +282,11 @@ def val07(spark: SparkSession, d: str) -> DataFrame:
     return labels.agg(F.count_if(F.col("parent_label_id").isNull()).alias("roots")).crossJoin(unknown.agg(F.count("*").alias("unknown_parents"))).crossJoin(deep)
 
 
-_VOCAB = f"{B.SEQUENCES}, k AS (SELECT DISTINCT protein_id, n AS length, substr(sequence, i, n) AS kmer FROM sequences, (SELECT unnest([3, 4]) AS n), LATERAL (SELECT unnest(range(1, length(sequence) - n + 2)) AS i)), counts AS (SELECT length, kmer, count(*) AS proteins FROM k WHERE {B.IS_DISCOVERY} GROUP BY ALL)"
+_VOCAB = f"""
+    {B.SEQUENCES}, k AS (SELECT DISTINCT protein_id, n AS length, substr(sequence, i, n) AS kmer
+    FROM sequences, (SELECT unnest([3, 4]) AS n), LATERAL (SELECT unnest(range(1, length(sequence) - n + 2)) AS i)), counts AS (SELECT
+    length, kmer, count(*) AS proteins FROM k WHERE {B.IS_DISCOVERY}
+    GROUP BY ALL)"""
 
 
 @query("agg04_kmer_prevalence", f"WITH {_VOCAB} SELECT length, kmer, proteins FROM counts WHERE length = 3")
@@ -325,7 +358,10 @@ def clusters(spark: SparkSession, d: str) -> DataFrame:
     return blocks.structure_clusters(pairs, B.frame(spark, d, "structure_partitions"))
 
 
-@query("prj03_comparison_passes", f"WITH {B.cte('structure_comparisons')} SELECT comparison_universe_id, protein_a_id, protein_b_id, source_record_id, tm_score FROM structure_comparisons WHERE comparison_status IN ('COMPLETE', 'SUCCESS', 'PASS') AND tm_score >= 0.5 AND coverage_a >= 0.5 AND coverage_b >= 0.5")
+@query("prj03_comparison_passes", f"""
+    WITH {B.cte('structure_comparisons')} SELECT comparison_universe_id, protein_a_id, protein_b_id, source_record_id, tm_score
+    FROM structure_comparisons WHERE comparison_status IN ('COMPLETE', 'SUCCESS', 'PASS') AND tm_score >= 0.5 AND coverage_a >= 0.5 AND
+    coverage_b >= 0.5""")
 def prj03(spark: SparkSession, d: str) -> DataFrame:
     return blocks.passing_pairs(B.frame(spark, d, "structure_comparisons")).select("comparison_universe_id", "protein_a_id", "protein_b_id", "source_record_id", "tm_score")
 
@@ -350,17 +386,28 @@ def fea06(spark: SparkSession, d: str) -> DataFrame:
     return blocks.cluster_features(clusters(spark, d))
 
 
-@query("agg26_cluster_summary", f"WITH RECURSIVE {_PASS} SELECT cluster_id, max(reference_member_count) AS discovery_members, count_if(membership_method = 'VALIDATION_PROJECTION') AS projected_members, max(member_count) AS total_members, max(edge_count) AS discovery_edges FROM clusters GROUP BY 1")
+@query("agg26_cluster_summary", f"""
+    WITH RECURSIVE {_PASS} SELECT cluster_id, max(reference_member_count) AS discovery_members, count_if(membership_method =
+    'VALIDATION_PROJECTION') AS projected_members, max(member_count) AS total_members, max(edge_count) AS discovery_edges
+    FROM clusters GROUP BY 1""")
 def agg26(spark: SparkSession, d: str) -> DataFrame:
     return reports.cluster_summary(clusters(spark, d))
 
 
-@query("agg27_binned_density", f"WITH {B.cte('structure_comparisons')} SELECT comparison_tool, round(floor(least(coverage_a, coverage_b) * 20) / 20, 2) AS minimum_coverage_bin, round(floor(tm_score * 20) / 20, 2) AS tm_score_bin, count(*) AS comparisons FROM structure_comparisons WHERE tm_score IS NOT NULL AND coverage_a IS NOT NULL AND coverage_b IS NOT NULL GROUP BY ALL")
+@query("agg27_binned_density", f"""
+    WITH {B.cte('structure_comparisons')} SELECT comparison_tool, round(floor(least(coverage_a, coverage_b) * 20) / 20, 2) AS
+    minimum_coverage_bin, round(floor(tm_score * 20) / 20, 2) AS tm_score_bin, count(*) AS comparisons
+    FROM structure_comparisons WHERE tm_score IS NOT NULL AND coverage_a IS NOT NULL AND coverage_b IS NOT NULL
+    GROUP BY ALL""")
 def agg27(spark: SparkSession, d: str) -> DataFrame:
     return reports.score_density(B.frame(spark, d, "structure_comparisons"))
 
 
-@query("jon23_partner_lookup", f"WITH {B.cte('structure_comparisons')}, b AS (SELECT protein_a_id AS protein_id, protein_b_id AS partner_id, comparison_tool, tm_score FROM structure_comparisons UNION ALL SELECT protein_b_id, protein_a_id, comparison_tool, tm_score FROM structure_comparisons) SELECT * FROM b WHERE protein_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')")
+@query("jon23_partner_lookup", f"""
+    WITH {B.cte('structure_comparisons')}, b AS (SELECT protein_a_id AS protein_id, protein_b_id AS partner_id, comparison_tool,
+    tm_score FROM structure_comparisons UNION ALL SELECT protein_b_id, protein_a_id, comparison_tool, tm_score
+    FROM structure_comparisons) SELECT * FROM b WHERE protein_id IN (SELECT o_orderkey
+    FROM orders WHERE o_orderstatus = 'P')""")
 def jon23(spark: SparkSession, d: str) -> DataFrame:
     asked = table(spark, d, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("protein_id"))
     return reports.partners(B.frame(spark, d, "structure_comparisons"), asked)
@@ -378,7 +425,11 @@ def agg36(spark: SparkSession, d: str) -> DataFrame:
     return rounded(sequences.column_summary(B.aligned(spark, d), reference=3), "gap_fraction", "canonical_fraction", "consensus_share", "entropy").withColumn("column", F.col("column").cast("long"))
 
 
-@query("agg38_pairwise_identity", f"WITH {B.ALIGNED}, l AS (SELECT * FROM residues WHERE residue <> '-') SELECT x.sequence_id AS a, y.sequence_id AS b, count(*) AS comparable, count_if(x.residue = y.residue)::BIGINT AS identical, round(count_if(x.residue = y.residue) / count(*), 7) AS identity FROM l x JOIN l y ON x.family = y.family AND x.col = y.col AND x.sequence_id <= y.sequence_id GROUP BY ALL")
+@query("agg38_pairwise_identity", f"""
+    WITH {B.ALIGNED}, l AS (SELECT * FROM residues WHERE residue <> '-') SELECT x.sequence_id AS a, y.sequence_id AS b, count(*) AS
+    comparable, count_if(x.residue = y.residue)::BIGINT AS identical, round(count_if(x.residue = y.residue) / count(*), 7) AS identity
+    FROM l x JOIN l y ON x.family = y.family AND x.col = y.col AND x.sequence_id <= y.sequence_id
+    GROUP BY ALL""")
 def agg38(spark: SparkSession, d: str) -> DataFrame:
     return rounded(sequences.pairwise_identity(B.aligned(spark, d), ["family"]), "identity")
 

@@ -14,23 +14,46 @@ from cohortry.storage import materialize, table
 
 # -- universes ---------------------------------------------------------------------------------------------------
 
-_EXPLICIT = "given AS (SELECT DISTINCT 'DOMAIN' AS feature_type, l_returnflag || ':' || p_brand AS feature_id, l_orderkey + CASE WHEN l_partkey % 50 = 0 THEN 1000000000 ELSE 0 END AS protein_id FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 2 AND l_partkey % 7 <> 0)"
-
-
-@query("val11_universe_check", f"WITH {B.cte('positives')}, {_EXPLICIT} SELECT DISTINCT feature_type, feature_id, protein_id, 'POSITIVE_NOT_ASSESSED' AS problem FROM positives p WHERE (feature_type, feature_id) IN (SELECT (feature_type, feature_id) FROM given) AND NOT EXISTS (SELECT 1 FROM given g WHERE g.feature_type = p.feature_type AND g.feature_id = p.feature_id AND g.protein_id = p.protein_id) UNION ALL SELECT feature_type, feature_id, protein_id, 'UNKNOWN_PROTEIN' FROM given WHERE protein_id NOT IN (SELECT o_orderkey FROM orders)")
+_EXPLICIT = """
+    given AS (SELECT DISTINCT 'DOMAIN' AS feature_type, l_returnflag || ':' || p_brand AS feature_id, l_orderkey + CASE WHEN l_partkey
+    % 50 = 0 THEN 1000000000 ELSE 0 END AS protein_id FROM lineitem
+    JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 2 AND l_partkey % 7 <> 0)"""
+
+
+@query("val11_universe_check", f"""
+    WITH {B.cte('positives')}, {_EXPLICIT} SELECT DISTINCT feature_type, feature_id, protein_id, 'POSITIVE_NOT_ASSESSED' AS problem
+    FROM positives p WHERE (feature_type, feature_id) IN (SELECT (feature_type, feature_id)
+    FROM given) AND NOT EXISTS (SELECT 1 FROM given g WHERE g.feature_type = p.feature_type AND g.feature_id = p.feature_id AND
+    g.protein_id = p.protein_id) UNION ALL SELECT feature_type, feature_id, protein_id, 'UNKNOWN_PROTEIN'
+    FROM given WHERE protein_id NOT IN (SELECT o_orderkey FROM orders)""")
 def val11(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).filter("l_linenumber <= 2 and l_partkey % 7 <> 0")
     given = lines.select(F.lit("DOMAIN").alias("feature_type"), F.concat_ws(":", "l_returnflag", "p_brand").alias("feature_id"), (F.col("l_orderkey") + F.when(F.col("l_partkey") % 50 == 0, 1_000_000_000).otherwise(0)).alias("protein_id"))
     return universes.universe_violations(given, B.frame(spark, d, "positives"), table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id")))
 
 
-@query("val10_inference_scope_check", f"WITH {B.cte('feature_assessments')}, f AS (SELECT DISTINCT feature_type, feature_id, derivation_scope FROM feature_assessments), x AS (SELECT DISTINCT 'EXTERNAL' AS feature_type, 'Brand#' || p_size AS feature_id FROM part WHERE p_size % 4 = 3) SELECT feature_type, feature_id, 'UNKNOWN_EXPLORATORY_FEATURE' AS problem FROM x WHERE (feature_type, feature_id) NOT IN (SELECT (feature_type, feature_id) FROM f) UNION ALL SELECT feature_type, feature_id, 'SUPERVISED_DEFINITION' FROM f WHERE derivation_scope = 'DISCOVERY_SUPERVISED' UNION ALL SELECT feature_type, feature_id, 'UNDECLARED_ALL_DATA_DEFINITION' FROM f WHERE derivation_scope = 'ALL_DATA_EXPLORATORY' AND (feature_type, feature_id) NOT IN (SELECT (feature_type, feature_id) FROM x)")
+@query("val10_inference_scope_check", f"""
+    WITH {B.cte('feature_assessments')}, f AS (SELECT DISTINCT feature_type, feature_id, derivation_scope
+    FROM feature_assessments), x AS (SELECT DISTINCT 'EXTERNAL' AS feature_type, 'Brand#' || p_size AS feature_id
+    FROM part WHERE p_size % 4 = 3) SELECT feature_type, feature_id, 'UNKNOWN_EXPLORATORY_FEATURE' AS problem
+    FROM x WHERE (feature_type, feature_id) NOT IN (SELECT (feature_type, feature_id)
+    FROM f) UNION ALL SELECT feature_type, feature_id, 'SUPERVISED_DEFINITION'
+    FROM f WHERE derivation_scope = 'DISCOVERY_SUPERVISED' UNION ALL SELECT feature_type, feature_id, 'UNDECLARED_ALL_DATA_DEFINITION'
+    FROM f WHERE derivation_scope = 'ALL_DATA_EXPLORATORY' AND (feature_type, feature_id) NOT IN (SELECT (feature_type, feature_id)
+    FROM x)""")
 def val10(spark: SparkSession, d: str) -> DataFrame:
     declared = table(spark, d, "part").filter("p_size % 4 = 3").select(F.lit("EXTERNAL").alias("feature_type"), F.concat(F.lit("Brand#"), "p_size").alias("feature_id"))
     return universes.scope_violations(B.frame(spark, d, "feature_assessments"), declared)
 
 
-@query("jon05_imported_feature_split", f"WITH {B.cte('feature_assessments')} SELECT 'POSITIVE' AS part, feature_type, feature_id, count(DISTINCT protein_id) AS proteins FROM feature_assessments WHERE derivation_scope IN ('FIXED_EXTERNAL', 'DISCOVERY_DERIVED') AND evidence_status = 'ASSESSED_WITH_FEATURE' GROUP BY ALL UNION ALL SELECT 'ASSESSED', feature_type, feature_id, count(DISTINCT protein_id) FROM feature_assessments WHERE derivation_scope IN ('FIXED_EXTERNAL', 'DISCOVERY_DERIVED') AND evidence_status IN ('ASSESSED_WITH_FEATURE', 'ASSESSED_NO_FEATURE') GROUP BY ALL UNION ALL SELECT DISTINCT 'EXPLORATORY', feature_type, feature_id, 0 FROM feature_assessments WHERE derivation_scope IN ('DISCOVERY_SUPERVISED', 'ALL_DATA_EXPLORATORY')")
+@query("jon05_imported_feature_split", f"""
+    WITH {B.cte('feature_assessments')} SELECT 'POSITIVE' AS part, feature_type, feature_id, count(DISTINCT protein_id) AS proteins
+    FROM feature_assessments WHERE derivation_scope IN ('FIXED_EXTERNAL', 'DISCOVERY_DERIVED') AND evidence_status =
+    'ASSESSED_WITH_FEATURE' GROUP BY ALL UNION ALL SELECT 'ASSESSED', feature_type, feature_id, count(DISTINCT protein_id)
+    FROM feature_assessments WHERE derivation_scope IN ('FIXED_EXTERNAL', 'DISCOVERY_DERIVED') AND evidence_status IN
+    ('ASSESSED_WITH_FEATURE', 'ASSESSED_NO_FEATURE') GROUP BY ALL
+    UNION ALL SELECT DISTINCT 'EXPLORATORY', feature_type, feature_id, 0
+    FROM feature_assessments WHERE derivation_scope IN ('DISCOVERY_SUPERVISED', 'ALL_DATA_EXPLORATORY')""")
 def jon05(spark: SparkSession, d: str) -> DataFrame:
     positives, assessed, exploratory = universes.split_imported(materialize(B.frame(spark, d, "feature_assessments"), "ledger"))
     key = ["feature_type", "feature_id"]
@@ -43,23 +66,42 @@ def prj01(spark: SparkSession, d: str) -> DataFrame:
     return universes.coordinate_eligible(B.frame(spark, d, "structures")).select("structure_id", "eligible")
 
 
-@query("prj02_eligible_positive", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'REVIEWED_POSITIVE' WHEN 'O' THEN 'EVIDENCE_SUPPORTED_POSITIVE' ELSE 'PROPOSED' END IN ('REVIEWED_POSITIVE', 'EVIDENCE_SUPPORTED_POSITIVE') AS eligible FROM orders")
+@query("prj02_eligible_positive", """
+    SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'REVIEWED_POSITIVE' WHEN 'O' THEN 'EVIDENCE_SUPPORTED_POSITIVE' ELSE 'PROPOSED'
+    END IN ('REVIEWED_POSITIVE', 'EVIDENCE_SUPPORTED_POSITIVE') AS eligible
+    FROM orders""")
 def prj02(spark: SparkSession, d: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "F", "REVIEWED_POSITIVE").when(F.col("o_orderstatus") == "O", "EVIDENCE_SUPPORTED_POSITIVE").otherwise("PROPOSED")
     return table(spark, d, "orders").select("o_orderkey", labels.eligible_positive(status).alias("eligible"))
 
 
-@query("prj05_structural_policy_counts", f"WITH {B.cte('structures', 'structure_comparisons')}, s AS (SELECT count_if(analysis_eligibility_status = 'ELIGIBLE' AND coordinate_path <> '') AS eligible_models, count_if(fold_id <> '' AND fold_evidence_status = 'ASSESSED_WITH_HIT' AND analysis_eligibility_status IN ('ELIGIBLE', 'NOT_APPLICABLE_EXTERNAL_EVIDENCE')) AS eligible_folds FROM structures), c AS (SELECT count_if(comparison_status = 'COMPLETE') AS complete_comparisons FROM structure_comparisons) SELECT *, eligible_folds + complete_comparisons AS evidence_items, CASE WHEN eligible_folds + complete_comparisons > 0 THEN 'COMPLETE' ELSE 'MISSING' END AS status FROM s, c")
+@query("prj05_structural_policy_counts", f"""
+    WITH {B.cte('structures', 'structure_comparisons')}, s AS (SELECT count_if(analysis_eligibility_status = 'ELIGIBLE' AND
+    coordinate_path <> '') AS eligible_models, count_if(fold_id <> '' AND fold_evidence_status = 'ASSESSED_WITH_HIT' AND
+    analysis_eligibility_status IN ('ELIGIBLE', 'NOT_APPLICABLE_EXTERNAL_EVIDENCE')) AS eligible_folds
+    FROM structures), c AS (SELECT count_if(comparison_status = 'COMPLETE') AS complete_comparisons
+    FROM structure_comparisons) SELECT *, eligible_folds + complete_comparisons AS evidence_items, CASE WHEN eligible_folds +
+    complete_comparisons > 0 THEN 'COMPLETE' ELSE 'MISSING' END AS status
+    FROM s, c""")
 def prj05(spark: SparkSession, d: str) -> DataFrame:
     return universes.structural_policy(B.frame(spark, d, "structures"), B.frame(spark, d, "structure_comparisons"))
 
 
-@query("prj06_evidence_availability", f"WITH {B.cte('domain_assessments')} SELECT domain_authority, CASE WHEN NOT bool_or(assessment_status IN ('ASSESSED_WITH_HIT', 'ASSESSED_NO_HIT')) THEN 'NOT_ASSESSED' WHEN bool_and(assessment_status IN ('ASSESSED_WITH_HIT', 'ASSESSED_NO_HIT')) THEN 'COMPLETE' ELSE 'PARTIAL' END AS availability FROM domain_assessments GROUP BY 1")
+@query("prj06_evidence_availability", f"""
+    WITH {B.cte('domain_assessments')} SELECT domain_authority, CASE WHEN NOT bool_or(assessment_status IN ('ASSESSED_WITH_HIT',
+    'ASSESSED_NO_HIT')) THEN 'NOT_ASSESSED' WHEN bool_and(assessment_status IN ('ASSESSED_WITH_HIT', 'ASSESSED_NO_HIT')) THEN
+    'COMPLETE' ELSE 'PARTIAL' END AS availability FROM domain_assessments
+    GROUP BY 1""")
 def prj06(spark: SparkSession, d: str) -> DataFrame:
     return universes.evidence_availability(B.frame(spark, d, "domain_assessments"))
 
 
-@query("fea05_fold_and_availability_features", f"WITH {B.cte('structures')} SELECT DISTINCT protein_id, 'STRUCTURE_AVAILABLE' AS feature_type, structure_source AS feature_id, 'Structure available from ' || structure_source AS feature_name FROM structures WHERE analysis_eligibility_status = 'ELIGIBLE' AND coordinate_path <> '' UNION ALL SELECT DISTINCT protein_id, 'FOLD', fold_authority || ':' || fold_id, fold_authority || ' ' || fold_name FROM structures WHERE analysis_eligibility_status = 'ELIGIBLE' AND fold_evidence_status = 'ASSESSED_WITH_HIT'")
+@query("fea05_fold_and_availability_features", f"""
+    WITH {B.cte('structures')} SELECT DISTINCT protein_id, 'STRUCTURE_AVAILABLE' AS feature_type, structure_source AS feature_id,
+    'Structure available from ' || structure_source AS feature_name
+    FROM structures WHERE analysis_eligibility_status = 'ELIGIBLE' AND coordinate_path <> ''
+    UNION ALL SELECT DISTINCT protein_id, 'FOLD', fold_authority || ':' || fold_id, fold_authority || ' ' || fold_name
+    FROM structures WHERE analysis_eligibility_status = 'ELIGIBLE' AND fold_evidence_status = 'ASSESSED_WITH_HIT'""")
 def fea05(spark: SparkSession, d: str) -> DataFrame:
     return universes.structure_features(B.frame(spark, d, "structures"))
 
@@ -84,7 +126,10 @@ RULES = (
     labels.Rule("plain", "L_ROOT", "", 0, annotation=("gear|widget",), specific=("blue gear",)),
 )
 TREE = (("L_ROOT", None), ("L_METAL", "L_ROOT"), ("L_RING", "L_METAL"))
-_TREE = "anc AS (SELECT * FROM (VALUES ('L_RING', 'L_METAL'), ('L_RING', 'L_ROOT'), ('L_METAL', 'L_ROOT')) v(label_id, ancestor_id)), dep AS (SELECT * FROM (VALUES ('L_RING', 2), ('L_METAL', 1), ('L_ROOT', 0)) v(label_id, depth)), up AS (SELECT * FROM anc UNION ALL SELECT label_id, label_id FROM dep)"
+_TREE = """
+    anc AS (SELECT * FROM (VALUES ('L_RING', 'L_METAL'), ('L_RING', 'L_ROOT'), ('L_METAL', 'L_ROOT')) v(label_id, ancestor_id)), dep AS
+    (SELECT * FROM (VALUES ('L_RING', 2), ('L_METAL', 1), ('L_ROOT', 0)) v(label_id, depth)), up AS (SELECT *
+    FROM anc UNION ALL SELECT label_id, label_id FROM dep)"""
 _TEXTS = """texts AS (SELECT l_orderkey AS protein_id, p_name AS text, l_returnflag AS evidence_group, CASE l_linestatus WHEN 'F' THEN 1e0 ELSE 5e-1 END AS reliability, l_linenumber = 1 AS trusted FROM lineitem JOIN part ON l_partkey = p_partkey),
     domains AS (SELECT DISTINCT l_orderkey AS protein_id, p_brand AS domain_id, p_type AS domain_name FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
@@ -120,7 +165,10 @@ def win08(spark: SparkSession, d: str) -> DataFrame:
     return labels.best_texts(evidence(spark, d)[0], RULES)
 
 
-@query("fea07_rule_scoring", f"WITH {_SCORED} SELECT protein_id, label_id, rule_id, component_role, score, evidence_groups, accepted, CASE WHEN accepted AND several THEN 'HIGH' WHEN accepted AND single THEN 'DIRECT_CURATED' ELSE 'PROPOSED' END AS confidence_tier FROM scored")
+@query("fea07_rule_scoring", f"""
+    WITH {_SCORED} SELECT protein_id, label_id, rule_id, component_role, score, evidence_groups, accepted, CASE WHEN accepted AND
+    several THEN 'HIGH' WHEN accepted AND single THEN 'DIRECT_CURATED' ELSE 'PROPOSED' END AS confidence_tier
+    FROM scored""")
 def fea07(spark: SparkSession, d: str) -> DataFrame:
     found = labels.score_rules(*evidence(spark, d), RULES)
     return found.select("protein_id", "label_id", "rule_id", "component_role", "score", F.array_join("evidence_groups", "|").alias("evidence_groups"), "accepted", "confidence_tier")
@@ -137,7 +185,9 @@ def fea08(spark: SparkSession, d: str) -> DataFrame:
     return labels.text_evidence(context, catalogue, annotations)
 
 
-_TRUST = "SELECT o_orderkey AS protein_id, 'L_METAL' AS label_id, 'metal' AS rule_id, 1 AS priority, 10e0 AS score, o_orderstatus <> 'P' AS accepted, true AS trusted_direct FROM orders WHERE o_orderkey % 10 = 0"
+_TRUST = """
+    SELECT o_orderkey AS protein_id, 'L_METAL' AS label_id, 'metal' AS rule_id, 1 AS priority, 10e0 AS score, o_orderstatus <> 'P' AS
+    accepted, true AS trusted_direct FROM orders WHERE o_orderkey % 10 = 0"""
 _RESOLVED = f"""{_SCORED}, {_TREE}, cand AS (SELECT protein_id, label_id, rule_id, priority, score, accepted, false AS trusted_direct FROM scored UNION ALL {_TRUST}),
     pool AS (SELECT * FROM (SELECT *, bool_or(trusted_direct) OVER (PARTITION BY protein_id) AS anyt FROM cand WHERE accepted) WHERE NOT anyt OR trusted_direct),
     apart AS (SELECT p.* FROM pool p WHERE NOT EXISTS (SELECT 1 FROM pool q JOIN anc ON anc.label_id = q.label_id WHERE q.protein_id = p.protein_id AND anc.ancestor_id = p.label_id)),
@@ -172,7 +222,10 @@ def fea10_audit(spark: SparkSession, d: str) -> DataFrame:
     return resolved(spark, d)[0].select("protein_id", "status", "label_id", "rule_id", "score")
 
 
-@query("fea10_label_definitions", f"WITH {_RESOLVED} SELECT DISTINCT up.ancestor_id AS label_id, 'DOMAIN' AS feature_type, dm.domain_id AS feature_id, r.rule_id FROM resolved r JOIN dm ON dm.protein_id = r.protein_id AND dm.rule_id = r.rule_id JOIN up ON up.label_id = r.label_id WHERE r.status = 'ACCEPTED'")
+@query("fea10_label_definitions", f"""
+    WITH {_RESOLVED} SELECT DISTINCT up.ancestor_id AS label_id, 'DOMAIN' AS feature_type, dm.domain_id AS feature_id, r.rule_id
+    FROM resolved r JOIN dm ON dm.protein_id = r.protein_id AND dm.rule_id = r.rule_id
+    JOIN up ON up.label_id = r.label_id WHERE r.status = 'ACCEPTED'""")
 def fea10(spark: SparkSession, d: str) -> DataFrame:
     found, _, closure = resolved(spark, d)
     selected = found.filter("status = 'ACCEPTED'")
@@ -225,14 +278,25 @@ def agg05(spark: SparkSession, d: str) -> DataFrame:
     return consensus(spark, d)[2]
 
 
-@query("agg05_propagated_candidates", f"WITH {_CONSENSUS} SELECT DISTINCT g.protein_id, c.label_id, 'ring_group_propagation' AS rule_id, 4e0 AS score, o_orderstatus <> 'P' AS accepted FROM g JOIN consensus c USING (group_id) JOIN orders ON o_orderkey = g.protein_id JOIN dm ON dm.protein_id = g.protein_id AND dm.rule_id = 'ring' AND dm.kind = 'REQUIRED_DOMAIN' WHERE c.label_id = 'L_RING' AND g.protein_id NOT IN (SELECT protein_id FROM resolved WHERE status = 'ACCEPTED')")
+@query("agg05_propagated_candidates", f"""
+    WITH {_CONSENSUS} SELECT DISTINCT g.protein_id, c.label_id, 'ring_group_propagation' AS rule_id, 4e0 AS score, o_orderstatus <> 'P'
+    AS accepted FROM g JOIN consensus c USING (group_id) JOIN orders ON o_orderkey = g.protein_id
+    JOIN dm ON dm.protein_id = g.protein_id AND dm.rule_id = 'ring' AND dm.kind = 'REQUIRED_DOMAIN'
+    WHERE c.label_id = 'L_RING' AND g.protein_id NOT IN (SELECT protein_id
+    FROM resolved WHERE status = 'ACCEPTED')""")
 def agg05_propagated(spark: SparkSession, d: str) -> DataFrame:
     groups, selected, found = consensus(spark, d)
     _, domains, structures = evidence(spark, d)
     return labels.propagate_labels(groups, materialize(found, "consensus"), selected, domains, structures, RULES).select("protein_id", "label_id", "rule_id", "score", "accepted")
 
 
-@query("fea11_circularity_filter", f"WITH {B.HITS}, {B.cte('domain_assessments')}, gone AS (SELECT DISTINCT p_brand AS domain_id FROM part WHERE p_size % 10 = 1 AND p_brand LIKE '%#1%'), kept AS (SELECT protein_id, authority, count(DISTINCT domain_id) AS n FROM hits WHERE domain_id NOT IN (SELECT domain_id FROM gone) GROUP BY 1, 2) SELECT a.protein_id, a.domain_authority, CASE WHEN assessment_status = 'ASSESSED_WITH_HIT' AND n IS NULL THEN 'ASSESSED_NO_HIT' ELSE assessment_status END AS assessment_status, coalesce(n, 0) AS kept FROM domain_assessments a LEFT JOIN kept k ON k.protein_id = a.protein_id AND k.authority = a.domain_authority")
+@query("fea11_circularity_filter", f"""
+    WITH {B.HITS}, {B.cte('domain_assessments')}, gone AS (SELECT DISTINCT p_brand AS domain_id
+    FROM part WHERE p_size % 10 = 1 AND p_brand LIKE '%#1%'), kept AS (SELECT protein_id, authority, count(DISTINCT domain_id) AS n
+    FROM hits WHERE domain_id NOT IN (SELECT domain_id FROM gone)
+    GROUP BY 1, 2) SELECT a.protein_id, a.domain_authority, CASE WHEN assessment_status = 'ASSESSED_WITH_HIT' AND n IS NULL THEN
+    'ASSESSED_NO_HIT' ELSE assessment_status END AS assessment_status, coalesce(n, 0) AS kept
+    FROM domain_assessments a LEFT JOIN kept k ON k.protein_id = a.protein_id AND k.authority = a.domain_authority""")
 def fea11(spark: SparkSession, d: str) -> DataFrame:
     hits = B.domain_hits(spark, d).withColumnRenamed("authority", "domain_authority")
     defining = table(spark, d, "part").filter("p_size % 10 = 1 and p_brand like '%#1%'").select(F.col("p_brand").alias("domain_id"))
@@ -349,14 +413,23 @@ def grf08(spark: SparkSession, d: str) -> DataFrame:
     return matching.coverage_first_match(materialize(matching.control_candidates(*representatives(spark, d)), "candidates"), 2)
 
 
-@query("win15_matched_slots", "WITH m AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS slot FROM orders) SELECT 'B' AS background_label_id, c_custkey AS target_unit_id, s.slot, o_orderkey AS control_unit_id, CASE WHEN o_orderkey IS NULL THEN 'UNMATCHED' ELSE 'MATCHED' END AS status FROM customer CROSS JOIN (SELECT unnest([1, 2, 3]) AS slot) s LEFT JOIN m ON m.o_custkey = c_custkey AND m.slot = s.slot")
+@query("win15_matched_slots", """
+    WITH m AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey
+    ORDER BY o_totalprice, o_orderkey) AS slot FROM orders) SELECT 'B' AS background_label_id, c_custkey AS target_unit_id, s.slot,
+    o_orderkey AS control_unit_id, CASE WHEN o_orderkey IS NULL THEN 'UNMATCHED' ELSE 'MATCHED' END AS status
+    FROM customer CROSS JOIN (SELECT unnest([1, 2, 3]) AS slot) s
+    LEFT JOIN m ON m.o_custkey = c_custkey AND m.slot = s.slot""")
 def win15(spark: SparkSession, d: str) -> DataFrame:
     pairs = table(spark, d, "orders").select(F.col("o_custkey").alias("target_unit"), F.col("o_orderkey").alias("control_unit"), F.col("o_orderkey").alias("control_id"), F.col("o_totalprice").alias("distance"))
     targets = table(spark, d, "customer").select(F.col("c_custkey").alias("unit"), F.col("c_custkey").alias("protein_id"))
     return matching.match_audit(targets, matching.greedy_match(pairs, 3), 3, "B").select("background_label_id", "target_unit_id", "slot", "control_unit_id", "status")
 
 
-@query("fea12_control_pool", "WITH p AS (SELECT o_orderkey AS protein_id, o_custkey AS unit, o_orderstatus = 'P' AS input_candidate FROM orders) SELECT * FROM p WHERE protein_id NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45) AND unit NOT IN (SELECT unit FROM p WHERE protein_id % 40 = 0) AND NOT input_candidate")
+@query("fea12_control_pool", """
+    WITH p AS (SELECT o_orderkey AS protein_id, o_custkey AS unit, o_orderstatus = 'P' AS input_candidate
+    FROM orders) SELECT * FROM p WHERE protein_id NOT IN (SELECT l_orderkey
+    FROM lineitem WHERE l_quantity > 45) AND unit NOT IN (SELECT unit
+    FROM p WHERE protein_id % 40 = 0) AND NOT input_candidate""")
 def fea12(spark: SparkSession, d: str) -> DataFrame:
     proteins = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), F.col("o_custkey").alias("unit"), (F.col("o_orderstatus") == "P").alias("input_candidate"))
     candidates = table(spark, d, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("protein_id"))
@@ -411,12 +484,21 @@ def jon08(spark: SparkSession, d: str) -> DataFrame:
     return frozen.unit_evidence(units, B.frame(spark, d, "report_comparisons"), own, frozen.feature_calls(units, own, states, kmers))
 
 
-@query("jon08_unit_hits", f"WITH {_CALLS}, have AS (SELECT protein_id, feature_type, feature_id FROM states WHERE evidence_status = 'ASSESSED_WITH_FEATURE' UNION SELECT * FROM kmers) SELECT u.unit_id, f.comparison_id, h.feature_type, h.feature_id, count(*) AS positives, round(any_value(q_value), 7) AS q_value, any_value(fdr_scope) AS fdr_scope FROM have h JOIN units u USING (protein_id) JOIN frozen f USING (feature_type, feature_id) GROUP BY 1, 2, 3, 4")
+@query("jon08_unit_hits", f"""
+    WITH {_CALLS}, have AS (SELECT protein_id, feature_type, feature_id
+    FROM states WHERE evidence_status = 'ASSESSED_WITH_FEATURE' UNION SELECT *
+    FROM kmers) SELECT u.unit_id, f.comparison_id, h.feature_type, h.feature_id, count(*) AS positives, round(any_value(q_value), 7) AS
+    q_value, any_value(fdr_scope) AS fdr_scope FROM have h JOIN units u USING (protein_id)
+    JOIN frozen f USING (feature_type, feature_id) GROUP BY 1, 2, 3, 4""")
 def jon08_hits(spark: SparkSession, d: str) -> DataFrame:
     return r7(frozen.unit_hits(*_frozen(spark, d)), "q_value")
 
 
-@query("jon09_frozen_kmer_scan", f"WITH {B.SEQUENCES}, v AS (SELECT unnest(['THE', 'EAU', 'CHE', 'ION', 'ZZZ']) AS kmer) SELECT protein_id, 'AMINO_ACID_KMER' AS feature_type, 'k3:' || kmer AS feature_id FROM sequences, v WHERE contains(sequence, kmer) UNION ALL SELECT protein_id, 'AMINO_ACID_KMER', 'k5:ATION' FROM sequences WHERE contains(sequence, 'ATION')")
+@query("jon09_frozen_kmer_scan", f"""
+    WITH {B.SEQUENCES}, v AS (SELECT unnest(['THE', 'EAU', 'CHE', 'ION', 'ZZZ']) AS kmer) SELECT protein_id, 'AMINO_ACID_KMER' AS
+    feature_type, 'k3:' || kmer AS feature_id FROM sequences, v WHERE contains(sequence, kmer)
+    UNION ALL SELECT protein_id, 'AMINO_ACID_KMER', 'k5:ATION' FROM sequences
+    WHERE contains(sequence, 'ATION')""")
 def jon09(spark: SparkSession, d: str) -> DataFrame:
     features = spark.createDataFrame([("AMINO_ACID_KMER", f) for f in ("k3:THE", "k3:EAU", "k3:CHE", "k3:ION", "k3:ZZZ", "k5:ATION")] + [("FOLD", "x")], "feature_type string, feature_id string")
     return frozen.kmer_calls(B.sequences(spark, d), features)

@@ -17,13 +17,26 @@ from cohortry.storage import materialize, new_path, table
 # -- sequences -----------------------------------------------------------------------------------------------------
 
 
-@query("src02_fasta_scan_strict", "WITH s AS (SELECT CASE WHEN doc_id % 50 = 0 THEN doc_id - doc_id % 100 ELSE doc_id END AS sequence_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS sequence FROM documents) SELECT sequence_id, CASE WHEN coalesce(sequence, '') = '' THEN 'EMPTY_SEQUENCE' WHEN NOT regexp_full_match(sequence, '[A-IK-Z]+') THEN 'BAD_RESIDUE' ELSE 'TOO_LONG' END AS problem FROM s WHERE coalesce(sequence, '') = '' OR NOT regexp_full_match(sequence, '[A-IK-Z]+') OR length(sequence) > 5000 UNION ALL SELECT sequence_id, 'REPEATED_ID' FROM s GROUP BY 1 HAVING count(*) > 1")
+@query("src02_fasta_scan_strict", """
+    WITH s AS (SELECT CASE WHEN doc_id % 50 = 0 THEN doc_id - doc_id % 100 ELSE doc_id END AS sequence_id, upper(regexp_replace(text,
+    '[^A-Za-z]', '', 'g')) AS sequence FROM documents) SELECT sequence_id, CASE WHEN coalesce(sequence, '') = '' THEN 'EMPTY_SEQUENCE'
+    WHEN NOT regexp_full_match(sequence, '[A-IK-Z]+') THEN 'BAD_RESIDUE' ELSE 'TOO_LONG' END AS problem
+    FROM s WHERE coalesce(sequence, '') = '' OR NOT regexp_full_match(sequence, '[A-IK-Z]+') OR length(sequence) > 5000
+    UNION ALL SELECT sequence_id, 'REPEATED_ID' FROM s GROUP BY 1
+    HAVING count(*) > 1""")
 def src02(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select(F.when(F.col("doc_id") % 50 == 0, F.col("doc_id") - F.col("doc_id") % 100).otherwise(F.col("doc_id")).alias("sequence_id"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("sequence"))
     return scans.strict_fasta_violations(rows, 5000)
 
 
-@query("src26_aligned_fasta_scan", "WITH a AS (SELECT o_orderkey - o_orderkey % 9 // 8 AS sequence_id, rpad(translate(o_orderpriority, '0123456789 ', '-----------'), CASE WHEN o_orderkey % 100 = 99 THEN 29 ELSE 30 END, '-') AS sequence FROM orders), b AS (SELECT sequence_id, CASE WHEN sequence_id % 10 = 3 THEN repeat('-', length(sequence)) ELSE sequence END AS sequence FROM a) SELECT sequence_id, CASE WHEN NOT regexp_full_match(sequence, '[A-IK-Z-]+') THEN 'BAD_RESIDUE' ELSE 'ONLY_GAPS' END AS problem FROM b WHERE NOT regexp_full_match(sequence, '[A-IK-Z-]+') OR replace(sequence, '-', '') = '' UNION ALL SELECT sequence_id, 'REPEATED_ID' FROM b GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT NULL, 'ROWS_OF_DIFFERENT_LENGTH'")
+@query("src26_aligned_fasta_scan", """
+    WITH a AS (SELECT o_orderkey - o_orderkey % 9 // 8 AS sequence_id, rpad(translate(o_orderpriority, '0123456789 ', '-----------'),
+    CASE WHEN o_orderkey % 100 = 99 THEN 29 ELSE 30 END, '-') AS sequence
+    FROM orders), b AS (SELECT sequence_id, CASE WHEN sequence_id % 10 = 3 THEN repeat('-', length(sequence)) ELSE sequence END AS
+    sequence FROM a) SELECT sequence_id, CASE WHEN NOT regexp_full_match(sequence, '[A-IK-Z-]+') THEN 'BAD_RESIDUE' ELSE 'ONLY_GAPS'
+    END AS problem FROM b WHERE NOT regexp_full_match(sequence, '[A-IK-Z-]+') OR replace(sequence, '-', '') = ''
+    UNION ALL SELECT sequence_id, 'REPEATED_ID' FROM b GROUP BY 1
+    HAVING count(*) > 1 UNION ALL SELECT NULL, 'ROWS_OF_DIFFERENT_LENGTH'""")
 def src26(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("o_orderkey")
     rows = table(spark, d, "orders").select((key - F.floor(key % 9 / 8)).alias("sequence_id"), F.rpad(F.translate("o_orderpriority", "0123456789 ", "-----------"), F.when(key % 100 == 99, 29).otherwise(30), F.lit("-")).alias("sequence"))
@@ -40,7 +53,12 @@ def src24(spark: SparkSession, d: str) -> DataFrame:
     return r7(scans.mean_confidence(files), "mean_confidence")
 
 
-@query("snk03_fasta_write", "SELECT o_orderkey AS protein_id, '>' || o_orderkey || CASE WHEN o_orderstatus = 'P' THEN '' ELSE ' ' || o_orderpriority END || chr(10) || CASE WHEN length(s) <= 20 THEN s WHEN length(s) <= 40 THEN substr(s, 1, 20) || chr(10) || substr(s, 21) ELSE substr(s, 1, 20) || chr(10) || substr(s, 21, 20) || chr(10) || substr(s, 41) END AS text FROM (SELECT *, repeat('ACDEF', (o_orderkey % 12 + 1)::INT) AS s FROM orders)")
+@query("snk03_fasta_write", """
+    SELECT o_orderkey AS protein_id, '>' || o_orderkey || CASE WHEN o_orderstatus = 'P' THEN '' ELSE ' ' || o_orderpriority END ||
+    chr(10) || CASE WHEN length(s) <= 20 THEN s WHEN length(s) <= 40 THEN substr(s, 1, 20) || chr(10) || substr(s, 21) ELSE substr(s,
+    1, 20) || chr(10) || substr(s, 21, 20) || chr(10) || substr(s, 41) END AS text
+    FROM (SELECT *, repeat('ACDEF', (o_orderkey % 12 + 1)::INT) AS s
+    FROM orders)""")
 def snk03(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderpriority")).alias("description"), F.repeat(F.lit("ACDEF"), (F.col("o_orderkey") % 12 + 1).cast("int")).alias("sequence"))
     return writers.fasta_text(rows, 20)
@@ -68,7 +86,10 @@ def snk02_sorted(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_tsv(spark, path, names, one_heading=True)
 
 
-@query("snk04_manifest_reconcile", "SELECT 'g' || c_custkey AS name, CASE WHEN c_custkey % 5 = 0 THEN 'MISSING' WHEN c_custkey % 5 = 1 THEN 'UNDECLARED' WHEN c_custkey % 5 = 2 THEN 'SIZE_DIFFERS' ELSE 'DIGEST_DIFFERS' END AS problem FROM customer WHERE c_custkey % 5 < 4")
+@query("snk04_manifest_reconcile", """
+    SELECT 'g' || c_custkey AS name, CASE WHEN c_custkey % 5 = 0 THEN 'MISSING' WHEN c_custkey % 5 = 1 THEN 'UNDECLARED' WHEN c_custkey
+    % 5 = 2 THEN 'SIZE_DIFFERS' ELSE 'DIGEST_DIFFERS' END AS problem
+    FROM customer WHERE c_custkey % 5 < 4""")
 def snk04(spark: SparkSession, d: str) -> DataFrame:
     own = table(spark, d, "customer").select(F.concat(F.lit("g"), "c_custkey").alias("name"), (F.col("c_custkey") % 5).alias("k"), F.sha2(F.col("c_name"), 256).alias("sha256"))
     declared = own.filter("k <> 1").select("name", F.lit(10).alias("size_bytes"), F.upper("sha256").alias("sha256"))
@@ -125,7 +146,11 @@ def src03(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_tsv(spark, path, names).groupBy(*names).agg(F.count("*").alias("n"))
 
 
-@query("set05_manifest_inventory_diff", "SELECT 'part' || c_custkey AS name, 'DECLARED_ONLY' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') UNION ALL SELECT DISTINCT 'extra' || o_custkey, 'FOUND_ONLY' FROM orders WHERE o_custkey % 10 = 0")
+@query("set05_manifest_inventory_diff", """
+    SELECT 'part' || c_custkey AS name, 'DECLARED_ONLY' AS side FROM customer
+    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+    UNION ALL SELECT DISTINCT 'extra' || o_custkey, 'FOUND_ONLY' FROM orders
+    WHERE o_custkey % 10 = 0""")
 def set05(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
     declared = table(spark, d, "customer").select(F.concat(F.lit("part"), "c_custkey").alias("name"))
@@ -136,7 +161,14 @@ def set05(spark: SparkSession, d: str) -> DataFrame:
 # -- tables of a cohort --------------------------------------------------------------------------------------------
 
 
-@query("src04_label_scan", "WITH a AS (SELECT o_custkey AS protein_id, CASE WHEN o_orderkey % 20 = 0 THEN 'X' ELSE o_orderstatus END AS label_id, CASE WHEN o_orderkey % 30 = 1 THEN 'MAYBE' ELSE ' proposed' END AS curation_status FROM orders), p AS (SELECT c_custkey FROM customer WHERE c_custkey % 40 <> 7) SELECT protein_id, label_id, CASE WHEN protein_id NOT IN (SELECT c_custkey FROM p) THEN 'UNKNOWN_PROTEIN' WHEN label_id = 'X' THEN 'UNKNOWN_LABEL' ELSE 'UNKNOWN_STATUS' END AS problem FROM a WHERE protein_id NOT IN (SELECT c_custkey FROM p) OR label_id = 'X' OR curation_status = 'MAYBE' UNION ALL SELECT protein_id, label_id, 'REPEATED_ASSIGNMENT' FROM a GROUP BY 1, 2 HAVING count(*) > 1")
+@query("src04_label_scan", """
+    WITH a AS (SELECT o_custkey AS protein_id, CASE WHEN o_orderkey % 20 = 0 THEN 'X' ELSE o_orderstatus END AS label_id, CASE WHEN
+    o_orderkey % 30 = 1 THEN 'MAYBE' ELSE ' proposed' END AS curation_status
+    FROM orders), p AS (SELECT c_custkey FROM customer WHERE c_custkey % 40 <> 7) SELECT protein_id, label_id, CASE WHEN protein_id NOT
+    IN (SELECT c_custkey FROM p) THEN 'UNKNOWN_PROTEIN' WHEN label_id = 'X' THEN 'UNKNOWN_LABEL' ELSE 'UNKNOWN_STATUS' END AS problem
+    FROM a WHERE protein_id NOT IN (SELECT c_custkey FROM p) OR label_id = 'X' OR curation_status = 'MAYBE'
+    UNION ALL SELECT protein_id, label_id, 'REPEATED_ASSIGNMENT' FROM a
+    GROUP BY 1, 2 HAVING count(*) > 1""")
 def src04(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
     key = F.col("o_orderkey")
@@ -167,7 +199,11 @@ def src05(spark: SparkSession, d: str) -> DataFrame:
     return scans.ledger_violations(rows, proteins)
 
 
-_DOMAINS = "a AS (SELECT l_orderkey AS protein_id, l_returnflag AS domain_authority, CASE WHEN l_linenumber = 5 THEN 'ASSESSED_NO_HIT' WHEN l_linenumber = 6 AND l_quantity > 49 THEN 'ODD' ELSE 'ASSESSED_WITH_HIT' END AS assessment_status, CASE WHEN l_linenumber = 5 AND l_quantity < 40 THEN '' WHEN l_linenumber = 7 AND l_quantity > 45 THEN ' ' ELSE 'D' || l_partkey % 9 END AS domain_id, l_linenumber AS start, l_linenumber + l_quantity::INT AS stop FROM lineitem)"
+_DOMAINS = """
+    a AS (SELECT l_orderkey AS protein_id, l_returnflag AS domain_authority, CASE WHEN l_linenumber = 5 THEN 'ASSESSED_NO_HIT' WHEN
+    l_linenumber = 6 AND l_quantity > 49 THEN 'ODD' ELSE 'ASSESSED_WITH_HIT' END AS assessment_status, CASE WHEN l_linenumber = 5 AND
+    l_quantity < 40 THEN '' WHEN l_linenumber = 7 AND l_quantity > 45 THEN ' ' ELSE 'D' || l_partkey % 9 END AS domain_id, l_linenumber
+    AS start, l_linenumber + l_quantity::INT AS stop FROM lineitem)"""
 
 
 def _domains(spark: SparkSession, d: str) -> DataFrame:
@@ -190,7 +226,13 @@ def src06_violations(spark: SparkSession, d: str) -> DataFrame:
     return scans.domain_violations(_domains(spark, d), proteins)
 
 
-_STRUCTURES = f"{B.cte('structures')}, a AS (SELECT structure_id - structure_id % 60 // 59 AS structure_id, protein_id, CASE WHEN structure_id % 41 = 3 THEN '' ELSE coordinate_path END AS coordinate_path, availability_status, CASE WHEN structure_id % 37 = 5 THEN 120e0 ELSE mean_confidence END AS mean_confidence, CASE WHEN structure_id % 43 = 6 THEN 'NOT_APPLICABLE_EXTERNAL_EVIDENCE' ELSE analysis_eligibility_status END AS analysis_eligibility_status, fold_evidence_status, CASE WHEN structure_id % 31 = 4 THEN 'Fx' ELSE fold_id END AS fold_id, fold_name, fold_authority, CASE WHEN structure_id % 997 = 8 AND fold_authority <> '' THEN '2023' ELSE fold_authority_version END AS fold_authority_version FROM structures)"
+_STRUCTURES = f"""
+    {B.cte('structures')}, a AS (SELECT structure_id - structure_id % 60 // 59 AS structure_id, protein_id, CASE WHEN structure_id % 41
+    = 3 THEN '' ELSE coordinate_path END AS coordinate_path, availability_status, CASE WHEN structure_id % 37 = 5 THEN 120e0 ELSE
+    mean_confidence END AS mean_confidence, CASE WHEN structure_id % 43 = 6 THEN 'NOT_APPLICABLE_EXTERNAL_EVIDENCE' ELSE
+    analysis_eligibility_status END AS analysis_eligibility_status, fold_evidence_status, CASE WHEN structure_id % 31 = 4 THEN 'Fx'
+    ELSE fold_id END AS fold_id, fold_name, fold_authority, CASE WHEN structure_id % 997 = 8 AND fold_authority <> '' THEN '2023' ELSE
+    fold_authority_version END AS fold_authority_version FROM structures)"""
 
 
 @query("src07_structure_scan", f"""WITH {_STRUCTURES}, f AS (SELECT structure_id, CASE WHEN protein_id NOT IN (SELECT o_orderkey FROM orders) THEN 'UNKNOWN_PROTEIN' WHEN (coordinate_path <> '') <> (availability_status = 'AVAILABLE') THEN 'PATH_AND_STATUS_DIFFER' WHEN mean_confidence NOT BETWEEN 0 AND 100 THEN 'CONFIDENCE_OUT_OF_RANGE' WHEN analysis_eligibility_status = 'ELIGIBLE' AND coordinate_path = '' THEN 'ELIGIBLE_WITHOUT_FILE'
@@ -207,7 +249,12 @@ def src07(spark: SparkSession, d: str) -> DataFrame:
     return scans.structure_violations(materialize(rows, "structures"), table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id")))
 
 
-@query("src08_structure_pair_scan", f"WITH {B.cte('structure_comparisons')}, s AS (SELECT CASE WHEN protein_a_id % 2 = 0 THEN protein_b_id ELSE protein_a_id END AS x, CASE WHEN protein_a_id % 2 = 0 THEN protein_a_id ELSE protein_b_id END AS y, coverage_a, coverage_b, source_record_id FROM structure_comparisons) SELECT source_record_id, least(x, y) AS protein_a_id, greatest(x, y) AS protein_b_id, CASE WHEN x <= y THEN coverage_a ELSE coverage_b END AS coverage_a, CASE WHEN x <= y THEN coverage_b ELSE coverage_a END AS coverage_b FROM s")
+@query("src08_structure_pair_scan", f"""
+    WITH {B.cte('structure_comparisons')}, s AS (SELECT CASE WHEN protein_a_id % 2 = 0 THEN protein_b_id ELSE protein_a_id END AS x,
+    CASE WHEN protein_a_id % 2 = 0 THEN protein_a_id ELSE protein_b_id END AS y, coverage_a, coverage_b, source_record_id
+    FROM structure_comparisons) SELECT source_record_id, least(x, y) AS protein_a_id, greatest(x, y) AS protein_b_id, CASE WHEN x <= y
+    THEN coverage_a ELSE coverage_b END AS coverage_a, CASE WHEN x <= y THEN coverage_b ELSE coverage_a END AS coverage_b
+    FROM s""")
 def src08(spark: SparkSession, d: str) -> DataFrame:
     even, rows = F.col("protein_a_id") % 2 == 0, B.frame(spark, d, "structure_comparisons")
     mixed = rows.select("source_record_id", F.when(even, F.col("protein_b_id")).otherwise(F.col("protein_a_id")).alias("protein_a_id"), F.when(even, F.col("protein_a_id")).otherwise(F.col("protein_b_id")).alias("protein_b_id"), "coverage_a", "coverage_b")
@@ -226,7 +273,13 @@ def src08_violations(spark: SparkSession, d: str) -> DataFrame:
     return scans.comparison_violations(rows, table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id")))
 
 
-@query("src09_redundancy_scan", "WITH a AS (SELECT o_orderkey - o_orderkey % 25 // 24 AS protein_id, CASE WHEN o_custkey % 19 = 3 THEN NULL WHEN o_custkey % 19 = 4 THEN 90e0 ELSE 9e-1 END AS i, CASE WHEN o_custkey % 23 = 5 THEN -1e0 ELSE 8e-1 END AS c FROM orders) SELECT protein_id, CASE WHEN protein_id % 80 = 9 THEN 'UNKNOWN_PROTEIN' WHEN i IS NULL OR i > 1 THEN 'BAD_IDENTITY' ELSE 'BAD_COVERAGE' END AS problem FROM a WHERE protein_id % 80 = 9 OR i IS NULL OR i > 1 OR c < 0 UNION ALL SELECT protein_id, 'REPEATED_PROTEIN' FROM a GROUP BY 1 HAVING count(*) > 1")
+@query("src09_redundancy_scan", """
+    WITH a AS (SELECT o_orderkey - o_orderkey % 25 // 24 AS protein_id, CASE WHEN o_custkey % 19 = 3 THEN NULL WHEN o_custkey % 19 = 4
+    THEN 90e0 ELSE 9e-1 END AS i, CASE WHEN o_custkey % 23 = 5 THEN -1e0 ELSE 8e-1 END AS c
+    FROM orders) SELECT protein_id, CASE WHEN protein_id % 80 = 9 THEN 'UNKNOWN_PROTEIN' WHEN i IS NULL OR i > 1 THEN 'BAD_IDENTITY'
+    ELSE 'BAD_COVERAGE' END AS problem FROM a WHERE protein_id % 80 = 9 OR i IS NULL OR i > 1 OR c < 0
+    UNION ALL SELECT protein_id, 'REPEATED_PROTEIN' FROM a GROUP BY 1
+    HAVING count(*) > 1""")
 def src09(spark: SparkSession, d: str) -> DataFrame:
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     orders = table(spark, d, "orders")
@@ -240,7 +293,11 @@ def src10(spark: SparkSession, d: str) -> DataFrame:
     return scans.accession_map(orders.select(F.col("o_orderkey").alias("protein_id"), F.concat(F.lit(" p"), "o_orderkey").alias("accession")), orders.select(F.col("o_orderkey").alias("protein_id")))
 
 
-@query("src12_member_alias_resolution", "SELECT m AS member, CASE WHEN o_orderkey % 6 < 5 THEN 'A' || o_orderkey END AS protein_id FROM (SELECT *, CASE o_orderkey % 6 WHEN 0 THEN 'A' || o_orderkey WHEN 1 THEN 'x@@A' || o_orderkey WHEN 2 THEN 'sp|A' || o_orderkey || '|E' || o_orderkey WHEN 3 THEN 's@@tr|Q' || o_orderkey || '|A' || o_orderkey WHEN 4 THEN '0_' || o_orderkey ELSE 'x@@y@@A' || o_orderkey END AS m FROM orders)")
+@query("src12_member_alias_resolution", """
+    SELECT m AS member, CASE WHEN o_orderkey % 6 < 5 THEN 'A' || o_orderkey END AS protein_id
+    FROM (SELECT *, CASE o_orderkey % 6 WHEN 0 THEN 'A' || o_orderkey WHEN 1 THEN 'x@@A' || o_orderkey WHEN 2 THEN 'sp|A' || o_orderkey
+    || '|E' || o_orderkey WHEN 3 THEN 's@@tr|Q' || o_orderkey || '|A' || o_orderkey WHEN 4 THEN '0_' || o_orderkey ELSE 'x@@y@@A' ||
+    o_orderkey END AS m FROM orders)""")
 def src12(spark: SparkSession, d: str) -> DataFrame:
     orders, key = table(spark, d, "orders"), F.col("o_orderkey")
     name = F.concat(F.lit("A"), key)
@@ -256,7 +313,12 @@ def src13(spark: SparkSession, d: str) -> DataFrame:
     return scans.resource_members(rows.drop("protein_id"), aliases, "HOG", "N0")
 
 
-@query("src14_group_context", f"WITH {B.cte('group_memberships')}, s AS (SELECT 'RUN1' AS run_id, 'HOG' AS group_type, 'N0' AS hierarchy_node, 'HOG' || c_custkey AS group_id, c_acctbal AS mean_copies FROM customer) SELECT s.*, CASE WHEN c_custkey % 3 = 0 THEN 'DONE' ELSE '' END AS computation_status, CASE WHEN c_custkey % 3 = 0 THEN c_custkey / 1e1 END AS median_distance FROM s JOIN customer ON group_id = 'HOG' || c_custkey WHERE group_id IN (SELECT group_id FROM group_memberships WHERE group_type = 'HOG')")
+@query("src14_group_context", f"""
+    WITH {B.cte('group_memberships')}, s AS (SELECT 'RUN1' AS run_id, 'HOG' AS group_type, 'N0' AS hierarchy_node, 'HOG' || c_custkey
+    AS group_id, c_acctbal AS mean_copies FROM customer) SELECT s.*, CASE WHEN c_custkey % 3 = 0 THEN 'DONE' ELSE '' END AS
+    computation_status, CASE WHEN c_custkey % 3 = 0 THEN c_custkey / 1e1 END AS median_distance
+    FROM s JOIN customer ON group_id = 'HOG' || c_custkey WHERE group_id IN (SELECT group_id
+    FROM group_memberships WHERE group_type = 'HOG')""")
 def src14(spark: SparkSession, d: str) -> DataFrame:
     customer = table(spark, d, "customer")
     key = [F.lit("RUN1").alias("run_id"), F.lit("HOG").alias("group_type"), F.lit("N0").alias("hierarchy_node"), F.concat(F.lit("HOG"), "c_custkey").alias("group_id")]
@@ -264,7 +326,13 @@ def src14(spark: SparkSession, d: str) -> DataFrame:
     return scans.group_context(B.frame(spark, d, "group_memberships").filter("group_type = 'HOG'"), customer.select(*key, F.col("c_acctbal").alias("mean_copies")), distances)
 
 
-@query("src15_structural_alignment_import", "SELECT 'K' || o_custkey AS comparison_universe_id, r AS protein_a_id, o_orderkey AS protein_b_id, 'US-align' AS comparison_tool, CASE WHEN o_orderkey % 5 = 0 THEN 'FAILED' ELSE 'COMPLETE' END AS comparison_status, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 100 / 1e2 END AS tm_score, round(CASE WHEN o_orderkey % 5 > 0 THEN least(1, (o_orderkey % 90 + 30) / (50 + r % 40)) END, 7) AS coverage_a, round(CASE WHEN o_orderkey % 5 > 0 THEN least(1, (o_orderkey % 90 + 30) / (50 + o_orderkey % 40)) END, 7) AS coverage_b FROM (SELECT *, min(o_orderkey) OVER (PARTITION BY o_custkey) AS r FROM orders) WHERE r <> o_orderkey")
+@query("src15_structural_alignment_import", """
+    SELECT 'K' || o_custkey AS comparison_universe_id, r AS protein_a_id, o_orderkey AS protein_b_id, 'US-align' AS comparison_tool,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'FAILED' ELSE 'COMPLETE' END AS comparison_status, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey %
+    100 / 1e2 END AS tm_score, round(CASE WHEN o_orderkey % 5 > 0 THEN least(1, (o_orderkey % 90 + 30) / (50 + r % 40)) END, 7) AS
+    coverage_a, round(CASE WHEN o_orderkey % 5 > 0 THEN least(1, (o_orderkey % 90 + 30) / (50 + o_orderkey % 40)) END, 7) AS coverage_b
+    FROM (SELECT *, min(o_orderkey) OVER (PARTITION BY o_custkey) AS r
+    FROM orders) WHERE r <> o_orderkey""")
 def src15(spark: SparkSession, d: str) -> DataFrame:
     orders, key = table(spark, d, "orders"), F.col("o_orderkey")
     first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("r"), F.count("*").alias("n"))
@@ -276,14 +344,23 @@ def src15(spark: SparkSession, d: str) -> DataFrame:
     return r7(pairs, "coverage_a", "coverage_b")
 
 
-@query("src16_pocket_import", "WITH a AS (SELECT 'K' || l_suppkey AS k, l_orderkey AS r, l_orderkey + 1 AS m, l_returnflag AS tool, l_quantity > 25 AS p, l_discount > 0.05 AS c FROM lineitem WHERE l_linestatus = 'F' AND l_orderkey IN (SELECT o_orderkey FROM orders) AND l_orderkey + 1 IN (SELECT o_orderkey FROM orders)), f AS (SELECT *, 'SAME_3D_POCKET_POSITION' AS n FROM a WHERE p UNION ALL SELECT *, 'CONSERVED_3D_POCKET' FROM a WHERE c) SELECT DISTINCT unnest([r, m]) AS protein_id, 'STRUCTURAL_POCKET' AS feature_type, k || ':' || n AS feature_id, concat_ws('|', k, tool, r, m) AS evidence_reference FROM f")
+@query("src16_pocket_import", """
+    WITH a AS (SELECT 'K' || l_suppkey AS k, l_orderkey AS r, l_orderkey + 1 AS m, l_returnflag AS tool, l_quantity > 25 AS p,
+    l_discount > 0.05 AS c FROM lineitem WHERE l_linestatus = 'F' AND l_orderkey IN (SELECT o_orderkey
+    FROM orders) AND l_orderkey + 1 IN (SELECT o_orderkey FROM orders)), f AS (SELECT *, 'SAME_3D_POCKET_POSITION' AS n
+    FROM a WHERE p UNION ALL SELECT *, 'CONSERVED_3D_POCKET' FROM a
+    WHERE c) SELECT DISTINCT unnest([r, m]) AS protein_id, 'STRUCTURAL_POCKET' AS feature_type, k || ':' || n AS feature_id,
+    concat_ws('|', k, tool, r, m) AS evidence_reference FROM f""")
 def src16(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem")
     rows = lines.select(F.concat(F.lit("K"), "l_suppkey").alias("cluster_id"), F.col("l_returnflag").alias("alignment_tool"), F.col("l_orderkey").alias("reference_id"), (F.col("l_orderkey") + 1).alias("mobile_id"), F.when(F.col("l_linestatus") == "F", " assessed").otherwise("FAILED").alias("status"), (F.col("l_quantity") > 25).alias("same_position"), (F.col("l_discount") > 0.05).alias("conserved"))
     return scans.pocket_features(rows, table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id")))
 
 
-@query("src17_group_summary_import", "SELECT 'K' || c_custkey AS cluster_id, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, '') AS alignment_tools, c_nationkey::BIGINT AS members, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END AS mean_score FROM customer")
+@query("src17_group_summary_import", """
+    SELECT 'K' || c_custkey AS cluster_id, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, '') AS alignment_tools,
+    c_nationkey::BIGINT AS members, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END AS mean_score
+    FROM customer""")
 def src17(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "customer").select(F.concat(F.lit("K"), "c_custkey").alias("cluster_id"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("alignment_tools"), F.col("c_nationkey").cast("string").alias("members"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_acctbal").cast("string")).alias("mean_score"))
     return scans.group_summaries(rows, ["cluster_id", "alignment_tools"], ["members"], ["mean_score"], ["cluster_id"])
@@ -334,10 +411,15 @@ def src21(spark: SparkSession, d: str) -> DataFrame:
     return scans.import_cluster(rows.unionByName(rows), "protein_id", "sequence")[0]
 
 
-_TABLE = "h AS (SELECT o_orderkey AS protein_id, 'PF' || lpad((o_custkey % 900)::VARCHAR, 5, '0') AS domain_id, o_custkey % 20 + 1 AS start, o_custkey % 20 + 11 AS stop FROM orders WHERE o_orderstatus <> 'P')"
+_TABLE = """
+    h AS (SELECT o_orderkey AS protein_id, 'PF' || lpad((o_custkey % 900)::VARCHAR, 5, '0') AS domain_id, o_custkey % 20 + 1 AS start,
+    o_custkey % 20 + 11 AS stop FROM orders WHERE o_orderstatus <> 'P')"""
 
 
-@query("src22_tool_annotation_scans", f"WITH {_TABLE} SELECT protein_id, 'ASSESSED_WITH_HIT' AS assessment_status, domain_id, start, stop FROM h UNION ALL SELECT o_orderkey, 'ASSESSED_NO_HIT', NULL, NULL, NULL FROM orders WHERE o_orderstatus = 'P'")
+@query("src22_tool_annotation_scans", f"""
+    WITH {_TABLE} SELECT protein_id, 'ASSESSED_WITH_HIT' AS assessment_status, domain_id, start, stop
+    FROM h UNION ALL SELECT o_orderkey, 'ASSESSED_NO_HIT', NULL, NULL, NULL
+    FROM orders WHERE o_orderstatus = 'P'""")
 def src22(spark: SparkSession, d: str) -> DataFrame:
     orders, cust = table(spark, d, "orders"), F.col("o_custkey")
     fields = [F.lit("name"), F.concat(F.lit("PF"), F.lpad((cust % 900).cast("string"), 5, "0"), F.lit(".7")), F.lit("100"), F.col("o_orderkey"), *[F.lit("-")] * 13, cust % 20 + 1, cust % 20 + 11, F.lit("1"), F.lit("2"), F.lit("0.9"), F.lit("some words here")]
@@ -369,7 +451,15 @@ def src25(spark: SparkSession, d: str) -> DataFrame:
 # -- consolidation ---------------------------------------------------------------------------------------------------
 
 
-@query("agg14_sequence_consolidation", "WITH a AS (SELECT o_custkey AS protein_id, 'SEQ' || o_custkey AS sequence, o_orderpriority AS group_id, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus END AS species, CASE o_orderkey % 4 WHEN 0 THEN 'yes' WHEN 1 THEN '0' WHEN 2 THEN NULL ELSE 'True' END AS cand FROM orders) SELECT protein_id, any_value(sequence) AS sequence, length(any_value(sequence)) AS sequence_length, sha256(any_value(sequence)) AS sequence_sha256, string_agg(DISTINCT group_id, '|' ORDER BY group_id) AS group_id, coalesce(string_agg(DISTINCT nullif(species, ''), '|' ORDER BY nullif(species, '')), '') AS species, string_agg(DISTINCT CASE cand WHEN 'yes' THEN 'TRUE' WHEN 'True' THEN 'TRUE' WHEN '0' THEN 'FALSE' ELSE 'UNKNOWN' END, '|' ORDER BY CASE cand WHEN 'yes' THEN 'TRUE' WHEN 'True' THEN 'TRUE' WHEN '0' THEN 'FALSE' ELSE 'UNKNOWN' END) AS flag_states FROM a GROUP BY 1")
+@query("agg14_sequence_consolidation", """
+    WITH a AS (SELECT o_custkey AS protein_id, 'SEQ' || o_custkey AS sequence, o_orderpriority AS group_id, CASE WHEN o_orderkey % 3 =
+    0 THEN '' ELSE o_orderstatus END AS species, CASE o_orderkey % 4 WHEN 0 THEN 'yes' WHEN 1 THEN '0' WHEN 2 THEN NULL ELSE 'True' END
+    AS cand FROM orders) SELECT protein_id, any_value(sequence) AS sequence, length(any_value(sequence)) AS sequence_length,
+    sha256(any_value(sequence)) AS sequence_sha256, string_agg(DISTINCT group_id, '|'
+    ORDER BY group_id) AS group_id, coalesce(string_agg(DISTINCT nullif(species, ''), '|'
+    ORDER BY nullif(species, '')), '') AS species, string_agg(DISTINCT CASE cand WHEN 'yes' THEN 'TRUE' WHEN 'True' THEN 'TRUE' WHEN
+    '0' THEN 'FALSE' ELSE 'UNKNOWN' END, '|' ORDER BY CASE cand WHEN 'yes' THEN 'TRUE' WHEN 'True' THEN 'TRUE' WHEN '0' THEN 'FALSE'
+    ELSE 'UNKNOWN' END) AS flag_states FROM a GROUP BY 1""")
 def agg14(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("o_orderkey")
     rows = table(spark, d, "orders").select(F.col("o_custkey").alias("protein_id"), F.concat(F.lit(" seq"), "o_custkey").alias("sequence"), F.col("o_orderpriority").alias("group_id"), F.when(key % 3 == 0, "").otherwise(F.col("o_orderstatus")).alias("species"), F.when(key % 4 == 0, "yes").when(key % 4 == 1, "0").when(key % 4 == 3, "True").alias("cand"))
@@ -386,7 +476,15 @@ def agg15(spark: SparkSession, d: str) -> DataFrame:
     return consolidation.consolidate_domains(orders.select(F.col("o_orderkey").alias("protein_id"), F.lit(50).alias("sequence_length")), hits, summaries)[1]
 
 
-@query("agg16_structure_consolidation", "WITH a AS (SELECT l_orderkey AS protein_id, min('dir' || l_linenumber || '/m' || l_orderkey || '.pdb') AS coordinate_path, sha256('model ' || l_orderkey) AS coordinate_sha256 FROM lineitem WHERE l_linenumber < 5 AND l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey) SELECT protein_id, 'WF_' || substr(sha256(protein_id || chr(9) || coordinate_sha256), 1, 24) AS structure_id, coordinate_path, coordinate_sha256, CASE WHEN o_orderkey % 9 > 0 THEN o_orderkey * 37 % 1000 / 1e1 END AS mean_confidence, CASE WHEN o_orderkey % 9 = 0 THEN 'INELIGIBLE_CONFIDENCE_UNAVAILABLE' WHEN o_orderkey * 37 % 1000 / 1e1 < 70 THEN 'INELIGIBLE_LOW_CONFIDENCE' ELSE 'ELIGIBLE' END AS analysis_eligibility_status FROM a JOIN orders ON o_orderkey = protein_id")
+@query("agg16_structure_consolidation", """
+    WITH a AS (SELECT l_orderkey AS protein_id, min('dir' || l_linenumber || '/m' || l_orderkey || '.pdb') AS coordinate_path,
+    sha256('model ' || l_orderkey) AS coordinate_sha256 FROM lineitem
+    WHERE l_linenumber < 5 AND l_orderkey IN (SELECT o_orderkey FROM orders)
+    GROUP BY l_orderkey) SELECT protein_id, 'WF_' || substr(sha256(protein_id || chr(9) || coordinate_sha256), 1, 24) AS structure_id,
+    coordinate_path, coordinate_sha256, CASE WHEN o_orderkey % 9 > 0 THEN o_orderkey * 37 % 1000 / 1e1 END AS mean_confidence, CASE
+    WHEN o_orderkey % 9 = 0 THEN 'INELIGIBLE_CONFIDENCE_UNAVAILABLE' WHEN o_orderkey * 37 % 1000 / 1e1 < 70 THEN
+    'INELIGIBLE_LOW_CONFIDENCE' ELSE 'ELIGIBLE' END AS analysis_eligibility_status
+    FROM a JOIN orders ON o_orderkey = protein_id""")
 def agg16(spark: SparkSession, d: str) -> DataFrame:
     orders, key = table(spark, d, "orders"), F.col("o_orderkey")
     assets = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("protein_id"), F.concat(F.lit("dir"), "l_linenumber", F.lit("/m"), "l_orderkey", F.when(F.col("l_linenumber") < 5, ".pdb").otherwise(".json")).alias("path"), F.upper(F.sha2(F.concat(F.lit("model "), "l_orderkey"), 256)).alias("sha256"))
@@ -394,10 +492,19 @@ def agg16(spark: SparkSession, d: str) -> DataFrame:
     return consolidation.consolidate_structures(assets, quality, orders.select(key.alias("protein_id")))
 
 
-_SOURCES = "s1 AS (SELECT DISTINCT l_orderkey AS protein_id, p_brand AS feature_id, 'A' AS src, CASE WHEN l_orderkey % 4 = 0 THEN 'FAILED' ELSE 'DERIVED' END AS evidence_status FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'A'), s2 AS (SELECT DISTINCT l_orderkey AS protein_id, p_brand AS feature_id, 'N' AS src, CASE WHEN l_orderkey % 5 = 0 THEN 'not_assessed' ELSE 'DERIVED' END AS evidence_status FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'N')"
+_SOURCES = """
+    s1 AS (SELECT DISTINCT l_orderkey AS protein_id, p_brand AS feature_id, 'A' AS src, CASE WHEN l_orderkey % 4 = 0 THEN 'FAILED' ELSE
+    'DERIVED' END AS evidence_status FROM lineitem JOIN part ON l_partkey = p_partkey
+    WHERE l_returnflag = 'A'), s2 AS (SELECT DISTINCT l_orderkey AS protein_id, p_brand AS feature_id, 'N' AS src, CASE WHEN l_orderkey
+    % 5 = 0 THEN 'not_assessed' ELSE 'DERIVED' END AS evidence_status
+    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'N')"""
 
 
-@query("set01_feature_merge", f"WITH {_SOURCES}, u AS (SELECT *, 0 AS k FROM s1 UNION ALL SELECT *, 1 FROM s2) SELECT protein_id, feature_id, arg_max(src, k) AS src, arg_max(evidence_status, k) AS evidence_status FROM u WHERE upper(evidence_status) NOT IN ('FAILED', 'NOT_ASSESSED', 'INPUT_UNAVAILABLE', 'EXCLUDED') GROUP BY 1, 2")
+@query("set01_feature_merge", f"""
+    WITH {_SOURCES}, u AS (SELECT *, 0 AS k FROM s1 UNION ALL SELECT *, 1
+    FROM s2) SELECT protein_id, feature_id, arg_max(src, k) AS src, arg_max(evidence_status, k) AS evidence_status
+    FROM u WHERE upper(evidence_status) NOT IN ('FAILED', 'NOT_ASSESSED', 'INPUT_UNAVAILABLE', 'EXCLUDED')
+    GROUP BY 1, 2""")
 def set01(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     one = lambda flag, n, bad: lines.filter(F.col("l_returnflag") == flag).select(F.col("l_orderkey").alias("protein_id"), F.col("p_brand").alias("feature_id"), F.lit(flag).alias("src"), F.when(F.col("l_orderkey") % n == 0, bad).otherwise("DERIVED").alias("evidence_status")).distinct()
@@ -410,26 +517,47 @@ def set02(spark: SparkSession, d: str) -> DataFrame:
     return consolidation.merge_unique([rows.filter("structure_id % 2 = 0"), rows.filter("structure_id % 2 = 1")], ["structure_id"], "structures in two sources")
 
 
-@query("set03_complete_domain_assessments", f"WITH {B.HITS}, k AS (SELECT DISTINCT protein_id, authority FROM hits WHERE start <= 2) SELECT o_orderkey AS protein_id, a.authority AS domain_authority, CASE WHEN k.protein_id IS NULL THEN 'NOT_ASSESSED' ELSE 'ASSESSED_WITH_HIT' END AS assessment_status FROM orders CROSS JOIN (SELECT DISTINCT authority FROM k) a LEFT JOIN k ON k.protein_id = o_orderkey AND k.authority = a.authority")
+@query("set03_complete_domain_assessments", f"""
+    WITH {B.HITS}, k AS (SELECT DISTINCT protein_id, authority FROM hits
+    WHERE start <= 2) SELECT o_orderkey AS protein_id, a.authority AS domain_authority, CASE WHEN k.protein_id IS NULL THEN
+    'NOT_ASSESSED' ELSE 'ASSESSED_WITH_HIT' END AS assessment_status
+    FROM orders CROSS JOIN (SELECT DISTINCT authority FROM k) a LEFT
+    JOIN k ON k.protein_id = o_orderkey AND k.authority = a.authority""")
 def set03(spark: SparkSession, d: str) -> DataFrame:
     known = B.domain_hits(spark, d).filter("start <= 2").select("protein_id", F.col("authority").alias("domain_authority"), F.lit("ASSESSED_WITH_HIT").alias("assessment_status")).distinct()
     return consolidation.complete_assessments(table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id")), known)
 
 
-@query("prj04_acquisition_outcome", "WITH a AS (SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN 404 WHEN 1 THEN 500 WHEN 2 THEN NULL ELSE 200 END AS h, CASE o_custkey % 5 WHEN 0 THEN false WHEN 1 THEN NULL ELSE true END AS m, CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey * 37 % 1000 / 1e1 END AS c FROM orders), s AS (SELECT o_orderkey, CASE WHEN h = 404 THEN 'MODEL_NOT_AVAILABLE' WHEN h IS NULL OR h <> 200 THEN 'FAILED' WHEN NOT m THEN 'SEQUENCE_MISMATCH' WHEN m IS NULL THEN 'ACQUIRED_SEQUENCE_UNVERIFIED' WHEN c IS NULL THEN 'ACQUIRED_CONFIDENCE_UNAVAILABLE' WHEN c < 70 THEN 'ACQUIRED_LOW_CONFIDENCE' ELSE 'ACQUIRED' END AS acquisition_status FROM a) SELECT *, CASE acquisition_status WHEN 'ACQUIRED' THEN 'ELIGIBLE' WHEN 'ACQUIRED_LOW_CONFIDENCE' THEN 'INELIGIBLE_LOW_CONFIDENCE' WHEN 'ACQUIRED_CONFIDENCE_UNAVAILABLE' THEN 'INELIGIBLE_CONFIDENCE_UNAVAILABLE' WHEN 'ACQUIRED_SEQUENCE_UNVERIFIED' THEN 'INELIGIBLE_SEQUENCE_UNVERIFIED' WHEN 'SEQUENCE_MISMATCH' THEN 'INELIGIBLE_SEQUENCE_MISMATCH' ELSE 'INELIGIBLE_COORDINATE_UNAVAILABLE' END AS analysis_eligibility_status FROM s")
+@query("prj04_acquisition_outcome", """
+    WITH a AS (SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN 404 WHEN 1 THEN 500 WHEN 2 THEN NULL ELSE 200 END AS h, CASE
+    o_custkey % 5 WHEN 0 THEN false WHEN 1 THEN NULL ELSE true END AS m, CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey * 37 % 1000 / 1e1
+    END AS c FROM orders), s AS (SELECT o_orderkey, CASE WHEN h = 404 THEN 'MODEL_NOT_AVAILABLE' WHEN h IS NULL OR h <> 200 THEN
+    'FAILED' WHEN NOT m THEN 'SEQUENCE_MISMATCH' WHEN m IS NULL THEN 'ACQUIRED_SEQUENCE_UNVERIFIED' WHEN c IS NULL THEN
+    'ACQUIRED_CONFIDENCE_UNAVAILABLE' WHEN c < 70 THEN 'ACQUIRED_LOW_CONFIDENCE' ELSE 'ACQUIRED' END AS acquisition_status
+    FROM a) SELECT *, CASE acquisition_status WHEN 'ACQUIRED' THEN 'ELIGIBLE' WHEN 'ACQUIRED_LOW_CONFIDENCE' THEN
+    'INELIGIBLE_LOW_CONFIDENCE' WHEN 'ACQUIRED_CONFIDENCE_UNAVAILABLE' THEN 'INELIGIBLE_CONFIDENCE_UNAVAILABLE' WHEN
+    'ACQUIRED_SEQUENCE_UNVERIFIED' THEN 'INELIGIBLE_SEQUENCE_UNVERIFIED' WHEN 'SEQUENCE_MISMATCH' THEN 'INELIGIBLE_SEQUENCE_MISMATCH'
+    ELSE 'INELIGIBLE_COORDINATE_UNAVAILABLE' END AS analysis_eligibility_status
+    FROM s""")
 def prj04(spark: SparkSession, d: str) -> DataFrame:
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     rows = table(spark, d, "orders").select(key, F.when(key % 10 == 0, 404).when(key % 10 == 1, 500).when(key % 10 > 2, 200).alias("http_status"), F.when(cust % 5 == 0, False).when(cust % 5 > 1, True).alias("sequence_match"), F.when(key % 7 > 0, key * 37 % 1000 / 10).alias("mean_confidence"))
     return consolidation.acquisition_outcome(rows).select("o_orderkey", "acquisition_status", "analysis_eligibility_status")
 
 
-@query("prj13_canonical_projection", f"WITH {B.HITS} SELECT protein_id, string_agg(DISTINCT domain_id, '|' ORDER BY domain_id) AS domain_ids, coalesce(CASE WHEN protein_id % 2 = 0 THEN 'p' || protein_id END, '') AS path FROM hits GROUP BY 1")
+@query("prj13_canonical_projection", f"""
+    WITH {B.HITS} SELECT protein_id, string_agg(DISTINCT domain_id, '|'
+    ORDER BY domain_id) AS domain_ids, coalesce(CASE WHEN protein_id % 2 = 0 THEN 'p' || protein_id END, '') AS path
+    FROM hits GROUP BY 1""")
 def prj13(spark: SparkSession, d: str) -> DataFrame:
     rows = B.domain_hits(spark, d).groupBy("protein_id").agg(F.array_sort(F.collect_set("domain_id")).alias("domain_ids")).withColumn("path", F.when(F.col("protein_id") % 2 == 0, F.concat(F.lit("p"), "protein_id")))
     return consolidation.canonical_projection(rows, ["protein_id", "domain_ids", "path"], ["domain_ids"], ["path"])
 
 
-@query("fea02_domain_features", f"WITH {B.HITS} SELECT protein_id, CASE WHEN authority = 'A' THEN 'PFAM_DOMAIN' ELSE 'DOMAIN' END AS feature_type, CASE WHEN authority = 'A' THEN 'Pfam' ELSE authority END || ':' || domain_id AS feature_id, start, start + 4 AS stop FROM hits")
+@query("fea02_domain_features", f"""
+    WITH {B.HITS} SELECT protein_id, CASE WHEN authority = 'A' THEN 'PFAM_DOMAIN' ELSE 'DOMAIN' END AS feature_type, CASE WHEN
+    authority = 'A' THEN 'Pfam' ELSE authority END || ':' || domain_id AS feature_id, start, start + 4 AS stop
+    FROM hits""")
 def fea02(spark: SparkSession, d: str) -> DataFrame:
     return consolidation.domain_features(_hits(spark, d))
 
@@ -439,7 +567,10 @@ def _hits(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("protein_id", F.when(F.col("authority") == "A", "Pfam").otherwise(F.col("authority")).alias("domain_authority"), "domain_id", "start", (F.col("start") + 4).alias("stop"))
 
 
-@query("fea03_domain_architecture", f"WITH {B.HITS} SELECT protein_id, CASE WHEN authority = 'A' THEN 'Pfam' ELSE authority END AS domain_authority, string_agg(domain_id, '>' ORDER BY start, domain_id) AS architecture FROM (SELECT DISTINCT * FROM hits) GROUP BY 1, 2")
+@query("fea03_domain_architecture", f"""
+    WITH {B.HITS} SELECT protein_id, CASE WHEN authority = 'A' THEN 'Pfam' ELSE authority END AS domain_authority,
+    string_agg(domain_id, '>' ORDER BY start, domain_id) AS architecture
+    FROM (SELECT DISTINCT * FROM hits) GROUP BY 1, 2""")
 def fea03(spark: SparkSession, d: str) -> DataFrame:
     return consolidation.domain_architecture(_hits(spark, d))
 
@@ -473,17 +604,30 @@ def jon12(spark: SparkSession, d: str) -> DataFrame:
     return families.retrieve_clusters(rows, rows.groupBy("cluster_id").agg(F.count("*").alias("member_count")), wanted)
 
 
-@query("jon13_representative_hits", f"WITH {B.SEARCH} SELECT member, seed, line, bitscore, CASE WHEN o_orderkey IS NULL THEN 'HIT_UNINDEXED' ELSE 'HIT_INDEXED' END AS status FROM search LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') ON member = o_orderkey")
+@query("jon13_representative_hits", f"""
+    WITH {B.SEARCH} SELECT member, seed, line, bitscore, CASE WHEN o_orderkey IS NULL THEN 'HIT_UNINDEXED' ELSE 'HIT_INDEXED' END AS
+    status FROM search LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') ON member = o_orderkey""")
 def jon13(spark: SparkSession, d: str) -> DataFrame:
     index = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("member"), F.lit(True).alias("there"))
     rows = B.search_hits(spark, d).join(index, "member", "left").select("member", "seed", "line", "bitscore", F.when(F.col("there"), "HIT_INDEXED").otherwise("HIT_UNINDEXED").alias("status"))
     return rows.orderBy(F.desc("bitscore"), "member", "seed", "line")
 
 
-_SCREEN = f"{B.SEARCH}, fam AS (SELECT o_orderkey AS sequence_id, o_custkey % 300 AS sequence_sha256, o_orderstatus FROM orders), h AS (SELECT member AS sequence_id, seed, bitscore FROM search WHERE identity >= 95), best AS (SELECT sequence_id, arg_min(seed, (-bitscore, seed)) AS best_seed_id FROM h GROUP BY 1)"
+_SCREEN = f"""
+    {B.SEARCH}, fam AS (SELECT o_orderkey AS sequence_id, o_custkey % 300 AS sequence_sha256, o_orderstatus
+    FROM orders), h AS (SELECT member AS sequence_id, seed, bitscore
+    FROM search WHERE identity >= 95), best AS (SELECT sequence_id, arg_min(seed, (-bitscore, seed)) AS best_seed_id
+    FROM h GROUP BY 1)"""
 
 
-@query("jon14_candidate_screen_audit", f"WITH {_SCREEN}, ok AS (SELECT b.*, f.sequence_sha256 FROM best b JOIN fam f USING (sequence_id) WHERE o_orderstatus <> 'P'), first AS (SELECT sequence_sha256, min(sequence_id) AS kept FROM ok GROUP BY 1) SELECT f.sequence_id, ok.best_seed_id, CASE WHEN ok.sequence_id = first.kept THEN 'SELECTED' WHEN ok.sequence_id IS NOT NULL THEN 'EXACT_SEQUENCE_DUPLICATE' WHEN best.sequence_id IS NOT NULL THEN 'TAXONOMY_FILTERED_OR_UNKNOWN' ELSE 'NO_RETAINED_HIT' END AS selection_status FROM fam f LEFT JOIN best USING (sequence_id) LEFT JOIN ok ON ok.sequence_id = f.sequence_id LEFT JOIN first ON first.sequence_sha256 = f.sequence_sha256")
+@query("jon14_candidate_screen_audit", f"""
+    WITH {_SCREEN}, ok AS (SELECT b.*, f.sequence_sha256 FROM best b
+    JOIN fam f USING (sequence_id) WHERE o_orderstatus <> 'P'), first AS (SELECT sequence_sha256, min(sequence_id) AS kept
+    FROM ok GROUP BY 1) SELECT f.sequence_id, ok.best_seed_id, CASE WHEN ok.sequence_id = first.kept THEN 'SELECTED' WHEN
+    ok.sequence_id IS NOT NULL THEN 'EXACT_SEQUENCE_DUPLICATE' WHEN best.sequence_id IS NOT NULL THEN 'TAXONOMY_FILTERED_OR_UNKNOWN'
+    ELSE 'NO_RETAINED_HIT' END AS selection_status FROM fam f LEFT
+    JOIN best USING (sequence_id) LEFT JOIN ok ON ok.sequence_id = f.sequence_id
+    LEFT JOIN first ON first.sequence_sha256 = f.sequence_sha256""")
 def jon14(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
     family = orders.select(F.col("o_orderkey").alias("sequence_id"), (F.col("o_custkey") % 300).alias("sequence_sha256"))
@@ -491,21 +635,34 @@ def jon14(spark: SparkSession, d: str) -> DataFrame:
     return families.screen_audit(family, hits, orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("sequence_id")))
 
 
-@query("win03_best_hit_dedupe", f"WITH {_SCREEN}, ok AS (SELECT b.*, f.sequence_sha256 FROM best b JOIN fam f USING (sequence_id)) SELECT min(sequence_id) AS sequence_id, arg_min(best_seed_id, sequence_id) AS best_seed_id FROM ok GROUP BY sequence_sha256")
+@query("win03_best_hit_dedupe", f"""
+    WITH {_SCREEN}, ok AS (SELECT b.*, f.sequence_sha256 FROM best b
+    JOIN fam f USING (sequence_id)) SELECT min(sequence_id) AS sequence_id, arg_min(best_seed_id, sequence_id) AS best_seed_id
+    FROM ok GROUP BY sequence_sha256""")
 def win03(spark: SparkSession, d: str) -> DataFrame:
     family = table(spark, d, "orders").select(F.col("o_orderkey").alias("sequence_id"), (F.col("o_custkey") % 300).alias("sequence_sha256"))
     hits = B.search_hits(spark, d).filter("identity >= 95").select(F.col("member").alias("sequence_id"), F.col("seed").alias("seed_id"), "bitscore")
     return families.screen_audit(family, hits).filter("selection_status = 'SELECTED'").select("sequence_id", "best_seed_id")
 
 
-@query("jon15_hit_threshold_filter", "WITH h AS (SELECT l_orderkey, l_linenumber, l_partkey, 100 * (1 - l_discount) AS pident, l_tax AS evalue, l_linenumber AS qstart, l_linenumber + l_quantity::INT - 1 AS qend, 60 AS qlen, 1 AS sstart, l_quantity::INT AS send, 55 AS slen FROM lineitem), c AS (SELECT *, 100 * (abs(qend - qstart) + 1) / qlen AS q, 100 * (abs(send - sstart) + 1) / slen AS s FROM h) SELECT l_orderkey, l_linenumber, l_partkey, round(q, 7) AS query_coverage, round(s, 7) AS subject_coverage FROM c WHERE pident >= 92.5 AND q >= 50 AND s >= 50 AND evalue <= 0.05")
+@query("jon15_hit_threshold_filter", """
+    WITH h AS (SELECT l_orderkey, l_linenumber, l_partkey, 100 * (1 - l_discount) AS pident, l_tax AS evalue, l_linenumber AS qstart,
+    l_linenumber + l_quantity::INT - 1 AS qend, 60 AS qlen, 1 AS sstart, l_quantity::INT AS send, 55 AS slen
+    FROM lineitem), c AS (SELECT *, 100 * (abs(qend - qstart) + 1) / qlen AS q, 100 * (abs(send - sstart) + 1) / slen AS s
+    FROM h) SELECT l_orderkey, l_linenumber, l_partkey, round(q, 7) AS query_coverage, round(s, 7) AS subject_coverage
+    FROM c WHERE pident >= 92.5 AND q >= 50 AND s >= 50 AND evalue <= 0.05""")
 def jon15(spark: SparkSession, d: str) -> DataFrame:
     line, n = F.col("l_linenumber"), F.col("l_quantity").cast("int")
     hits = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (100 * (1 - F.col("l_discount"))).alias("pident"), F.col("l_tax").alias("evalue"), line.alias("qstart"), (line + n - 1).alias("qend"), F.lit(60).alias("qlen"), F.lit(1).alias("sstart"), n.alias("send"), F.lit(55).alias("slen"))
     return r7(families.threshold_hits(hits, 92.5, 50, 0.05).select("l_orderkey", "l_linenumber", "l_partkey", "query_coverage", "subject_coverage"), "query_coverage", "subject_coverage")
 
 
-_CONTEXT = "ctx AS (SELECT o_orderkey AS sequence_id, CASE WHEN o_orderkey % 50 = 3 THEN 'bad' WHEN o_orderkey % 4 = 0 THEN sha256('old ' || o_orderkey) ELSE sha256('seq ' || o_orderkey) END AS sequence_sha256, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'G' || o_custkey % 30 END AS source_group, CASE WHEN o_orderkey % 60 = 1 THEN '0x' WHEN o_orderkey % 3 = 0 THEN NULL ELSE (o_custkey % 90 + 1)::VARCHAR END AS reviewed_taxon_id FROM orders), seqs AS (SELECT o_orderkey AS sequence_id, sha256('seq ' || o_orderkey) AS sequence_sha256 FROM orders WHERE o_orderstatus <> 'P')"
+_CONTEXT = """
+    ctx AS (SELECT o_orderkey AS sequence_id, CASE WHEN o_orderkey % 50 = 3 THEN 'bad' WHEN o_orderkey % 4 = 0 THEN sha256('old ' ||
+    o_orderkey) ELSE sha256('seq ' || o_orderkey) END AS sequence_sha256, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'G' || o_custkey %
+    30 END AS source_group, CASE WHEN o_orderkey % 60 = 1 THEN '0x' WHEN o_orderkey % 3 = 0 THEN NULL ELSE (o_custkey % 90 +
+    1)::VARCHAR END AS reviewed_taxon_id FROM orders), seqs AS (SELECT o_orderkey AS sequence_id, sha256('seq ' || o_orderkey) AS
+    sequence_sha256 FROM orders WHERE o_orderstatus <> 'P')"""
 
 
 def _context(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -520,13 +677,23 @@ def jon16(spark: SparkSession, d: str) -> DataFrame:
     return families.carry_context(*_context(spark, d))
 
 
-@query("val13_context_check", f"WITH {_CONTEXT}, b AS (SELECT * FROM ctx UNION ALL SELECT * FROM ctx WHERE sequence_id % 70 = 2) SELECT sequence_id, CASE WHEN NOT regexp_full_match(sequence_sha256, '[0-9a-f]{{64}}') THEN 'BAD_DIGEST' ELSE 'BAD_TAXON' END AS problem FROM b WHERE NOT regexp_full_match(sequence_sha256, '[0-9a-f]{{64}}') OR NOT regexp_full_match(coalesce(reviewed_taxon_id, '1'), '[1-9][0-9]*') UNION ALL SELECT sequence_id, 'REPEATED_ID' FROM b GROUP BY 1 HAVING count(*) > 1")
+@query("val13_context_check", f"""
+    WITH {_CONTEXT}, b AS (SELECT * FROM ctx UNION ALL SELECT * FROM ctx
+    WHERE sequence_id % 70 = 2) SELECT sequence_id, CASE WHEN NOT regexp_full_match(sequence_sha256, '[0-9a-f]{{64}}') THEN
+    'BAD_DIGEST' ELSE 'BAD_TAXON' END AS problem FROM b WHERE NOT regexp_full_match(sequence_sha256, '[0-9a-f]{{64}}') OR NOT
+    regexp_full_match(coalesce(reviewed_taxon_id, '1'), '[1-9][0-9]*')
+    UNION ALL SELECT sequence_id, 'REPEATED_ID' FROM b GROUP BY 1
+    HAVING count(*) > 1""")
 def val13(spark: SparkSession, d: str) -> DataFrame:
     context = _context(spark, d)[0]
     return families.context_violations(context.unionByName(context.filter("sequence_id % 70 = 2")))
 
 
-@query("agg43_context_summary", f"WITH {_CONTEXT}, m AS (SELECT c.* FROM ctx c JOIN seqs USING (sequence_id, sequence_sha256)) SELECT (SELECT string_agg(source_group, '|' ORDER BY source_group) FROM (SELECT DISTINCT source_group FROM m WHERE source_group <> '' ORDER BY 1 LIMIT 12)) AS source_groups, (SELECT count(*) FROM m) AS matched_rows, (SELECT count(*) FROM seqs) AS output_sequences")
+@query("agg43_context_summary", f"""
+    WITH {_CONTEXT}, m AS (SELECT c.* FROM ctx c JOIN seqs USING (sequence_id, sequence_sha256)) SELECT (SELECT
+    string_agg(source_group, '|' ORDER BY source_group) FROM (SELECT DISTINCT source_group
+    FROM m WHERE source_group <> '' ORDER BY 1 LIMIT 12)) AS source_groups, (SELECT count(*)
+    FROM m) AS matched_rows, (SELECT count(*) FROM seqs) AS output_sequences""")
 def agg43(spark: SparkSession, d: str) -> DataFrame:
     return families.context_summary(*_context(spark, d))
 
@@ -540,7 +707,10 @@ def jon28(spark: SparkSession, d: str) -> DataFrame:
     return families.aligned_context(context, aligned)
 
 
-@query("jon17_hog_members", f"WITH {B.cte('group_memberships')} SELECT protein_id, species_label, CASE WHEN o_orderstatus <> 'P' THEN 'SEQ' || protein_id END AS sequence FROM group_memberships JOIN orders ON o_orderkey = protein_id WHERE group_type = 'OG' AND group_id = 'OG5'")
+@query("jon17_hog_members", f"""
+    WITH {B.cte('group_memberships')} SELECT protein_id, species_label, CASE WHEN o_orderstatus <> 'P' THEN 'SEQ' || protein_id END AS
+    sequence FROM group_memberships JOIN orders ON o_orderkey = protein_id
+    WHERE group_type = 'OG' AND group_id = 'OG5'""")
 def jon17(spark: SparkSession, d: str) -> DataFrame:
     proteins = table(spark, d, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("protein_id"), F.concat(F.lit("SEQ"), "o_orderkey").alias("sequence"))
     return families.group_members(B.frame(spark, d, "group_memberships"), proteins, {"run_id": "RUN1", "group_type": "OG", "hierarchy_node": "", "group_id": "OG5"}, cap=2_000_000_000)
@@ -551,7 +721,12 @@ def jon17_search(spark: SparkSession, d: str) -> DataFrame:
     return families.search_groups(B.frame(spark, d, "group_memberships"), " Og12")
 
 
-@query("jon18_hog_snapshot", "WITH o AS (SELECT *, o_orderkey % 4 AS k, o_custkey % 6 AS s FROM orders WHERE o_orderstatus <> 'P') SELECT o_orderkey AS protein_id, sha256('SEQ' || o_orderkey) AS sequence_sha256, 'L' || s AS released_species, CASE WHEN k = 0 AND s > 1 THEN NULL WHEN k = 0 THEN 'by id' WHEN s > 1 THEN 'by label ' || s END AS reviewed_species, CASE WHEN k = 0 AND s > 1 THEN NULL WHEN k = 0 THEN 1 WHEN s > 1 THEN s END AS reviewed_taxon_id FROM o")
+@query("jon18_hog_snapshot", """
+    WITH o AS (SELECT *, o_orderkey % 4 AS k, o_custkey % 6 AS s FROM orders
+    WHERE o_orderstatus <> 'P') SELECT o_orderkey AS protein_id, sha256('SEQ' || o_orderkey) AS sequence_sha256, 'L' || s AS
+    released_species, CASE WHEN k = 0 AND s > 1 THEN NULL WHEN k = 0 THEN 'by id' WHEN s > 1 THEN 'by label ' || s END AS
+    reviewed_species, CASE WHEN k = 0 AND s > 1 THEN NULL WHEN k = 0 THEN 1 WHEN s > 1 THEN s END AS reviewed_taxon_id
+    FROM o""")
 def jon18(spark: SparkSession, d: str) -> DataFrame:
     orders, key, s = table(spark, d, "orders"), F.col("o_orderkey"), F.col("o_custkey") % 6
     members = orders.select(key.alias("protein_id"), F.concat(F.lit("L"), s).alias("species_label"), F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("SEQ"), key)).alias("sequence"))
@@ -560,7 +735,12 @@ def jon18(spark: SparkSession, d: str) -> DataFrame:
     return families.group_snapshot(members, by_id, by_label)
 
 
-@query("jon26_prior_pairs_compare", "SELECT 'r' || l_suppkey AS reference_model_sha256, 'm' || l_orderkey || '_' || l_linenumber || '_' || l_partkey AS mobile_model_sha256, CASE WHEN l_returnflag = 'A' THEN 'US-align' ELSE 'tm-align' END AS previous_alignment_tool, 'COMPLETE' AS previous_status, CASE l_linestatus WHEN 'F' THEN CASE WHEN l_quantity > 40 THEN 'FAILED' ELSE 'COMPLETE' END ELSE 'NOT_ASSESSED' END AS new_status, CASE WHEN l_linestatus = 'F' AND l_quantity <= 40 THEN l_discount END AS new_score FROM lineitem WHERE l_returnflag <> 'N' AND l_linenumber > 1")
+@query("jon26_prior_pairs_compare", """
+    SELECT 'r' || l_suppkey AS reference_model_sha256, 'm' || l_orderkey || '_' || l_linenumber || '_' || l_partkey AS
+    mobile_model_sha256, CASE WHEN l_returnflag = 'A' THEN 'US-align' ELSE 'tm-align' END AS previous_alignment_tool, 'COMPLETE' AS
+    previous_status, CASE l_linestatus WHEN 'F' THEN CASE WHEN l_quantity > 40 THEN 'FAILED' ELSE 'COMPLETE' END ELSE 'NOT_ASSESSED'
+    END AS new_status, CASE WHEN l_linestatus = 'F' AND l_quantity <= 40 THEN l_discount END AS new_score
+    FROM lineitem WHERE l_returnflag <> 'N' AND l_linenumber > 1""")
 def jon26(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem")
     key = [F.concat(F.lit("r"), "l_suppkey").alias("reference_model_sha256"), F.concat(F.lit("m"), "l_orderkey", F.lit("_"), "l_linenumber", F.lit("_"), "l_partkey").alias("mobile_model_sha256")]
@@ -593,7 +773,11 @@ def _realigned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return native, rows
 
 
-@query("grf10_audited_partition", f"WITH {_REALIGN} SELECT 'sub_' || substr(sha256(CASE WHEN status IN ('CENTROID_SELF', 'EXACT_THRESHOLDS_PASS') THEN representative_id ELSE member_id END::VARCHAR), 1, 24) AS subcluster_id, member_id AS sequence_id, representative_id AS native_representative_id, status AS alignment_status, round(identity, 7) AS identity FROM st")
+@query("grf10_audited_partition", f"""
+    WITH {_REALIGN} SELECT 'sub_' || substr(sha256(CASE WHEN status IN ('CENTROID_SELF', 'EXACT_THRESHOLDS_PASS') THEN
+    representative_id ELSE member_id END::VARCHAR), 1, 24) AS subcluster_id, member_id AS sequence_id, representative_id AS
+    native_representative_id, status AS alignment_status, round(identity, 7) AS identity
+    FROM st""")
 def grf10(spark: SparkSession, d: str) -> DataFrame:
     found = families.audited_partition(*_realigned(spark, d), identity=74, coverage=70, evalue=0.06)
     # the stand-in asks more of the member's coverage than of the representative's
@@ -609,13 +793,21 @@ def win11(spark: SparkSession, d: str) -> DataFrame:
     return r7(found.select("member_id", "identity", "bitscore"), "identity", "bitscore")
 
 
-@query("fea21_exact_evidence", f"WITH {_REALIGN} SELECT member_id, length, nident, round(CASE WHEN ok THEN identity END, 7) AS identity, round(CASE WHEN ok THEN rc END, 7) AS representative_coverage, round(CASE WHEN ok THEN mc END, 7) AS member_coverage FROM ev")
+@query("fea21_exact_evidence", f"""
+    WITH {_REALIGN} SELECT member_id, length, nident, round(CASE WHEN ok THEN identity END, 7) AS identity, round(CASE WHEN ok THEN rc
+    END, 7) AS representative_coverage, round(CASE WHEN ok THEN mc END, 7) AS member_coverage
+    FROM ev""")
 def fea21(spark: SparkSession, d: str) -> DataFrame:
     found = families.exact_evidence(_realigned(spark, d)[1])
     return r7(found.select("member_id", "length", "nident", "identity", "representative_coverage", "member_coverage"), "identity", "representative_coverage", "member_coverage")
 
 
-@query("grf09_network_edges", f"WITH {_REALIGN}, n AS (SELECT member_id AS sequence_id, representative_id, status, row_number() OVER (PARTITION BY representative_id ORDER BY member_id = representative_id DESC, member_id) AS k FROM st WHERE representative_id IN (SELECT DISTINCT representative_id FROM nat WHERE member_id < 40)) SELECT sequence_id, representative_id AS audited_representative_id FROM n WHERE k <= 5 AND status = 'EXACT_THRESHOLDS_PASS'")
+@query("grf09_network_edges", f"""
+    WITH {_REALIGN}, n AS (SELECT member_id AS sequence_id, representative_id, status, row_number() OVER (PARTITION BY
+    representative_id ORDER BY member_id = representative_id DESC, member_id) AS k
+    FROM st WHERE representative_id IN (SELECT DISTINCT representative_id
+    FROM nat WHERE member_id < 40)) SELECT sequence_id, representative_id AS audited_representative_id
+    FROM n WHERE k <= 5 AND status = 'EXACT_THRESHOLDS_PASS'""")
 def grf09(spark: SparkSession, d: str) -> DataFrame:
     found = families.audited_partition(*_realigned(spark, d), identity=74, coverage=72, evalue=0.06).withColumn("subcluster_id", F.col("native_representative_id")).withColumn("audited_representative_id", F.col("native_representative_id"))
     wanted = [r[0] for r in found.filter("sequence_id < 40").select("native_representative_id").distinct().collect()]  # the clusters that are shown
@@ -629,14 +821,22 @@ def fea14(spark: SparkSession, d: str) -> DataFrame:
     return families.species_tips(metadata, ["F", "O", "P", "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "T7"])
 
 
-@query("fea15_catalogue_prepare", "SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'P' || lpad((o_orderkey % 100000)::VARCHAR, 5, '0') ELSE 'x' || o_orderkey END AS protein_id, 'SEQ' || o_orderkey AS sequence, sha256('SEQ' || o_orderkey) AS sequence_sha256, o_orderstatus AS proposed_category, CASE WHEN o_orderkey % 2 = 0 THEN 'P' || lpad((o_orderkey % 100000)::VARCHAR, 5, '0') END AS accession_candidate FROM orders")
+@query("fea15_catalogue_prepare", """
+    SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'P' || lpad((o_orderkey % 100000)::VARCHAR, 5, '0') ELSE 'x' || o_orderkey END AS
+    protein_id, 'SEQ' || o_orderkey AS sequence, sha256('SEQ' || o_orderkey) AS sequence_sha256, o_orderstatus AS proposed_category,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'P' || lpad((o_orderkey % 100000)::VARCHAR, 5, '0') END AS accession_candidate
+    FROM orders""")
 def fea15(spark: SparkSession, d: str) -> DataFrame:
     orders, key = table(spark, d, "orders"), F.col("o_orderkey")
     rows = orders.select(F.when(key % 2 == 0, F.concat(F.lit("P"), F.lpad((key % 100000).cast("string"), 5, "0"))).otherwise(F.concat(F.lit("x"), key)).alias("protein_id"), F.concat(F.lit("s e\tq"), key, F.lit("**")).alias("sequence"), F.lit(None).cast("string").alias("description"), F.col("o_orderstatus").alias("category"))
     return families.prepare_catalogue(rows).drop("description")
 
 
-@query("win04_seed_priority_dedupe", f"WITH {B.SEQUENCES}, c AS (SELECT CASE WHEN protein_id % 5 = 0 THEN 'seed__' ELSE 'candidate__' END || protein_id AS protein_id, protein_id AS source_id, protein_id % 5 <> 0 AS p, sequence FROM sequences) SELECT protein_id, source_id, first_value(protein_id) OVER (PARTITION BY sequence ORDER BY p, source_id) AS retained_protein_id FROM c")
+@query("win04_seed_priority_dedupe", f"""
+    WITH {B.SEQUENCES}, c AS (SELECT CASE WHEN protein_id % 5 = 0 THEN 'seed__' ELSE 'candidate__' END || protein_id AS protein_id,
+    protein_id AS source_id, protein_id % 5 <> 0 AS p, sequence FROM sequences) SELECT protein_id, source_id, first_value(protein_id)
+    OVER (PARTITION BY sequence ORDER BY p, source_id) AS retained_protein_id
+    FROM c""")
 def win04(spark: SparkSession, d: str) -> DataFrame:
     rows = B.sequences(spark, d).select(F.col("protein_id").alias("sequence_id"), F.sha2("sequence", 256).alias("sequence_sha256"))
     return families.expanded_members(rows.filter("sequence_id % 5 = 0"), rows.filter("sequence_id % 5 <> 0")).select("protein_id", "source_id", "retained_protein_id")
@@ -650,7 +850,10 @@ def fea18(spark: SparkSession, d: str) -> DataFrame:
     return reports.feature_tracks(rows, proteins).select("sequence_id", "accession", "start", "stop")
 
 
-_SCORES = "m AS (SELECT p AS first, q AS second, CASE WHEN p = q THEN 5 ELSE (ascii(p) * ascii(q)) % 7 - 3 END::DOUBLE AS score FROM (SELECT unnest(string_split('ACDEFGHIKLMNPQRSTVWY', '')) AS p), (SELECT unnest(string_split('ACDEFGHIKLMNPQRSTVWY', '')) AS q))"
+_SCORES = """
+    m AS (SELECT p AS first, q AS second, CASE WHEN p = q THEN 5 ELSE (ascii(p) * ascii(q)) % 7 - 3 END::DOUBLE AS score
+    FROM (SELECT unnest(string_split('ACDEFGHIKLMNPQRSTVWY', '')) AS p), (SELECT unnest(string_split('ACDEFGHIKLMNPQRSTVWY', '')) AS
+    q))"""
 _CANONICAL = "', '".join(sequences.CANONICAL)
 
 
@@ -702,7 +905,12 @@ def val07(spark: SparkSession, d: str) -> DataFrame:
 # -- checks that ask for two tables ----------------------------------------------------------------------------------
 
 
-@query("val09_reviewed_label_coverage", "WITH l AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'T' ELSE 'B' END AS label_id, CASE WHEN toxic = 1 THEN 'PROPOSED' ELSE 'REVIEWED_POSITIVE' END AS status FROM labels) SELECT 'UNCOVERED_PROTEIN' AS problem, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l) UNION ALL SELECT 'NO_TARGET', CASE WHEN count_if(label_id = 'T' AND status = 'REVIEWED_POSITIVE') > 0 THEN 0 ELSE 1 END FROM l UNION ALL SELECT 'NO_CONTROL', CASE WHEN count_if(label_id = 'B' AND status = 'REVIEWED_POSITIVE') > 0 THEN 0 ELSE 1 END FROM l UNION ALL SELECT 'EMPTY_BACKGROUND', 1")
+@query("val09_reviewed_label_coverage", """
+    WITH l AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'T' ELSE 'B' END AS label_id, CASE WHEN toxic = 1 THEN 'PROPOSED' ELSE
+    'REVIEWED_POSITIVE' END AS status FROM labels) SELECT 'UNCOVERED_PROTEIN' AS problem, count(*) AS n
+    FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l) UNION ALL SELECT 'NO_TARGET', CASE WHEN count_if(label_id = 'T' AND
+    status = 'REVIEWED_POSITIVE') > 0 THEN 0 ELSE 1 END FROM l UNION ALL SELECT 'NO_CONTROL', CASE WHEN count_if(label_id = 'B' AND
+    status = 'REVIEWED_POSITIVE') > 0 THEN 0 ELSE 1 END FROM l UNION ALL SELECT 'EMPTY_BACKGROUND', 1""")
 def val09(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "labels").select(F.col("doc_id").alias("protein_id"), F.when(F.col("quality") == 1, "T").otherwise("B").alias("label_id"), F.when(F.col("toxic") == 1, "PROPOSED").otherwise("REVIEWED_POSITIVE").alias("curation_status"))
     pairs = spark.createDataFrame([("T", "B"), ("B", "C")], "target_label_id string, background_label_id string")
@@ -714,7 +922,10 @@ def val12(spark: SparkSession, d: str) -> DataFrame:
     return checks.bad_values(table(spark, d, "orders"), "o_orderstatus", ["F", "O"]).select("o_orderkey", "o_orderstatus")
 
 
-@query("val12_list_check", "WITH l AS (SELECT o_custkey, list(CASE WHEN o_orderkey % 40 = 0 THEN ' ' ELSE o_orderpriority END) AS v FROM orders GROUP BY 1) SELECT o_custkey FROM l WHERE len(list_distinct(v)) < len(v) OR list_contains(list_transform(v, lambda x: trim(x)), '')")
+@query("val12_list_check", """
+    WITH l AS (SELECT o_custkey, list(CASE WHEN o_orderkey % 40 = 0 THEN ' ' ELSE o_orderpriority END) AS v
+    FROM orders GROUP BY 1) SELECT o_custkey FROM l WHERE len(list_distinct(v)) < len(v) OR list_contains(list_transform(v, lambda x:
+    trim(x)), '')""")
 def val12_lists(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_list(F.when(F.col("o_orderkey") % 40 == 0, " ").otherwise(F.col("o_orderpriority"))).alias("v"))
     return checks.bad_lists(rows, "v").select("o_custkey")
@@ -754,7 +965,13 @@ def jon01(spark: SparkSession, d: str) -> DataFrame:
     return checks.class_members(B.frame(spark, d, "label_memberships"), pairs)
 
 
-@query("jon29_label_alias_resolution", "WITH alias AS (SELECT 'K' || n_nationkey AS label_id, lower(n_name) AS term FROM nation UNION SELECT 'K' || n_nationkey, 'n' || n_nationkey FROM nation UNION SELECT 'K' || n_nationkey, 'k' || n_nationkey FROM nation), asked AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'N' || c_nationkey WHEN 1 THEN 'none' WHEN 2 THEN 'k' || c_nationkey ELSE upper(n_name) END AS term FROM customer JOIN nation ON c_nationkey = n_nationkey) SELECT c_custkey, asked.term, label_id FROM asked LEFT JOIN alias ON lower(asked.term) = alias.term")
+@query("jon29_label_alias_resolution", """
+    WITH alias AS (SELECT 'K' || n_nationkey AS label_id, lower(n_name) AS term
+    FROM nation UNION SELECT 'K' || n_nationkey, 'n' || n_nationkey
+    FROM nation UNION SELECT 'K' || n_nationkey, 'k' || n_nationkey
+    FROM nation), asked AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'N' || c_nationkey WHEN 1 THEN 'none' WHEN 2 THEN 'k' ||
+    c_nationkey ELSE upper(n_name) END AS term FROM customer JOIN nation ON c_nationkey = n_nationkey) SELECT c_custkey, asked.term,
+    label_id FROM asked LEFT JOIN alias ON lower(asked.term) = alias.term""")
 def jon29(spark: SparkSession, d: str) -> DataFrame:
     nation, key = table(spark, d, "nation"), F.col("c_custkey") % 4
     labels = nation.select(F.concat(F.lit("K"), "n_nationkey").alias("label_id"), F.col("n_name").alias("display_name"), F.array(F.concat(F.lit("n"), "n_nationkey")).alias("aliases"))

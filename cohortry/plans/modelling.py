@@ -76,7 +76,13 @@ def mlx04(spark: SparkSession, d: str) -> DataFrame:
     return models.grouped_folds(samples(spark, d))
 
 
-@query("agg39_block_feature_mean", f"WITH {B.MEMBERS}, {B.POSITIVES}, pure AS (SELECT comparison_id, unit FROM members GROUP BY ALL HAVING bool_or(is_target) = bool_and(is_target)), x AS (SELECT m.comparison_id, m.unit, m.protein_id, f.feature_id FROM members m JOIN pure USING (comparison_id, unit) JOIN positives f USING (protein_id) WHERE f.feature_type = 'DOMAIN'), n AS (SELECT comparison_id, unit, count(*) AS n FROM members GROUP BY ALL) SELECT comparison_id, unit, feature_id, round(count(*) / any_value(n), 7) AS mean FROM x JOIN n USING (comparison_id, unit) GROUP BY ALL")
+@query("agg39_block_feature_mean", f"""
+    WITH {B.MEMBERS}, {B.POSITIVES}, pure AS (SELECT comparison_id, unit
+    FROM members GROUP BY ALL HAVING bool_or(is_target) = bool_and(is_target)), x AS (SELECT m.comparison_id, m.unit, m.protein_id,
+    f.feature_id FROM members m JOIN pure USING (comparison_id, unit)
+    JOIN positives f USING (protein_id) WHERE f.feature_type = 'DOMAIN'), n AS (SELECT comparison_id, unit, count(*) AS n
+    FROM members GROUP BY ALL) SELECT comparison_id, unit, feature_id, round(count(*) / any_value(n), 7) AS mean
+    FROM x JOIN n USING (comparison_id, unit) GROUP BY ALL""")
 def agg39(spark: SparkSession, d: str) -> DataFrame:
     m = B.members(spark, d)
     sizes = m.groupBy("comparison_id", "unit").agg(F.count("*").alias("n"), F.max("is_target").alias("x"), F.min("is_target").alias("y")).filter("x = y")
@@ -84,7 +90,11 @@ def agg39(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("comparison_id", "unit", "feature_id").agg(F.round(F.count("*") / F.max("n"), 7).alias("mean"))
 
 
-@query("agg40_sample_weights", f"WITH {_SAMPLES}, w AS (SELECT comparison_id, protein_id, target, 1 / count(*) OVER (PARTITION BY comparison_id, unit) AS w FROM samples WHERE partition = 'DISCOVERY') SELECT comparison_id, protein_id, round(w * count(*) OVER (PARTITION BY comparison_id) / 2 / sum(w) OVER (PARTITION BY comparison_id, target), 7) AS weight FROM w")
+@query("agg40_sample_weights", f"""
+    WITH {_SAMPLES}, w AS (SELECT comparison_id, protein_id, target, 1 / count(*) OVER (PARTITION BY comparison_id, unit) AS w
+    FROM samples WHERE partition = 'DISCOVERY') SELECT comparison_id, protein_id, round(w * count(*) OVER (PARTITION BY comparison_id)
+    / 2 / sum(w) OVER (PARTITION BY comparison_id, target), 7) AS weight
+    FROM w""")
 def agg40(spark: SparkSession, d: str) -> DataFrame:
     weighted = models.sample_weights(samples(spark, d).filter("partition = 'DISCOVERY'"))
     return weighted.select("comparison_id", "protein_id", F.round("weight", 7).alias("weight"))
@@ -117,14 +127,23 @@ def _explained(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataF
     return own, positives, chosen.select("comparison_id", "feature_type", "feature_id", F.col("place").alias("at"), ((F.col("place") * 7 % 11 - 5) / 4).alias("coefficient")), means
 
 
-@query("mlx10_linear_shap", f"WITH {_MEANS}, x AS (SELECT s.comparison_id, s.protein_id, c.feature_type, c.feature_id, c.place, c.coefficient * ((p.protein_id IS NOT NULL)::INT - c.mean) AS contribution FROM samples s JOIN coef c USING (comparison_id) LEFT JOIN positives p ON p.protein_id = s.protein_id AND p.feature_type = c.feature_type AND p.feature_id = c.feature_id WHERE s.partition = 'VALIDATION') SELECT comparison_id, feature_type, feature_id, count(*) AS samples, round(avg(abs(contribution)), 6) AS mean_absolute, round(sum(contribution), 4) AS total FROM x GROUP BY ALL")
+@query("mlx10_linear_shap", f"""
+    WITH {_MEANS}, x AS (SELECT s.comparison_id, s.protein_id, c.feature_type, c.feature_id, c.place, c.coefficient * ((p.protein_id IS
+    NOT NULL)::INT - c.mean) AS contribution FROM samples s JOIN coef c USING (comparison_id)
+    LEFT JOIN positives p ON p.protein_id = s.protein_id AND p.feature_type = c.feature_type AND p.feature_id = c.feature_id
+    WHERE s.partition = 'VALIDATION') SELECT comparison_id, feature_type, feature_id, count(*) AS samples,
+    round(avg(abs(contribution)), 6) AS mean_absolute, round(sum(contribution), 4) AS total
+    FROM x GROUP BY ALL""")
 def mlx10(spark: SparkSession, d: str) -> DataFrame:
     own, positives, coefficients, means = _explained(spark, d)
     found = models.linear_contributions(own.filter("partition = 'VALIDATION'"), positives, coefficients, means)
     return found.groupBy("comparison_id", "feature_type", "feature_id").agg(F.count("*").alias("samples"), F.round(F.avg(F.abs("contribution")), 6).alias("mean_absolute"), F.round(F.sum("contribution"), 4).alias("total"))
 
 
-@query("win10_importance_rank", f"WITH {_MEANS} SELECT comparison_id, feature_type, feature_id, coefficient, row_number() OVER (PARTITION BY comparison_id ORDER BY abs(coefficient) DESC, feature_type, feature_id) AS importance_rank, round(target_mean, 7) AS target_mean, round(background_mean, 7) AS background_mean FROM coef")
+@query("win10_importance_rank", f"""
+    WITH {_MEANS} SELECT comparison_id, feature_type, feature_id, coefficient, row_number() OVER (PARTITION BY comparison_id
+    ORDER BY abs(coefficient) DESC, feature_type, feature_id) AS importance_rank, round(target_mean, 7) AS target_mean,
+    round(background_mean, 7) AS background_mean FROM coef""")
 def win10(spark: SparkSession, d: str) -> DataFrame:
     _, _, coefficients, means = _explained(spark, d)
     rows = models.importance_rank(coefficients).join(means, ["comparison_id", "feature_type", "feature_id"])

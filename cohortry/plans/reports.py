@@ -36,12 +36,19 @@ def agg20(spark: SparkSession, d: str) -> DataFrame:
     return reports.comparison_outcomes(B.frame(spark, d, "report_comparisons"), B.frame(spark, d, "signatures"))
 
 
-@query("agg23_pure_block_class_counts", f"WITH {B.cte('predictions')}, p AS (SELECT comparison_id, partition_key, min(true_class) AS c FROM predictions WHERE partition = 'VALIDATION' GROUP BY 1, 2 HAVING count(DISTINCT true_class) = 1) SELECT comparison_id, count_if(c = 'TARGET') AS target_blocks, count_if(c = 'BACKGROUND') AS background_blocks FROM p GROUP BY 1")
+@query("agg23_pure_block_class_counts", f"""
+    WITH {B.cte('predictions')}, p AS (SELECT comparison_id, partition_key, min(true_class) AS c
+    FROM predictions WHERE partition = 'VALIDATION' GROUP BY 1, 2
+    HAVING count(DISTINCT true_class) = 1) SELECT comparison_id, count_if(c = 'TARGET') AS target_blocks, count_if(c = 'BACKGROUND') AS
+    background_blocks FROM p GROUP BY 1""")
 def agg23(spark: SparkSession, d: str) -> DataFrame:
     return reports.pure_block_counts(B.frame(spark, d, "predictions"))
 
 
-_NATION_LABELS = "labels AS (SELECT 'N' || n_nationkey AS label_id, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE 'ROLE' || n_regionkey END AS component_role FROM nation), memberships AS (SELECT c_custkey AS protein_id, 'N' || c_nationkey AS label_id FROM customer WHERE c_nationkey % 5 <> 4)"
+_NATION_LABELS = """
+    labels AS (SELECT 'N' || n_nationkey AS label_id, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE 'ROLE' || n_regionkey END AS
+    component_role FROM nation), memberships AS (SELECT c_custkey AS protein_id, 'N' || c_nationkey AS label_id
+    FROM customer WHERE c_nationkey % 5 <> 4)"""
 
 
 def _nation_labels(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -60,7 +67,10 @@ def agg24_role(spark: SparkSession, d: str) -> DataFrame:
     return reports.role_coverage(*_nation_labels(spark, d))
 
 
-@query("agg25_structure_source_summary", f"WITH {B.cte('structures')} SELECT structure_source, availability_status, analysis_eligibility_status, fold_evidence_status, count(*) AS models, round(avg(mean_confidence), 2) AS mean_confidence FROM structures GROUP BY ALL")
+@query("agg25_structure_source_summary", f"""
+    WITH {B.cte('structures')} SELECT structure_source, availability_status, analysis_eligibility_status, fold_evidence_status,
+    count(*) AS models, round(avg(mean_confidence), 2) AS mean_confidence
+    FROM structures GROUP BY ALL""")
 def agg25(spark: SparkSession, d: str) -> DataFrame:
     return reports.structure_sources(B.frame(spark, d, "structures"))
 
@@ -70,12 +80,19 @@ def agg25_folds(spark: SparkSession, d: str) -> DataFrame:
     return reports.fold_counts(B.frame(spark, d, "structures"))
 
 
-@query("agg28_assessment_coverage", f"WITH {B.cte('feature_assessments')} SELECT feature_type, evidence_status, derivation_scope, count(DISTINCT feature_id) AS features, count(DISTINCT protein_id) AS proteins FROM feature_assessments GROUP BY ALL")
+@query("agg28_assessment_coverage", f"""
+    WITH {B.cte('feature_assessments')} SELECT feature_type, evidence_status, derivation_scope, count(DISTINCT feature_id) AS features,
+    count(DISTINCT protein_id) AS proteins FROM feature_assessments
+    GROUP BY ALL""")
 def agg28(spark: SparkSession, d: str) -> DataFrame:
     return reports.assessment_coverage(B.frame(spark, d, "feature_assessments"))
 
 
-@query("agg28_domain_coverage", f"WITH {B.cte('domain_assessments')} SELECT domain_authority, count_if(assessment_status = 'ASSESSED_WITH_HIT') AS ASSESSED_WITH_HIT, count_if(assessment_status = 'ASSESSED_NO_HIT') AS ASSESSED_NO_HIT, count_if(assessment_status = 'NOT_ASSESSED') AS NOT_ASSESSED, count_if(assessment_status = 'FAILED') AS FAILED FROM domain_assessments GROUP BY 1")
+@query("agg28_domain_coverage", f"""
+    WITH {B.cte('domain_assessments')} SELECT domain_authority, count_if(assessment_status = 'ASSESSED_WITH_HIT') AS ASSESSED_WITH_HIT,
+    count_if(assessment_status = 'ASSESSED_NO_HIT') AS ASSESSED_NO_HIT, count_if(assessment_status = 'NOT_ASSESSED') AS NOT_ASSESSED,
+    count_if(assessment_status = 'FAILED') AS FAILED FROM domain_assessments
+    GROUP BY 1""")
 def agg28_domains(spark: SparkSession, d: str) -> DataFrame:
     return reports.domain_coverage(B.frame(spark, d, "domain_assessments"))
 
@@ -90,7 +107,11 @@ def agg28_acquisitions(spark: SparkSession, d: str) -> DataFrame:
     return reports.acquisition_coverage(B.frame(spark, d, "structures").withColumnRenamed("analysis_eligibility_status", "acquisition_status"))
 
 
-@query("agg30_orthology_metrics", f"WITH {B.PARTS}, {B.cte('group_memberships')} SELECT (SELECT count(DISTINCT (run_id, group_type, hierarchy_node, group_id)) FROM group_memberships) AS groups, (SELECT count(DISTINCT unit) FROM parts) AS blocks, (SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_returnflag = 'R') AS near_redundancy_clusters")
+@query("agg30_orthology_metrics", f"""
+    WITH {B.PARTS}, {B.cte('group_memberships')} SELECT (SELECT count(DISTINCT (run_id, group_type, hierarchy_node, group_id))
+    FROM group_memberships) AS groups, (SELECT count(DISTINCT unit)
+    FROM parts) AS blocks, (SELECT count(DISTINCT l_suppkey) FROM lineitem
+    WHERE l_returnflag = 'R') AS near_redundancy_clusters""")
 def agg30(spark: SparkSession, d: str) -> DataFrame:
     clusters = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("cluster_id"), F.when(F.col("l_returnflag") == "R", "NEAR_REDUNDANCY").otherwise("EXACT").alias("cluster_type"))
     return reports.orthology_metrics(B.frame(spark, d, "group_memberships"), B.proteins_in_blocks(spark, d).withColumnRenamed("unit", "partition_key"), clusters)
@@ -134,7 +155,10 @@ def prj09(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("prj10_signature_plot_points", f"WITH {B.cte('signatures')} SELECT comparison_id, feature_type, feature_id, discovery_q_value < 1e-300 AS q_clipped, round(-log10(greatest(discovery_q_value, 1e-300)), 7) AS negative_log10_q FROM signatures WHERE discovery_q_value BETWEEN 0 AND 1 AND discovery_prevalence_difference BETWEEN -1 AND 1")
+@query("prj10_signature_plot_points", f"""
+    WITH {B.cte('signatures')} SELECT comparison_id, feature_type, feature_id, discovery_q_value < 1e-300 AS q_clipped,
+    round(-log10(greatest(discovery_q_value, 1e-300)), 7) AS negative_log10_q
+    FROM signatures WHERE discovery_q_value BETWEEN 0 AND 1 AND discovery_prevalence_difference BETWEEN -1 AND 1""")
 def prj10(spark: SparkSession, d: str) -> DataFrame:
     return r7(reports.plot_points(B.frame(spark, d, "signatures")).select("comparison_id", "feature_type", "feature_id", "q_clipped", "negative_log10_q"), "negative_log10_q")
 
@@ -145,17 +169,26 @@ def win05(spark: SparkSession, d: str) -> DataFrame:
     return reports.ranked_signatures(B.frame(spark, d, "signatures"), ["C0", "C1", "C3"], 25, 60).select("comparison_id", "feature_type", "feature_id", "rank")
 
 
-@query("win12_top_signatures", f"WITH {B.cte('signatures')} SELECT comparison_id, feature_type, feature_id FROM signatures ORDER BY validation_study_q_value NULLS LAST, validation_q_value NULLS LAST, discovery_q_value NULLS LAST, comparison_id, feature_type, feature_id LIMIT 100")
+@query("win12_top_signatures", f"""
+    WITH {B.cte('signatures')} SELECT comparison_id, feature_type, feature_id
+    FROM signatures ORDER BY validation_study_q_value NULLS LAST, validation_q_value NULLS LAST, discovery_q_value NULLS LAST,
+    comparison_id, feature_type, feature_id LIMIT 100""")
 def win12(spark: SparkSession, d: str) -> DataFrame:
     return reports.top_signatures(B.frame(spark, d, "signatures")).select("comparison_id", "feature_type", "feature_id")
 
 
-@query("win12_top_prevalence", f"WITH {B.cte('signatures')} SELECT comparison_id, feature_type, feature_id, discovery_prevalence_difference FROM signatures WHERE status = 'COMPLETE' ORDER BY abs(discovery_prevalence_difference) DESC, comparison_id, feature_type, feature_id LIMIT 25")
+@query("win12_top_prevalence", f"""
+    WITH {B.cte('signatures')} SELECT comparison_id, feature_type, feature_id, discovery_prevalence_difference
+    FROM signatures WHERE status = 'COMPLETE' ORDER BY abs(discovery_prevalence_difference) DESC, comparison_id, feature_type,
+    feature_id LIMIT 25""")
 def win12_prevalence(spark: SparkSession, d: str) -> DataFrame:
     return reports.top_prevalence(B.frame(spark, d, "signatures")).select("comparison_id", "feature_type", "feature_id", "discovery_prevalence_difference")
 
 
-@query("win12_top_contributions", "SELECT p_type AS feature_type, p_brand AS feature_id, round(avg(abs(l_tax - l_discount)), 7) AS mean_absolute FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2 ORDER BY avg(abs(l_tax - l_discount)) DESC, 1, 2 LIMIT 30")
+@query("win12_top_contributions", """
+    SELECT p_type AS feature_type, p_brand AS feature_id, round(avg(abs(l_tax - l_discount)), 7) AS mean_absolute
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2
+    ORDER BY avg(abs(l_tax - l_discount)) DESC, 1, 2 LIMIT 30""")
 def win12_contributions(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return r7(reports.top_contributions(lines.select(F.col("p_type").alias("feature_type"), F.col("p_brand").alias("feature_id"), (F.col("l_tax") - F.col("l_discount")).alias("log_odds_contribution"))), "mean_absolute")
@@ -180,7 +213,9 @@ def prj12(spark: SparkSession, d: str) -> DataFrame:
 # -- lookups -----------------------------------------------------------------------------------------------------
 
 
-@query("prj07_filtered_feature_export", f"WITH {B.cte('features')} SELECT protein_id, feature_type, feature_id, start, stop FROM features WHERE feature_type IN ('PFAM_DOMAIN') AND (contains(feature_id, '#1') OR contains(feature_name, '#1'))")
+@query("prj07_filtered_feature_export", f"""
+    WITH {B.cte('features')} SELECT protein_id, feature_type, feature_id, start, stop
+    FROM features WHERE feature_type IN ('PFAM_DOMAIN') AND (contains(feature_id, '#1') OR contains(feature_name, '#1'))""")
 def prj07(spark: SparkSession, d: str) -> DataFrame:
     return reports.filtered_features(B.frame(spark, d, "features"), types=["PFAM_DOMAIN"], text="#1", cap=2_000_000_000).select("protein_id", "feature_type", "feature_id", "start", "stop")
 
@@ -202,17 +237,29 @@ def jon19(spark: SparkSession, d: str) -> DataFrame:
     return reports.seed_proteins(proteins, {"protein": (proteins, "protein_id"), "group": (lines, "group_id")}, "group", [3, 5], cap=2_000_000_000)
 
 
-@query("jon20_enriched_intervals", f"WITH {B.cte('features', 'signatures')} SELECT f.protein_id, f.feature_type, f.feature_id, f.start, f.stop, round(s.discovery_q_value, 7) AS q_value, round(s.discovery_prevalence_difference, 7) AS difference FROM features f JOIN signatures s USING (feature_type, feature_id) WHERE s.comparison_id = 'C1' AND (f.feature_type = 'AMINO_ACID_KMER' OR (f.start IS NOT NULL AND f.stop IS NOT NULL)) AND {_TIER_SQL['discovery']}")
+@query("jon20_enriched_intervals", f"""
+    WITH {B.cte('features', 'signatures')} SELECT f.protein_id, f.feature_type, f.feature_id, f.start, f.stop,
+    round(s.discovery_q_value, 7) AS q_value, round(s.discovery_prevalence_difference, 7) AS difference
+    FROM features f JOIN signatures s USING (feature_type, feature_id)
+    WHERE s.comparison_id = 'C1' AND (f.feature_type = 'AMINO_ACID_KMER' OR (f.start IS NOT NULL AND f.stop IS NOT NULL)) AND
+    {_TIER_SQL['discovery']}""")
 def jon20(spark: SparkSession, d: str) -> DataFrame:
     return r7(reports.enriched_intervals(B.frame(spark, d, "features"), B.frame(spark, d, "signatures"), "C1"), "q_value", "difference")
 
 
-@query("jon21_model_proteins", f"WITH {B.cte('structures', 'label_memberships')} SELECT protein_id, max(mean_confidence) AS model_confidence FROM structures WHERE coordinate_path <> '' AND protein_id IN (SELECT protein_id FROM label_memberships WHERE label_id IN ('MACHINERY', 'BUILDING')) GROUP BY 1 ORDER BY model_confidence DESC NULLS LAST, protein_id LIMIT 5000")
+@query("jon21_model_proteins", f"""
+    WITH {B.cte('structures', 'label_memberships')} SELECT protein_id, max(mean_confidence) AS model_confidence
+    FROM structures WHERE coordinate_path <> '' AND protein_id IN (SELECT protein_id
+    FROM label_memberships WHERE label_id IN ('MACHINERY', 'BUILDING'))
+    GROUP BY 1 ORDER BY model_confidence DESC NULLS LAST, protein_id LIMIT 5000""")
 def jon21(spark: SparkSession, d: str) -> DataFrame:
     return reports.model_proteins(B.frame(spark, d, "structures"), B.frame(spark, d, "label_memberships"), ["MACHINERY", "BUILDING"])
 
 
-@query("win14_suggested_entities", f"WITH {B.HITS}, {B.cte('structures')} SELECT protein_id, count(DISTINCT domain_id) AS labels, protein_id IN (SELECT protein_id FROM structures WHERE coordinate_path <> '') AS has_model FROM hits GROUP BY 1 ORDER BY has_model DESC, labels DESC, protein_id LIMIT 250")
+@query("win14_suggested_entities", f"""
+    WITH {B.HITS}, {B.cte('structures')} SELECT protein_id, count(DISTINCT domain_id) AS labels, protein_id IN (SELECT protein_id
+    FROM structures WHERE coordinate_path <> '') AS has_model FROM hits
+    GROUP BY 1 ORDER BY has_model DESC, labels DESC, protein_id LIMIT 250""")
 def win14(spark: SparkSession, d: str) -> DataFrame:
     modelled = B.frame(spark, d, "structures").filter("coordinate_path <> ''").select("protein_id", F.lit(True).alias("m")).distinct()
     counts = B.domain_hits(spark, d).groupBy("protein_id").agg(F.count_distinct("domain_id").alias("labels")).join(modelled, "protein_id", "left")
@@ -225,7 +272,10 @@ _INTERVALS = f"""{B.cte('features', 'signatures')}, proteins AS (SELECT o_orderk
     least_q AS (SELECT protein_id, position, min(q_value) AS q_value FROM covered GROUP BY 1, 2), every AS (SELECT protein_id, unnest(range(1, length + 1)) AS position FROM proteins)"""
 
 
-@query("fea17_enrichment_track", f"WITH {_INTERVALS} SELECT protein_id, position, round(q_value, 7) AS q_value, round(CASE WHEN q_value IS NULL THEN 0 ELSE 0.1 + 0.9 * least(1, greatest(0, (-log10(greatest(q_value, 1e-8)) + log10(0.05)) / (8 + log10(0.05)))) END, 7) AS score FROM every LEFT JOIN least_q USING (protein_id, position)")
+@query("fea17_enrichment_track", f"""
+    WITH {_INTERVALS} SELECT protein_id, position, round(q_value, 7) AS q_value, round(CASE WHEN q_value IS NULL THEN 0 ELSE 0.1 + 0.9
+    * least(1, greatest(0, (-log10(greatest(q_value, 1e-8)) + log10(0.05)) / (8 + log10(0.05)))) END, 7) AS score
+    FROM every LEFT JOIN least_q USING (protein_id, position)""")
 def fea17(spark: SparkSession, d: str) -> DataFrame:
     proteins = table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), (F.col("o_orderkey") % 30 + 12).alias("length"))
     intervals = reports.enriched_intervals(B.frame(spark, d, "features"), B.frame(spark, d, "signatures"), "C1").filter("start is not null")
@@ -267,7 +317,11 @@ def jon06(spark: SparkSession, d: str) -> DataFrame:
     return _cohorts(spark, d)[0]
 
 
-@query("agg21_matched_control_pool_coverage", f"WITH {_AUDIT} SELECT background_label_id, count(DISTINCT target_unit_id) AS target_units, count(DISTINCT CASE WHEN status = 'MATCHED' THEN target_unit_id END) AS covered_target_units, count(DISTINCT CASE WHEN status = 'MATCHED' THEN control_unit_id END) AS matched_control_units, round(count(DISTINCT CASE WHEN status = 'MATCHED' THEN target_unit_id END) / count(DISTINCT target_unit_id), 7) AS target_coverage_fraction FROM audit GROUP BY 1")
+@query("agg21_matched_control_pool_coverage", f"""
+    WITH {_AUDIT} SELECT background_label_id, count(DISTINCT target_unit_id) AS target_units, count(DISTINCT CASE WHEN status =
+    'MATCHED' THEN target_unit_id END) AS covered_target_units, count(DISTINCT CASE WHEN status = 'MATCHED' THEN control_unit_id END)
+    AS matched_control_units, round(count(DISTINCT CASE WHEN status = 'MATCHED' THEN target_unit_id END) / count(DISTINCT
+    target_unit_id), 7) AS target_coverage_fraction FROM audit GROUP BY 1""")
 def agg21(spark: SparkSession, d: str) -> DataFrame:
     return r7(matching.pool_coverage(audit(spark, d)[0]), "target_coverage_fraction")
 
@@ -279,12 +333,18 @@ def agg22(spark: SparkSession, d: str) -> DataFrame:
     return r7(matching.cohort_coverage(*_cohorts(spark, d)), "target_coverage_fraction")
 
 
-@query("agg07_control_coverage", f"WITH {_AUDIT}, c AS (SELECT background_label_id, target_unit_id, count(*) AS requested, count_if(status = 'MATCHED') AS matched FROM audit GROUP BY ALL) SELECT *, CASE WHEN matched = 0 THEN 'UNMATCHED' WHEN matched = requested THEN 'FULL' ELSE 'PARTIAL' END AS coverage_status FROM c")
+@query("agg07_control_coverage", f"""
+    WITH {_AUDIT}, c AS (SELECT background_label_id, target_unit_id, count(*) AS requested, count_if(status = 'MATCHED') AS matched
+    FROM audit GROUP BY ALL) SELECT *, CASE WHEN matched = 0 THEN 'UNMATCHED' WHEN matched = requested THEN 'FULL' ELSE 'PARTIAL' END
+    AS coverage_status FROM c""")
 def agg07(spark: SparkSession, d: str) -> DataFrame:
     return matching.target_coverage(audit(spark, d)[0])
 
 
-@query("agg07_background_coverage", f"WITH {_AUDIT} SELECT background_label_id, count(*) AS target_units, count_if(status = 'MATCHED')::BIGINT AS matched_controls, count_if(status = 'MATCHED') AS with_control, count(*) - count_if(status = 'MATCHED') AS without_control, round(count_if(status = 'MATCHED') / count(*), 7) AS coverage_fraction FROM audit GROUP BY 1")
+@query("agg07_background_coverage", f"""
+    WITH {_AUDIT} SELECT background_label_id, count(*) AS target_units, count_if(status = 'MATCHED')::BIGINT AS matched_controls,
+    count_if(status = 'MATCHED') AS with_control, count(*) - count_if(status = 'MATCHED') AS without_control, round(count_if(status =
+    'MATCHED') / count(*), 7) AS coverage_fraction FROM audit GROUP BY 1""")
 def agg07_background(spark: SparkSession, d: str) -> DataFrame:
     return r7(matching.background_coverage(matching.target_coverage(audit(spark, d)[0])), "coverage_fraction")
 
@@ -292,7 +352,12 @@ def agg07_background(spark: SparkSession, d: str) -> DataFrame:
 # -- audited clusters ----------------------------------------------------------------------------------------------
 
 
-@query("agg31_subcluster_audit_summary", f"WITH {B.cte('audited')} SELECT subcluster_id, count(*) AS members, count_if(alignment_status NOT IN ('CENTROID_SELF', 'EXACT_THRESHOLDS_PASS')) AS rescued_singletons, min(CASE WHEN alignment_status = 'EXACT_THRESHOLDS_PASS' THEN round(pident, 7) END) AS minimum_identity, min(CASE WHEN alignment_status = 'EXACT_THRESHOLDS_PASS' THEN representative_coverage END) AS minimum_representative_coverage, min(CASE WHEN alignment_status = 'EXACT_THRESHOLDS_PASS' THEN member_coverage END) AS minimum_member_coverage FROM audited GROUP BY 1")
+@query("agg31_subcluster_audit_summary", f"""
+    WITH {B.cte('audited')} SELECT subcluster_id, count(*) AS members, count_if(alignment_status NOT IN ('CENTROID_SELF',
+    'EXACT_THRESHOLDS_PASS')) AS rescued_singletons, min(CASE WHEN alignment_status = 'EXACT_THRESHOLDS_PASS' THEN round(pident, 7)
+    END) AS minimum_identity, min(CASE WHEN alignment_status = 'EXACT_THRESHOLDS_PASS' THEN representative_coverage END) AS
+    minimum_representative_coverage, min(CASE WHEN alignment_status = 'EXACT_THRESHOLDS_PASS' THEN member_coverage END) AS
+    minimum_member_coverage FROM audited GROUP BY 1""")
 def agg31(spark: SparkSession, d: str) -> DataFrame:
     return r7(families.audit_summary(B.frame(spark, d, "audited")), "minimum_identity")
 
@@ -300,12 +365,20 @@ def agg31(spark: SparkSession, d: str) -> DataFrame:
 _SCOPES = f"{B.cte('audited')}, scopes AS (SELECT *, 'all' AS scope FROM audited UNION ALL SELECT *, 'selected' FROM audited WHERE subcluster_id = 'sub_7')"
 
 
-@query("agg32_partition_compare", f"WITH {_SCOPES} SELECT scope, count(*) AS proteins, count(DISTINCT subcluster_id) AS audited_groups, count(DISTINCT native_representative_id) AS native_groups, min(sequence_length) AS shortest, median(sequence_length) AS median_length, round(avg(sequence_length), 7) AS mean_length, max(sequence_length) AS longest, count_if(alignment_status NOT IN ('CENTROID_SELF', 'EXACT_THRESHOLDS_PASS')) AS rescued_singletons FROM scopes GROUP BY 1")
+@query("agg32_partition_compare", f"""
+    WITH {_SCOPES} SELECT scope, count(*) AS proteins, count(DISTINCT subcluster_id) AS audited_groups, count(DISTINCT
+    native_representative_id) AS native_groups, min(sequence_length) AS shortest, median(sequence_length) AS median_length,
+    round(avg(sequence_length), 7) AS mean_length, max(sequence_length) AS longest, count_if(alignment_status NOT IN ('CENTROID_SELF',
+    'EXACT_THRESHOLDS_PASS')) AS rescued_singletons FROM scopes GROUP BY 1""")
 def agg32(spark: SparkSession, d: str) -> DataFrame:
     return r7(families.partition_compare(B.frame(spark, d, "audited"), "sub_7"), "mean_length")
 
 
-@query("agg32_partition_evidence", f"WITH {_SCOPES} SELECT scope, alignment_status, count(*) AS proteins, count(pident) AS measured, round(min(pident), 7) AS minimum_identity, round(median(pident), 7) AS median_identity, median(representative_coverage) AS median_representative_coverage, median(member_coverage) AS median_member_coverage, round(median(bitscore), 5) AS median_bitscore FROM scopes GROUP BY ALL")
+@query("agg32_partition_evidence", f"""
+    WITH {_SCOPES} SELECT scope, alignment_status, count(*) AS proteins, count(pident) AS measured, round(min(pident), 7) AS
+    minimum_identity, round(median(pident), 7) AS median_identity, median(representative_coverage) AS median_representative_coverage,
+    median(member_coverage) AS median_member_coverage, round(median(bitscore), 5) AS median_bitscore
+    FROM scopes GROUP BY ALL""")
 def agg32_evidence(spark: SparkSession, d: str) -> DataFrame:
     rows = families.partition_evidence(B.frame(spark, d, "audited"), "sub_7").withColumn("median_bitscore", F.round("median_bitscore", 5))
     return r7(rows, "minimum_identity", "median_identity")
@@ -330,7 +403,10 @@ def agg33_regions(spark: SparkSession, d: str) -> DataFrame:
     return families.exclusive_regions(_taxa(spark, d), ["G1", "G2", "G3"])
 
 
-_TAXONOMY = "rows AS (SELECT l_orderkey AS sequence_id, CASE WHEN l_partkey % 9 = 0 THEN 'x' ELSE (l_orderkey % 40)::VARCHAR END AS taxon_id, CASE WHEN l_partkey % 5 = 0 THEN 'species b' ELSE 'species a' END AS species FROM lineitem)"
+_TAXONOMY = """
+    rows AS (SELECT l_orderkey AS sequence_id, CASE WHEN l_partkey % 9 = 0 THEN 'x' ELSE (l_orderkey % 40)::VARCHAR END AS taxon_id,
+    CASE WHEN l_partkey % 5 = 0 THEN 'species b' ELSE 'species a' END AS species
+    FROM lineitem)"""
 
 
 def _taxonomy(spark: SparkSession, d: str) -> DataFrame:
@@ -338,7 +414,10 @@ def _taxonomy(spark: SparkSession, d: str) -> DataFrame:
     return lines.select(F.col("l_orderkey").alias("sequence_id"), F.when(F.col("l_partkey") % 9 == 0, "x").otherwise((F.col("l_orderkey") % 40).cast("string")).alias("taxon_id"), F.when(F.col("l_partkey") % 5 == 0, "species b").otherwise("species a").alias("species"))
 
 
-@query("agg34_reviewed_taxonomy", f"WITH {_TAXONOMY}, t AS (SELECT *, CASE WHEN regexp_full_match(taxon_id, '[1-9][0-9]*') THEN TRY_CAST(taxon_id AS BIGINT) END AS taxon FROM rows) SELECT sequence_id, CASE WHEN count(DISTINCT species) = 1 THEN min(species) END AS reviewed_species, min(taxon) AS reviewed_taxon_id FROM t GROUP BY 1 HAVING count(DISTINCT taxon) = 1 AND count(taxon) = count(*)")
+@query("agg34_reviewed_taxonomy", f"""
+    WITH {_TAXONOMY}, t AS (SELECT *, CASE WHEN regexp_full_match(taxon_id, '[1-9][0-9]*') THEN TRY_CAST(taxon_id AS BIGINT) END AS
+    taxon FROM rows) SELECT sequence_id, CASE WHEN count(DISTINCT species) = 1 THEN min(species) END AS reviewed_species, min(taxon) AS
+    reviewed_taxon_id FROM t GROUP BY 1 HAVING count(DISTINCT taxon) = 1 AND count(taxon) = count(*)""")
 def agg34(spark: SparkSession, d: str) -> DataFrame:
     return families.reviewed_taxonomy(_taxonomy(spark, d))
 
@@ -348,7 +427,10 @@ def set06(spark: SparkSession, d: str) -> DataFrame:
     return families.one_taxon(_taxonomy(spark, d), ["3", "5", "8"])
 
 
-_RETRIEVAL = "members AS (SELECT l_suppkey AS cluster_id, l_orderkey * 10 + l_linenumber AS sequence_id, l_partkey % 500 AS sequence_length FROM lineitem), taxonomy AS (SELECT o_orderkey * 10 + 1 AS sequence_id, 'S' || o_custkey % 5 AS reviewed_species, o_custkey % 5 AS reviewed_taxon_id FROM orders)"
+_RETRIEVAL = """
+    members AS (SELECT l_suppkey AS cluster_id, l_orderkey * 10 + l_linenumber AS sequence_id, l_partkey % 500 AS sequence_length
+    FROM lineitem), taxonomy AS (SELECT o_orderkey * 10 + 1 AS sequence_id, 'S' || o_custkey % 5 AS reviewed_species, o_custkey % 5 AS
+    reviewed_taxon_id FROM orders)"""
 
 
 def _retrieval(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -362,12 +444,22 @@ def agg35(spark: SparkSession, d: str) -> DataFrame:
     return _retrieval(spark, d)[0]
 
 
-@query("agg35_species_counts", f"WITH {_RETRIEVAL} SELECT cluster_id, coalesce(reviewed_species, 'Unclassified') AS species, reviewed_taxon_id AS taxon_id, count(*) AS sequences FROM members LEFT JOIN taxonomy USING (sequence_id) GROUP BY ALL")
+@query("agg35_species_counts", f"""
+    WITH {_RETRIEVAL} SELECT cluster_id, coalesce(reviewed_species, 'Unclassified') AS species, reviewed_taxon_id AS taxon_id, count(*)
+    AS sequences FROM members LEFT JOIN taxonomy USING (sequence_id)
+    GROUP BY ALL""")
 def agg35_species(spark: SparkSession, d: str) -> DataFrame:
     return _retrieval(spark, d)[1]
 
 
-@query("win06_network_preview", f"WITH {B.cte('audited')}, c AS (SELECT *, CASE WHEN alignment_status = 'CENTROID_SELF' THEN sequence_id ELSE -1 END AS audited_representative_id FROM audited WHERE subcluster_id IN ('sub_3', 'sub_4', 'sub_9')), r AS (SELECT *, count(*) OVER (PARTITION BY subcluster_id) AS cluster_size, row_number() OVER (PARTITION BY subcluster_id ORDER BY (sequence_id = audited_representative_id) DESC, sequence_id, bitscore) AS k FROM c) SELECT subcluster_id, sequence_id, cluster_size, CASE WHEN cluster_size = 1 THEN 'Singleton' WHEN sequence_id = audited_representative_id THEN 'Centroid' ELSE 'Member' END AS role FROM r WHERE k <= 120")
+@query("win06_network_preview", f"""
+    WITH {B.cte('audited')}, c AS (SELECT *, CASE WHEN alignment_status = 'CENTROID_SELF' THEN sequence_id ELSE -1 END AS
+    audited_representative_id FROM audited WHERE subcluster_id IN ('sub_3', 'sub_4', 'sub_9')), r AS (SELECT *, count(*) OVER
+    (PARTITION BY subcluster_id) AS cluster_size, row_number() OVER (PARTITION BY subcluster_id
+    ORDER BY (sequence_id = audited_representative_id) DESC, sequence_id, bitscore) AS k
+    FROM c) SELECT subcluster_id, sequence_id, cluster_size, CASE WHEN cluster_size = 1 THEN 'Singleton' WHEN sequence_id =
+    audited_representative_id THEN 'Centroid' ELSE 'Member' END AS role
+    FROM r WHERE k <= 120""")
 def win06(spark: SparkSession, d: str) -> DataFrame:
     rows = B.frame(spark, d, "audited").withColumn("audited_representative_id", F.when(F.col("alignment_status") == "CENTROID_SELF", F.col("sequence_id")).otherwise(-1))
     return families.network_nodes(rows, ["sub_3", "sub_4", "sub_9"]).select("subcluster_id", "sequence_id", "cluster_size", "role")

@@ -22,7 +22,9 @@ def val02(spark: SparkSession, d: str) -> DataFrame:
     return checks.broken_dependency(table(spark, d, "part"), ["p_brand"], ["p_size"])
 
 
-@query("val06_optional_number", "SELECT event_id, props FROM events WHERE trim(coalesce(props, '')) <> '' AND NOT coalesce(TRY_CAST(regexp_extract(props, '[0-9.]+') AS DOUBLE) BETWEEN 0 AND 50, false) AND regexp_extract(props, '[0-9.]+') <> ''")
+@query("val06_optional_number", """
+    SELECT event_id, props FROM events WHERE trim(coalesce(props, '')) <> '' AND NOT coalesce(TRY_CAST(regexp_extract(props, '[0-9.]+')
+    AS DOUBLE) BETWEEN 0 AND 50, false) AND regexp_extract(props, '[0-9.]+') <> ''""")
 def val06(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events").withColumn("number", F.regexp_extract("props", "[0-9.]+", 0))
     return checks.bad_numbers(rows, "number", 0, 50).select("event_id", "props")
