@@ -380,17 +380,19 @@ def network_edges(nodes: DataFrame) -> DataFrame:
 ACCESSION = "^([OPQ][0-9][A-Z0-9]{3}[0-9]|[A-NR-Z][0-9]([A-Z][A-Z0-9]{2}[0-9]){1,2})$"
 
 
-def prepare_catalogue(rows: DataFrame) -> DataFrame:
+def prepare_catalogue(rows: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """(protein_id, description, sequence, sequence_sha256, proposed_category, accession_candidate) of a catalogue; repeated ids and empty sequences are errors.
 
     ``rows``: protein_id, sequence, description, category. White space is removed, letters are raised, trailing ``*`` are cut.
+    ``within``: columns that name a catalogue, where a table holds many; an id names one row of one catalogue, and these columns stay in front.
     """
+    within = list(within)
     clean = F.regexp_replace(F.upper(F.regexp_replace("sequence", r"\s", "")), r"\*+$", "")
-    made = rows.select("protein_id", F.coalesce("description", F.lit("")).alias("description"), clean.alias("sequence"), F.coalesce("category", F.lit("")).alias("proposed_category"))
+    made = rows.select(*within, "protein_id", F.coalesce("description", F.lit("")).alias("description"), clean.alias("sequence"), F.coalesce("category", F.lit("")).alias("proposed_category"))
     require_empty(made.filter(F.coalesce("sequence", F.lit("")) == ""), "catalogue rows without a sequence")
-    require_empty(made.groupBy("protein_id").agg(F.count("*").alias("n")).filter("n > 1"), "repeated catalogue ids")
+    require_empty(made.groupBy(*within, "protein_id").agg(F.count("*").alias("n")).filter("n > 1"), "repeated catalogue ids")
     accession = F.when(F.upper(F.col("protein_id").cast("string")).rlike(ACCESSION), F.upper(F.col("protein_id").cast("string")))
-    return made.select("protein_id", "description", "sequence", F.sha2("sequence", 256).alias("sequence_sha256"), "proposed_category", accession.alias("accession_candidate"))
+    return made.select(*within, "protein_id", "description", "sequence", F.sha2("sequence", 256).alias("sequence_sha256"), "proposed_category", accession.alias("accession_candidate"))
 
 
 def label_template(proteins: DataFrame, label: str, curation_status: str = "UNMAPPED", evidence_status: str = "UNREVIEWED_SOURCE") -> DataFrame:

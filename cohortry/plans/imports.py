@@ -828,8 +828,9 @@ def fea14(spark: SparkSession, d: str) -> DataFrame:
     FROM orders""")
 def fea15(spark: SparkSession, d: str) -> DataFrame:
     orders, key = table(spark, d, "orders"), F.col("o_orderkey")
-    rows = orders.select(F.when(key % 2 == 0, F.concat(F.lit("P"), F.lpad((key % 100000).cast("string"), 5, "0"))).otherwise(F.concat(F.lit("x"), key)).alias("protein_id"), F.concat(F.lit("s e\tq"), key, F.lit("**")).alias("sequence"), F.lit(None).cast("string").alias("description"), F.col("o_orderstatus").alias("category"))
-    return families.prepare_catalogue(rows).drop("description")
+    rows = orders.select(F.when(key % 2 == 0, F.concat(F.lit("P"), F.lpad((key % 100000).cast("string"), 5, "0"))).otherwise(F.concat(F.lit("x"), key)).alias("protein_id"), F.concat(F.lit("s e\tq"), key, F.lit("**")).alias("sequence"), F.lit(None).cast("string").alias("description"), F.col("o_orderstatus").alias("category"), F.floor(key / 100000).alias("catalogue"))
+    # accessions have five digits, so each hundred thousand keys are a catalogue of their own
+    return families.prepare_catalogue(rows, ["catalogue"]).drop("catalogue", "description")
 
 
 @query("win04_seed_priority_dedupe", f"""
