@@ -17,16 +17,18 @@ STATES = (PRESENT, ABSENT, "NOT_ASSESSED", "FAILED", "EXCLUDED", "INPUT_UNAVAILA
 COMPLETE_PAIRS = ("COMPLETE", "SUCCESS", "PASS")
 
 
-def frozen_signatures(signatures: DataFrame, within_comparison: bool = False) -> DataFrame:
+def frozen_signatures(signatures: DataFrame, within_comparison: bool = False, within: Sequence[str] = ()) -> DataFrame:
     """(comparison_id, feature_type, feature_id, q_value, fdr_scope, prevalence_difference): validated signatures that speak for the target.
 
     Study-wide ones go by their study q, those within a comparison, if they are let in, by their own. A repeated key is an error.
+    ``within``: columns that name a study, where a table holds the signatures of many; a key names one row of one study, and these columns come last.
     """
+    within = list(within)
     wide = F.col("evidence_class") == "DECISION_CANDIDATE__VALIDATED_STUDY_WIDE"
     classes = ["DECISION_CANDIDATE__VALIDATED_STUDY_WIDE", *(["DECISION_CANDIDATE__VALIDATED_WITHIN_COMPARISON"] if within_comparison else [])]
     rows = signatures.filter(F.col("evidence_class").isin(*classes) & (F.col("status") == "COMPLETE") & (F.col("validation_prevalence_difference") > 0))
-    require_empty(rows.groupBy("comparison_id", *FEATURE).agg(F.count("*").alias("n")).filter("n > 1"), "repeated validated signatures")
-    return rows.select("comparison_id", *FEATURE, F.when(wide, F.col("validation_study_q_value")).otherwise(F.col("validation_q_value")).alias("q_value"), F.when(wide, "STUDY_WIDE").otherwise("WITHIN_COMPARISON").alias("fdr_scope"), F.col("validation_prevalence_difference").alias("prevalence_difference"))
+    require_empty(rows.groupBy("comparison_id", *FEATURE, *within).agg(F.count("*").alias("n")).filter("n > 1"), "repeated validated signatures")
+    return rows.select("comparison_id", *FEATURE, F.when(wide, F.col("validation_study_q_value")).otherwise(F.col("validation_q_value")).alias("q_value"), F.when(wide, "STUDY_WIDE").otherwise("WITHIN_COMPARISON").alias("fdr_scope"), F.col("validation_prevalence_difference").alias("prevalence_difference"), *within)
 
 
 def query_states(states: DataFrame, features: DataFrame, proteins: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -444,12 +444,17 @@ _FROZEN = f"""{B.cte('signatures', 'features', 'report_comparisons')}, frozen AS
     kmers AS (SELECT DISTINCT protein_id, feature_type, feature_id FROM features WHERE feature_type = 'AMINO_ACID_KMER'), units AS (SELECT o_custkey AS unit_id, o_orderkey AS protein_id FROM orders)"""
 
 
+def _signatures(spark: SparkSession, d: str) -> DataFrame:
+    """The frozen signatures of all studies."""
+    return frozen.frozen_signatures(B.frame(spark, d, "signature_studies"), within_comparison=True, within=["study"])
+
+
 def _frozen(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(units, frozen, states, kmers)."""
     rows = materialize(B.frame(spark, d, "features").select("protein_id", "feature_type", "feature_id").distinct(), "features")
     state = (F.col("protein_id") + F.length("feature_id")) % 3
     states = rows.filter("feature_type <> 'AMINO_ACID_KMER'").withColumn("evidence_status", F.when(state == 0, "assessed_no_feature").when(state == 1, "not_assessed").otherwise("assessed_with_feature"))
-    own = materialize(frozen.frozen_signatures(B.frame(spark, d, "signatures"), within_comparison=True), "frozen")
+    own = materialize(_signatures(spark, d), "frozen")
     orders = table(spark, d, "orders").select(F.col("o_custkey").alias("unit_id"), F.col("o_orderkey").alias("protein_id"))
     kept, _ = frozen.query_states(states, own, orders.select("protein_id"))
     return frozen.query_units(orders.select("protein_id"), orders), own, kept, rows.filter("feature_type = 'AMINO_ACID_KMER'")
@@ -457,7 +462,7 @@ def _frozen(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
 
 @query("fea19_frozen_signature_select", f"WITH {_FROZEN} SELECT comparison_id, feature_type, feature_id, round(q_value, 7) AS q_value, fdr_scope, round(prevalence_difference, 7) AS prevalence_difference FROM frozen")
 def fea19(spark: SparkSession, d: str) -> DataFrame:
-    return r7(frozen.frozen_signatures(B.frame(spark, d, "signatures"), within_comparison=True), "q_value", "prevalence_difference")
+    return r7(_signatures(spark, d).drop("study"), "q_value", "prevalence_difference")
 
 
 @query("fea20_query_states_and_units", f"WITH {_FROZEN} SELECT s.* FROM states s SEMI JOIN frozen f ON f.feature_type = s.feature_type AND f.feature_id = s.feature_id")
@@ -491,7 +496,10 @@ def jon08(spark: SparkSession, d: str) -> DataFrame:
     q_value, any_value(fdr_scope) AS fdr_scope FROM have h JOIN units u USING (protein_id)
     JOIN frozen f USING (feature_type, feature_id) GROUP BY 1, 2, 3, 4""")
 def jon08_hits(spark: SparkSession, d: str) -> DataFrame:
-    return r7(frozen.unit_hits(*_frozen(spark, d)), "q_value")
+    hits = frozen.unit_hits(*_frozen(spark, d))
+    # one row for the studies of a feature, with the least q of them (the SQL takes that of any)
+    own = hits.groupBy("unit_id", "comparison_id", "feature_type", "feature_id").agg(F.sum("positives").alias("positives"), F.min(F.struct("q_value", "fdr_scope")).alias("q"))
+    return r7(own.select("unit_id", "comparison_id", "feature_type", "feature_id", "positives", "q.*"), "q_value")
 
 
 @query("jon09_frozen_kmer_scan", f"""

@@ -7,3 +7,18 @@ def test_accessions_repeat_in_other_catalogues(spark, tmp_path):
     spark.createDataFrame([(k, "F") for k in (2, 3, 100_002, 100_003)], "o_orderkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
     got = registry.queries()["fea15_catalogue_prepare"](spark, str(tmp_path)).collect()
     assert sorted((r["protein_id"], r["sequence"], r["accession_candidate"]) for r in got) == [("P00002", "SEQ100002", "P00002"), ("P00002", "SEQ2", "P00002"), ("x100003", "SEQ100003", None), ("x3", "SEQ3", None)]
+
+
+def test_signatures_of_other_studies_are_kept(spark, tmp_path):
+    # both parts are the k-mer of residues 1, 0, 0, 0 and pass, study-wide and within their comparison
+    parts = [(p, "n", "Brand#1", "T", 1) for p in (15, 960_015)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(7, 15, 1), (8, 960_015, 1)], "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(7, 1), (8, 1)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, "N")], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
+    found = {n: registry.queries()[n](spark, str(tmp_path)).collect() for n in ("fea19_frozen_signature_select", "agg06_unit_evidence_state", "jon08_frozen_signature_query", "jon08_unit_hits")}
+    q = {"STUDY_WIDE": round(960_015 * 29 % 983 / 1e4, 7), "WITHIN_COMPARISON": round(15 * 13 % 991 / 1e4, 7)}
+    assert sorted((r["fdr_scope"], r["q_value"]) for r in found["fea19_frozen_signature_select"]) == sorted(q.items())
+    assert [(r["unit_id"], r["call"]) for r in found["agg06_unit_evidence_state"]] == [(1, "PRESENT")]
+    assert [(r["reference_features"], r["present"], r["unknown"]) for r in found["jon08_frozen_signature_query"]] == [(2, 2, 0)]
+    assert [(r["positives"], r["q_value"]) for r in found["jon08_unit_hits"]] == [(4, min(q.values()))]
