@@ -373,7 +373,7 @@ def contexts(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "orders").join(own, F.col("l_orderkey") == key, "left")
     return rows.select(
         F.col("o_custkey").alias("unit"), key.alias("protein_id"), F.array(F.concat(F.lit("S"), F.floor(F.col("o_custkey") / 50))).alias("species"), (F.col("o_orderstatus") == "F").alias("structure_eligible"), F.coalesce("domain_ids", F.array().cast("array<string>")).alias("domain_ids"),
-        F.when(key % 11 != 0, key * 37 % 1000 / 10).alias("mean_confidence"), F.round(F.col("o_totalprice") / 1000).cast("long").alias("sequence_length"),
+        F.when(key % 11 != 0, key * 37 % 1000 / 10).alias("mean_confidence"), F.rint(F.col("o_totalprice") / 1000).cast("long").alias("sequence_length"),  # halves to even, as the SQL's cast
     )
 
 

@@ -1,5 +1,11 @@
 """Faults that show only in larger tables than the given ones, on tables made for them."""
 
+import hashlib
+
+import pyarrow as pa
+import pytest
+
+from cohortry.operators import sequences
 from cohortry.plans import registry
 
 
@@ -22,3 +28,55 @@ def test_signatures_of_other_studies_are_kept(spark, tmp_path):
     assert [(r["unit_id"], r["call"]) for r in found["agg06_unit_evidence_state"]] == [(1, "PRESENT")]
     assert [(r["reference_features"], r["present"], r["unknown"]) for r in found["jon08_frozen_signature_query"]] == [(2, 2, 0)]
     assert [(r["positives"], r["q_value"]) for r in found["jon08_unit_hits"]] == [(4, min(q.values()))]
+
+
+def test_half_thousands_round_to_even(spark, tmp_path):
+    spark.createDataFrame([(1, 1, "F", 4500.0), (2, 2, "F", 5500.0)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([], "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([], "p_partkey long, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    name = "win07_unit_representative"
+    got = sorted(tuple(r) for r in registry.queries()[name](spark, str(tmp_path)).collect())
+    assert got == sorted(_duckdb(tmp_path, name)) == [(1, 1, 4), (2, 2, 6)]
+
+
+def _duckdb(folder, name):
+    duckdb = pytest.importorskip("duckdb")
+    db = duckdb.connect()
+    for file in folder.glob("*.parquet"):
+        db.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}{'/*.parquet' if file.is_dir() else ''}')")
+    return db.execute(registry.oracle_sql()[name]).fetchall()
+
+
+def test_digest_trees_of_the_sql_have_levels_enough(spark, tmp_path):
+    n = 64**3 + 1
+    spark.range(n).selectExpr("id AS doc_id", "'ACD' AS text", "'en' AS lang", "'s' AS source").write.parquet(str(tmp_path / "documents.parquet"))
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    lines = [f"{k}\t{digest('ACD')}\n" for k in range(n)]
+    while len(lines) > 1:
+        lines = [digest("".join(lines[k : k + 64])) for k in range(0, len(lines), 64)]
+    assert _duckdb(tmp_path, "agg12_cohort_digest") == [("en", lines[0])]
+
+
+def test_batches_of_sequences_are_cut():
+    texts = ["A" * 400_000, None, "C" * 700_000, "D" * 2_500_000, "", "E"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["sequence"])
+    pieces = [p.column("sequence").to_pylist() for p in sequences._pieces(batch)]
+    assert sum(pieces, []) == texts
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= sequences.PIECE_LETTERS for p in pieces)
+
+
+def test_kmers_of_long_batches_are_counted(spark):
+    rows = [(k, "ACDEF"[k % 3 :] * 40_000) for k in range(12)]
+    proteins = spark.createDataFrame(rows, "protein_id long, sequence string").coalesce(1)
+    want = {}
+    for _, text in rows:
+        for kmer in {text[i : i + 3] for i in range(len(text) - 2)}:
+            want[kmer] = want.get(kmer, 0) + 1
+    assert {r["kmer"]: r["proteins"] for r in sequences.kmer_prevalence(proteins, [3]).collect()} == want
+
+
+def test_many_occurrences_in_one_sequence(spark):
+    # 200,000 occurrences: slices of the parts before each would be 20 billion additions
+    df = spark.createDataFrame([(1, "THE" * 200_000), (2, "TTHETHE"), (3, None)], "k int, s string")
+    got = {r["k"]: r["at"] for r in df.select("k", sequences.occurrences(df["s"], "THE").alias("at")).collect()}
+    assert got == {1: list(range(1, 600_000, 3)), 2: [2, 5], 3: None}
