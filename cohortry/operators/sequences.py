@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,10 @@ _CODES[[ord(c) for c in _SYMBOLS]] = np.arange(1, len(_SYMBOLS) + 1)
 MAX_K = 12
 #: K-mers of a vocabulary that is sent to the executors (8 bytes each).
 VOCABULARY_LIMIT = 1_000_000
+#: Letters whose k-mers are worked on at once (about 60 bytes each); a longer sequence is taken alone.
+PIECE_LETTERS = 1_000_000
+#: Different k-mers that a task holds before it passes their counts on.
+HELD_KMERS = 1_000_000
 
 
 def kmer_codes(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,6 +66,17 @@ def kmer_codes(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[first], value[first]
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch cut where its sequences pass ``PIECE_LETTERS``, so that memory depends on no batch size."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("sequence")), 0).to_numpy().astype(np.int64))
+    a = 0
+    while a < len(sizes):
+        done = sizes[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(sizes, done + PIECE_LETTERS, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def kmer_texts(codes: np.ndarray, k: int) -> pa.Array:
     """The k-mers of codes as text."""
     symbols = np.frombuffer(b"." + _SYMBOLS.encode() + b"..", np.uint8)
@@ -70,14 +86,28 @@ def kmer_texts(codes: np.ndarray, k: int) -> pa.Array:
 
 
 def kmer_prevalence(proteins: DataFrame, lengths: Sequence[int]) -> DataFrame:
-    """(length, kmer, proteins): how many of the proteins have each k-mer. Counts are added up within a batch before they are shuffled."""
+    """(length, kmer, proteins): how many of the proteins have each k-mer. Counts are added up within a task, ``HELD_KMERS`` of them at most, before they are shuffled."""
+
+    def out(k: int, found: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(found), PIECE_LETTERS):
+            some = slice(a, a + PIECE_LETTERS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found[some]), k, np.int32)), kmer_texts(found[some], k), pa.array(n[some])], names=["length", "kmer", "n"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {k: (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for k in lengths}
         for batch in batches:
-            for k in lengths:
-                _, codes = kmer_codes(batch.column("sequence"), k)
-                found, n = np.unique(codes, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k, np.int32)), kmer_texts(found, k), pa.array(n.astype(np.int64))], names=["length", "kmer", "n"])
+            for piece in _pieces(batch):
+                for k in lengths:
+                    codes, n = np.unique(kmer_codes(piece.column("sequence"), k)[1], return_counts=True)
+                    found, at = np.unique(np.concatenate([held[k][0], codes]), return_inverse=True)
+                    total = np.zeros(len(found), np.int64)
+                    np.add.at(total, at, np.concatenate([held[k][1], n]))
+                    held[k] = (found, total)
+                    if len(found) > HELD_KMERS:
+                        yield from out(k, *held[k])
+                        held[k] = (found[:0], total[:0])
+        for k in lengths:
+            yield from out(k, *held[k])
 
     counted = proteins.select("sequence").mapInArrow(scan, "length int, kmer string, n long")
     return counted.groupBy("length", "kmer").agg(F.sum("n").alias("proteins"))
@@ -98,14 +128,14 @@ def kmer_rows(proteins: DataFrame, vocabulary: DataFrame) -> DataFrame:
     schema = T.StructType([proteins.schema["protein_id"], T.StructField("length", T.IntegerType()), T.StructField("kmer", T.StringType())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for piece in (p for batch in batches for p in _pieces(batch)):
             for k in sizes:
-                row, codes = kmer_codes(batch.column("sequence"), k)
+                row, codes = kmer_codes(piece.column("sequence"), k)
                 if small:
                     at = np.minimum(np.searchsorted(kept[k], codes), len(kept[k]) - 1)
                     hit = kept[k][at] == codes
                     row, codes = row[hit], codes[hit]
-                yield pa.RecordBatch.from_arrays([batch.column("protein_id").take(pa.array(row)), pa.array(np.full(len(row), k, np.int32)), kmer_texts(codes, k)], names=["protein_id", "length", "kmer"])
+                yield pa.RecordBatch.from_arrays([piece.column("protein_id").take(pa.array(row)), pa.array(np.full(len(row), k, np.int32)), kmer_texts(codes, k)], names=["protein_id", "length", "kmer"])
 
     rows = proteins.select("protein_id", "sequence").mapInArrow(scan, schema)
     return rows if small else rows.join(vocabulary.select("length", "kmer"), ["length", "kmer"], "left_semi")
@@ -150,10 +180,22 @@ def kmer_features(proteins: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def occurrences(sequence: Column, motif: str) -> Column:
-    """1-based starts of all overlapping occurrences, found by looking ahead for the motif alone."""
-    before = F.transform(F.split(sequence, f"(?={re.escape(motif)})"), F.length)
-    starts = F.transform(F.sequence(F.lit(1), F.size(before)), lambda i: F.aggregate(F.slice(before, 1, i - 1), F.lit(1), lambda s, n: s + n))
-    return F.filter(starts, lambda i: F.substring(sequence, i, F.lit(len(motif))) == motif)
+    """1-based starts of all overlapping occurrences, found one after another; null of null."""
+
+    @F.pandas_udf("array<int>")
+    def starts(texts: pd.Series) -> pd.Series:
+        def one(text: str | None) -> list[int] | None:
+            if text is None:
+                return None
+            found, at = [], text.find(motif)
+            while at >= 0:
+                found.append(at + 1)
+                at = text.find(motif, at + 1)
+            return found
+
+        return texts.map(one)
+
+    return starts(sequence)
 
 
 def residues(aligned: DataFrame, within: Sequence[str] = ()) -> DataFrame:
