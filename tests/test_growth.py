@@ -1,11 +1,12 @@
 """Faults that show only in larger tables than the given ones, on tables made for them."""
 
 import hashlib
+import random
 
 import pyarrow as pa
 import pytest
 
-from cohortry.operators import sequences
+from cohortry.operators import blocks, sequences
 from cohortry.plans import registry
 
 
@@ -80,3 +81,17 @@ def test_many_occurrences_in_one_sequence(spark):
     df = spark.createDataFrame([(1, "THE" * 200_000), (2, "TTHETHE"), (3, None)], "k int, s string")
     got = {r["k"]: r["at"] for r in df.select("k", sequences.occurrences(df["s"], "THE").alias("at")).collect()}
     assert got == {1: list(range(1, 600_000, 3)), 2: [2, 5], 3: None}
+
+
+def test_clusters_of_numbers_and_of_texts_agree(spark):
+    rng = random.Random(3)
+    rows = [(u, "F", "T", "1", rng.randrange(300), rng.randrange(300), 0.7) for u in ("x", "y") for _ in range(260)]
+    names = "comparison_universe_id string, coverage_scope string, comparison_tool string, comparison_tool_version string, protein_a_id {0}, protein_b_id {0}, tm_score double"
+    parts = spark.createDataFrame([(k, "VALIDATION" if k % 5 == 0 else "DISCOVERY") for k in range(300)], "protein_id long, partition string")
+    numbers = blocks.structure_clusters(spark.createDataFrame(rows, names.format("long")), parts)
+    texts = spark.createDataFrame([(*r[:4], str(r[4]), str(r[5]), r[6]) for r in rows], names.format("string"))
+    texts = blocks.structure_clusters(texts, parts.withColumn("protein_id", parts["protein_id"].cast("string")))
+    columns = ["cluster_id", "protein_id", "membership_method", "supporting_edge_count", "member_count", "reference_member_count", "edge_count"]
+    take = lambda df: sorted(tuple(map(str, r)) for r in df.select(*columns).collect())
+    assert len(take(numbers)) > 100 and take(numbers) == take(texts)
+    assert dict(blocks._component_members(spark.createDataFrame([("s", 1, 2)], "k string, a long, b long"), ["k"]).dtypes)["component"] == "bigint"
