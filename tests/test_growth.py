@@ -6,8 +6,8 @@ import random
 import pyarrow as pa
 import pytest
 
-from cohortry.operators import blocks, sequences
-from cohortry.plans import registry
+from cohortry.operators import blocks, models, sequences
+from cohortry.plans import modelling, registry
 
 
 def test_accessions_repeat_in_other_catalogues(spark, tmp_path):
@@ -95,3 +95,13 @@ def test_clusters_of_numbers_and_of_texts_agree(spark):
     take = lambda df: sorted(tuple(map(str, r)) for r in df.select(*columns).collect())
     assert len(take(numbers)) > 100 and take(numbers) == take(texts)
     assert dict(blocks._component_members(spark.createDataFrame([("s", 1, 2)], "k string, a long, b long"), ["k"]).dtypes)["component"] == "bigint"
+
+
+def test_predictions_need_no_explanations(spark, monkeypatch):
+    def unwanted(*_):
+        raise AssertionError("made without being asked for")
+
+    monkeypatch.setattr(models, "permutation_importance", unwanted)
+    monkeypatch.setattr(models, "linear_contributions", unwanted)
+    monkeypatch.setattr(modelling, "_FITTED", {})
+    assert "probability" in registry.queries()["mlx07_predictions"](spark, "/root/testdata/sf0.001").columns
