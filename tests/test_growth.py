@@ -6,8 +6,8 @@ import random
 import pyarrow as pa
 import pytest
 
-from cohortry.operators import blocks, models, sequences
-from cohortry.plans import modelling, registry
+from cohortry.operators import association, blocks, models, sequences
+from cohortry.plans import bindings, modelling, registry
 
 
 def test_accessions_repeat_in_other_catalogues(spark, tmp_path):
@@ -105,3 +105,47 @@ def test_predictions_need_no_explanations(spark, monkeypatch):
     monkeypatch.setattr(models, "linear_contributions", unwanted)
     monkeypatch.setattr(modelling, "_FITTED", {})
     assert "probability" in registry.queries()["mlx07_predictions"](spark, "/root/testdata/sf0.001").columns
+
+
+def _counted(monkeypatch, module, name, key=lambda *a, **k: "calls"):
+    """How often a function of a module is called, by ``key`` of its arguments."""
+    calls, own = {}, getattr(module, name)
+
+    def counting(*a, **k):
+        calls[key(*a, **k)] = calls.get(key(*a, **k), 0) + 1
+        return own(*a, **k)
+
+    monkeypatch.setattr(module, name, counting)
+    return calls
+
+
+def test_both_partitions_are_counted_in_one_pass(spark, monkeypatch):
+    made = _counted(monkeypatch, bindings, "frame", lambda spark, d, name, **_: name)
+    passes = _counted(monkeypatch, association, "assessed_blocks")
+    assert registry.queries()["sta04_bh_study"](spark, "/root/testdata/sf0.001").columns[-1] == "study_q_value"
+    assert passes == {"calls": 1} and made["positives"] == made["domain_assessments"] == 1
+
+
+def test_blocks_of_many_universes(spark):
+    # 200 universes make four words; assessed rows repeat, blocks are mixed, partly assessed or not at all
+    rng = random.Random(5)
+    members = [("C", part, rng.randrange(12), p, rng.random() < 0.5) for p in range(60) for part in ("DISCOVERY",)]
+    members = [(c, part, u, p, t if u == 0 else u % 2 == 0) for c, part, u, p, t in members]
+    assessed = [(f"U{n}", p) for n in range(200) for p in range(60) if rng.random() < 0.9 for _ in range(1 + p % 2)]
+    universes = [("T", f"f{n}", f"U{n}") for n in range(200)] + [("K", "k", None), ("T", "none", "POSITIVES")]
+    positives = [(p, t, f) for t, f, _ in universes for p in range(60) if rng.random() < 0.1]
+    tables = [(members, "comparison_id string, partition string, unit int, protein_id int, is_target boolean"), (positives, "protein_id int, feature_type string, feature_id string"), (universes, "feature_type string, feature_id string, universe string"), (assessed, "universe string, protein_id int")]
+    got = {(r["feature_type"], r["feature_id"]): tuple(r[f"{n}_{k}"] for n in ("target", "background") for k in ("with", "present", "absent", "unknown")) for r in association.feature_block_counts(*[spark.createDataFrame(*t) for t in tables]).collect()}
+    blocks, inside, want = {}, set(assessed), {}
+    for _, _, u, p, t in members:
+        blocks.setdefault(u, []).append((p, t))
+    for kind, name, universe in universes:
+        have, row = {p for p, t, f in positives if (t, f) == (kind, name)}, []
+        for side in (True, False):
+            pure = [[p for p, _ in b] for b in blocks.values() if {t for _, t in b} == {side}]
+            present = sum(any(p in have for p in b) for b in pure)
+            absent = sum(not any(p in have for p in b) and (universe is None or all((universe, p) in inside for p in b)) for b in pure)
+            row += [sum(p in have for b in blocks.values() for p, t in b if t == side), present, absent, len(pure) - present - absent]
+        if have:
+            want[kind, name] = tuple(row)
+    assert got == want and sum(r[2] for r in got.values()) > 100
