@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortry.operators.checks import require_empty
+from cohortry.ranks import running_count
+from cohortry.storage import materialize
 
 POSITIVE = ("REVIEWED_POSITIVE", "EVIDENCE_SUPPORTED_POSITIVE")
 
@@ -79,12 +81,8 @@ def text_evidence(context: DataFrame, catalogue: DataFrame, annotations: DataFra
     return upstream.unionByName(own).unionByName(near).unionByName(outside).filter(F.trim("text") != "")
 
 
-def best_texts(texts: DataFrame, rules: Sequence[Rule], policy: Policy = Policy()) -> DataFrame:
-    """(protein_id, rule_id, evidence_group, kind, value, score, trusted_specific): the best text of each evidence group for each rule.
-
-    Rules are tried inside a row, so texts are not joined with them. A text that an exclusion pattern matches says nothing; of equal scores the
-    first text by code point counts. trusted_specific tells whether any trusted text of the group matches a specific pattern.
-    """
+def _tried(texts: DataFrame, rules: Sequence[Rule], policy: Policy) -> DataFrame:
+    """(protein_id, evidence_group, text, rule_id, kind, score, specific): every text with the rules that it speaks for."""
     text = F.col("text")
     tried = []
     for r in rules:
@@ -92,7 +90,16 @@ def best_texts(texts: DataFrame, rules: Sequence[Rule], policy: Policy = Policy(
         kind = F.when(specific, "SPECIFIC_ANNOTATION").when(plain, "ANNOTATION")
         score = F.when(specific, F.lit(policy.specific)).otherwise(F.lit(policy.annotation)) * F.col("reliability")
         tried.append(F.when(~_any(text, r.exclusion) & kind.isNotNull(), F.struct(F.lit(r.rule_id).alias("rule_id"), kind.alias("kind"), score.alias("score"), (specific & F.col("trusted")).alias("specific"))))
-    rows = texts.select("protein_id", "evidence_group", "text", F.explode(F.array_compact(F.array(*tried))).alias("m")).select("protein_id", "evidence_group", "text", "m.*")
+    return texts.select("protein_id", "evidence_group", "text", F.explode(F.array_compact(F.array(*tried))).alias("m")).select("protein_id", "evidence_group", "text", "m.*")
+
+
+def best_texts(texts: DataFrame, rules: Sequence[Rule], policy: Policy = Policy()) -> DataFrame:
+    """(protein_id, rule_id, evidence_group, kind, value, score, trusted_specific): the best text of each evidence group for each rule.
+
+    Rules are tried inside a row, so texts are not joined with them. A text that an exclusion pattern matches says nothing; of equal scores the
+    first text by code point counts. trusted_specific tells whether any trusted text of the group matches a specific pattern.
+    """
+    rows = _tried(texts, rules, policy)
     ranked = rows.groupBy("protein_id", "rule_id", "evidence_group", "score").agg(F.min_by(F.struct("kind", "text"), F.struct("text", "kind")).alias("t"), F.bool_or("specific").alias("s"))
     top = ranked.groupBy("protein_id", "rule_id", "evidence_group").agg(F.max_by(F.struct("t.kind", "t.text", "score"), "score").alias("b"), F.bool_or("s").alias("trusted_specific"))
     return top.select("protein_id", "rule_id", "evidence_group", "b.kind", F.col("b.text").alias("value"), "b.score", "trusted_specific")
@@ -104,39 +111,49 @@ def domain_evidence(domains: DataFrame, rules: Sequence[Rule], policy: Policy =
     ``domains``: protein_id, domain_id, domain_name. Patterns see the id, a blank and the name. The domain of the first pattern carries the
     score, the others none. patterns counts the patterns of the kind that found a domain.
     """
-    text = F.concat_ws(" ", "domain_id", "domain_name")
-    tried = [
-        F.when(text.rlike(p), F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(kind).alias("kind"), F.lit(k).alias("at")))
-        for r in rules for kind, patterns in (("REQUIRED_DOMAIN", r.required), ("SUPPORTING_DOMAIN", r.supporting)) for k, p in enumerate(patterns)
-    ]
+    kinds = [(r.rule_id, kind, patterns) for r in rules for kind, patterns in (("REQUIRED_DOMAIN", r.required), ("SUPPORTING_DOMAIN", r.supporting))]
+    tried = [(g, k, p) for g, (_, _, patterns) in enumerate(kinds) for k, p in enumerate(patterns)]
     if not tried:
-        tried = [F.lit(None).cast("struct<rule_id:string,kind:string,at:int>")]
-    rows = domains.select("protein_id", "domain_id", F.explode(F.array_compact(F.array(*tried))).alias("m")).select("protein_id", "domain_id", "m.*")
-    found = rows.groupBy("protein_id", "rule_id", "kind", "at").agg(F.min("domain_id").alias("domain_id"))
-    whole = Window.partitionBy("protein_id", "rule_id", "kind")
+        return domains.select("protein_id", *[F.lit(None).cast("string").alias(c) for c in ("rule_id", "kind", "domain_id")], F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("patterns")).limit(0)
+    # patterns are tried on different domains; proteins meet numbers, in the order of the ids
+    text = F.concat_ws(" ", "domain_id", "domain_name")
+    at = F.array_compact(F.array(*[F.when(text.rlike(p), F.struct(F.lit(g).alias("g"), F.lit(k).alias("at"))) for g, k, p in tried]))
+    # written first: a filter would be moved in front of the distinct, to every row
+    different = materialize(domains.select("domain_id", "domain_name").distinct(), "different")
+    matched = materialize(different.withColumn("m", at).filter(F.size("m") > 0), "matched")
+    ids = materialize(running_count(matched.select("domain_id").filter("domain_id is not null").distinct(), [], ["domain_id"], upto="number").select("domain_id", "number"), "ids")
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in ("domain_id", "domain_name")]
+    known = matched.join(ids, "domain_id", "left").alias("y")
+    rows = domains.alias("x").join(known, same).select("protein_id", "number", F.explode("m").alias("m")).select("protein_id", "number", "m.*")
+    found = rows.groupBy("protein_id", "g", "at").agg(F.min("number").alias("number"))
+    whole = Window.partitionBy("protein_id", "g")
     counted = found.withColumns({"patterns": F.count("*").over(whole), "_first": F.min("at").over(whole)})
-    once = counted.groupBy("protein_id", "rule_id", "kind", "domain_id", "patterns", "_first").agg(F.min("at").alias("at"))
+    once = counted.groupBy("protein_id", "g", "number", "patterns", "_first").agg(F.min("at").alias("at"))
+    names = domains.sparkSession.createDataFrame([(g, rule, kind) for g, (rule, kind, _) in enumerate(kinds)], "g int, rule_id string, kind string")
     score = F.when(F.col("at") > F.col("_first"), 0.0).when(F.col("kind") == "REQUIRED_DOMAIN", policy.required_domain).otherwise(policy.supporting_domain)
-    return once.select("protein_id", "rule_id", "kind", "domain_id", score.alias("score"), "patterns")
+    return once.join(names, "g").join(ids, "number", "left").select("protein_id", "rule_id", "kind", "domain_id", score.alias("score"), "patterns")
 
 
-def score_rules(texts: DataFrame, domains: DataFrame, structures: DataFrame, rules: Sequence[Rule], policy: Policy = Policy()) -> DataFrame:
+def score_rules(texts: DataFrame, domains: DataFrame, structures: DataFrame, rules: Sequence[Rule], policy: Policy = Policy(), found: DataFrame | None = None) -> DataFrame:
     """Candidates: protein_id, label_id, rule_id, component_role, priority, score, evidence_groups, accepted, confidence_tier, trusted_direct, reason.
 
     ``structures``: protein_id, structure_eligible. A candidate has any text or domain of its rule. It is accepted when texts speak for it, all
     required domains are there, and score and number of evidence groups suffice, or when a trusted specific text suffices alone; and the structure
     must be eligible, if the policy asks for it. Groups count when their score is above 0; domains are one group.
+    ``found``: what ``domain_evidence`` gives, where it is at hand.
     """
     spark = texts.sparkSession
-    best, found = best_texts(texts, rules, policy), domain_evidence(domains, rules, policy)
-    by_text = best.groupBy("protein_id", "rule_id").agg(F.sum("score").alias("text_score"), F.collect_set(F.when(F.col("score") > 0, F.col("evidence_group"))).alias("text_groups"), F.count("*").alias("texts"), F.bool_or("trusted_specific").alias("trusted"))
+    # the best score of a group is that of its best text, which nothing else is asked of
+    best = _tried(texts, rules, policy).groupBy("protein_id", "rule_id", "evidence_group").agg(F.max("score").alias("score"), F.bool_or("specific").alias("trusted_specific"))
+    found = domain_evidence(domains, rules, policy) if found is None else found
+    by_text = best.groupBy("protein_id", "rule_id").agg(F.sum("score").alias("text_score"), F.collect_set(F.when(F.col("score") > 0, F.col("evidence_group"))).alias("text_groups"), F.count_if((F.col("score") > 0) & F.col("evidence_group").isNotNull()).alias("group_count"), F.count("*").alias("texts"), F.bool_or("trusted_specific").alias("trusted"))
     by_domain = found.groupBy("protein_id", "rule_id").agg(F.sum("score").alias("domain_score"), F.max(F.when(F.col("kind") == "REQUIRED_DOMAIN", F.col("patterns"))).alias("required_found"))
     table = spark.createDataFrame([(r.rule_id, r.label_id, r.component_role, r.priority, len(r.required), r.specific_alone) for r in rules], "rule_id string, label_id string, component_role string, priority int, required int, alone boolean")
     rows = by_text.join(by_domain, ["protein_id", "rule_id"], "full").join(table, "rule_id").join(structures.select("protein_id", "structure_eligible"), "protein_id", "left")
     score = F.coalesce("text_score", F.lit(0.0)) + F.coalesce("domain_score", F.lit(0.0))
     groups = F.array_sort(F.concat(F.coalesce("text_groups", F.array().cast("array<string>")), F.when(F.coalesce("domain_score", F.lit(0.0)) > 0, F.array(F.lit("PFAM"))).otherwise(F.array().cast("array<string>"))))
     rows = rows.withColumns({"score": score, "evidence_groups": groups, "texts": F.coalesce("texts", F.lit(0)), "trusted": F.coalesce("trusted", F.lit(False))})
-    enough, several = F.col("score") >= policy.minimum_score, F.size("evidence_groups") >= policy.minimum_groups
+    enough, several = F.col("score") >= policy.minimum_score, F.coalesce("group_count", F.lit(0)) + F.when(F.coalesce("domain_score", F.lit(0.0)) > 0, 1).otherwise(0) >= policy.minimum_groups
     complete = (F.col("required") == 0) | (F.coalesce("required_found", F.lit(0)) == F.col("required"))
     alone = F.col("alone") & F.col("trusted") & enough
     structure = F.coalesce("structure_eligible", F.lit(False)) if policy.needs_structure else F.lit(True)

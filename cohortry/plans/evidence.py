@@ -155,8 +155,9 @@ _SCORED = f"""{_BEST}, dm AS ({" UNION ALL ".join(f"SELECT protein_id, '{r}' AS
 def evidence(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, domains, structures) of the stand-in."""
     lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = materialize(lines.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "p_name", "p_brand", "p_type"), "lines")
     texts = lines.select(F.col("l_orderkey").alias("protein_id"), F.col("p_name").alias("text"), F.col("l_returnflag").alias("evidence_group"), F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.5).alias("reliability"), (F.col("l_linenumber") == 1).alias("trusted"))
-    domains = lines.select(F.col("l_orderkey").alias("protein_id"), F.col("p_brand").alias("domain_id"), F.col("p_type").alias("domain_name")).distinct()
+    domains = lines.select(F.col("l_orderkey").alias("protein_id"), F.col("p_brand").alias("domain_id"), F.col("p_type").alias("domain_name"))
     return texts, domains, table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), (F.col("o_orderstatus") != "P").alias("structure_eligible"))
 
 
@@ -202,13 +203,14 @@ def _labels(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return tree, materialize(blocks.label_closure(tree), "closure")
 
 
-def resolved(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(resolutions, decisions, closure)."""
+def resolved(spark: SparkSession, d: str, found: DataFrame | None = None, known: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(resolutions, decisions, closure). ``found``: the domains of the rules, and ``known``: what ``evidence`` gives, where a query has them."""
     tree, closure = _labels(spark)
-    texts, domains, structures = evidence(spark, d)
+    texts, domains, structures = known or evidence(spark, d)
     direct = table(spark, d, "orders").filter("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("protein_id"), F.lit("L_METAL").alias("label_id"))
-    every = labels.score_rules(texts, domains, structures, RULES).unionByName(labels.trusted_candidates(direct, tree, structures, RULES))
-    return *labels.resolve_candidates(materialize(every, "candidates"), closure), closure
+    every = labels.score_rules(texts, domains, structures, RULES, found=found).unionByName(labels.trusted_candidates(direct, tree, structures, RULES))
+    # which groups speak for a candidate is not asked; how many do is in its state
+    return *labels.resolve_candidates(materialize(every.drop("evidence_groups"), "candidates"), closure), closure
 
 
 @query("win09_candidate_resolution", f"""WITH {_RESOLVED} SELECT c.protein_id, c.label_id, c.rule_id, c.score, CASE WHEN NOT c.accepted THEN 'BELOW_ACCEPTANCE_POLICY' WHEN sel_label IS NULL THEN 'AMBIGUOUS_CONFLICT' WHEN c.label_id = sel_label AND c.rule_id = sel_rule THEN 'ACCEPTED'
@@ -227,9 +229,10 @@ def fea10_audit(spark: SparkSession, d: str) -> DataFrame:
     FROM resolved r JOIN dm ON dm.protein_id = r.protein_id AND dm.rule_id = r.rule_id
     JOIN up ON up.label_id = r.label_id WHERE r.status = 'ACCEPTED'""")
 def fea10(spark: SparkSession, d: str) -> DataFrame:
-    found, _, closure = resolved(spark, d)
-    selected = found.filter("status = 'ACCEPTED'")
-    return labels.label_definitions(selected, labels.domain_evidence(evidence(spark, d)[1], RULES), closure)
+    known = evidence(spark, d)
+    domains = materialize(labels.domain_evidence(known[1], RULES), "domains")
+    found, _, closure = resolved(spark, d, domains, known)
+    return labels.label_definitions(found.filter("status = 'ACCEPTED'"), domains, closure)
 
 
 _CONTROLS = "controls AS (SELECT o_orderkey AS protein_id, 'CONTROL' AS label_id FROM orders WHERE o_orderkey % 13 = 0 UNION SELECT o_orderkey, 'CONTROL2' FROM orders WHERE o_orderkey % 39 = 0)"

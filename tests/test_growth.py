@@ -6,8 +6,8 @@ import random
 import pyarrow as pa
 import pytest
 
-from cohortry.operators import association, blocks, models, sequences
-from cohortry.plans import bindings, modelling, registry
+from cohortry.operators import association, blocks, labels, models, sequences
+from cohortry.plans import bindings, evidence, modelling, registry
 
 
 def test_accessions_repeat_in_other_catalogues(spark, tmp_path):
@@ -149,3 +149,19 @@ def test_blocks_of_many_universes(spark):
         if have:
             want[kind, name] = tuple(row)
     assert got == want and sum(r[2] for r in got.values()) > 100
+
+
+def test_definitions_find_domains_once(spark, monkeypatch):
+    found = _counted(monkeypatch, labels, "domain_evidence")
+    lines = _counted(monkeypatch, evidence, "evidence")
+    assert registry.queries()["fea10_label_definitions"](spark, "/root/testdata/sf0.001").columns == ["label_id", "feature_type", "feature_id", "rule_id"]
+    assert found == lines == {"calls": 1}
+
+
+def test_domains_without_id_or_name(spark):
+    rules = [labels.Rule("r", "L", required=("^A", "x$"), supporting=("x",)), labels.Rule("s", "M")]
+    rows = [(1, "B", "x"), (1, "A", "x"), (1, "A", "x"), (2, None, "x"), (2, "C", None), (3, None, None), (3, "Ax", None)]
+    domains = spark.createDataFrame(rows, "protein_id int, domain_id string, domain_name string")
+    got = {tuple(r) for r in labels.domain_evidence(domains, rules).collect()}
+    assert got == {(1, "r", "REQUIRED_DOMAIN", "A", 2.0, 2), (1, "r", "SUPPORTING_DOMAIN", "A", 1.0, 1), (2, "r", "REQUIRED_DOMAIN", None, 2.0, 1), (2, "r", "SUPPORTING_DOMAIN", None, 1.0, 1), (3, "r", "REQUIRED_DOMAIN", "Ax", 2.0, 2), (3, "r", "SUPPORTING_DOMAIN", "Ax", 1.0, 1)}
+    assert labels.domain_evidence(domains, rules[1:]).columns == ["protein_id", "rule_id", "kind", "domain_id", "score", "patterns"]
