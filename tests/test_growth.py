@@ -165,3 +165,9 @@ def test_domains_without_id_or_name(spark):
     got = {tuple(r) for r in labels.domain_evidence(domains, rules).collect()}
     assert got == {(1, "r", "REQUIRED_DOMAIN", "A", 2.0, 2), (1, "r", "SUPPORTING_DOMAIN", "A", 1.0, 1), (2, "r", "REQUIRED_DOMAIN", None, 2.0, 1), (2, "r", "SUPPORTING_DOMAIN", None, 1.0, 1), (3, "r", "REQUIRED_DOMAIN", "Ax", 2.0, 2), (3, "r", "SUPPORTING_DOMAIN", "Ax", 1.0, 1)}
     assert labels.domain_evidence(domains, rules[1:]).columns == ["protein_id", "rule_id", "kind", "domain_id", "score", "patterns"]
+
+
+def test_signatures_make_positives_once(spark, monkeypatch):
+    made = _counted(monkeypatch, bindings, "frame", lambda spark, d, name, **_: name)
+    registry.queries()["agg18_evidence_class_counts"](spark, "/root/testdata/sf0.001")
+    assert made["positives"] == made["exploratory"] == 1
