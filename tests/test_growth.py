@@ -171,3 +171,41 @@ def test_signatures_make_positives_once(spark, monkeypatch):
     made = _counted(monkeypatch, bindings, "frame", lambda spark, d, name, **_: name)
     registry.queries()["agg18_evidence_class_counts"](spark, "/root/testdata/sf0.001")
     assert made["positives"] == made["exploratory"] == 1
+
+
+def test_stand_ins_in_fewer_passes_have_the_rows_of_the_sql(spark, tmp_path):
+    # keys repeat, are null or have no partner
+    rng = random.Random(22)
+    key, some = lambda n: rng.choice([None, *range(n)]), lambda *of: rng.choice([None, *of])
+    segments = ("BUILDING", "MACHINERY", "FURNITURE", "X")
+    tables = {
+        "customer": ([(key(40), some(*segments)) for _ in range(60)], "c_custkey long, c_mktsegment string"),
+        "orders": ([(key(300), key(50), some("O", "F", "P")) for _ in range(500)], "o_orderkey long, o_custkey long, o_orderstatus string"),
+        "part": ([(key(50), some("Brand#1", "Brand#2", "Brand#23"), some("PROMO", "small")) for _ in range(60)], "p_partkey long, p_brand string, p_type string"),
+        "lineitem": ([(key(320), key(60), key(6), some(10.0, 45.0, 48.0), some("A", "N", "R"), some("O", "F")) for _ in range(2000)], "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    given = {n: spark.read.parquet(str(tmp_path / f"{n}.parquet")) for n in tables}
+    for name in ("positives", "domain_assessments"):
+        used = {n: df for n, df in given.items() if f"{{{n}}}" in bindings.SHARED[name]}
+        want, got = spark.sql(bindings.SHARED[name], **used), bindings.frame(spark, str(tmp_path), name)
+        assert got.dtypes == want.dtypes and len(got.collect()) > 300
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), name
+
+
+def test_lines_are_joined_once_for_all_features(spark):
+    plan = lambda name: bindings.frame(spark, "/root/testdata/sf0.001", name)._jdf.queryExecution().optimizedPlan().toString()
+    assert {name: plan(name).count("Join ") for name in ("positives", "domain_assessments")} == {"positives": 4, "domain_assessments": 1}
+
+
+def test_local_values_need_no_held_out_tests(spark, monkeypatch):
+    passes = _counted(monkeypatch, association, "adjusted")
+    registry.queries()["sta03_bh_local"](spark, "/root/testdata/sf0.001")
+    assert passes == {"calls": 1}
+
+
+def test_members_meet_all_evidence_in_one_pass(spark, monkeypatch):
+    passes = _counted(monkeypatch, association, "block_items")
+    registry.queries()["sta05_association_pipeline"](spark, "/root/testdata/sf0.001")
+    assert passes == {"calls": 1}
