@@ -209,3 +209,10 @@ def test_members_meet_all_evidence_in_one_pass(spark, monkeypatch):
     passes = _counted(monkeypatch, association, "block_items")
     registry.queries()["sta05_association_pipeline"](spark, "/root/testdata/sf0.001")
     assert passes == {"calls": 1}
+
+
+def test_figures_of_many_blocks_stay_in_range(spark):
+    # four sums of 120,000 blocks multiply beyond a long
+    rows = spark.range(240_000).selectExpr("CAST(id % 2 AS INT) AS target", "CASE WHEN id % 8 < 6 THEN 0.25 + id % 2 / 2e0 ELSE 0.75 - id % 2 / 2e0 END AS probability")
+    got = models.ranking_metrics(rows).first()
+    assert abs(got["matthews_correlation"] - 0.5) < 1e-12 and abs(got["balanced_accuracy"] - 0.75) < 1e-12
