@@ -216,3 +216,24 @@ def test_figures_of_many_blocks_stay_in_range(spark):
     rows = spark.range(240_000).selectExpr("CAST(id % 2 AS INT) AS target", "CASE WHEN id % 8 < 6 THEN 0.25 + id % 2 / 2e0 ELSE 0.75 - id % 2 / 2e0 END AS probability")
     got = models.ranking_metrics(rows).first()
     assert abs(got["matthews_correlation"] - 0.5) < 1e-12 and abs(got["balanced_accuracy"] - 0.75) < 1e-12
+
+
+def test_contributions_take_no_row_for_every_sample_and_feature(spark):
+    rng = random.Random(6)
+    table = [(c, "T", f"f{at}", at, rng.choice((-2.0, -1.0, 0.0, 1.0, 2.0)), rng.choice((0.25, 0.5, 0.75))) for c in ("c", "e") for at in range(1, 13)]
+    samples = [(c, k) for c in ("c", "e") for k in range(30)] + [("without a model", 1)]
+    positives = [(k, "T", f"f{at}") for k in range(25) for at in range(15) if rng.random() < k / 20] * 2
+    frame = spark.createDataFrame(table, "comparison_id string, feature_type string, feature_id string, at int, coefficient double, mean double")
+    given = spark.createDataFrame(samples, "comparison_id string, protein_id long"), spark.createDataFrame(positives, "protein_id long, feature_type string, feature_id string")
+    own = set(positives)
+    for top in (None, 1, 4, 40):
+        got = models.linear_contributions(*given, frame.drop("mean"), frame.drop("coefficient", "at"), top)
+        want = []
+        for c, k in samples:
+            values = [(f, at, b, m, int((k, t, f) in own)) for name, t, f, at, b, m in table if name == c]
+            ranked = sorted(values, key=lambda x: (-abs(x[2] * (x[4] - x[3])), x[1]))
+            want += [(c, k, "T", f, v, m, b, b * (v - m), r) for r, (f, _, b, m, v) in enumerate(ranked[:top], 1)]
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+        # samples are ranked where they stand
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and plan.count("Generate posexplode") == 1
