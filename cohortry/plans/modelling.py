@@ -160,7 +160,7 @@ def fitted(spark: SparkSession, d: str) -> models.Fitted:
         members, positives, universes, assessed = cohort(spark, d)
         # every protein of the stand-in counts as assessed for domains, so that models have some features
         whole = universes.withColumn("universe", F.when(F.col("feature_type") != "DOMAIN", F.col("universe")))
-        _FITTED[key] = models.fit_comparisons(members, positives, whole, assessed, B.frame(spark, d, "comparisons"), B.frame(spark, d, "exploratory"), SETTINGS)
+        _FITTED[key] = models.fit_comparisons(members, positives, whole, assessed, B.frame(spark, d, "comparisons"), B.frame(spark, d, "exploratory", positives=positives), SETTINGS)
     return _FITTED[key]
 
 

@@ -237,3 +237,34 @@ def test_contributions_take_no_row_for_every_sample_and_feature(spark):
         # samples are ranked where they stand
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert "Window" not in plan and plan.count("Generate posexplode") == 1
+
+
+def test_means_of_places_are_those_of_features(spark):
+    rng = random.Random(9)
+    samples = [(c, k, "VALIDATION" if k % 5 == 0 else "DISCOVERY", k // 3, k // 3 % 2) for c in ("c", "e") for k in range(90)]
+    positives = sorted({(rng.randrange(90), "T", f"f{rng.randrange(6)}") for _ in range(200)})
+    own = spark.createDataFrame(samples, "comparison_id string, protein_id long, partition string, unit long, target int")
+    have = spark.createDataFrame(positives, "protein_id long, feature_type string, feature_id string")
+    chosen = spark.createDataFrame([(c, "T", f"f{at}", at) for c, last in (("c", 7), ("e", 3)) for at in range(1, last + 1)], "comparison_id string, feature_type string, feature_id string, place int")
+    want = models.discovery_means(own, have, chosen)
+    got = models.place_means(models.feature_rows(own, have, chosen), chosen.withColumn("at", chosen["place"] - 1))
+    rows = [sorted((r["comparison_id"], r["feature_id"], *(round(r[c], 12) for c in ("mean", "target_mean", "background_mean"))) for r in df.collect()) for df in (got, want)]
+    assert got.columns == want.columns and rows[0] == rows[1] and len(rows[0]) == 10 and min(r[2] for r in rows[0]) == 0
+
+
+def test_models_make_positives_once(spark, monkeypatch):
+    made = _counted(monkeypatch, bindings, "frame", lambda _spark, _d, name, **_: name)
+    monkeypatch.setattr(models, "fit_comparisons", lambda *_: None)
+    monkeypatch.setattr(modelling, "_FITTED", {})
+    modelling.fitted(spark, "/root/testdata/sf0.001")
+    assert made["positives"] == 1
+
+
+def test_features_are_counted_before_they_are_looked_up(spark):
+    samples = spark.createDataFrame([("c", k, "DISCOVERY", k, k % 2) for k in range(9)], "comparison_id string, protein_id long, partition string, unit long, target int")
+    positives = spark.createDataFrame([(k, "T", f) for k in range(9) for f in ("a", "b", "z")[: 1 + k % 3]], "protein_id long, feature_type string, feature_id string")
+    complete = spark.createDataFrame([("c", "T", "b"), ("c", "T", "z"), ("c", "T", "none")], "comparison_id string, feature_type string, feature_id string")
+    got = models.select_features(samples, positives, complete)
+    assert [tuple(r) for r in got.orderBy("place").collect()] == [("c", "T", "b", 6, 1), ("c", "T", "z", 3, 2)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("Aggregate [comparison_id#")
